@@ -8,6 +8,8 @@ so a base that holds most of the rows is no single task's work. Only bases whose
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,23 +22,24 @@ FAMILY_CHARS = 100
 _NUMBERED = r"_([1-9][0-9]{0,17})\z"
 
 
-def _meeting_bases(bases: DataFrame) -> DataFrame:
+def _meeting_bases(bases: DataFrame, scope: list[str]) -> DataFrame:
     """Pairs of a base (``parent``) and a base (``child``) that equals one of its numbered names.
 
     A parent that occurs once keeps its plain name, unless it is itself such a child.
     """
     number = F.regexp_extract("base", _NUMBERED, 1)
     child = bases.where(number != "").select(
+        *scope,
         F.col("base").alias("child"),
         F.regexp_replace("base", _NUMBERED, "").alias("parent"),
         number.cast("long").alias("number"),
         F.col("first").alias("child_first"),
     )
     parents = bases.where((F.col("n") > 1) | F.col("base").rlike(_NUMBERED))
-    return child.join(parents.select(F.col("base").alias("parent")), "parent")
+    return child.join(parents.select(*scope, F.col("base").alias("parent")), [*scope, "parent"])
 
 
-def _settle(pairs: DataFrame, width: int) -> DataFrame:
+def _settle(pairs: DataFrame, scope: list[str], width: int) -> DataFrame:
     """Numbers of each base that other bases hold, as rows ``(base, number)``.
 
     With ``lost`` smaller names taken by others, the occurrence of the parent to reach number ``n`` is
@@ -44,48 +47,58 @@ def _settle(pairs: DataFrame, width: int) -> DataFrame:
     loses its own plain name. What one pair holds depends only on smaller numbers and on the parent's
     own plain name, so the rounds end in the one answer that agrees with itself.
     """
-    state = cut_lineage(pairs.select("parent", "child", "number", "earlier").withColumn("holds", F.lit(True)))
+    state = pairs.select(*scope, "parent", "child", "number", "earlier")
+    state = cut_lineage(state.withColumn("holds", F.lit(True)))
+    key = [*scope, "parent"]
     while True:
-        lost_own = state.where(~F.col("holds")).select(F.col("child").alias("parent"), F.lit(1).alias("own"))
-        counted = skew.bucketed_sum_before(state, ["parent"], "number", F.col("holds"), "smaller", width)
+        lost_own = state.where(~F.col("holds")).select(
+            *scope, F.col("child").alias("parent"), F.lit(1).alias("own")
+        )
+        counted = skew.bucketed_sum_before(state, key, "number", F.col("holds"), "smaller", width)
         lost = F.col("smaller") + F.coalesce("own", F.lit(0))
-        judged = counted.join(lost_own, "parent", "left").withColumn(
+        judged = counted.join(lost_own, key, "left").withColumn(
             "now", F.col("earlier") <= F.col("number") - lost
         )
         judged = cut_lineage(judged.drop("own", "smaller"))
         if judged.where(F.col("now") != F.col("holds")).isEmpty():
             break
         state = judged.drop("holds").withColumnRenamed("now", "holds")
-    held = state.where("holds").select(F.col("parent").alias("base"), "number")
-    own = state.where(~F.col("holds")).select(F.col("child").alias("base"), F.lit(0).cast("long").alias("number"))
+    held = state.where("holds").select(*scope, F.col("parent").alias("base"), "number")
+    own = state.where(~F.col("holds")).select(
+        *scope, F.col("child").alias("base"), F.lit(0).cast("long").alias("number")
+    )
     return held.unionByName(own)
 
 
-def _taken_numbers(items: DataFrame, pairs: DataFrame, order: str, width: int) -> DataFrame:
+def _taken_numbers(
+    items: DataFrame, pairs: DataFrame, scope: list[str], order: str, width: int
+) -> DataFrame:
     # Occurrences of the parent that came before the child's first: markers counted among the rows.
     pairs = cut_lineage(pairs)
-    parents = pairs.select(F.col("parent").alias("base")).distinct()
-    rows = items.select("base", F.col(order).alias("at")).join(parents, "base", "left_semi")
-    markers = pairs.select(F.col("parent").alias("base"), F.col("child_first").alias("at"), "child")
+    key = [*scope, "base"]
+    parents = pairs.select(*scope, F.col("parent").alias("base")).distinct()
+    rows = items.select(*key, F.col(order).alias("at")).join(parents, key, "left_semi")
+    markers = pairs.select(*scope, F.col("parent").alias("base"), F.col("child_first").alias("at"), "child")
     marked = rows.withColumn("child", F.lit(None).cast("string")).unionByName(markers)
     is_row = F.col("child").isNull()
-    counted = skew.bucketed_sum_before(marked, ["base"], "at", is_row, "earlier", width)
-    earlier = counted.where(F.col("child").isNotNull()).select("child", "earlier")
-    return _settle(pairs.join(earlier, "child"), width)
+    counted = skew.bucketed_sum_before(marked, key, "at", is_row, "earlier", width)
+    earlier = counted.where(F.col("child").isNotNull()).select(*scope, "child", "earlier")
+    return _settle(pairs.join(earlier, [*scope, "child"]), scope, width)
 
 
-def _skip_taken(numbered: DataFrame, taken: DataFrame, width: int) -> DataFrame:
+def _skip_taken(numbered: DataFrame, taken: DataFrame, scope: list[str], width: int) -> DataFrame:
     """Add ``number``: the ordinal plus the taken numbers that come before the free one it reaches.
 
     The i-th taken number ``t`` is skipped from ordinal ``t - i`` on, so that counting such marks
     among the ordinals gives the skips of every row.
     """
-    marks = skew.bucketed_ordinal(taken, ["base"], "number", "i", width).select(
-        "base", (2 * (F.col("number") - F.col("i"))).alias("place"), F.lit(True).alias("mark")
+    key = [*scope, "base"]
+    marks = skew.bucketed_ordinal(taken, key, "number", "i", width).select(
+        *key, (2 * (F.col("number") - F.col("i"))).alias("place"), F.lit(True).alias("mark")
     )
     rows = numbered.withColumn("place", 2 * F.col("ordinal") + 1).withColumn("mark", F.lit(False))
     both = rows.unionByName(marks, allowMissingColumns=True)
-    counted = skew.bucketed_sum_before(both, ["base"], "place", F.col("mark"), "skips", width)
+    counted = skew.bucketed_sum_before(both, key, "place", F.col("mark"), "skips", width)
     return (
         counted.where(~F.col("mark"))
         .withColumn("number", F.col("ordinal") + F.col("skips"))
@@ -93,17 +106,18 @@ def _skip_taken(numbered: DataFrame, taken: DataFrame, width: int) -> DataFrame:
     )
 
 
-def _settle_cut(items: DataFrame, order: str) -> DataFrame:
+def _settle_cut(items: DataFrame, scope: list[str], order: str) -> DataFrame:
     """Names for bases that are cut at the limit: propose, keep the earliest, let the rest go on.
 
     Rows that lose a name to an earlier one try their next number, until no row loses.
     """
     current = items.withColumn("number", F.col("ordinal"))
+    name = [*scope, "stem"]
     while True:
         named = cut_lineage(current.withColumn("stem", text.numbered_stem(F.col("base"), F.col("number"))))
-        holders = named.groupBy("stem").agg(F.min(order).alias("_holder"))
+        holders = named.groupBy(*name).agg(F.min(order).alias("_holder"))
         judged = cut_lineage(
-            named.join(holders, "stem").withColumn("_lost", F.col(order) > F.col("_holder")).drop("_holder")
+            named.join(holders, name).withColumn("_lost", F.col(order) > F.col("_holder")).drop("_holder")
         )
         if judged.where("_lost").isEmpty():
             return judged.drop("_lost")
@@ -112,25 +126,35 @@ def _settle_cut(items: DataFrame, order: str) -> DataFrame:
 
 
 def unique_stems(
-    df: DataFrame, label: Column, order: str, *, width: int = 1_000_000, name: str = "stem"
+    df: DataFrame,
+    label: Column,
+    order: str,
+    *,
+    scope: Sequence[str] = (),
+    width: int = 1_000_000,
+    name: str = "stem",
 ) -> DataFrame:
-    """Add a unique stem for each row, in the order of a unique integer column."""
+    """Add a stem for each row, unique within ``scope``, in the order of a unique integer column."""
+    scope = list(scope)
+    key = [*scope, "base"]
     items = df.withColumn("base", text.safe_stem(label))
-    numbered = skew.bucketed_ordinal(items, ["base"], order, "ordinal", width)
-    bases = items.groupBy("base").agg(F.min(order).alias("first"), F.count("*").alias("n"))
+    numbered = skew.bucketed_ordinal(items, key, order, "ordinal", width)
+    bases = items.groupBy(*key).agg(F.min(order).alias("first"), F.count("*").alias("n"))
     is_cut = F.length("base") + F.length(F.col("n").cast("string")) + 2 > S.STEM_LIMIT
     family = F.substring("base", 1, FAMILY_CHARS)
-    families = bases.where((F.col("n") > 1) & is_cut).select(family.alias("family")).distinct()
-    pairs = _meeting_bases(bases)
+    families = bases.where((F.col("n") > 1) & is_cut).select(*scope, family.alias("family")).distinct()
+    pairs = _meeting_bases(bases, scope)
     plain, rest = numbered, None
     if not families.isEmpty():
         marked = numbered.withColumn("family", family)
-        plain = marked.join(families, "family", "left_anti").drop("family")
-        rest = _settle_cut(marked.join(families, "family", "left_semi").drop("family"), order)
+        in_family = [*scope, "family"]
+        plain = marked.join(families, in_family, "left_anti").drop("family")
+        cut = marked.join(families, in_family, "left_semi").drop("family")
+        rest = _settle_cut(cut, scope, order)
     if pairs.isEmpty():
         plain = plain.withColumn("number", F.col("ordinal"))
     else:
-        plain = _skip_taken(plain, _taken_numbers(items, pairs, order, width), width)
+        plain = _skip_taken(plain, _taken_numbers(items, pairs, scope, order, width), scope, width)
     named = plain.withColumn("stem", text.numbered_stem(F.col("base"), F.col("number")))
     if rest is not None:
         named = named.unionByName(rest)

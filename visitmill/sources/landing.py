@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import hashlib
+import re
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -27,6 +28,7 @@ LISTING = T.StructType(
     [
         T.StructField("study_id", T.StringType()),
         T.StructField("path", T.StringType()),
+        T.StructField("source_path", T.StringType()),
         T.StructField("file_name", T.StringType()),
         T.StructField("length", T.LongType()),
         T.StructField("modified", T.TimestampType()),
@@ -38,6 +40,7 @@ PROBE = T.StructType(
         T.StructField("head", T.StringType()),
         T.StructField("header", T.StringType()),
         T.StructField("multi_line", T.BooleanType()),
+        T.StructField("has_rows", T.BooleanType()),
     ]
 )
 
@@ -59,7 +62,11 @@ def _folder_files(spark: SparkSession, folder: str) -> DataFrame | None:
 
 def _files(spark: SparkSession, landing: str, study_ids: Sequence[str]) -> DataFrame | None:
     found = [(s, _folder_files(spark, study_folder(landing, s))) for s in study_ids]
-    frames = [f.withColumn("study_id", F.lit(s)) for s, f in found if f is not None]
+    frames = [
+        f.select("*", F.col("_metadata.file_path").alias("source_path"), F.lit(s).alias("study_id"))
+        for s, f in found
+        if f is not None
+    ]
     return reduce(DataFrame.unionByName, frames) if frames else None
 
 
@@ -67,6 +74,8 @@ def _listing_columns() -> list[Column]:
     return [
         F.col("study_id"),
         F.col("path"),
+        # As scans report it, with special characters escaped.
+        F.col("source_path"),
         F.substring_index("path", "/", -1).alias("file_name"),
         F.col("length"),
         F.col("modificationTime").alias("modified"),
@@ -95,6 +104,7 @@ def probe_content(content: Column) -> list[Column]:
         # The header is the first line that is not blank.
         F.regexp_extract(body, r"\A(?:[ \t]*\r?\n)*+([^\n]*)", 1).alias("header"),
         F.exists(lines, _odd_quotes).alias("multi_line"),
+        body.rlike(r"\A(?:[ \t]*\r?\n)*+[^\n]*\n\s*+\S").alias("has_rows"),
     ]
 
 
@@ -111,25 +121,33 @@ def _open(path: str):
     return system.open_input_stream(inner)
 
 
-def _probe_stream(path: str) -> tuple[str, str, str, bool]:
+def _probe_stream(path: str) -> tuple[str, str, str, bool, bool]:
+    """As :func:`probe_content`, over pieces of the file; memory does not grow with it."""
     digest = hashlib.sha256()
     first = b""
-    odd = multi_line = False
+    in_quotes = multi_line = has_rows = False
+    place = "before header"
     with _open(path) as stream:
         while piece := stream.read(PIECE_BYTES):
             digest.update(piece)
-            if len(first) < HEADER_BYTES:
-                first += piece[: HEADER_BYTES - len(first)]
-            if not multi_line and (odd or b'"' in piece):
-                *ended, rest = piece.split(b"\n")
-                for line in ended:
-                    odd ^= line.count(b'"') % 2 == 1
-                    multi_line |= odd
-                    odd = False
-                odd ^= rest.count(b'"') % 2 == 1
+            first += piece[: max(0, HEADER_BYTES - len(first))]
+            if not multi_line and (in_quotes or b'"' in piece):
+                for number, line in enumerate(piece.split(b"\n")):
+                    if number:
+                        multi_line |= in_quotes
+                        in_quotes = False
+                    in_quotes ^= line.count(b'"') % 2 == 1
+            if not has_rows:
+                rest = piece
+                if place == "before header" and (rest := rest.lstrip()):
+                    place = "in header"
+                if place == "in header":
+                    _, ended, rest = rest.partition(b"\n")
+                    place = "after header" if ended else place
+                has_rows = place == "after header" and bool(rest.strip())
     head = first[: S.HEAD_BYTES].decode("utf-8", errors="replace")
     header = next((line for line in first.split(b"\n") if line.strip()), b"").decode("utf-8", errors="replace")
-    return digest.hexdigest(), head, header, multi_line or odd
+    return digest.hexdigest(), head, header, multi_line or in_quotes, has_rows
 
 
 def _probe_streams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -211,6 +229,11 @@ def file_groups(index: DataFrame) -> list[FileGroup]:
     return [FileGroup(r.category, r.delimiter, r.header, r.multi_line, tuple(r.paths)) for r in rows]
 
 
+def _literal(path: str) -> str:
+    """The path with glob characters taken as they are."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def read_group(spark: SparkSession, group: FileGroup) -> DataFrame:
     """Rows of a group: cells as text columns ``c0``, ``c1``, …, and where each row came from.
 
@@ -223,7 +246,7 @@ def read_group(spark: SparkSession, group: FileGroup) -> DataFrame:
         # A line of blanks is no row. Without multiLine, Spark leaves such lines out itself.
         fields.append(T.StructField("_bad", T.StringType()))
         reader = reader.options(multiLine=True, columnNameOfCorruptRecord="_bad")
-    rows = reader.schema(T.StructType(fields)).csv(list(group.paths))
+    rows = reader.schema(T.StructType(fields)).csv([_literal(p) for p in group.paths])
     located = rows.select(
         "*",
         F.col("_metadata.file_path").alias("source_path"),

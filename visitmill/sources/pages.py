@@ -60,7 +60,7 @@ def parse_pages(pages: DataFrame, *, body: str = "body") -> DataFrame:
 def pull_extent(
     parsed: DataFrame, pull: Sequence[str], *, page: str = "page", page_size: int = S.PAGE_SIZE
 ) -> DataFrame:
-    """Per pull: its last page and whether it failed, from one aggregate with map-side combine.
+    """Per pull: its last page, whether it failed and whether it has rows; one aggregate.
 
     A pull fails if a page up to its end cannot be parsed.
     """
@@ -70,10 +70,12 @@ def pull_extent(
         F.col(page).alias("_page"),
         F.col("payload").isNull().alias("_bad"),
         (F.col("payload").isNotNull() & ~more).alias("_end"),
+        (F.size("rows") > 0).alias("_filled"),
     )
     ends = flagged.groupBy(*pull).agg(
         F.min(F.when(F.col("_end"), F.col("_page"))).alias("_end_page"),
         F.min(F.when(F.col("_bad"), F.col("_page"))).alias("_bad_page"),
+        F.min(F.when(F.col("_filled"), F.col("_page"))).alias("_row_page"),
         F.max("_page").alias("_top_page"),
     )
     failed = F.col("_bad_page") <= F.coalesce("_end_page", "_top_page")
@@ -81,6 +83,7 @@ def pull_extent(
         *pull,
         F.coalesce("_end_page", "_top_page").alias("last_page"),
         F.coalesce(failed, F.lit(False)).alias("failed"),
+        F.coalesce(F.col("_row_page") <= F.coalesce("_end_page", "_top_page"), F.lit(False)).alias("has_rows"),
     )
 
 
@@ -90,7 +93,7 @@ def pages_in_pull(parsed: DataFrame, extent: DataFrame, pull: Sequence[str], *,
     A pull has at most 2000 pages, so no key of this join is hot; Spark broadcasts the extents at run
     time where they are small.
     """
-    ended = extent.where(~F.col("failed")).drop("failed")
+    ended = extent.where(~F.col("failed")).drop("failed", "has_rows")
     kept = parsed.where(F.col(page) <= S.MAX_PAGES).join(ended, list(pull))
     return kept.where(F.col(page) <= F.col("last_page")).drop("last_page")
 
