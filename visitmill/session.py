@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +34,11 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
     return spark
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="visitmill-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named in ``spark.checkpoint.dir``.
 
@@ -43,9 +49,7 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("Set spark.checkpoint.dir to a folder that every executor can reach.")
-    folder = tempfile.mkdtemp(prefix="visitmill-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -254,8 +254,8 @@ def read_group(spark: SparkSession, group: FileGroup) -> DataFrame:
         F.monotonically_increasing_id().alias("source_row"),
     )
     if group.multi_line:
-        bad = F.coalesce(F.col("_bad"), F.lit("x"))
-        located = located.where(text.strip(bad) != "").drop("_bad")
+        blank = (text.strip(F.col("_bad")) == "") & (text.strip(F.col("c0")) == "")
+        located = located.where(~F.coalesce(blank, F.lit(False))).drop("_bad")
     return located.select(
         *[text.na_to_null(F.col(c)).alias(c) for c in cells], "source_path", "source_block", "source_row"
     )
