@@ -4,20 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 # A lookup up to this many rows may be sent to every executor.
 BROADCAST_ROWS = 50_000
 # A key with at least this share of the rows is hot; so there are at most 1 / share hot keys.
 HOT_SHARE = 0.005
 SALTS = 64
+# Rows per range when a group is numbered by ranges.
+RANGE_ROWS = 1_000_000
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``rows`` rows. Stops counting one row beyond."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether ``df`` has at most ``rows`` rows. Reads on only until one more is found."""
+    return len(df.select(F.lit(1)).take(rows + 1)) <= rows
 
 
 def hot_key_hashes(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
@@ -40,18 +41,23 @@ def lookup_join(
     on: Sequence[str],
     *,
     row_id: Sequence[str] | None = None,
+    sized_by: DataFrame | None = None,
+    keys_from: DataFrame | None = None,
+    how: str = "left",
     broadcast_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Left join to a lookup with one row per key.
+    """Join (left or inner) to a lookup with one row per key.
 
     A lookup of checked small size is broadcast. A larger one is joined by shuffle, where the rows of
     hot keys are spread over ``salts`` parts and only the lookup rows of those keys are repeated.
-    ``row_id`` names columns that tell rows apart, so that the salt is the same in every attempt.
+
+    ``sized_by`` has at least as many rows as the lookup and is cheaper to count, such as the scan it is
+    made from. ``row_id`` and ``keys_from`` are as for :func:`salted_join`.
     """
-    if fits_broadcast(lookup, broadcast_rows):
-        return rows.join(F.broadcast(lookup), list(on), "left")
-    return salted_join(rows, lookup, on, row_id=row_id, salts=salts)
+    if fits_broadcast(lookup if sized_by is None else sized_by, broadcast_rows):
+        return rows.join(F.broadcast(lookup), list(on), how)
+    return salted_join(rows, lookup, on, row_id=row_id, keys_from=keys_from, how=how, salts=salts)
 
 
 def salted_join(
@@ -60,13 +66,19 @@ def salted_join(
     on: Sequence[str],
     *,
     row_id: Sequence[str] | None = None,
+    keys_from: DataFrame | None = None,
+    how: str = "left",
     salts: int = SALTS,
 ) -> DataFrame:
-    """Left join by shuffle; rows of hot keys are spread, their lookup rows repeated."""
+    """Join by shuffle; rows of hot keys are spread, their lookup rows repeated.
+
+    ``row_id`` names columns that tell rows apart, so that a row gets the same salt in every attempt.
+    ``keys_from`` holds the same keys as ``rows`` but is cheaper to read, such as the scan below it.
+    """
     on = list(on)
-    hot = hot_key_hashes(rows, on)
+    hot = hot_key_hashes(rows if keys_from is None else keys_from, on)
     if not hot:
-        return rows.join(lookup, on, "left")
+        return rows.join(lookup, on, how)
     key_is_hot = F.xxhash64(*on).isin(hot)
     spread = F.pmod(F.xxhash64(*(row_id or rows.columns)), F.lit(salts)).cast("int")
     every = F.array(*[F.lit(i) for i in range(salts)])
@@ -74,19 +86,33 @@ def salted_join(
     right = lookup.withColumn(
         "_salt", F.explode(F.when(key_is_hot, every).otherwise(F.array(F.lit(0))))
     )
-    return left.join(right, [*on, "_salt"], "left").drop("_salt")
+    return left.join(right, [*on, "_salt"], how).drop("_salt")
+
+
+def range_width(first: int | None, last: int | None, rows: int, per_range: int = RANGE_ROWS) -> int:
+    """Width that cuts ``first`` to ``last`` into one range per ``per_range`` rows."""
+    if not rows or first is None or last is None:
+        return 1
+    return max(1, -(-(last - first + 1) // -(-rows // per_range)))
+
+
+def order_width(df: DataFrame, order: str) -> int:
+    """Width of the ranges of an integer column, from its bounds and the number of rows."""
+    found = df.agg(F.min(order), F.max(order), F.count(order)).first()
+    return range_width(*found)
 
 
 def bucketed_sum_before(
-    df: DataFrame, group: Sequence[str], order: str, flag: Column, name: str, width: int = 1_000_000
+    df: DataFrame, group: Sequence[str], order: str, flag: Column, name: str, width: int | None = None
 ) -> DataFrame:
-    """Add how many flagged rows of the group come before each row, by an integer ``order``.
+    """Add how many flagged rows of the group come before each row, by a non-null integer ``order``.
 
-    A plain window would sort a hot group in one task. Here the group is cut into ranges of ``order``
-    of the given width; windows run within a range, and the totals of earlier ranges are added.
-    With a unique order, a range holds at most ``width`` rows.
+    A plain window would sort a hot group in one task. Here each group is cut into ranges of ``order``;
+    windows run within a range, and the totals of earlier ranges are added. There is one range per
+    million rows, so both the windows and the list of ranges stay small; one shuffle moves the rows.
     """
     group = list(group)
+    width = width or order_width(df, order)
     cut = df.withColumn("_range", F.expr(f"`{order}` div {width}")).withColumn("_flag", flag.cast("long"))
     within = Window.partitionBy(*group, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     ranges = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -104,7 +130,7 @@ def bucketed_sum_before(
 
 
 def bucketed_ordinal(
-    df: DataFrame, group: Sequence[str], order: str, name: str, width: int = 1_000_000
+    df: DataFrame, group: Sequence[str], order: str, name: str, width: int | None = None
 ) -> DataFrame:
     """Number the rows of each group from 0 by a unique integer ``order``."""
     return bucketed_sum_before(df, group, order, F.lit(1), name, width)

@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 from visitmill import schema as S
 
 TENANT_PATTERN = "^[a-z][a-z0-9_]{0,62}$"
-# Whitespace and line ends as Python's str.strip() and str.splitlines() see them.
-_SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
+# Characters that count as whitespace, and as line ends.
+_SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 _LINE_END = r"\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029"
 
 
 def strip(col: Column) -> Column:
     """Cut all whitespace at both ends, not only blanks."""
-    return F.regexp_replace(col, rf"^{_SPACE}+|{_SPACE}+\z", "")
+    return F.btrim(col, F.lit(_SPACES))
 
 
 def blank_to_null(col: Column) -> Column:
@@ -27,7 +30,8 @@ def blank_to_null(col: Column) -> Column:
 
 
 def is_blank(col: Column) -> Column:
-    return blank_to_null(col).isNull()
+    """Whether the text is null or has no visible character; stops at the first one."""
+    return ~F.coalesce(col.rlike(f"[^{_SPACES}]"), F.lit(False))
 
 
 def na_to_null(col: Column) -> Column:

@@ -48,20 +48,26 @@ def attach_groups(
     order: str,
     columns: Sequence[str] = ("cohort", "strata"),
     row_id: Sequence[str] | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of the subject-group extract; its columns get the prefix ``group_``."""
     unique = one_per_subject(groups, order, columns)
     named = unique.select(*SUBJECT, *[F.col(c).alias(f"group_{c}") for c in columns])
-    return skew.lookup_join(visits, named, SUBJECT, row_id=row_id)
+    return skew.lookup_join(visits, named, SUBJECT, row_id=row_id, sized_by=groups, keys_from=keys_from)
 
 
 def attach_manual(
-    visits: DataFrame, template: DataFrame, *, order: str, row_id: Sequence[str] | None = None
+    visits: DataFrame,
+    template: DataFrame,
+    *,
+    order: str,
+    row_id: Sequence[str] | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of the manual template (``studyId, subjectId, subject_group``) as ``manual_arm``."""
     unique = one_per_subject(template, order, ["subject_group"])
     named = unique.withColumnRenamed("subject_group", "manual_arm")
-    return skew.lookup_join(visits, named, SUBJECT, row_id=row_id)
+    return skew.lookup_join(visits, named, SUBJECT, row_id=row_id, sized_by=template, keys_from=keys_from)
 
 
 def resolve_arm(
@@ -114,10 +120,14 @@ def known_arms(rows: DataFrame, registry: DataFrame, *, order: str) -> DataFrame
 
 
 def check_registry(
-    rows: DataFrame, arms: DataFrame, *, row_id: Sequence[str] | None = None
+    rows: DataFrame,
+    arms: DataFrame,
+    *,
+    row_id: Sequence[str] | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``registered_arm`` and ``arm_changed``. Hot subjects are spread over many tasks."""
-    joined = skew.salted_join(rows, arms.drop("is_new"), REGISTRY_KEY, row_id=row_id)
+    joined = skew.salted_join(rows, arms.drop("is_new"), REGISTRY_KEY, row_id=row_id, keys_from=keys_from)
     changed = F.col("arm") != F.col("registered_arm")
     return joined.withColumn("arm_changed", F.coalesce(changed, F.lit(False)))
 
@@ -145,9 +155,8 @@ def join_schedule(
 ) -> DataFrame:
     """Add ``optionalVisitFlag`` and ``in_schedule``; of repeated schedule rows the lowest flag counts."""
     unique = schedule.groupBy(*key).agg(F.min("optionalVisitFlag").alias("optionalVisitFlag"))
-    joined = skew.lookup_join(
-        visits, unique.withColumn("in_schedule", F.lit(True)), list(key), row_id=row_id
-    )
+    named = unique.withColumn("in_schedule", F.lit(True))
+    joined = skew.lookup_join(visits, named, list(key), row_id=row_id, sized_by=schedule)
     return joined.withColumn("in_schedule", F.coalesce("in_schedule", F.lit(False)))
 
 

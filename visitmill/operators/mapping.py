@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitmill import schema as S
-from visitmill.functions import text
+from visitmill.functions import skew, text
 from visitmill.sources import pages as P
 
 # Order in which a target's source columns are tried.
@@ -114,21 +114,26 @@ def fill_targets(df: DataFrame, *, keep: Sequence[str] = ()) -> DataFrame:
     return df.select(*keep, *columns)
 
 
-def normalize_records(records: DataFrame, pull: Sequence[str], *, keep: Sequence[str] = ()) -> DataFrame:
-    """Map JSON records to the 23 targets.
+def present_targets(records: DataFrame, pull: Sequence[str]) -> DataFrame:
+    """Per pull, the targets that any of its records has, as ``present``; flags are combined per task."""
+    flags = [F.bool_or(P.has_column(F.col("record"), t)).alias(f"_has_{t}") for t in S.TARGETS]
+    named = [F.when(F.col(f"_has_{t}"), F.lit(t)) for t in S.TARGETS]
+    found = records.groupBy(*pull).agg(*flags)
+    return found.select(*pull, F.array_compact(F.array(*named)).alias("present"))
+
+
+def normalize_records(records: DataFrame, *, keep: Sequence[str] = ()) -> DataFrame:
+    """Map JSON records (``record``, and ``present`` of their pull) to the 23 targets.
 
     A target that no record of the pull has is ``""``; one that only some records lack is null there.
-    The 23 presence flags per pull come from one aggregate with map-side combine, and are joined on by
-    broadcast where Spark finds them small.
     """
-    present = records.groupBy(*pull).agg(
-        *[F.bool_or(P.has_column(F.col("record"), t)).alias(f"_has_{t}") for t in S.TARGETS]
-    )
     columns = [
-        F.when(F.col(f"_has_{t}"), P.record_value(F.col("record"), t)).otherwise(F.lit("")).alias(t)
+        F.when(F.array_contains("present", t), P.record_value(F.col("record"), t))
+        .otherwise(F.lit(""))
+        .alias(t)
         for t in S.TARGETS
     ]
-    return records.join(present, list(pull), "left").select(*pull, *keep, *columns)
+    return records.select(*keep, *columns)
 
 
 def resolve_headers(headers: DataFrame, rules: DataFrame) -> DataFrame:
@@ -147,7 +152,7 @@ def resolve_headers(headers: DataFrame, rules: DataFrame) -> DataFrame:
     step = (
         F.when(F.col("target").isNotNull(), RULE).when(aliased.isNotNull(), ALIAS).otherwise(DIRECT)
     )
-    joined = headers.withColumn("source", upper).join(rules, ["category", "source"], "left")
+    joined = skew.lookup_join(headers.withColumn("source", upper), rules, ["category", "source"])
     return joined.select(
         *headers.columns,
         F.when(final.isin(S.TARGETS), final).alias("target"),

@@ -39,7 +39,7 @@ def _meeting_bases(bases: DataFrame, scope: list[str]) -> DataFrame:
     return child.join(parents.select(*scope, F.col("base").alias("parent")), [*scope, "parent"])
 
 
-def _settle(pairs: DataFrame, scope: list[str], width: int) -> DataFrame:
+def _settle(pairs: DataFrame, scope: list[str]) -> DataFrame:
     """Numbers of each base that other bases hold, as rows ``(base, number)``.
 
     With ``lost`` smaller names taken by others, the occurrence of the parent to reach number ``n`` is
@@ -49,7 +49,7 @@ def _settle(pairs: DataFrame, scope: list[str], width: int) -> DataFrame:
     """
     state = pairs.select(*scope, "parent", "child", "number", "earlier")
     state = cut_lineage(state.withColumn("holds", F.lit(True)))
-    key = [*scope, "parent"]
+    key, width = [*scope, "parent"], skew.order_width(state, "number")
     while True:
         lost_own = state.where(~F.col("holds")).select(
             *scope, F.col("child").alias("parent"), F.lit(1).alias("own")
@@ -83,22 +83,22 @@ def _taken_numbers(
     is_row = F.col("child").isNull()
     counted = skew.bucketed_sum_before(marked, key, "at", is_row, "earlier", width)
     earlier = counted.where(F.col("child").isNotNull()).select(*scope, "child", "earlier")
-    return _settle(pairs.join(earlier, [*scope, "child"]), scope, width)
+    return _settle(pairs.join(earlier, [*scope, "child"]), scope)
 
 
-def _skip_taken(numbered: DataFrame, taken: DataFrame, scope: list[str], width: int) -> DataFrame:
+def _skip_taken(numbered: DataFrame, taken: DataFrame, scope: list[str]) -> DataFrame:
     """Add ``number``: the ordinal plus the taken numbers that come before the free one it reaches.
 
     The i-th taken number ``t`` is skipped from ordinal ``t - i`` on, so that counting such marks
     among the ordinals gives the skips of every row.
     """
     key = [*scope, "base"]
-    marks = skew.bucketed_ordinal(taken, key, "number", "i", width).select(
+    marks = skew.bucketed_ordinal(taken, key, "number", "i").select(
         *key, (2 * (F.col("number") - F.col("i"))).alias("place"), F.lit(True).alias("mark")
     )
     rows = numbered.withColumn("place", 2 * F.col("ordinal") + 1).withColumn("mark", F.lit(False))
     both = rows.unionByName(marks, allowMissingColumns=True)
-    counted = skew.bucketed_sum_before(both, key, "place", F.col("mark"), "skips", width)
+    counted = skew.bucketed_sum_before(both, key, "place", F.col("mark"), "skips", skew.RANGE_ROWS)
     return (
         counted.where(~F.col("mark"))
         .withColumn("number", F.col("ordinal") + F.col("skips"))
@@ -131,15 +131,21 @@ def unique_stems(
     order: str,
     *,
     scope: Sequence[str] = (),
-    width: int = 1_000_000,
+    width: int | None = None,
     name: str = "stem",
 ) -> DataFrame:
-    """Add a stem for each row, unique within ``scope``, in the order of a unique integer column."""
+    """Add a stem for each row, unique within ``scope``, in the order of a unique integer column.
+
+    ``width`` is the width of the ranges in which a base is numbered; by default it follows the data.
+    """
     scope = list(scope)
     key = [*scope, "base"]
     items = df.withColumn("base", text.safe_stem(label))
-    numbered = skew.bucketed_ordinal(items, key, order, "ordinal", width)
-    bases = items.groupBy(*key).agg(F.min(order).alias("first"), F.count("*").alias("n"))
+    totals = items.groupBy(*key).agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("n"))
+    bases = cut_lineage(totals)
+    bounds = bases.agg(F.min("first"), F.max("last"), F.sum("n")).first()
+    at = width or skew.range_width(*bounds)
+    numbered = skew.bucketed_ordinal(items, key, order, "ordinal", at)
     is_cut = F.length("base") + F.length(F.col("n").cast("string")) + 2 > S.STEM_LIMIT
     family = F.substring("base", 1, FAMILY_CHARS)
     families = bases.where((F.col("n") > 1) & is_cut).select(*scope, family.alias("family")).distinct()
@@ -154,7 +160,7 @@ def unique_stems(
     if pairs.isEmpty():
         plain = plain.withColumn("number", F.col("ordinal"))
     else:
-        plain = _skip_taken(plain, _taken_numbers(items, pairs, scope, order, width), scope, width)
+        plain = _skip_taken(plain, _taken_numbers(items, pairs, scope, order, at), scope)
     named = plain.withColumn("stem", text.numbered_stem(F.col("base"), F.col("number")))
     if rest is not None:
         named = named.unionByName(rest)

@@ -72,7 +72,7 @@ class Run:
         return sum(self.objects.values())
 
     def keys(self) -> list[str]:
-        place = f"normalized/study_id={self.study_id}/run_id={self.run_id}"
+        place = f"normalized/{tables.run_folder(self.study_id, self.run_id)}"
         return [f"{place}/source_stem={stem}" for stem in self.objects]
 
 
@@ -107,24 +107,33 @@ def start_runs(
 
 
 def _pull(pages: DataFrame | None, runs: list[Run], settings: Settings) -> DataFrame | None:
-    """Parsed pages of the studies that ask the API; marks the runs whose pull failed."""
+    """Parsed pages of the studies that ask the API; marks the runs whose pull failed.
+
+    Bodies are parsed once for the page index, which is written, and once more for the rows.
+    """
     asking = [r for r in runs if r.mode != "SFTP_ONLY"]
     if not asking:
         return None
-    extents: dict[str, Any] = {}
-    parsed = extent = None
+    failed: dict[str, bool] = {}
+    filled: set[str] = set()
+    parsed = known = None
+    pull = ["study_id"]
     if pages is not None:
         parsed = P.parse_pages(pages.where(F.col("study_id").isin([r.study_id for r in asking])))
-        extent = cut_lineage(P.pull_extent(parsed, ["study_id"], page_size=settings.page_size))
-        extents = {r.study_id: r for r in extent.collect()}
+        index = cut_lineage(
+            P.index_pages(parsed, pull, page_size=settings.page_size, columns=S.TARGETS)
+        )
+        extent = cut_lineage(P.pull_extent(index, pull))
+        known = cut_lineage(P.pull_columns(index, extent, pull))
+        failed = {r.study_id: r.failed for r in extent.collect()}
+        filled = {r.study_id for r in known.where("row_count > 0").select("study_id").collect()}
     for run in asking:
-        found = extents.get(run.study_id)
-        run.api_failed = found is None or found.failed
-        run.api_rows = not run.api_failed and found.has_rows
-    failed = [r.study_id for r in asking if r.api_failed and r.mode == "API_ONLY"]
-    if failed:
-        raise PullError(f"No usable API pages for: {', '.join(failed)}")
-    return None if parsed is None else P.pages_in_pull(parsed, extent, ["study_id"])
+        run.api_failed = failed.get(run.study_id, True)
+        run.api_rows = run.study_id in filled
+    lost = [r.study_id for r in asking if r.api_failed and r.mode == "API_ONLY"]
+    if lost:
+        raise PullError(f"No usable API pages for: {', '.join(lost)}")
+    return None if parsed is None else P.pages_in_pull(parsed, known, pull)
 
 
 def _index(spark: SparkSession, runs: list[Run], settings: Settings) -> DataFrame:
@@ -195,7 +204,7 @@ def normalized_rows(
     if pulled is not None:
         by_study = places.where(F.col("source_path").isNull()).drop("source_path")
         records = P.explode_rows(pulled)
-        flat = mapping.normalize_records(records, ["study_id"], keep=["page", "position"])
+        flat = mapping.normalize_records(records, keep=["study_id", "page", "position"])
         frames.append(
             flat.join(by_study, "study_id")
             .withColumn("_source_block", F.col("page").cast("long"))
@@ -208,7 +217,7 @@ def normalized_rows(
 def _count_objects(spark: SparkSession, runs: list[Run], settings: Settings) -> None:
     """Rows per written object, from the Parquet footers."""
     ids = {r.run_id: r for r in runs}
-    rows = tables.read_runs(spark, settings.output).where(F.col("run_id").isin(list(ids)))
+    rows = tables.read_some_runs(spark, settings.output, [(r.study_id, r.run_id) for r in runs])
     totals = rows.groupBy("run_id", "source_stem").agg(F.count("*").alias("n"))
     for total in totals.orderBy("run_id", "source_stem").collect():
         ids[total.run_id].objects[total.source_stem] = total.n

@@ -40,7 +40,7 @@ def preview_run(
     """Preview of all objects of a run, by name. At most ``limit`` rows per object reach the driver."""
     study, run = text.check_study_id(study_id), text.check_run_id(run_id)
     limit = text.check_limit(limit)
-    prefix = f"normalized/study_id={study}/run_id={run}/"
+    prefix = f"normalized/{tables.run_folder(study, run)}/"
     try:
         rows = tables.read_run(spark, output, study, run)
     except AnalysisException as error:

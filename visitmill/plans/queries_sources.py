@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitmill import schema as S
-from visitmill.functions import text
+from visitmill.functions import skew, text
 from visitmill.operators import mapping, summary
 from visitmill.plans import preview
 from visitmill.plans.queries_mapping import _CATEGORY, _LABEL, document_labels
@@ -115,8 +115,9 @@ def event_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""
-    SELECT event_id, unnest([0, 1]) AS position, cast(json_extract(props, '$.k') AS bigint) AS k
-    FROM events WHERE event_id % {len(_ENVELOPES)} < {_FULL}
+    SELECT event_id, unnest(CASE WHEN event_id % {len(_ENVELOPES)} < {_FULL} THEN [0, 1] ELSE [] END) AS position,
+           cast(json_extract(props, '$.k') AS bigint) AS k
+    FROM events
 """)
 def json_envelope(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of a page, wherever its list is."""
@@ -126,10 +127,9 @@ def json_envelope(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""
-    SELECT event_id % {len(_ENVELOPES)} AS envelope, 2 * count(*) AS rows, count(*) AS pages FROM events
-    WHERE event_id % {len(_ENVELOPES)} < {_FULL} GROUP BY 1
-    UNION ALL SELECT event_id % {len(_ENVELOPES)}, 0, count(*) FROM events
-    WHERE event_id % {len(_ENVELOPES)} >= {_FULL} GROUP BY 1
+    SELECT event_id % {len(_ENVELOPES)} AS envelope, count(*) AS pages,
+           CASE WHEN event_id % {len(_ENVELOPES)} < {_FULL} THEN 2 * count(*) ELSE 0 END AS rows
+    FROM events GROUP BY 1
 """)
 def envelope_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Rows and pages per kind of envelope, also for those without rows."""
@@ -168,7 +168,7 @@ _MORE = """CASE length(text) % 5 WHEN 0 THEN false WHEN 1 THEN true WHEN 2 THEN
 def page_cutoff(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of the pages that belong to each pull."""
     parsed = pages.parse_pages(conversation_pages(spark, folder))
-    extent = pages.pull_extent(parsed, ["conv_id"], page_size=1)
+    extent = pages.pull_extent(pages.index_pages(parsed, ["conv_id"], page_size=1), ["conv_id"])
     rows = pages.explode_rows(pages.pages_in_pull(parsed, extent, ["conv_id"]))
     values = [pages.record_value(F.col("record"), c).alias(c) for c in ("role", "text")]
     return rows.select("conv_id", "page", *values)
@@ -199,8 +199,11 @@ def event_records(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def api_records(spark: SparkSession, folder: str) -> DataFrame:
     """API rows: "" for a column no record of the pull has, null where only this record lacks it."""
-    rows = mapping.normalize_records(event_records(spark, folder), ["event_type"])
-    return rows.select("event_type", "subjectId", "studySiteNumber", "cohort", "strata", "studyId")
+    records = event_records(spark, folder)
+    present = mapping.present_targets(records, ["event_type"])
+    rows = skew.lookup_join(records, present, ["event_type"], keys_from=table(spark, folder, "events"))
+    flat = mapping.normalize_records(rows, keep=["event_type"])
+    return flat.select("event_type", "subjectId", "studySiteNumber", "cohort", "strata", "studyId")
 
 
 @query("""

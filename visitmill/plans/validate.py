@@ -38,9 +38,9 @@ def validate(
     """Add ``status``, ``reasons``, ``blocking``, ``arm`` and ``registered_arm`` to each visit."""
     rows = attach_config(visits, configs, row_id=row_id)
     if groups is not None:
-        rows = arms.attach_groups(rows, groups, order=group_order, row_id=row_id)
+        rows = arms.attach_groups(rows, groups, order=group_order, row_id=row_id, keys_from=visits)
     if manual is not None:
-        rows = arms.attach_manual(rows, manual, order=group_order, row_id=row_id)
+        rows = arms.attach_manual(rows, manual, order=group_order, row_id=row_id, keys_from=visits)
     rows = eligibility.evaluate(rows, rules)
     if "hasVisitContactMode" in rows.columns:
         contact = arms.contact_reason(F.col("hasVisitContactMode"), F.col("visitContactMode"))
@@ -53,7 +53,8 @@ def validate(
     # Only rows that get this far can give a subject its arm.
     ready = rows.where(~F.col("_skipped") & (F.size("reasons") == 0))
     known = arms.known_arms(ready, registry, order=order)
-    rows = arms.check_registry(rows, known, row_id=row_id)
+    keys = visits.select("studyId", F.col("studySiteNumber").alias("siteId"), "subjectId")
+    rows = arms.check_registry(rows, known, row_id=row_id, keys_from=keys)
     status = eligibility.row_status(
         F.col("_skipped"), F.size("reasons") > 0, text.is_blank(F.col("arm")), F.col("arm_changed")
     )

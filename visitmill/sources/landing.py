@@ -45,29 +45,27 @@ PROBE = T.StructType(
 )
 
 
-def study_folder(landing: str, study_id: str) -> str:
-    return f"{landing.rstrip('/')}/{study_id}"
+def _literal(path: str) -> str:
+    """The path with the characters of glob patterns taken as they are."""
+    return re.sub(r"([\\{}\[\]*?,])", r"\\\1", path)
 
 
-def _folder_files(spark: SparkSession, folder: str) -> DataFrame | None:
-    """``*.csv`` directly in the folder; None if the folder is missing."""
+def _files(spark: SparkSession, landing: str, study_ids: Sequence[str]) -> DataFrame | None:
+    """``*.csv`` directly in the studies' folders, by one scan; None if there is none."""
+    if not study_ids:
+        return None
+    folders = ",".join(_literal(s) for s in study_ids)
     reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
     try:
-        return reader.load(folder)
+        files = reader.load(f"{landing.rstrip('/')}/{{{folders}}}/*.csv")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-
-
-def _files(spark: SparkSession, landing: str, study_ids: Sequence[str]) -> DataFrame | None:
-    found = [(s, _folder_files(spark, study_folder(landing, s))) for s in study_ids]
-    frames = [
-        f.select("*", F.col("_metadata.file_path").alias("source_path"), F.lit(s).alias("study_id"))
-        for s, f in found
-        if f is not None
-    ]
-    return reduce(DataFrame.unionByName, frames) if frames else None
+    study = F.element_at(F.split("path", "/"), -2)
+    named = files.select("*", F.col("_metadata.file_path").alias("source_path"), study.alias("study_id"))
+    # A folder called x.csv is no file; what is in it does not belong to the study.
+    return named.where(F.col("study_id").isin(list(study_ids)))
 
 
 def _listing_columns() -> list[Column]:
@@ -229,11 +227,6 @@ def file_groups(index: DataFrame) -> list[FileGroup]:
     return [FileGroup(r.category, r.delimiter, r.header, r.multi_line, tuple(r.paths)) for r in rows]
 
 
-def _literal(path: str) -> str:
-    """The path with glob characters taken as they are."""
-    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
-
-
 def read_group(spark: SparkSession, group: FileGroup) -> DataFrame:
     """Rows of a group: cells as text columns ``c0``, ``c1``, …, and where each row came from.
 

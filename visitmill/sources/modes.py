@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitmill import schema as S
+from visitmill.functions import skew
 
 
 def takes_api(mode: Column, api_ok: Column) -> Column:
@@ -24,12 +25,12 @@ def takes_file(mode: Column, api_ok: Column, category: Column) -> Column:
 def compose(api: DataFrame, files: DataFrame, status: DataFrame, study: str) -> DataFrame:
     """Stack API and file rows per study.
 
-    ``status`` has one row per study: ``mode``, ``api_ok``. ``files`` has ``category``. Spark broadcasts
-    ``status`` while it is small, and splits a hot study's rows when it is not.
+    ``status`` has one row per study: ``mode``, ``api_ok``. ``files`` has ``category``.
     """
-    chosen_api = api.join(status, study).where(takes_api(F.col("mode"), F.col("api_ok")))
-    chosen_files = files.join(status, study).where(
-        takes_file(F.col("mode"), F.col("api_ok"), F.col("category"))
+    mode, api_ok = F.col("mode"), F.col("api_ok")
+    chosen_api = skew.lookup_join(api, status, [study], how="inner").where(takes_api(mode, api_ok))
+    chosen_files = skew.lookup_join(files, status, [study], how="inner").where(
+        takes_file(mode, api_ok, F.col("category"))
     )
     origin = "dataSource"
     return chosen_api.withColumn(origin, F.lit("API")).unionByName(

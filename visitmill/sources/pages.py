@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from visitmill import schema as S
+from visitmill.functions import skew
 
 # Places of the row array in a page, in the order they are tried.
 ROW_PATHS = [
@@ -41,7 +42,8 @@ def has_more(payload: Column, page: Column, row_count: Column, page_size: Column
     """Whether another page follows."""
     last = F.when(_kind(payload, "$.last") == "BOOLEAN", F.try_variant_get(payload, "$.last", "boolean"))
     total = F.coalesce(_whole_number(payload, "$.totalPages"), _whole_number(payload, "$.page.totalPages"))
-    is_list = _kind(payload, "$").startswith("ARRAY")
+    # Only a list has a first element; an empty list has no rows and ends the pull anyway.
+    is_list = F.try_variant_get(payload, "$[0]", "variant").isNotNull()
     return (
         F.when(is_list, False)
         .when((row_count == 0) | (row_count < page_size), False)
@@ -57,45 +59,61 @@ def parse_pages(pages: DataFrame, *, body: str = "body") -> DataFrame:
     return parsed.withColumn("rows", page_rows(F.col("payload"))).drop(body)
 
 
-def pull_extent(
-    parsed: DataFrame, pull: Sequence[str], *, page: str = "page", page_size: int = S.PAGE_SIZE
+def index_pages(
+    parsed: DataFrame,
+    pull: Sequence[str],
+    *,
+    page: str = "page",
+    page_size: int = S.PAGE_SIZE,
+    columns: Sequence[str] = (),
 ) -> DataFrame:
-    """Per pull: its last page, whether it failed and whether it has rows; one aggregate.
+    """One small row per page: number, whether it is unusable or the last, its rows and their columns.
 
-    A pull fails if a page up to its end cannot be parsed.
+    Bodies are read once for it; what is asked about pulls afterwards needs no bodies.
     """
     more = has_more(F.col("payload"), F.col(page), F.size("rows"), F.lit(page_size))
-    flagged = parsed.where(F.col(page) <= S.MAX_PAGES).select(
+    present = [F.when(_any_has("rows", c), F.lit(c)) for c in columns]
+    found = F.array_compact(F.array(*present)) if present else F.array().cast("array<string>")
+    return parsed.where(F.col(page) <= S.MAX_PAGES).select(
         *pull,
-        F.col(page).alias("_page"),
-        F.col("payload").isNull().alias("_bad"),
-        (F.col("payload").isNotNull() & ~more).alias("_end"),
-        (F.size("rows") > 0).alias("_filled"),
-    )
-    ends = flagged.groupBy(*pull).agg(
-        F.min(F.when(F.col("_end"), F.col("_page"))).alias("_end_page"),
-        F.min(F.when(F.col("_bad"), F.col("_page"))).alias("_bad_page"),
-        F.min(F.when(F.col("_filled"), F.col("_page"))).alias("_row_page"),
-        F.max("_page").alias("_top_page"),
+        F.col(page).alias("page"),
+        F.col("payload").isNull().alias("bad"),
+        (F.col("payload").isNotNull() & ~more).alias("ends"),
+        F.size("rows").alias("row_count"),
+        found.alias("columns"),
     )
-    failed = F.col("_bad_page") <= F.coalesce("_end_page", "_top_page")
-    return ends.select(
-        *pull,
-        F.coalesce("_end_page", "_top_page").alias("last_page"),
-        F.coalesce(failed, F.lit(False)).alias("failed"),
-        F.coalesce(F.col("_row_page") <= F.coalesce("_end_page", "_top_page"), F.lit(False)).alias("has_rows"),
+
+
+def pull_extent(index: DataFrame, pull: Sequence[str]) -> DataFrame:
+    """Per pull: its last page, whether it failed, and its number of rows; one aggregate.
+
+    A pull fails if a page up to its end cannot be parsed.
+    """
+    ends = index.groupBy(*pull).agg(
+        F.min(F.when(F.col("ends"), F.col("page"))).alias("_end"),
+        F.min(F.when(F.col("bad"), F.col("page"))).alias("_bad"),
+        F.max("page").alias("_top"),
     )
+    last = F.coalesce("_end", "_top")
+    return ends.select(*pull, last.alias("last_page"), F.coalesce(F.col("_bad") <= last, F.lit(False)).alias("failed"))
+
+
+def pull_columns(index: DataFrame, extent: DataFrame, pull: Sequence[str]) -> DataFrame:
+    """Per pull that did not fail: its extent, its rows, and the columns any of its records has."""
+    used = index.join(extent.where(~F.col("failed")), list(pull)).where(F.col("page") <= F.col("last_page"))
+    columns = F.array_distinct(F.flatten(F.collect_set("columns")))
+    return used.groupBy(*pull, "last_page").agg(F.sum("row_count").alias("row_count"), columns.alias("present"))
 
 
 def pages_in_pull(parsed: DataFrame, extent: DataFrame, pull: Sequence[str], *, page: str = "page") -> DataFrame:
-    """Pages up to the end of each pull that did not fail.
+    """Pages up to the end of each pull that did not fail, with what ``extent`` knows about the pull.
 
-    A pull has at most 2000 pages, so no key of this join is hot; Spark broadcasts the extents at run
-    time where they are small.
+    A small ``extent`` is broadcast. A pull has at most 2000 pages, so none is hot beyond that.
     """
-    ended = extent.where(~F.col("failed")).drop("failed", "has_rows")
-    kept = parsed.where(F.col(page) <= S.MAX_PAGES).join(ended, list(pull))
-    return kept.where(F.col(page) <= F.col("last_page")).drop("last_page")
+    ended = extent.where(~F.col("failed")).drop("failed") if "failed" in extent.columns else extent
+    wanted = parsed.where(F.col(page) <= S.MAX_PAGES)
+    joined = skew.lookup_join(wanted, ended, pull, how="inner", row_id=[*pull, page], keys_from=wanted.select(*pull))
+    return joined.where(F.col(page) <= F.col("last_page")).drop("last_page")
 
 
 def explode_rows(pages: DataFrame, *, page: str = "page") -> DataFrame:
@@ -117,6 +135,10 @@ def has_column(record: Column, name: str) -> Column:
     return F.coalesce(~kind.startswith("OBJECT"), F.lit(False))
 
 
+def _any_has(rows: str, name: str) -> Column:
+    return F.exists(rows, lambda record: has_column(record, name))
+
+
 def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
     """Nested struct columns as dotted top-level columns; arrays stay whole."""
 

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from visitmill import schema as S
-from visitmill.functions import text
+from visitmill.functions import skew, text
+
+# Characters that Spark writes as %XX in partition folders.
+_ESCAPED = "\"#%'*/:=?\\{[]^\x7f"
 
 PLACE = ["study_id", "run_id", "source_stem"]
 ORDER = ["_source_block", "_source_row"]
@@ -38,7 +41,7 @@ def study_row(configs: DataFrame, study_id: str) -> DataFrame:
 def config_for(studies: DataFrame, configs: DataFrame, tenant: str, *, study: str = "studyId") -> DataFrame:
     """Many studies at once: left join of their config, with the tenant where it names no sponsor."""
     named = configs.select(F.col("studyId").alias(study), "sponsorId")
-    joined = studies.join(named, study, "left")
+    joined = skew.lookup_join(studies, named, [study])
     return joined.withColumn("sponsorId", text.sponsor(F.col("sponsorId"), F.lit(tenant)))
 
 
@@ -46,11 +49,22 @@ def normalized_root(output: str) -> str:
     return f"{output.rstrip('/')}/normalized"
 
 
+def run_folder(study_id: str, run_id: str) -> str:
+    """Folder of a run below the root; characters that Spark escapes in folder names are escaped."""
+    study = "".join(f"%{ord(c):02X}" if c in _ESCAPED or ord(c) < 32 else c for c in study_id)
+    return f"study_id={study}/run_id={run_id}"
+
+
 def read_run(spark: SparkSession, output: str, study_id: str, run_id: str) -> DataFrame:
     """Rows of one run; only the run's own folder is listed."""
+    return read_some_runs(spark, output, [(study_id, run_id)])
+
+
+def read_some_runs(spark: SparkSession, output: str, runs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Rows of the given runs, as far as they have any; no other run's folder is listed."""
     root = normalized_root(output)
-    folder = f"{root}/study_id={study_id}/run_id={run_id}"
-    return spark.read.schema(WRITTEN).option("basePath", root).parquet(folder)
+    folders = ",".join(run_folder(*run).replace(",", "\\,").replace("}", "\\}") for run in runs)
+    return spark.read.schema(WRITTEN).option("basePath", root).parquet(f"{root}/{{{folders}}}")
 
 
 def read_runs(spark: SparkSession, output: str) -> DataFrame:
@@ -60,7 +74,7 @@ def read_runs(spark: SparkSession, output: str) -> DataFrame:
 
 def list_objects(spark: SparkSession, output: str, study_id: str, run_id: str) -> DataFrame:
     """Parquet files of a run by path; reads no rows."""
-    root = f"{normalized_root(output)}/study_id={study_id}/run_id={run_id}"
+    root = f"{normalized_root(output)}/{run_folder(study_id, run_id)}"
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     named = files.select("path", "length", "modificationTime")
     return named.where(F.lower("path").endswith(".parquet")).orderBy("path")
