@@ -50,10 +50,8 @@ def category(label: Column) -> Column:
 
 
 def base_name(path: Column) -> Column:
-    """Last path segment; slashes at the end do not count, and a single dot segment is no name."""
-    trimmed = F.regexp_replace(strip(path), r"(?:/\.?)+\z", "")
-    name = F.substring_index(trimmed, "/", -1)
-    return F.when(name == ".", "").otherwise(name)
+    """Last path segment; slashes and single dots at the end do not count."""
+    return F.substring_index(F.regexp_replace(strip(path), r"(?:/\.?)+\z", ""), "/", -1)
 
 
 def safe_stem(label: Column) -> Column:

@@ -141,22 +141,23 @@ def resolve_headers(headers: DataFrame, rules: DataFrame) -> DataFrame:
 
     ``headers`` has ``category`` and ``name`` (and may have more, such as ``file``).
     """
-    upper = F.upper(text.strip(F.col("name")))
     direct = F.create_map(*[F.lit(x) for pair in S.SOURCE_TO_TARGET.items() for x in pair])
     alias = F.create_map(*[F.lit(x) for pair in S.GROUP_ALIASES.items() for x in pair])
-    ruled = F.coalesce(F.col("target"), F.col("source"))
+    named = headers.withColumn("source", F.upper(text.strip(F.col("name"))))
+    joined = skew.lookup_join(named, rules, ["category", "source"])
     in_group = F.col("category") == S.SUBJECT_GROUP
-    aliased = F.when(in_group, F.try_element_at(alias, F.upper(text.strip(ruled))))
-    named = F.coalesce(aliased, ruled)
-    final = F.coalesce(F.try_element_at(direct, named), named)
+    aliased = F.when(in_group, F.try_element_at(alias, F.upper(text.strip(F.col("_ruled")))))
+    mapped = F.coalesce("_aliased", "_ruled")
     step = (
-        F.when(F.col("target").isNotNull(), RULE).when(aliased.isNotNull(), ALIAS).otherwise(DIRECT)
+        F.when(F.col("target").isNotNull(), RULE)
+        .when(F.col("_aliased").isNotNull(), ALIAS)
+        .otherwise(DIRECT)
     )
-    joined = skew.lookup_join(headers.withColumn("source", upper), rules, ["category", "source"])
-    return joined.select(
-        *headers.columns,
-        F.when(final.isin(S.TARGETS), final).alias("target"),
-        F.when(final.isin(S.TARGETS), step).alias("step"),
+    steps = joined.withColumn("_ruled", F.coalesce("target", "source")).withColumn("_aliased", aliased)
+    final = steps.withColumn("_final", F.coalesce(F.try_element_at(direct, mapped), mapped))
+    known = F.col("_final").isin(S.TARGETS)
+    return final.select(
+        *headers.columns, F.when(known, F.col("_final")).alias("target"), F.when(known, step).alias("step")
     )
 
 

@@ -19,6 +19,8 @@ from visitmill.session import cut_lineage
 
 # Bases that share this many first characters are settled together if one is cut at the limit.
 FAMILY_CHARS = 100
+# Room for any number behind a base; a longer base may be cut.
+SUFFIX_CHARS = 20
 _NUMBERED = r"_([1-9][0-9]{0,17})\z"
 
 
@@ -143,21 +145,27 @@ def unique_stems(
     items = df.withColumn("base", text.safe_stem(label))
     totals = items.groupBy(*key).agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("n"))
     bases = cut_lineage(totals)
-    bounds = bases.agg(F.min("first"), F.max("last"), F.sum("n")).first()
-    at = width or skew.range_width(*bounds)
+    is_cut = (F.col("n") > 1) & (F.length("base") > S.STEM_LIMIT - SUFFIX_CHARS)
+    found = bases.agg(
+        F.min("first").alias("first"),
+        F.max("last").alias("last"),
+        F.sum("n").alias("n"),
+        F.bool_or(is_cut).alias("cut"),
+        F.bool_or(F.col("base").rlike(_NUMBERED)).alias("numbered"),
+    ).first()
+    at = width or skew.range_width(found.first, found.last, found.n)
     numbered = skew.bucketed_ordinal(items, key, order, "ordinal", at)
-    is_cut = F.length("base") + F.length(F.col("n").cast("string")) + 2 > S.STEM_LIMIT
     family = F.substring("base", 1, FAMILY_CHARS)
-    families = bases.where((F.col("n") > 1) & is_cut).select(*scope, family.alias("family")).distinct()
-    pairs = _meeting_bases(bases, scope)
     plain, rest = numbered, None
-    if not families.isEmpty():
+    if found.cut:
+        families = bases.where(is_cut).select(*scope, family.alias("family")).distinct()
         marked = numbered.withColumn("family", family)
         in_family = [*scope, "family"]
         plain = marked.join(families, in_family, "left_anti").drop("family")
         cut = marked.join(families, in_family, "left_semi").drop("family")
         rest = _settle_cut(cut, scope, order)
-    if pairs.isEmpty():
+    pairs = _meeting_bases(bases, scope)
+    if not found.numbered or pairs.isEmpty():
         plain = plain.withColumn("number", F.col("ordinal"))
     else:
         plain = _skip_taken(plain, _taken_numbers(items, pairs, scope, order, at), scope)

@@ -107,7 +107,7 @@ def start_runs(
 
 
 def _pull(pages: DataFrame | None, runs: list[Run], settings: Settings) -> DataFrame | None:
-    """Parsed pages of the studies that ask the API; marks the runs whose pull failed.
+    """Pages that belong to the pulls of the studies that ask the API; marks the runs whose pull failed.
 
     Bodies are parsed once for the page index, which is written, and once more for the rows.
     """
@@ -116,10 +116,11 @@ def _pull(pages: DataFrame | None, runs: list[Run], settings: Settings) -> DataF
         return None
     failed: dict[str, bool] = {}
     filled: set[str] = set()
-    parsed = known = None
+    wanted = known = None
     pull = ["study_id"]
     if pages is not None:
-        parsed = P.parse_pages(pages.where(F.col("study_id").isin([r.study_id for r in asking])))
+        wanted = pages.where(F.col("study_id").isin([r.study_id for r in asking]))
+        parsed = P.parse_pages(wanted)
         index = cut_lineage(
             P.index_pages(parsed, pull, page_size=settings.page_size, columns=S.TARGETS)
         )
@@ -133,7 +134,7 @@ def _pull(pages: DataFrame | None, runs: list[Run], settings: Settings) -> DataF
     lost = [r.study_id for r in asking if r.api_failed and r.mode == "API_ONLY"]
     if lost:
         raise PullError(f"No usable API pages for: {', '.join(lost)}")
-    return None if parsed is None else P.pages_in_pull(parsed, known, pull)
+    return None if wanted is None else P.pages_in_pull(wanted, known, pull)
 
 
 def _index(spark: SparkSession, runs: list[Run], settings: Settings) -> DataFrame:
@@ -203,7 +204,7 @@ def normalized_rows(
         )
     if pulled is not None:
         by_study = places.where(F.col("source_path").isNull()).drop("source_path")
-        records = P.explode_rows(pulled)
+        records = P.explode_rows(P.parse_pages(pulled))
         flat = mapping.normalize_records(records, keep=["study_id", "page", "position"])
         frames.append(
             flat.join(by_study, "study_id")

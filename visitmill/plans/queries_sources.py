@@ -11,6 +11,7 @@ from visitmill.operators import mapping, summary
 from visitmill.plans import preview
 from visitmill.plans.queries_mapping import _CATEGORY, _LABEL, document_labels
 from visitmill.plans.registry import query, table
+from visitmill.session import cut_lineage
 from visitmill.sources import landing, modes, pages, tables
 
 
@@ -167,9 +168,10 @@ _MORE = """CASE length(text) % 5 WHEN 0 THEN false WHEN 1 THEN true WHEN 2 THEN
 """)
 def page_cutoff(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of the pages that belong to each pull."""
-    parsed = pages.parse_pages(conversation_pages(spark, folder))
-    extent = pages.pull_extent(pages.index_pages(parsed, ["conv_id"], page_size=1), ["conv_id"])
-    rows = pages.explode_rows(pages.pages_in_pull(parsed, extent, ["conv_id"]))
+    bodies = conversation_pages(spark, folder)
+    index = pages.index_pages(pages.parse_pages(bodies), ["conv_id"], page_size=1)
+    extent = cut_lineage(pages.pull_extent(index, ["conv_id"]))
+    rows = pages.explode_rows(pages.parse_pages(pages.pages_in_pull(bodies, extent, ["conv_id"])))
     values = [pages.record_value(F.col("record"), c).alias(c) for c in ("role", "text")]
     return rows.select("conv_id", "page", *values)
 
@@ -200,7 +202,7 @@ def event_records(spark: SparkSession, folder: str) -> DataFrame:
 def api_records(spark: SparkSession, folder: str) -> DataFrame:
     """API rows: "" for a column no record of the pull has, null where only this record lacks it."""
     records = event_records(spark, folder)
-    present = mapping.present_targets(records, ["event_type"])
+    present = cut_lineage(mapping.present_targets(records, ["event_type"]))
     rows = skew.lookup_join(records, present, ["event_type"], keys_from=table(spark, folder, "events"))
     flat = mapping.normalize_records(rows, keep=["event_type"])
     return flat.select("event_type", "subjectId", "studySiteNumber", "cohort", "strata", "studyId")
@@ -245,6 +247,7 @@ def source_mode_union(spark: SparkSession, folder: str) -> DataFrame:
     )
     status = events.select("user_id").distinct()
     status = status.select("user_id", mode.alias("mode"), (F.col("user_id") % 2 == 0).alias("api_ok"))
+    status = cut_lineage(status)
     api = events.where(kind.isin("click", "view"))
     files = events.where(~kind.isin("click", "view")).withColumn("category", category)
     return modes.compose(api, files, status, "user_id").select("event_id", "dataSource")

@@ -105,21 +105,26 @@ def pull_columns(index: DataFrame, extent: DataFrame, pull: Sequence[str]) -> Da
     return used.groupBy(*pull, "last_page").agg(F.sum("row_count").alias("row_count"), columns.alias("present"))
 
 
-def pages_in_pull(parsed: DataFrame, extent: DataFrame, pull: Sequence[str], *, page: str = "page") -> DataFrame:
+def pages_in_pull(pages: DataFrame, extent: DataFrame, pull: Sequence[str], *, page: str = "page") -> DataFrame:
     """Pages up to the end of each pull that did not fail, with what ``extent`` knows about the pull.
 
-    A small ``extent`` is broadcast. A pull has at most 2000 pages, so none is hot beyond that.
+    ``pages`` are best not parsed yet: then only those that stay are. A small ``extent`` is broadcast; a
+    pull has at most 2000 pages, so none is hot beyond that.
     """
     ended = extent.where(~F.col("failed")).drop("failed") if "failed" in extent.columns else extent
-    wanted = parsed.where(F.col(page) <= S.MAX_PAGES)
+    wanted = pages.where(F.col(page) <= S.MAX_PAGES)
     joined = skew.lookup_join(wanted, ended, pull, how="inner", row_id=[*pull, page], keys_from=wanted.select(*pull))
     return joined.where(F.col(page) <= F.col("last_page")).drop("last_page")
 
 
 def explode_rows(pages: DataFrame, *, page: str = "page") -> DataFrame:
-    """One row per record, with its position in the page."""
+    """One row per record, with its position in the page.
+
+    The outer form keeps Spark from testing the list first, for which it would parse each body again.
+    """
     keep = [c for c in pages.columns if c not in ("payload", "rows")]
-    return pages.select(*keep, F.posexplode("rows").alias("position", "record"))
+    rows = pages.select(*keep, F.posexplode_outer("rows").alias("position", "record"))
+    return rows.where(F.col("position").isNotNull())
 
 
 def record_value(record: Column, name: str) -> Column:
