@@ -30,6 +30,15 @@ SCHEDULE_KEY = ["studyId", "visitNumber", "formName", "procedureName"]
 VISIT_KEY = ["studyId", "subjectId", "subjectVisitNumber", "procedureName"]
 
 
+def arm_config(configs: DataFrame) -> DataFrame:
+    """Study config with trimmed column names and the JSON map parsed; once per study, not per row."""
+    have = set(configs.columns)
+    cleaned = {c: text.blank_to_null(F.col(c)) for c in ("edcArmColumn", "impalaArmColumn") if c in have}
+    if "strataToArmMapping" in have:
+        cleaned["strataToArmMapping"] = F.from_json("strataToArmMapping", "map<string,string>")
+    return configs.withColumns(cleaned) if cleaned else configs
+
+
 def pick_column(name: Column, columns: Sequence[str]) -> Column:
     """Value of the column that ``name`` names; null if there is none."""
     return F.coalesce(*[F.when(name == c, F.col(c)) for c in columns])
@@ -77,29 +86,34 @@ def resolve_arm(
     edc_columns: Sequence[str] = tuple(S.TARGETS),
     group_columns: Sequence[str] = ("cohort", "strata"),
 ) -> DataFrame:
-    """Add ``arm``. The frame holds the study's config columns and what the modes in use need."""
+    """Add ``arm``, null if there is none.
+
+    The frame holds the study's config columns, as :func:`arm_config` gives them, and what the modes in
+    use need.
+    """
     have = set(df.columns)
     none = F.lit(None).cast("string")
 
     def given(name: str) -> Column:
-        return text.blank_to_null(F.col(name)) if name in have else none
+        return F.col(name) if name in have else none
 
     usable = [c for c in edc_columns if c in have]
     from_edc = pick_column(given("edcArmColumn"), usable) if usable else none
     wanted = F.coalesce(given("impalaArmColumn"), F.lit("strata"))
     grouped = [c for c in group_columns if f"group_{c}" in have]
-    group = F.coalesce(none, *[F.when(wanted == c, text.blank_to_null(F.col(f"group_{c}"))) for c in grouped])
-    arm_map = F.from_json(given("strataToArmMapping"), "map<string,string>")
+    value = F.coalesce(none, *[F.when(wanted == c, F.col(f"group_{c}")) for c in grouped])
+    group, manual = text.blank_to_null(F.col("_group")), text.blank_to_null(given("manual_arm"))
+    mapped = F.try_element_at("strataToArmMapping", group) if "strataToArmMapping" in have else none
     mode = F.col("armResolutionMode")
     arm = (
         F.when(mode == "FLAT_RATE", F.lit(flat_arm))
         .when(mode == "EDC_ONLY", from_edc)
-        .when(mode == "IMPALA_GROUP_MAP_TO_ARM", F.try_element_at(arm_map, group))
-        .when(mode == "MANUAL_MAPPING", given("manual_arm"))
+        .when(mode == "IMPALA_GROUP_MAP_TO_ARM", mapped)
+        .when(mode == "MANUAL_MAPPING", manual)
         .when(mode == "IMPALA_BUDGET_ARM_FROM_COLUMN", group)
-        .when(mode == "HYBRID", F.coalesce(given("manual_arm"), group))
+        .when(mode == "HYBRID", F.coalesce(manual, group))
     )
-    return df.withColumn("arm", text.blank_to_null(arm))
+    return df.withColumn("_group", value).withColumn("arm", text.blank_to_null(arm)).drop("_group")
 
 
 def first_arms(rows: DataFrame, *, order: str) -> DataFrame:

@@ -59,7 +59,7 @@ def _listed(texts: str | None) -> list[str]:
 def passes(rule: Rule) -> Column:
     """Whether a row passes the rule; never null."""
     value = F.col(rule.column).cast("string")
-    number, bound = value.try_cast("double"), F.lit(rule.expected).try_cast("double")
+    number, bound = F.col(rule.column).try_cast("double"), F.lit(rule.expected).try_cast("double")
     null = text.is_blank(value)
     test = {
         "EQUALS": lambda: value == F.lit(rule.expected),
@@ -98,14 +98,16 @@ def evaluate(df: DataFrame, rules: Sequence[Rule], *, study: str = "studyId") ->
     return df.withColumn("reasons", _reasons(ordered, study)).withColumn("blocking", blocking)
 
 
-def _list_column(col: Column) -> Column:
+def listed(col: Column) -> Column:
     """Comma-separated text as trimmed, non-blank items; null stays null."""
     return F.filter(F.transform(F.split(col, ","), text.strip), lambda t: t != "")
 
 
-def status_skips(status: Column, payable: Column, non_payable: Column) -> Column:
-    """Whether the subject status takes the row out: listed as non-payable, or not among the payable."""
-    allowed, denied = _list_column(payable), _list_column(non_payable)
+def status_skips(status: Column, allowed: Column, denied: Column) -> Column:
+    """Whether the subject status takes the row out: listed as non-payable, or not among the payable.
+
+    The lists are arrays, parsed once per study and not per row.
+    """
     is_denied = F.coalesce(F.array_contains(denied, status), F.lit(False))
     is_allowed = F.coalesce(F.array_contains(allowed, status), F.lit(False))
     return is_denied | ((F.coalesce(F.size(allowed), F.lit(0)) > 0) & ~is_allowed)

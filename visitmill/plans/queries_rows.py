@@ -190,7 +190,8 @@ def status_lists(spark: SparkSession, folder: str) -> DataFrame:
     kind = F.col("o_orderpriority")
     payable = F.when(kind == "2-HIGH", "O , P").when(kind == "3-MEDIUM", "O,P").when(kind == "5-LOW", " , ")
     denied = F.when(kind == "1-URGENT", " F").when(kind == "3-MEDIUM", "P")
-    skipped = eligibility.status_skips(F.col("o_orderstatus"), payable, denied)
+    allowed, barred = eligibility.listed(payable), eligibility.listed(denied)
+    skipped = eligibility.status_skips(F.col("o_orderstatus"), allowed, barred)
     return table(spark, folder, "orders").select("o_orderkey", skipped.alias("skipped"))
 
 
@@ -200,13 +201,14 @@ _VISIT = ["o_orderkey"]
 def order_visits(spark: SparkSession, folder: str, mode: str, **config: str) -> DataFrame:
     """Orders as visits of a study: the customer is the subject."""
     fixed = {"armResolutionMode": mode, **config}
-    return table(spark, folder, "orders").select(
+    visits = table(spark, folder, "orders").select(
         "o_orderkey",
         F.lit("S").alias("studyId"),
         F.col("o_custkey").cast("string").alias("subjectId"),
         F.col("o_orderpriority").alias("cohort"),
         *[F.lit(v).alias(c) for c, v in fixed.items()],
     )
+    return arms.arm_config(visits)
 
 
 def customer_groups(spark: SparkSession, folder: str) -> DataFrame:

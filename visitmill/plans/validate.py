@@ -7,19 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitmill.functions import skew, text
+from visitmill.functions import skew
 from visitmill.operators import arms, eligibility
 
 CONFIG = [
     "armResolutionMode", "edcArmColumn", "payableSubjectStatuses", "nonPayableSubjectStatuses",
     "hasVisitContactMode", "impalaArmColumn", "strataToArmMapping",
 ]
+STATUS_LISTS = ["payableSubjectStatuses", "nonPayableSubjectStatuses"]
 
 
 def attach_config(visits: DataFrame, configs: DataFrame, *, row_id: Sequence[str] | None = None) -> DataFrame:
-    """Left join of the study's config by study."""
+    """Left join of the study's config by study, with its lists and maps parsed before the join."""
     usable = [c for c in CONFIG if c in configs.columns]
-    return skew.lookup_join(visits, configs.select("studyId", *usable), ["studyId"], row_id=row_id)
+    lists = {c: eligibility.listed(F.col(c)) for c in STATUS_LISTS}
+    parsed = arms.arm_config(configs.select("studyId", *usable).withColumns(lists))
+    return skew.lookup_join(visits, parsed, ["studyId"], row_id=row_id, keys_from=visits)
 
 
 def validate(
@@ -56,6 +59,6 @@ def validate(
     keys = visits.select("studyId", F.col("studySiteNumber").alias("siteId"), "subjectId")
     rows = arms.check_registry(rows, known, row_id=row_id, keys_from=keys)
     status = eligibility.row_status(
-        F.col("_skipped"), F.size("reasons") > 0, text.is_blank(F.col("arm")), F.col("arm_changed")
+        F.col("_skipped"), F.size("reasons") > 0, F.col("arm").isNull(), F.col("arm_changed")
     )
     return rows.withColumn("status", status).drop("_skipped", "arm_changed", "siteId")

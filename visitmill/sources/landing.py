@@ -170,6 +170,8 @@ def index_files(
         *_listing_columns(), *probe_content(F.col("content"))
     )
     large = files.where(F.col("length") > whole_file_bytes).select(*_listing_columns())
+    if large.isEmpty():
+        return _with_delimiter(small)
     # One file per task: large files are few and slow.
     streamed = large.repartition("path").mapInPandas(
         _probe_streams, T.StructType([*LISTING.fields, *PROBE.fields])
