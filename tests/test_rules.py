@@ -119,7 +119,9 @@ def test_all_stages(spark):
         "studyId string, siteId string, subjectId string, assignedBudgetArm string, isActive boolean",
     )
     rules = [Rule("R", "flag", "EQUALS", "1", "flag is off")]
-    got = validate.validate(visits, configs, rules, registry, order="n", row_id=["n"]).orderBy("n").collect()
+    checked = validate.validate(visits, configs, rules, registry, order="n", row_id=["n"])
+    got = checked.rows.orderBy("n").collect()
+    assert {r.subjectId for r in checked.arms.where("is_new").collect()} == {"a"}
     assert [r.status for r in got] == [
         "VALID", "FAILED_IMMUTABILITY", "SKIPPED", "FAILED_ELIGIBILITY", "FAILED_STRATA", "FAILED_ELIGIBILITY",
         "FAILED_IMMUTABILITY", "FAILED_STRATA",

@@ -49,8 +49,19 @@ def test_categories_do_not_meet(spark):
 def test_only_the_lowest_id_of_a_repeated_key_is_updated(spark):
     base = spark.createDataFrame([(5, "k", "x"), (3, "k", "y"), (9, "j", "z")], "id int, key string, v string")
     new = spark.createDataFrame([("k", "new", 0), ("m", "m", 2), ("l", "l", 1)], "key string, v string, ordinal int")
-    got = {tuple(r) for r in upsert.upsert(base, new, ["key"], row_id="id").collect()}
-    assert got == {(5, "k", "x"), (3, "k", "new"), (9, "j", "z"), (10, "l", "l"), (11, "m", "m")}
+    for limit in (0, 100):
+        got = {tuple(r) for r in upsert.upsert(base, new, ["key"], row_id="id", broadcast_rows=limit).collect()}
+        assert got == {(5, "k", "x"), (3, "k", "new"), (9, "j", "z"), (10, "l", "l"), (11, "m", "m")}
+
+
+@pytest.mark.parametrize("limit", [0, 100])
+def test_unique_keys(spark, limit):
+    base = spark.createDataFrame([("a", 1, "b0"), ("b", 2, "b0")], "key string, v int, createdBy string")
+    new = spark.createDataFrame(
+        [("b", 20, "s0", 0), ("c", 30, "s1", 1), ("c", 31, "s2", 2)], "key string, v int, createdBy string, ordinal int"
+    )
+    got = upsert.upsert(base, new, ["key"], broadcast_rows=limit)
+    assert {tuple(r) for r in got.collect()} == {("a", 1, "b0"), ("b", 20, "b0"), ("c", 31, "s1")}
 
 
 def test_seed_without_values_is_refused(spark):

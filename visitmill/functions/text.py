@@ -150,7 +150,7 @@ def endpoint(data_source: Column, host: str | None, base_url: str | None) -> Col
 def check_study_id(study_id: str) -> str:
     text = study_id.strip()
     if not text or "/" in text or "\\" in text or ".." in text:
-        raise ValueError("Invalid studyId.")
+        raise ValueError(f"Not usable as a study id: {study_id!r}")
     return text
 
 
@@ -158,19 +158,19 @@ def check_run_id(run_id: str) -> str:
     try:
         return str(uuid.UUID(run_id.strip()))
     except ValueError as error:
-        raise ValueError("runId must be a UUID.") from error
+        raise ValueError(f"Not a run id: {run_id!r}") from error
 
 
 def check_limit(limit: int) -> int:
     if not 1 <= limit <= S.PREVIEW_MAX:
-        raise ValueError(f"limit must be between 1 and {S.PREVIEW_MAX}.")
+        raise ValueError(f"A preview has 1 to {S.PREVIEW_MAX} rows, not {limit}.")
     return limit
 
 
 def check_tenant(name: str) -> str:
     text = name.strip()
     if not re.fullmatch(TENANT_PATTERN[1:-1], text):
-        raise ValueError(f"Invalid tenant name: {name!r}")
+        raise ValueError(f"Not usable as a tenant name: {name!r}")
     return text
 
 

@@ -140,8 +140,9 @@ def check_registry(
     row_id: Sequence[str] | None = None,
     keys_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``registered_arm`` and ``arm_changed``. Hot subjects are spread over many tasks."""
-    joined = skew.salted_join(rows, arms.drop("is_new"), REGISTRY_KEY, row_id=row_id, keys_from=keys_from)
+    """Add ``registered_arm`` and ``arm_changed``. ``arms`` is best written before, as it is counted."""
+    known = arms.drop("is_new")
+    joined = skew.lookup_join(rows, known, REGISTRY_KEY, row_id=row_id, keys_from=keys_from)
     changed = F.col("arm") != F.col("registered_arm")
     return joined.withColumn("arm_changed", F.coalesce(changed, F.lit(False)))
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from visitmill import schema as S
 from visitmill.functions import skew
+from visitmill.session import cut_lineage
 
 # Sections of a seed file and the defaults of its rows.
 SEED_SECTIONS = {
@@ -46,56 +47,69 @@ def upsert(
     ordinal: str = "ordinal",
     created: Sequence[str] = CREATED,
     row_id: str | None = None,
+    broadcast_rows: int = skew.BROADCAST_ROWS,
 ) -> DataFrame:
     """New version of ``base``: matched rows take the seed's values but keep ``created`` and the id.
 
     With ``row_id`` the rows of ``base`` need not be unique by key; of equal keys the lowest id is
-    updated, and new rows get the next ids in seed order.
+    updated, and new rows get the next ids in seed order. A seed of checked small size is broadcast, so
+    that ``base`` is not shuffled; a larger one is joined by its keys, of which each side has one row.
     """
     key = list(key)
-    merged = merge_seed(seed, key, ordinal, created)
+    # The seed is reduced to one row per key and written, as it is used more than once.
+    merged = cut_lineage(merge_seed(seed, key, ordinal, created))
     values = [c for c in base.columns if c not in (*key, *created, row_id)]
     unknown = sorted(set(values) - set(merged.columns))
     if unknown:
         raise ValueError(f"The seed has no value for: {', '.join(unknown)}")
     kept = [c for c in created if c in base.columns]
-    incoming = merged.select(
-        *key, ordinal, *[F.col(c).alias(f"_new_{c}") for c in [*values, *kept]], F.lit(True).alias("_seeded")
-    )
-    target = base.withColumn("_based", F.lit(True))
-    on = key
-    if row_id is not None:
-        # Only the lowest id of a key is a target.
-        chosen = base.groupBy(*key).agg(F.min(row_id).alias(row_id)).join(incoming, key)
-        updated = target.join(chosen.drop(*key), row_id, "left")
-        inserted = incoming.join(base.select(*key).distinct(), key, "left_anti")
-        top = base.agg(F.max(row_id)).first()[0] or 0
-        next_id = (F.col("_n") + top + 1).cast(base.schema[row_id].dataType)
-        inserted = skew.bucketed_ordinal(inserted, [], ordinal, "_n").withColumn(row_id, next_id)
-        joined = updated.unionByName(inserted.drop("_n"), allowMissingColumns=True)
+    incoming = merged.select(*key, ordinal, *[F.col(c).alias(f"_new_{c}") for c in [*values, *kept]])
+    target = base.withColumn("_old", F.lit(True))
+    small = skew.fits_broadcast(incoming, broadcast_rows)
+    if row_id is None and not small:
+        joined = target.join(incoming.withColumn("_new", F.lit(True)), key, "full_outer")
     else:
-        joined = target.join(incoming, on, "full_outer")
+        joined = _update_and_insert(target, incoming, key, ordinal, row_id, small)
 
     def pick(name: str) -> Column:
         if name in key or name == row_id:
             return F.col(name)
         new, old = F.col(f"_new_{name}"), F.col(name)
-        takes_new = F.col("_based").isNull() if name in kept else F.col("_seeded").isNotNull()
+        takes_new = F.col("_old").isNull() if name in kept else F.col("_new").isNotNull()
         return F.when(takes_new, new).otherwise(old).alias(name)
 
     return joined.select(*[pick(c) for c in base.columns])
 
 
+def _update_and_insert(
+    target: DataFrame, incoming: DataFrame, key: list[str], ordinal: str, row_id: str | None, small: bool
+) -> DataFrame:
+    """Rows of ``target`` with what comes for them, and the incoming rows that match none."""
+    side = F.broadcast if small else (lambda df: df)
+    hits = target.join(side(incoming.select(*key)), key, "left_semi").groupBy(*key)
+    found = hits.agg(F.min(row_id).alias(row_id) if row_id else F.lit(True).alias("_hit"))
+    mark = row_id or "_hit"
+    matched = cut_lineage(incoming.join(found, key, "left"))
+    updates = matched.where(F.col(mark).isNotNull()).drop(ordinal, "_hit").withColumn("_new", F.lit(True))
+    updated = target.join(side(updates.drop(*key) if row_id else updates), [row_id] if row_id else key, "left")
+    inserts = matched.where(F.col(mark).isNull()).drop(mark).withColumn("_new", F.lit(True))
+    if row_id is not None:
+        top = target.agg(F.max(row_id)).first()[0] or 0
+        next_id = (F.col("_n") + top + 1).cast(target.schema[row_id].dataType)
+        inserts = skew.bucketed_ordinal(inserts, [], ordinal, "_n").withColumn(row_id, next_id).drop("_n")
+    return updated.unionByName(inserts.drop(ordinal), allowMissingColumns=True)
+
+
 def read_seed(spark: SparkSession, path: str) -> dict[str, list[dict]]:
     """Sections of a seed file (JSON, a few kilobytes). Each section must be a list."""
     body = spark.read.text(path, wholetext=True).first()
     payload = json.loads(body.value) if body else None
     if not isinstance(payload, dict):
-        raise ValueError("The seed must be a mapping.")
+        raise ValueError("A seed file must hold sections by name.")
     sections = {name: payload.get(name, []) for name in SEED_SECTIONS}
     for name, rows in sections.items():
         if not isinstance(rows, list):
-            raise ValueError(f"'{name}' must be a list.")
+            raise ValueError(f"Section {name} must hold a list.")
     return sections
 
 

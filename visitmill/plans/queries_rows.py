@@ -11,7 +11,7 @@ from visitmill.operators import arms, eligibility, upsert
 from visitmill.operators.eligibility import Rule
 from visitmill.plans import ingest, validate
 from visitmill.plans.registry import query, table
-from visitmill.session import new_folder
+from visitmill.session import cut_lineage, new_folder
 from visitmill.sources import landing, tables
 
 
@@ -332,7 +332,7 @@ _KNOWN = """
 def registry_immutability(spark: SparkSession, folder: str) -> DataFrame:
     """The first arm of a subject stays; orders with another arm have changed it."""
     rows = armed_orders(spark, folder)
-    known = arms.known_arms(rows, supplier_registry(spark, folder), order="o_orderkey")
+    known = cut_lineage(arms.known_arms(rows, supplier_registry(spark, folder), order="o_orderkey"))
     checked = arms.check_registry(rows, known, row_id=_VISIT)
     return checked.select("o_orderkey", "registered_arm", "arm_changed")
 
@@ -491,10 +491,11 @@ def row_status(spark: SparkSession, folder: str) -> DataFrame:
         customers.select(F.col("o_custkey").cast("string").alias("subjectId"), "studyId"), "subjectId"
     )
     registry = spark.createDataFrame([], S.SUBJECT_REGISTRY)
-    rows = validate.validate(
+    checked = validate.validate(
         visits, configs, ORDER_CHECKS, registry, order="o_orderkey", row_id=_VISIT, groups=groups
     )
-    return rows.select("o_orderkey", "arm", F.array_join("reasons", "; ").alias("reasons"), "status")
+    reasons = F.array_join("reasons", "; ").alias("reasons")
+    return checked.rows.select("o_orderkey", "arm", reasons, "status")
 
 
 @query("""

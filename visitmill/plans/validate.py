@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitmill.functions import skew
 from visitmill.operators import arms, eligibility
+from visitmill.session import cut_lineage
 
 CONFIG = [
     "armResolutionMode", "edcArmColumn", "payableSubjectStatuses", "nonPayableSubjectStatuses",
@@ -25,6 +27,14 @@ def attach_config(visits: DataFrame, configs: DataFrame, *, row_id: Sequence[str
     return skew.lookup_join(visits, parsed, ["studyId"], row_id=row_id, keys_from=visits)
 
 
+@dataclass(frozen=True)
+class Validated:
+    """Visits with their status, and the arm of each subject (for the registry)."""
+
+    rows: DataFrame
+    arms: DataFrame
+
+
 def validate(
     visits: DataFrame,
     configs: DataFrame,
@@ -37,7 +47,7 @@ def validate(
     manual: DataFrame | None = None,
     group_order: str = "ordinal",
     flat_arm: str = "FLAT",
-) -> DataFrame:
+) -> Validated:
     """Add ``status``, ``reasons``, ``blocking``, ``arm`` and ``registered_arm`` to each visit."""
     rows = attach_config(visits, configs, row_id=row_id)
     if groups is not None:
@@ -55,10 +65,10 @@ def validate(
     rows = rows.withColumn("_skipped", skipped).withColumn("siteId", F.col("studySiteNumber"))
     # Only rows that get this far can give a subject its arm.
     ready = rows.where(~F.col("_skipped") & (F.size("reasons") == 0))
-    known = arms.known_arms(ready, registry, order=order)
+    known = cut_lineage(arms.known_arms(ready, registry, order=order))
     keys = visits.select("studyId", F.col("studySiteNumber").alias("siteId"), "subjectId")
     rows = arms.check_registry(rows, known, row_id=row_id, keys_from=keys)
     status = eligibility.row_status(
         F.col("_skipped"), F.size("reasons") > 0, F.col("arm").isNull(), F.col("arm_changed")
     )
-    return rows.withColumn("status", status).drop("_skipped", "arm_changed", "siteId")
+    return Validated(rows.withColumn("status", status).drop("_skipped", "arm_changed", "siteId"), known)
