@@ -61,11 +61,13 @@ def passes(rule: Rule) -> Column:
     value = F.col(rule.column).cast("string")
     number, bound = F.col(rule.column).try_cast("double"), F.lit(rule.expected).try_cast("double")
     null = text.is_blank(value)
+    # What is listed is never blank, so only null needs a word of its own.
+    differs = F.coalesce(value != F.lit(rule.expected), F.lit(True))
     test = {
         "EQUALS": lambda: value == F.lit(rule.expected),
-        "NOT_EQUALS": lambda: null | (value != F.lit(rule.expected)),
+        "NOT_EQUALS": lambda: differs if (rule.expected or "").strip() else null | differs,
         "IN": lambda: value.isin(_listed(rule.expected)),
-        "NOT_IN": lambda: null | ~value.isin(_listed(rule.expected)),
+        "NOT_IN": lambda: F.coalesce(~value.isin(_listed(rule.expected)), F.lit(True)),
         "GREATER_THAN": lambda: number > bound,
         "LESS_THAN": lambda: number < bound,
         "IS_NOT_NULL": lambda: ~null,
@@ -79,10 +81,16 @@ def fails(rule: Rule, study: str = "studyId") -> Column:
     return failed if rule.study_id is None else failed & (F.col(study) == F.lit(rule.study_id))
 
 
+def listed_if(condition: Column, reason: Column) -> Column:
+    """The reason as an array of one, or of none."""
+    return F.when(condition, F.array(reason)).otherwise(F.array().cast("array<string>"))
+
+
 def _reasons(rules: Sequence[Rule], study: str) -> Column:
+    """Reasons of the failed rules, joined from short arrays, which stays in generated code."""
     if not rules:
         return F.array().cast("array<string>")
-    return F.array_compact(F.array(*[F.when(fails(r, study), F.lit(r.reason)) for r in rules]))
+    return F.concat(*[listed_if(fails(r, study), F.lit(r.reason)) for r in rules])
 
 
 def evaluate(df: DataFrame, rules: Sequence[Rule], *, study: str = "studyId") -> DataFrame:

@@ -57,7 +57,7 @@ def validate(
     rows = eligibility.evaluate(rows, rules)
     if "hasVisitContactMode" in rows.columns:
         contact = arms.contact_reason(F.col("hasVisitContactMode"), F.col("visitContactMode"))
-        rows = rows.withColumn("reasons", F.array_compact(F.array_append("reasons", contact)))
+        rows = rows.withColumn("reasons", F.concat("reasons", eligibility.listed_if(contact.isNotNull(), contact)))
     rows = arms.resolve_arm(rows, flat_arm=flat_arm)
     skipped = eligibility.status_skips(
         F.col("subjectStatus"), F.col("payableSubjectStatuses"), F.col("nonPayableSubjectStatuses")

@@ -95,13 +95,13 @@ def _odd_quotes(line: Column) -> Column:
 def probe_content(content: Column) -> list[Column]:
     """Hash, head, header line and quoting of a file held in one value."""
     body = F.make_valid_utf8(content.cast("string"))
-    lines = F.split(body, "\n")
+    any_odd = F.exists(F.split(body, "\n"), _odd_quotes)
     return [
         text.sha256(content).alias("content_hash"),
         F.make_valid_utf8(F.substring(content, 1, S.HEAD_BYTES).cast("string")).alias("head"),
         # The header is the first line that is not blank.
         F.regexp_extract(body, r"\A(?:[ \t]*\r?\n)*+([^\n]*)", 1).alias("header"),
-        F.exists(lines, _odd_quotes).alias("multi_line"),
+        F.when(body.contains('"'), any_odd).otherwise(False).alias("multi_line"),
         body.rlike(r"\A(?:[ \t]*\r?\n)*+[^\n]*\n\s*+\S").alias("has_rows"),
     ]
 
