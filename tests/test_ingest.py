@@ -231,3 +231,16 @@ def test_strict_mode_names_the_target(spark, settings, mappings):
     with pytest.raises(mapping.DuplicateTargetError, match="studySiteNumber"):
         df = spark.createDataFrame([("1", "2")], "STUDY_SITE string, SITE string")
         mapping.normalize(df, {"SITE": "studySiteNumber"}, strict=True)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
+@pytest.mark.parametrize("whole", [0, 1 << 20])
+def test_line_ends_and_blank_lines(spark, tmp_path, end, whole):
+    folder = tmp_path / "in" / "T9"
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_bytes(end.join(["", "SUBJECT_ID|COHORT", "1|x", "", "2|", ""]).encode())
+    index = L.index_files(spark, str(tmp_path / "in"), ["T9"], whole_file_bytes=whole)
+    [group] = L.file_groups(index.where("has_rows"))
+    # The first line is blank, so the delimiter is a comma, as for any file without pipes in it.
+    assert group.delimiter == "," and group.columns == ["SUBJECT_ID|COHORT"] and not group.multi_line
+    assert [r.c0 for r in L.read_group(spark, group).orderBy("source_block", "source_row").collect()] == ["1|x", "2|"]

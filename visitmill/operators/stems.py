@@ -38,7 +38,8 @@ def _meeting_bases(bases: DataFrame, scope: list[str]) -> DataFrame:
         F.col("first").alias("child_first"),
     )
     parents = bases.where((F.col("n") > 1) | F.col("base").rlike(_NUMBERED))
-    return child.join(parents.select(*scope, F.col("base").alias("parent")), [*scope, "parent"])
+    known = parents.select(*scope, F.col("base").alias("parent"))
+    return skew.lookup_join(child, known, [*scope, "parent"], how="inner", row_id=[*scope, "child"])
 
 
 def _settle(pairs: DataFrame, scope: list[str]) -> DataFrame:
@@ -58,9 +59,8 @@ def _settle(pairs: DataFrame, scope: list[str]) -> DataFrame:
         )
         counted = skew.bucketed_sum_before(state, key, "number", F.col("holds"), "smaller", width)
         lost = F.col("smaller") + F.coalesce("own", F.lit(0))
-        judged = counted.join(lost_own, key, "left").withColumn(
-            "now", F.col("earlier") <= F.col("number") - lost
-        )
+        judged = skew.lookup_join(counted, lost_own, key, row_id=[*scope, "child"])
+        judged = judged.withColumn("now", F.col("earlier") <= F.col("number") - lost)
         judged = cut_lineage(judged.drop("own", "smaller"))
         if judged.where(F.col("now") != F.col("holds")).isEmpty():
             break
@@ -79,7 +79,8 @@ def _taken_numbers(
     pairs = cut_lineage(pairs)
     key = [*scope, "base"]
     parents = pairs.select(*scope, F.col("parent").alias("base")).distinct()
-    rows = items.select(*key, F.col(order).alias("at")).join(parents, key, "left_semi")
+    occurrences = items.select(*key, F.col(order).alias("at"))
+    rows = skew.lookup_join(occurrences, parents, key, how="inner", row_id=[*scope, "at"])
     markers = pairs.select(*scope, F.col("parent").alias("base"), F.col("child_first").alias("at"), "child")
     marked = rows.withColumn("child", F.lit(None).cast("string")).unionByName(markers)
     is_row = F.col("child").isNull()
@@ -159,11 +160,12 @@ def unique_stems(
     plain, rest = numbered, None
     if found.cut:
         families = bases.where(is_cut).select(*scope, family.alias("family")).distinct()
-        marked = numbered.withColumn("family", family)
-        in_family = [*scope, "family"]
-        plain = marked.join(families, in_family, "left_anti").drop("family")
-        cut = marked.join(families, in_family, "left_semi").drop("family")
-        rest = _settle_cut(cut, scope, order)
+        families = cut_lineage(families).withColumn("is_cut", F.lit(True))
+        marked = skew.lookup_join(
+            numbered.withColumn("family", family), families, [*scope, "family"], row_id=[*scope, order]
+        )
+        plain = marked.where(F.col("is_cut").isNull()).drop("family", "is_cut")
+        rest = _settle_cut(marked.where("is_cut").drop("family", "is_cut"), scope, order)
     pairs = _meeting_bases(bases, scope)
     if not found.numbered or pairs.isEmpty():
         plain = plain.withColumn("number", F.col("ordinal"))

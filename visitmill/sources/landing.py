@@ -95,14 +95,14 @@ def _odd_quotes(line: Column) -> Column:
 def probe_content(content: Column) -> list[Column]:
     """Hash, head, header line and quoting of a file held in one value."""
     body = F.make_valid_utf8(content.cast("string"))
-    any_odd = F.exists(F.split(body, "\n"), _odd_quotes)
+    any_odd = F.exists(F.split(body, "[\r\n]"), _odd_quotes)
     return [
         text.sha256(content).alias("content_hash"),
         F.make_valid_utf8(F.substring(content, 1, S.HEAD_BYTES).cast("string")).alias("head"),
         # The header is the first line that is not blank.
-        F.regexp_extract(body, r"\A(?:[ \t]*\r?\n)*+([^\n]*)", 1).alias("header"),
+        F.regexp_extract(body, r"\A(?:[ \t]*[\r\n]+)*+([^\r\n]*)", 1).alias("header"),
         F.when(body.contains('"'), any_odd).otherwise(False).alias("multi_line"),
-        body.rlike(r"\A(?:[ \t]*\r?\n)*+[^\n]*\n\s*+\S").alias("has_rows"),
+        body.rlike(r"\A(?:[ \t]*[\r\n]+)*+[^\r\n]*[\r\n]\s*+\S").alias("has_rows"),
     ]
 
 
@@ -128,6 +128,7 @@ def _probe_stream(path: str) -> tuple[str, str, str, bool, bool]:
     with _open(path) as stream:
         while piece := stream.read(PIECE_BYTES):
             digest.update(piece)
+            piece = piece.replace(b"\r", b"\n")
             first += piece[: max(0, HEADER_BYTES - len(first))]
             if not multi_line and (in_quotes or b'"' in piece):
                 for number, line in enumerate(piece.split(b"\n")):
@@ -204,7 +205,7 @@ class FileGroup:
 
 def header_names(header: str, delimiter: str) -> list[str]:
     """Column names of a header line; a repeated name gets ``.1``, ``.2`` and so on."""
-    line = header.removeprefix("\ufeff").rstrip("\r")
+    line = header.removeprefix("\ufeff")
     names: list[str] = []
     for cell in next(csv.reader([line], delimiter=delimiter), []):
         name, again = cell, 0
