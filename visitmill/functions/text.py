@@ -16,7 +16,10 @@ _SPACES = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
     "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-_LINE_END = r"\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029"
+# The same whitespace, negated, in a form that regular expressions match fast.
+_VISIBLE = r"[^\s\x1c-\x1f\x85\p{Z}]"
+# Further characters that end a line, beside those that "." leaves out.
+_MORE_LINE_ENDS = "\x0b\x0c\x1c\x1d\x1e"
 
 
 def strip(col: Column) -> Column:
@@ -31,7 +34,7 @@ def blank_to_null(col: Column) -> Column:
 
 def is_blank(col: Column) -> Column:
     """Whether the text is null or has no visible character; stops at the first one."""
-    return ~F.coalesce(col.rlike(f"[^{_SPACES}]"), F.lit(False))
+    return ~F.coalesce(col.rlike(_VISIBLE), F.lit(False))
 
 
 def na_to_null(col: Column) -> Column:
@@ -51,15 +54,22 @@ def category(label: Column) -> Column:
 
 def base_name(path: Column) -> Column:
     """Last path segment; slashes and single dots at the end do not count."""
-    return F.substring_index(F.regexp_replace(strip(path), r"(?:/\.?)+\z", ""), "/", -1)
+    bare = strip(path)
+    ends = bare.endswith("/") | bare.endswith("/.")
+    return F.substring_index(F.when(ends, F.regexp_replace(bare, r"(?:/\.?)+\z", "")).otherwise(bare), "/", -1)
+
+
+def without_suffix(name: Column) -> Column:
+    """Name up to its last dot, if there is something before and after that dot."""
+    suffix = F.substring_index(name, ".", -1)
+    before = F.length(name) - F.length(suffix) - 1
+    return F.when((before > 0) & (suffix != ""), F.substring(name, F.lit(1), before)).otherwise(name)
 
 
 def safe_stem(label: Column) -> Column:
     """File name without its last suffix, safe as one path segment, at most 200 characters."""
-    # A suffix needs a character before its dot and one after it.
-    stem = F.regexp_replace(base_name(label), r"(?s)(?<=.)\.[^.]+\z", "")
-    safe = F.regexp_replace(stem, "[^A-Za-z0-9._-]+", "_")
-    bare = F.regexp_replace(safe, r"^[._-]+|[._-]+\z", "")
+    safe = F.regexp_replace(without_suffix(base_name(label)), r"[^\w.-]+", "_")
+    bare = F.btrim(safe, F.lit("._-"))
     return F.substring(F.coalesce(F.nullif(bare, F.lit("")), F.lit("part")), 1, S.STEM_LIMIT)
 
 
@@ -87,7 +97,9 @@ def object_key(prefix: Column, study: Column, run: Column, label: Column) -> Col
 
 def delimiter(head: Column) -> Column:
     """``|`` if the first line has more pipes than commas, else ``,``."""
-    line = F.regexp_extract(head, f"^[^{_LINE_END}]*", 0)
+    line = F.regexp_extract(head, "^.*", 0)
+    for end in _MORE_LINE_ENDS:
+        line = F.substring_index(line, end, 1)
     pipes = F.length(line) - F.length(F.replace(line, F.lit("|"), F.lit("")))
     commas = F.length(line) - F.length(F.replace(line, F.lit(","), F.lit("")))
     return F.when(pipes > commas, "|").otherwise(",")
