@@ -72,8 +72,10 @@ def index_pages(
     Bodies are read once for it; what is asked about pulls afterwards needs no bodies.
     """
     more = has_more(F.col("payload"), F.col(page), F.size("rows"), F.lit(page_size))
-    present = [F.when(_any_has("rows", c), F.lit(c)) for c in columns]
-    found = F.array_compact(F.array(*present)) if present else F.array().cast("array<string>")
+    found = F.array().cast("array<string>")
+    if columns:
+        every = F.flatten(F.transform("rows", record_columns))
+        found = F.array_intersect(every, F.array(*[F.lit(c) for c in columns]))
     return parsed.where(F.col(page) <= S.MAX_PAGES).select(
         *pull,
         F.col(page).alias("page"),
@@ -134,14 +136,11 @@ def record_value(record: Column, name: str) -> Column:
     return F.when(~_kind(record, path).startswith("OBJECT"), value)
 
 
-def has_column(record: Column, name: str) -> Column:
-    """Whether the record has the column after flattening; an explicit null counts."""
-    kind = _kind(record, f"$.{name}")
-    return F.coalesce(~kind.startswith("OBJECT"), F.lit(False))
-
-
-def _any_has(rows: str, name: str) -> Column:
-    return F.exists(rows, lambda record: has_column(record, name))
+def record_columns(record: Column) -> Column:
+    """Top-level columns that the record has after flattening; an explicit null counts."""
+    fields = F.try_variant_get(record, "$", "map<string,variant>")
+    flat = F.map_filter(fields, lambda _, value: ~F.schema_of_variant(value).startswith("OBJECT"))
+    return F.coalesce(F.map_keys(flat), F.array().cast("array<string>"))
 
 
 def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
