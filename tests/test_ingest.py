@@ -138,6 +138,19 @@ def test_preview(spark, settings, mappings):
             preview.preview_run(spark, settings.output, **{"study_id": "T1", "run_id": summary["runId"], **bad})
 
 
+def test_preview_over_several_blocks(spark):
+    rows = [(s, b, r) for s, sizes in {"x": [1, 0, 2, 5], "y": [4]}.items() for b, n in enumerate(sizes) for r in range(n)]
+    df = spark.createDataFrame(rows, "source_stem string, _source_block long, _source_row long")
+    df = df.select("*", *[F.concat_ws("-", "_source_block", "_source_row").alias(t) for t in S.TARGETS])
+    for limit in (1, 2, 4, 100):
+        got = preview.preview_objects(df, limit).collect()
+        for r in got:
+            want = [f"{b}-{n}" for s, b, n in sorted(rows) if s == r.source_stem]
+            assert r.totalRowsInFile == len(want)
+            assert [json.loads(t)["cohort"] for t in r.rows] == want[:limit]
+        assert len(got) == 2
+
+
 def pages(spark, bodies):
     rows = [("T1", i + 1, json.dumps(b) if not isinstance(b, str) else b) for i, b in enumerate(bodies)]
     return spark.createDataFrame(rows, "study_id string, page int, body string")

@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from visitmill import schema as S
 from visitmill.functions import text
 from visitmill.operators.mapping import first_rows
+from visitmill.session import cut_lineage
 from visitmill.sources import tables
 
 
@@ -22,6 +23,8 @@ def preview_rows(
     order: Sequence[str],
     columns: Sequence[str],
     limit: int = S.PREVIEW_DEFAULT,
+    *,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """One row per object: total rows, and its first rows as JSON texts in order (at most 100)."""
     limit = text.check_limit(limit)
@@ -29,10 +32,28 @@ def preview_rows(
     head = first_rows(rows, per, order, limit).select(*per, F.struct(*order, record.alias("_json")).alias("_r"))
     ordered = F.transform(F.sort_array(F.collect_list("_r")), lambda r: r["_json"])
     heads = head.groupBy(*per).agg(ordered.alias("rows"))
-    totals = rows.groupBy(*per).agg(F.count("*").alias("totalRowsInFile"))
+    if totals is None:
+        totals = rows.groupBy(*per).agg(F.count("*").alias("totalRowsInFile"))
     return totals.join(heads, list(per)).withColumn("previewRowCount", F.size("rows"))
 
 
+def preview_objects(rows: DataFrame, limit: int = S.PREVIEW_DEFAULT) -> DataFrame:
+    """Preview of a run's objects without sorting them.
+
+    Rows are counted per object and source block, for which one column is read. That gives the totals,
+    and the last block that any first rows lie in; Parquet statistics skip what comes after it.
+    """
+    block = tables.ORDER[0]
+    blocks = cut_lineage(rows.groupBy("source_stem", block).agg(F.count("*").alias("n")))
+    earlier = Window.partitionBy("source_stem").orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    needed = blocks.withColumn("_before", before).where(F.col("_before") < limit)
+    last = needed.agg(F.max(block)).first()[0] or 0
+    totals = blocks.groupBy("source_stem").agg(F.sum("n").alias("totalRowsInFile"))
+    head = rows.where(F.col(block) <= last)
+    return preview_rows(head, ["source_stem"], tables.ORDER, S.TARGETS, limit, totals=totals)
+
+
 def preview_run(
     spark: SparkSession, output: str, study_id: str, run_id: str, *, limit: int = S.PREVIEW_DEFAULT,
     bucket: str | None = None,
@@ -48,8 +69,7 @@ def preview_run(
             raise
         found = []
     else:
-        preview = preview_rows(rows, ["source_stem"], tables.ORDER, S.TARGETS, limit)
-        found = preview.orderBy("source_stem").collect()
+        found = preview_objects(rows, limit).orderBy("source_stem").collect()
     objects = [
         {
             "key": f"{prefix}source_stem={r.source_stem}",
