@@ -53,6 +53,9 @@ def test_null_keys_stay(spark):
 
 def test_fits_broadcast(spark):
     assert skew.fits_broadcast(spark.range(5), 5) and not skew.fits_broadcast(spark.range(6), 5)
+    wide = spark.range(3).select(F.repeat(F.lit("x"), 1000).alias("x"))
+    assert skew.fits_broadcast(wide, 5, 4000) and not skew.fits_broadcast(wide, 5, 2000)
+    assert skew.fits_broadcast(spark.range(0), 0)
 
 
 def test_ordinals_by_ranges(spark):

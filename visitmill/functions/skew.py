@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A lookup up to this many rows may be sent to every executor.
+# A lookup up to this many rows and characters may be sent to every executor.
 BROADCAST_ROWS = 50_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 # A key with at least this share of the rows is hot; so there are at most 1 / share hot keys.
 HOT_SHARE = 0.005
 SALTS = 64
@@ -16,9 +17,14 @@ SALTS = 64
 RANGE_ROWS = 1_000_000
 
 
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``rows`` rows. Reads on only until one more is found."""
-    return len(df.select(F.lit(1)).take(rows + 1)) <= rows
+def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``rows`` rows and ``size`` characters as JSON.
+
+    Reads on only until one row more is found; only the lengths of the rows reach the driver.
+    """
+    length = F.length(F.to_json(F.struct(*df.columns)))
+    found = df.select(F.coalesce(length, F.lit(0)).alias("n")).take(rows + 1)
+    return len(found) <= rows and sum(r.n for r in found) <= size
 
 
 def hot_key_hashes(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
@@ -52,8 +58,8 @@ def lookup_join(
     A lookup of checked small size is broadcast. A larger one is joined by shuffle, where the rows of
     hot keys are spread over ``salts`` parts and only the lookup rows of those keys are repeated.
 
-    ``sized_by`` has at least as many rows as the lookup and is cheaper to count, such as the scan it is
-    made from. ``row_id`` and ``keys_from`` are as for :func:`salted_join`.
+    ``sized_by`` has at least the rows and values of the lookup and is cheaper to read, such as the scan
+    it is made from. ``row_id`` and ``keys_from`` are as for :func:`salted_join`.
     """
     if fits_broadcast(lookup if sized_by is None else sized_by, broadcast_rows):
         return rows.join(F.broadcast(lookup), list(on), how)

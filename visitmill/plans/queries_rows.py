@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitmill import schema as S
-from visitmill.functions import dates
+from visitmill.functions import dates, skew
 from visitmill.operators import arms, eligibility, upsert
 from visitmill.operators.eligibility import Rule
 from visitmill.plans import ingest, validate
@@ -467,7 +467,8 @@ def row_status(spark: SparkSession, folder: str) -> DataFrame:
     customers = table(spark, folder, "customer").select(
         F.col("c_custkey").alias("o_custkey"), F.concat(F.lit("S"), F.col("c_nationkey") % 3).alias("studyId")
     )
-    visits = table(spark, folder, "orders").join(customers, "o_custkey").select(
+    orders = table(spark, folder, "orders")
+    visits = skew.lookup_join(orders, customers, ["o_custkey"], how="inner", row_id=_VISIT).select(
         "o_orderkey",
         "studyId",
         F.col("o_custkey").cast("string").alias("subjectId"),
@@ -544,7 +545,9 @@ def landed_by_folder(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
     orders.write.partitionBy("o_orderstatus").csv(place, header=True)
     studies = [f"o_orderstatus={s}" for s in ("F", "O", "P")]
-    index = landing.index_files(spark, place, [*studies, "missing"])
+    index = cut_lineage(landing.index_files(spark, place, [*studies, "missing"]))
     rows = landing.read_files(spark, landing.file_groups(index.where("has_rows")))
     files = index.select("source_path", F.substring_index("study_id", "=", -1).alias("status"))
-    return rows.join(files, "source_path").groupBy("status").agg(F.count("*").alias("rows"))
+    row_id = ["source_path", "source_block", "source_row"]
+    found = skew.lookup_join(rows, files, ["source_path"], how="inner", row_id=row_id)
+    return found.groupBy("status").agg(F.count("*").alias("rows"))
