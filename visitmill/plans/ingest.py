@@ -37,7 +37,11 @@ class PullError(RuntimeError):
 
 @dataclass(frozen=True)
 class Settings:
-    """Where things are. ``landing`` holds one folder per study; ``output`` gets all tables."""
+    """Where things are. ``landing`` holds one folder per study; ``output`` gets all tables.
+
+    Files above ``whole_file_bytes`` are hashed by streaming them, which needs a store that pyarrow can
+    open (local, s3, gs, hdfs); up to 2 GB they may be read as one value instead.
+    """
 
     landing: str
     output: str
@@ -48,6 +52,7 @@ class Settings:
     api_base_url: str | None = None
     bucket: str | None = None
     staging_prefix: str | None = None
+    whole_file_bytes: int = L.WHOLE_FILE_BYTES
 
 
 @dataclass
@@ -141,7 +146,9 @@ def _index(spark: SparkSession, runs: list[Run], settings: Settings) -> DataFram
     """Index of the files the runs take; written once, as it reads every byte."""
     taking = [r for r in runs if r.mode != "API_ONLY"]
     try:
-        index = L.index_files(spark, settings.landing, [r.study_id for r in taking])
+        index = L.index_files(
+            spark, settings.landing, [r.study_id for r in taking], settings.whole_file_bytes
+        )
         index = cut_lineage(index)
     except Exception:
         # Files only add to a pull that worked; without it they are all there is.

@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 import hashlib
 import re
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -106,53 +106,59 @@ def probe_content(content: Column) -> list[Column]:
     ]
 
 
-def _open(path: str):
-    """Open a file for streaming inside a task."""
-    from pyarrow import fs
-
-    scheme, _, rest = path.partition(":")
-    if scheme in ("s3a", "s3n"):
-        path = f"s3:{rest}"
-    if scheme == "file":
-        path = "/" + rest.lstrip("/")
-    system, inner = fs.FileSystem.from_uri(path)
-    return system.open_input_stream(inner)
-
-
-def _probe_stream(path: str) -> tuple[str, str, str, bool, bool]:
-    """As :func:`probe_content`, over pieces of the file; memory does not grow with it."""
-    digest = hashlib.sha256()
-    first = b""
-    in_quotes = multi_line = has_rows = False
-    place = "before header"
-    with _open(path) as stream:
-        while piece := stream.read(PIECE_BYTES):
-            digest.update(piece)
-            piece = piece.replace(b"\r", b"\n")
-            first += piece[: max(0, HEADER_BYTES - len(first))]
-            if not multi_line and (in_quotes or b'"' in piece):
-                for number, line in enumerate(piece.split(b"\n")):
-                    if number:
-                        multi_line |= in_quotes
-                        in_quotes = False
-                    in_quotes ^= line.count(b'"') % 2 == 1
-            if not has_rows:
-                rest = piece
-                if place == "before header" and (rest := rest.lstrip()):
-                    place = "in header"
-                if place == "in header":
-                    _, ended, rest = rest.partition(b"\n")
-                    place = "after header" if ended else place
-                has_rows = place == "after header" and bool(rest.strip())
-    head = first[: S.HEAD_BYTES].decode("utf-8", errors="replace")
-    header = next((line for line in first.split(b"\n") if line.strip()), b"").decode("utf-8", errors="replace")
-    return digest.hexdigest(), head, header, multi_line or in_quotes, has_rows
-
-
-def _probe_streams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        probes = [_probe_stream(p) for p in batch["path"]]
-        yield pd.concat([batch, pd.DataFrame(probes, columns=PROBE.names, index=batch.index)], axis=1)
+def _stream_probe(names: list[str], head_bytes: int, header_bytes: int, piece_bytes: int) -> Callable:
+    """Task function that adds what :func:`probe_content` finds, reading files in pieces.
+
+    Memory does not grow with a file. All it needs is inside, so that executors need no copy of this
+    package.
+    """
+
+    def open_stream(path: str):
+        from pyarrow import fs
+
+        scheme, _, rest = path.partition(":")
+        if scheme in ("s3a", "s3n"):
+            path = f"s3:{rest}"
+        if scheme == "file":
+            path = "/" + rest.lstrip("/")
+        system, inner = fs.FileSystem.from_uri(path)
+        return system.open_input_stream(inner)
+
+    def probe_file(path: str) -> tuple:
+        digest = hashlib.sha256()
+        first = b""
+        in_quotes = multi_line = has_rows = False
+        place = "before header"
+        with open_stream(path) as stream:
+            while piece := stream.read(piece_bytes):
+                digest.update(piece)
+                piece = piece.replace(b"\r", b"\n")
+                first += piece[: max(0, header_bytes - len(first))]
+                if not multi_line and (in_quotes or b'"' in piece):
+                    for number, line in enumerate(piece.split(b"\n")):
+                        if number:
+                            multi_line |= in_quotes
+                            in_quotes = False
+                        in_quotes ^= line.count(b'"') % 2 == 1
+                if not has_rows:
+                    rest = piece
+                    if place == "before header" and (rest := rest.lstrip()):
+                        place = "in header"
+                    if place == "in header":
+                        _, ended, rest = rest.partition(b"\n")
+                        place = "after header" if ended else place
+                    has_rows = place == "after header" and bool(rest.strip())
+        head = first[:head_bytes].decode("utf-8", errors="replace")
+        header = next((line for line in first.split(b"\n") if line.strip()), b"")
+        header = header.decode("utf-8", errors="replace")
+        return digest.hexdigest(), head, header, multi_line or in_quotes, has_rows
+
+    def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = pd.DataFrame([probe_file(p) for p in batch["path"]], columns=names, index=batch.index)
+            yield pd.concat([batch, found], axis=1)
+
+    return probe
 
 
 def index_files(
@@ -174,9 +180,8 @@ def index_files(
     if large.isEmpty():
         return _with_delimiter(small)
     # One file per task: large files are few and slow.
-    streamed = large.repartition("path").mapInPandas(
-        _probe_streams, T.StructType([*LISTING.fields, *PROBE.fields])
-    )
+    probe = _stream_probe(PROBE.names, S.HEAD_BYTES, HEADER_BYTES, PIECE_BYTES)
+    streamed = large.repartition("path").mapInPandas(probe, T.StructType([*LISTING.fields, *PROBE.fields]))
     return _with_delimiter(small.unionByName(streamed))
 
 
