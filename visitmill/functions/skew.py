@@ -12,7 +12,8 @@ BROADCAST_ROWS = 50_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A key with at least this share of the rows is hot; so there are at most 1 / share hot keys.
 HOT_SHARE = 0.005
-SALTS = 64
+# Parts that the rows of hot keys are spread over, if the session has fewer shuffle partitions.
+MIN_SALTS = 64
 # Rows per range when a group is numbered by ranges.
 RANGE_ROWS = 1_000_000
 
@@ -51,12 +52,13 @@ def lookup_join(
     keys_from: DataFrame | None = None,
     how: str = "left",
     broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join (left or inner) to a lookup with one row per key.
 
     A lookup of checked small size is broadcast. A larger one is joined by shuffle, where the rows of
-    hot keys are spread over ``salts`` parts and only the lookup rows of those keys are repeated.
+    hot keys are spread over ``salts`` parts (by default, as many as there are shuffle partitions) and
+    only the lookup rows of those keys are repeated.
 
     ``sized_by`` has at least the rows and values of the lookup and is cheaper to read, such as the scan
     it is made from. ``row_id`` and ``keys_from`` are as for :func:`salted_join`.
@@ -74,7 +76,7 @@ def salted_join(
     row_id: Sequence[str] | None = None,
     keys_from: DataFrame | None = None,
     how: str = "left",
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join by shuffle; rows of hot keys are spread, their lookup rows repeated.
 
@@ -86,8 +88,10 @@ def salted_join(
     if not hot:
         return rows.join(lookup, on, how)
     key_is_hot = F.xxhash64(*on).isin(hot)
+    if salts is None:
+        salts = max(MIN_SALTS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     spread = F.pmod(F.xxhash64(*(row_id or rows.columns)), F.lit(salts)).cast("int")
-    every = F.array(*[F.lit(i) for i in range(salts)])
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
     left = rows.withColumn("_salt", F.when(key_is_hot, spread).otherwise(0))
     right = lookup.withColumn(
         "_salt", F.explode(F.when(key_is_hot, every).otherwise(F.array(F.lit(0))))
