@@ -257,3 +257,11 @@ def test_line_ends_and_blank_lines(spark, tmp_path, end, whole):
     # The first line is blank, so the delimiter is a comma, as for any file without pipes in it.
     assert group.delimiter == "," and group.columns == ["SUBJECT_ID|COHORT"] and not group.multi_line
     assert [r.c0 for r in L.read_group(spark, group).orderBy("source_block", "source_row").collect()] == ["1|x", "2|"]
+
+
+def test_listing(spark, landing):
+    got = L.list_files(spark, str(landing), ["T1", "missing"]).orderBy("file_name").collect()
+    assert [r.file_name for r in got] == sorted(p.name for p in (landing / "T1").glob("*.csv"))
+    assert {r.study_id for r in got} == {"T1"} and all(r.length > 0 and r.modified for r in got)
+    assert L.list_files(spark, str(landing), ["missing"]).isEmpty()
+    assert L.list_files(spark, str(landing), []).isEmpty()

@@ -85,8 +85,12 @@ def test_seed_file(spark, tmp_path):
          "misc_column_mapping": [{"sourceColumn": "FORM", "targetColumn": "formName"}]},
     )
     tables = str(tmp_path / "tables")
-    for _ in range(2):
-        seed.seed_tenant(spark, "demo", path, tables)
+    seed.seed_tenant(spark, "demo", path, tables)
+    place = f"{tables}/demo/data_column_mapping"
+    before = versions.read_current(spark, place, S.COLUMN_MAPPING).drop("updatedAt").orderBy("id").collect()
+    seed.seed_tenant(spark, "demo", path, tables)
+    after = versions.read_current(spark, place, S.COLUMN_MAPPING).drop("updatedAt").orderBy("id").collect()
+    assert before == after
     rules = versions.read_current(spark, f"{tables}/demo/eligibility_rule", S.ELIGIBILITY_RULE)
     mappings = versions.read_current(spark, f"{tables}/demo/data_column_mapping", S.COLUMN_MAPPING)
     assert [r.ruleId for r in rules.collect()] == ["R1"]

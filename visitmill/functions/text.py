@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from visitmill import schema as S
 
-TENANT_PATTERN = "^[a-z][a-z0-9_]{0,62}$"
+TENANT_PATTERN = "[a-z][a-z0-9_]{0,62}"
 # Characters that count as whitespace, and as line ends.
 _SPACES = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
@@ -181,10 +181,10 @@ def check_limit(limit: int) -> int:
 
 def check_tenant(name: str) -> str:
     text = name.strip()
-    if not re.fullmatch(TENANT_PATTERN[1:-1], text):
+    if not re.fullmatch(TENANT_PATTERN, text):
         raise ValueError(f"Not usable as a tenant name: {name!r}")
     return text
 
 
 def valid_tenant(col: Column) -> Column:
-    return col.rlike(TENANT_PATTERN)
+    return col.rlike(rf"^{TENANT_PATTERN}\z")
