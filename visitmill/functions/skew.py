@@ -49,6 +49,7 @@ def lookup_join(
     *,
     row_id: Sequence[str] | None = None,
     sized_by: DataFrame | None = None,
+    small: bool | None = None,
     keys_from: DataFrame | None = None,
     how: str = "left",
     broadcast_rows: int = BROADCAST_ROWS,
@@ -61,9 +62,11 @@ def lookup_join(
     only the lookup rows of those keys are repeated.
 
     ``sized_by`` has at least the rows and values of the lookup and is cheaper to read, such as the scan
-    it is made from. ``row_id`` and ``keys_from`` are as for :func:`salted_join`.
+    it is made from; ``small`` is the answer where it is known already. ``row_id`` and ``keys_from`` are as for :func:`salted_join`.
     """
-    if fits_broadcast(lookup if sized_by is None else sized_by, broadcast_rows):
+    if small is None:
+        small = fits_broadcast(lookup if sized_by is None else sized_by, broadcast_rows)
+    if small:
         return rows.join(F.broadcast(lookup), list(on), how)
     return salted_join(rows, lookup, on, row_id=row_id, keys_from=keys_from, how=how, salts=salts)
 

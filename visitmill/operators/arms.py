@@ -58,11 +58,14 @@ def attach_groups(
     columns: Sequence[str] = ("cohort", "strata"),
     row_id: Sequence[str] | None = None,
     keys_from: DataFrame | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """Left join of the subject-group extract; its columns get the prefix ``group_``."""
     unique = one_per_subject(groups, order, columns)
     named = unique.select(*SUBJECT, *[F.col(c).alias(f"group_{c}") for c in columns])
-    return skew.lookup_join(visits, named, SUBJECT, row_id=row_id, sized_by=groups, keys_from=keys_from)
+    return skew.lookup_join(
+        visits, named, SUBJECT, row_id=row_id, sized_by=groups, small=small, keys_from=keys_from
+    )
 
 
 def attach_manual(
@@ -72,11 +75,14 @@ def attach_manual(
     order: str,
     row_id: Sequence[str] | None = None,
     keys_from: DataFrame | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """Left join of the manual template (``studyId, subjectId, subject_group``) as ``manual_arm``."""
     unique = one_per_subject(template, order, ["subject_group"])
     named = unique.withColumnRenamed("subject_group", "manual_arm")
-    return skew.lookup_join(visits, named, SUBJECT, row_id=row_id, sized_by=template, keys_from=keys_from)
+    return skew.lookup_join(
+        visits, named, SUBJECT, row_id=row_id, sized_by=template, small=small, keys_from=keys_from
+    )
 
 
 def resolve_arm(

@@ -50,10 +50,14 @@ def validate(
 ) -> Validated:
     """Add ``status``, ``reasons``, ``blocking``, ``arm`` and ``registered_arm`` to each visit."""
     rows = attach_config(visits, configs, row_id=row_id)
+    shared = {"order": group_order, "row_id": row_id, "keys_from": visits}
+    moved = False
     if groups is not None:
-        rows = arms.attach_groups(rows, groups, order=group_order, row_id=row_id, keys_from=visits)
+        small = skew.fits_broadcast(groups)
+        rows, moved = arms.attach_groups(rows, groups, small=small, **shared), not small
     if manual is not None:
-        rows = arms.attach_manual(rows, manual, order=group_order, row_id=row_id, keys_from=visits)
+        small = skew.fits_broadcast(manual)
+        rows, moved = arms.attach_manual(rows, manual, small=small, **shared), moved or not small
     rows = eligibility.evaluate(rows, rules)
     if "hasVisitContactMode" in rows.columns:
         contact = arms.contact_reason(F.col("hasVisitContactMode"), F.col("visitContactMode"))
@@ -62,7 +66,14 @@ def validate(
     skipped = eligibility.status_skips(
         F.col("subjectStatus"), F.col("payableSubjectStatuses"), F.col("nonPayableSubjectStatuses")
     )
-    rows = rows.withColumn("_skipped", skipped).withColumn("siteId", F.col("studySiteNumber"))
+    # Config and group columns have done their work.
+    rows = rows.select(
+        *visits.columns, "reasons", "blocking", "arm", skipped.alias("_skipped"),
+        F.col("studySiteNumber").alias("siteId"),
+    )
+    if moved:
+        # The rows are read twice from here on; to write them costs less than to shuffle them again.
+        rows = cut_lineage(rows)
     # Only rows that get this far can give a subject its arm.
     ready = rows.where(~F.col("_skipped") & (F.size("reasons") == 0))
     known = cut_lineage(arms.known_arms(ready, registry, order=order))
