@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import digest
+from visitmill.functions import skew
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
@@ -45,6 +46,24 @@ def test_query(spark, db, name, capsys):
     assert "Exchange SinglePartition" not in plan or name in ("first_active", "upsert_with_ids")
 
 
+# Queries that join lookups.
+JOINING = [
+    "api_records", "arm_hybrid", "landed_by_folder", "landing_round_trip", "mapping_rule_join", "page_cutoff",
+    "registry_immutability", "row_status", "schedule_join", "source_mode_union", "upsert_by_key", "upsert_with_ids",
+]
+
+
+@pytest.mark.parametrize("name", JOINING)
+def test_query_with_large_lookups_and_hot_keys(spark, db, name, monkeypatch):
+    found = skew.hot_key_hashes
+    monkeypatch.setattr(skew, "fits_broadcast", lambda *_, **__: False)
+    monkeypatch.setattr(skew, "hot_key_hashes", lambda df, keys: found(df, keys, 0.0004))
+    df = QUERIES[name](spark, FOLDER)
+    result = db.execute(ORACLES[name])
+    want = digest([c[0] for c in result.description], result.fetchall())
+    assert digest(df.columns, df.collect())[0] == want[0]
+
+
 def test_preview_cuts_before_the_shuffle(spark, capsys):
     QUERIES["preview_top_n"](spark, FOLDER).explain()
     assert "WindowGroupLimit" in capsys.readouterr().out

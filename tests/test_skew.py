@@ -51,6 +51,13 @@ def test_null_keys_stay(spark):
         assert {tuple(r) for r in got} == {(1, None), (2, 1)}
 
 
+def test_rows_with_variants_and_maps(spark):
+    rows = skewed(spark, 300).select("id", "k", F.parse_json(F.lit("{}")).alias("v"), F.create_map(F.lit(1), "id").alias("m"))
+    lookup = spark.range(300).select(F.col("id").alias("k"), (F.col("id") * 2).alias("x"))
+    joined = skew.salted_join(rows, lookup, ["k"], salts=4)
+    assert joined.count() == 300 and joined.where("x = k * 2").count() == 300
+
+
 def test_fits_broadcast(spark):
     assert skew.fits_broadcast(spark.range(5), 5) and not skew.fits_broadcast(spark.range(6), 5)
     wide = spark.range(3).select(F.repeat(F.lit("x"), 1000).alias("x"))

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A lookup up to this many rows and characters may be sent to every executor.
 BROADCAST_ROWS = 50_000
@@ -71,6 +72,11 @@ def lookup_join(
     return salted_join(rows, lookup, on, row_id=row_id, keys_from=keys_from, how=how, salts=salts)
 
 
+def _has_no_hash(field: T.StructField) -> bool:
+    """Spark hashes neither variants nor maps."""
+    return any(kind in field.dataType.simpleString() for kind in ("variant", "map<"))
+
+
 def salted_join(
     rows: DataFrame,
     lookup: DataFrame,
@@ -83,7 +89,8 @@ def salted_join(
 ) -> DataFrame:
     """Join by shuffle; rows of hot keys are spread, their lookup rows repeated.
 
-    ``row_id`` names columns that tell rows apart, so that a row gets the same salt in every attempt.
+    ``row_id`` names columns that tell rows apart, so that a row gets the same salt in every attempt; by
+    default all that can be hashed.
     ``keys_from`` holds the same keys as ``rows`` but is cheaper to read, such as the scan below it.
     """
     on = list(on)
@@ -93,7 +100,8 @@ def salted_join(
     key_is_hot = F.xxhash64(*on).isin(hot)
     if salts is None:
         salts = max(MIN_SALTS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    spread = F.pmod(F.xxhash64(*(row_id or rows.columns)), F.lit(salts)).cast("int")
+    told_apart_by = row_id or [f.name for f in rows.schema if not _has_no_hash(f)]
+    spread = F.pmod(F.xxhash64(*told_apart_by), F.lit(salts)).cast("int")
     every = F.sequence(F.lit(0), F.lit(salts - 1))
     left = rows.withColumn("_salt", F.when(key_is_hot, spread).otherwise(0))
     right = lookup.withColumn(

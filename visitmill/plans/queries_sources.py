@@ -187,7 +187,7 @@ def event_records(spark: SparkSession, folder: str) -> DataFrame:
         kind.alias("STUDY_ID"),
     )
     parsed = table(spark, folder, "events").select(
-        "event_type", F.try_parse_json(F.to_json(record)).alias("record")
+        "event_id", "event_type", F.try_parse_json(F.to_json(record)).alias("record")
     )
     return parsed
 
@@ -203,7 +203,8 @@ def api_records(spark: SparkSession, folder: str) -> DataFrame:
     """API rows: "" for a column no record of the pull has, null where only this record lacks it."""
     records = event_records(spark, folder)
     present = cut_lineage(mapping.present_targets(records, ["event_type"]))
-    rows = skew.lookup_join(records, present, ["event_type"], keys_from=table(spark, folder, "events"))
+    events = table(spark, folder, "events")
+    rows = skew.lookup_join(records, present, ["event_type"], row_id=["event_id"], keys_from=events)
     flat = mapping.normalize_records(rows, keep=["event_type"])
     return flat.select("event_type", "subjectId", "studySiteNumber", "cohort", "strata", "studyId")
 
