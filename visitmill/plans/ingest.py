@@ -127,7 +127,7 @@ def _pull(pages: DataFrame | None, runs: list[Run], settings: Settings) -> DataF
         wanted = pages.where(F.col("study_id").isin([r.study_id for r in asking]))
         parsed = P.parse_pages(wanted)
         index = cut_lineage(
-            P.index_pages(parsed, pull, page_size=settings.page_size, columns=S.TARGETS)
+            P.index_pages(parsed, pull, page_size=max(1, settings.page_size), columns=S.TARGETS)
         )
         extent = cut_lineage(P.pull_extent(index, pull))
         known = cut_lineage(P.pull_columns(index, extent, pull))
@@ -247,7 +247,7 @@ def ingest(
 ) -> list[dict[str, Any]]:
     """Ingest the studies and return one summary per study.
 
-    ``pages`` has ``study_id, page, body``: the landed answers of the API. A study without pages is one
+    ``pages`` has ``study_id, page, body``: the landed answers of the API, from page 1. A study without pages is one
     whose API did not answer. A failed write gives the status ``FAILED`` and a reason, not an exception.
     """
     runs = start_runs(spark, study_ids, settings, configs=configs, sponsors=sponsors, mode=mode)
