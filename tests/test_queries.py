@@ -10,9 +10,10 @@ import pytest
 import __spark_entry__ as entry
 from check import digest
 from visitmill.functions import skew
+from visitmill.plans import catalog
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).is_dir(), reason="no test tables")
 
@@ -28,6 +29,7 @@ def db():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
