@@ -1,6 +1,6 @@
 """All queries of the subpackage, with their SQL."""
 
-from visitmill.llm import bpe, chat, exact_dedup, line_dedup, secrets  # noqa: F401
+from visitmill.llm import bpe, chat, exact_dedup, language, line_dedup, quality, secrets  # noqa: F401
 from visitmill.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
