@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitmill.llm.common import query, slices, table
+from visitmill.llm.common import extended, query, slices, table
 
 # Pre-tokens kept with their ids per task, and pre-tokens taken at a time from a very long text.
 CACHED = 400_000
@@ -170,7 +170,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str, pattern: str, *, text_column: s
     model = model_bytes(ranks)
     others = [c for c in docs.columns if c not in (text_column, "ids")]
     inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)], F.col(f"`{text_column}`").alias("text"))
-    schema = inner.drop("text").schema.add("ids", "binary")
+    schema = extended(inner.drop("text").schema, "ids binary")
     encoded = inner.mapInArrow(_encoding(model, pattern, unreached(model, ranks)), schema)
     return encoded.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(others)], "ids")
 
@@ -181,7 +181,7 @@ def bpe_decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     tokens = [by_rank.get(r, b"") for r in range(max(by_rank, default=-1) + 1)]
     others = [c for c in encoded.columns if c not in ("ids", "decoded")]
     inner = encoded.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)], "ids")
-    out = inner.mapInArrow(_decoding(tokens), inner.schema.add("decoded", "binary"))
+    out = inner.mapInArrow(_decoding(tokens), extended(inner.schema, "decoded binary"))
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(others)], "ids", "decoded")
 
 

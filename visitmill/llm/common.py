@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,3 +60,8 @@ def slices(batch: pa.RecordBatch, text: str, most: int = 8 * 1024 * 1024) -> Ite
 def uniform(seed: int, *columns: str) -> Column:
     """A number from 0 up to 1 that is a function of the columns' values."""
     return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(1 << 52)).cast("double") / float(1 << 52)
+
+
+def extended(schema: T.StructType, ddl: str) -> T.StructType:
+    """The schema with the columns of ``ddl`` after it."""
+    return T.StructType([*schema.fields, *T.StructType.fromDDL(ddl).fields])

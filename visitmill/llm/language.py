@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitmill.llm.common import held_out, query, slices, table, uniform
+from visitmill.llm.common import extended, held_out, query, slices, table, uniform
 
 # The sample that is learned from: documents per language, windows per document, characters per window.
 DOCUMENTS, WINDOWS, WINDOW_CHARS = 500, 3, 96
@@ -289,9 +289,7 @@ def identify(docs: DataFrame, net: Network | None, *, text_column: str = "text")
     )
     keeps_text = text_column in others
     carried = inner.withColumn("same", F.col("text")) if keeps_text else inner
-    schema = carried.drop("text", "lettered").schema
-    for name, kind in zip(added, ("string", "double", "map<string,bigint>")):
-        schema = schema.add(name, kind)
+    schema = extended(carried.drop("text", "lettered").schema, "lang_pred string, score double, letters map<string,bigint>")
     found = carried.mapInArrow(_labelling(net), schema)
     named = [F.col("same" if c == text_column else f"c{i}").alias(c) for i, c in enumerate(others)]
     return found.select(*named, *added)

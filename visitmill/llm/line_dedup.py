@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitmill.functions import skew
-from visitmill.llm.common import BLANKS, query, slices, table
+from visitmill.llm.common import BLANKS, extended, query, slices, table
 from visitmill.session import cut_lineage
 
 MIN_CHARS = 20
@@ -124,9 +124,11 @@ def line_dedup(
     drops = cut_lineage(
         hits.where(F.col("doc_id") != F.col("keeper")).groupBy("r1", "r2").agg(F.collect_set("at").alias("drops"))
     )
-    joined = skew.lookup_join(keyed, drops, ["r1", "r2"], row_id=["r1", "r2"], keys_from=keyed.select("r1", "r2"))
+    # Texts meet their positions by shuffle at every size. Only rows repeated whole share a key here; AQE
+    # splits those.
+    joined = keyed.join(drops, ["r1", "r2"], "left")
     carried = joined.select(*inner.values(), "text", "drops")
-    out = carried.select(*inner.values()).schema.add("text", "string").add("n_lines", "long").add("n_dropped", "long")
+    out = extended(carried.select(*inner.values()).schema, "text string, n_lines long, n_dropped long")
     cleaned = carried.mapInArrow(without_lines, out)
     back = {c: F.col(n).alias(c) for c, n in inner.items()} | {text_column: F.col("text").alias(text_column)}
     return cleaned.select(*[back[c] for c in docs.columns if c in back], "n_lines", "n_dropped")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitmill.llm.common import held_out, query, slices, table, uniform
+from visitmill.llm.common import extended, held_out, query, slices, table, uniform
 
 # The sample that is learned from: documents per class, and bytes of text in all. The bound is on whole
 # documents: a document is taken whole or not at all.
@@ -241,7 +241,7 @@ def score_quality(docs: DataFrame, model: Classifier | None, *, text_column: str
         plain = docs.select(*[F.col(f"`{c}`") for c in others], F.lit(0.5).alias("score"))
         return plain.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
     inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)], F.col(f"`{text_column}`").alias("text"))
-    schema = inner.drop("text").schema.add("score", "double").add("predicted", "int")
+    schema = extended(inner.drop("text").schema, "score double, predicted int")
     scored = inner.mapInArrow(_scoring(model.slopes(), model.offset(), threshold), schema)
     return scored.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(others)], "score", "predicted")
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitmill.llm.common import query, slices, table
+from visitmill.llm.common import extended, query, slices, table
 
 # The forms of the contract. The first is looked up in text with A-Z as a-z.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([a-z0-9+/_.=-]+)"""
@@ -26,7 +26,7 @@ KINDS = ["assign", "access", "hex", "entropy"]
 BASE = KINDS[:3]
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 12, 18, 16
 
-SPANS = "array<struct<kind:string,start:int,end:int>>"
+SPANS = "spans array<struct<kind:string,start:int,end:int>>"
 
 
 @dataclass(frozen=True)
@@ -147,8 +147,7 @@ def find_secrets(
                 ]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, kind)], names=["id", "spans"])
 
-    schema = named.select("id").schema.add("spans", SPANS)
-    return named.mapInArrow(run, schema).withColumnRenamed("id", id_column)
+    return named.mapInArrow(run, extended(named.select("id").schema, SPANS)).withColumnRenamed("id", id_column)
 
 
 def listed(spans: Column) -> Column:
