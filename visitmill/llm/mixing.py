@@ -20,7 +20,7 @@ from visitmill.session import cut_lineage
 MARGINS = ("source", "lang", "topic")
 # Without targets of its own, a margin's target shares are its token shares to this power, made to add up to 1.
 TEMPERATURE = 0.95
-SWEEPS, SEED = 8, 17
+SWEEPS, SEED = 6, 17
 # Fixed value: digits of the digest that make the number of a document, and the power of two they reach.
 DIGITS, REACH = 12, float(1 << 48)
 
