@@ -130,7 +130,8 @@ def owners(
                 trie.insert(*found[0])  # one string alone is held, however long
                 break
             out = spilled[prefix] = open(os.path.join(folder, f"{len(spilled)}-{prefix[:8].hex()}"), "w+b")  # noqa: SIM115
-            lengths = sorted({len(p) for p in spilled})
+            # The longest prefix first: what once went to a file keeps going there.
+            lengths = sorted({len(p) for p in spilled}, reverse=True)
             for item in found:
                 pickle.dump(item, out)
     yield from trie.items()

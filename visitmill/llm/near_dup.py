@@ -413,7 +413,7 @@ def near_duplicates(
 
     A text that is null or without words is linked with nothing. Rows that repeat an id are documents
     of their own; if their texts differ, they still fall into one class. Rows without id take part under
-    a negative number made from their text. Other columns are not read; an empty table gives no rows.
+    a number made from their text, larger than other ids. Other columns are not read; an empty table gives no rows.
     """
     forest = Forest(TREES, DEPTH, prefix_length(threshold, recall))
     named = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), F.xxhash64(text_column).alias("told"))
@@ -423,7 +423,7 @@ def near_duplicates(
             "doc_id long, told long, d1 long, d2 long, size int, keys array<long>, signature binary",
         )
     )
-    number = F.coalesce("doc_id", F.shiftright("d1", 2) - F.lit(1 << 62))
+    number = F.coalesce("doc_id", F.shiftright("d1", 2) + F.lit(1 << 62))
     own = marks.withColumn("id", number)
     first = F.min(F.struct("id", "told", "doc_id"))
     classes = cut_lineage(
