@@ -62,20 +62,21 @@ def test_has_more(spark):
 
 
 @pytest.mark.parametrize(
-    ("bodies", "last", "failed"),
+    ("bodies", "last", "problem"),
     [
-        ([{"data": TWO}, {"data": ROW}, {"data": TWO}], 2, False),
-        ([{"data": TWO}, {"data": TWO}], 2, False),
-        ([{"data": TWO}, b"no json", {"data": ROW}], 3, True),
-        ([{"data": ROW}, b"no json"], 1, False),
-        ([b"no json"], 1, True),
-        ([TWO, {"data": TWO}], 1, False),
+        ([{"data": TWO}, {"data": ROW}, {"data": TWO}], 2, None),
+        ([{"data": TWO}, {"data": TWO}], 2, "no last page"),
+        ([{"data": TWO}, b"no json", {"data": ROW}], 3, "unreadable page"),
+        ([{"data": ROW}, b"no json"], 1, None),
+        ([b"no json"], 1, "unreadable page"),
+        ([TWO, {"data": TWO}], 1, None),
     ],
 )
-def test_extent(spark, bodies, last, failed):
+def test_extent(spark, bodies, last, problem):
     index = P.index_pages(parsed(spark, bodies), ["pull"], page_size=2, columns=["a"])
     extent = P.pull_extent(index, ["pull"])
-    assert tuple(extent.first()) == ("p", last, failed)
+    failed = problem is not None
+    assert tuple(extent.first()) == ("p", last, failed, problem)
     known = P.pull_columns(index, extent, ["pull"]).collect()
     assert len(known) == (not failed)
     if not failed:
@@ -84,12 +85,36 @@ def test_extent(spark, bodies, last, failed):
         assert known[0].present == ["a"]
 
 
-def test_page_cap(spark):
-    pages = spark.range(1, 2101).select(F.lit("p").alias("pull"), F.col("id").alias("page"), F.lit('{"data":[{}]}').alias("body"))
+def numbered(spark, numbers, last):
+    mark = F.when(F.col("id") == last, ',"last":true}').otherwise("}")
+    body = F.concat(F.lit('{"data":[{}]'), mark)
+    listed = spark.createDataFrame([(n,) for n in numbers], "id long")
+    return listed.select(F.lit("p").alias("pull"), F.col("id").alias("page"), body.alias("body"))
+
+
+@pytest.mark.parametrize(
+    ("numbers", "last", "problem", "kept"),
+    [
+        (range(1, 2104), 2103, None, 2103),
+        (range(1, 2104), None, "no last page", 0),
+        ([1, 2, 4], 4, "missing page", 0),
+        ([2, 3], 3, "missing page", 0),
+        ([1, 1, 2, 2, 5], 2, None, 4),
+    ],
+)
+def test_pages_beyond_two_thousand_gaps_and_ends(spark, numbers, last, problem, kept):
+    pages = numbered(spark, numbers, last)
     index = P.index_pages(P.parse_pages(pages), ["pull"], page_size=1)
     extent = P.pull_extent(index, ["pull"])
-    assert extent.first().last_page == 2000
-    assert P.pages_in_pull(pages, extent, ["pull"]).count() == 2000
+    assert extent.first().problem == problem
+    assert P.pages_in_pull(pages, extent, ["pull"]).count() == kept
+
+
+def test_field_names_that_look_like_types(spark):
+    record = {"VOIDED": 1, "AVOID": None, "OBJECT<": {"VOID": 2, "a:b": [{"VOID": None}]}, "q`q": True}
+    flat = P.typed_records(P.explode_rows(parsed(spark, [[record]])))
+    assert sorted(flat.columns) == ["AVOID", "OBJECT<.VOID", "OBJECT<.a:b", "VOIDED", "q`q"]
+    assert (flat.first()["VOIDED"], flat.first()["OBJECT<.VOID"]) == (1, 2)
 
 
 def test_records(spark):

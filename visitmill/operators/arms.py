@@ -122,18 +122,35 @@ def resolve_arm(
     return df.withColumn("_group", value).withColumn("arm", text.blank_to_null(arm)).drop("_group")
 
 
+def _null_safe(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The frame with non-null stand-ins of the keys, by which null equals null."""
+    stand_ins = {f"_key_{k}": F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys}
+    flags = {f"_none_{k}": F.col(k).isNull() for k in keys}
+    return df.withColumns(stand_ins | flags), [*stand_ins, *flags]
+
+
 def first_arms(rows: DataFrame, *, order: str) -> DataFrame:
     """First arm per subject within the rows; reduced per task before the shuffle."""
     armed = rows.where(F.col("arm").isNotNull())
     return armed.groupBy(*REGISTRY_KEY).agg(F.min_by("arm", order).alias("arm"))
 
 
+def registered(registry: DataFrame) -> DataFrame:
+    """One active row per key: the first by ``createdAt``, then by arm; the table has no unique key."""
+    active = registry.where("isActive")
+    by_age = [F.coalesce("createdAt", F.lit("9999-12-31").cast("timestamp"))] if "createdAt" in registry.columns else []
+    first = F.min(F.struct(*[c.alias(f"o{i}") for i, c in enumerate(by_age)], F.col("assignedBudgetArm").alias("arm")))
+    named = active.where(F.col("assignedBudgetArm").isNotNull()).groupBy(*REGISTRY_KEY).agg(first.alias("first"))
+    return named.select(*REGISTRY_KEY, F.col("first.arm").alias("_known"))
+
+
 def known_arms(rows: DataFrame, registry: DataFrame, *, order: str) -> DataFrame:
-    """Arm that stays for each subject: the registered one, else the first of this run."""
-    known = registry.where("isActive").select(*REGISTRY_KEY, F.col("assignedBudgetArm").alias("_known"))
-    both = first_arms(rows, order=order).join(known, REGISTRY_KEY, "full_outer")
+    """Arm that stays for each subject: the registered one, else the first of this run. Null keys are equal."""
+    seen, keys = _null_safe(first_arms(rows, order=order), REGISTRY_KEY)
+    known, _ = _null_safe(registered(registry), REGISTRY_KEY)
+    both = seen.withColumnsRenamed({k: f"_seen_{k}" for k in REGISTRY_KEY}).join(known, keys, "full_outer")
     return both.select(
-        *REGISTRY_KEY,
+        *[F.coalesce(F.col(k), F.col(f"_seen_{k}")).alias(k) for k in REGISTRY_KEY],
         F.coalesce("_known", "arm").alias("registered_arm"),
         F.col("_known").isNull().alias("is_new"),
     )
@@ -147,8 +164,10 @@ def check_registry(
     keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``registered_arm`` and ``arm_changed``. ``arms`` is best written before, as it is counted."""
-    known = arms.drop("is_new")
-    joined = skew.lookup_join(rows, known, REGISTRY_KEY, row_id=row_id, keys_from=keys_from)
+    left, keys = _null_safe(rows, REGISTRY_KEY)
+    known, _ = _null_safe(arms.drop("is_new"), REGISTRY_KEY)
+    cheap = None if keys_from is None else _null_safe(keys_from, REGISTRY_KEY)[0]
+    joined = skew.lookup_join(left, known.drop(*REGISTRY_KEY), keys, row_id=row_id, keys_from=cheap).drop(*keys)
     changed = F.col("arm") != F.col("registered_arm")
     return joined.withColumn("arm_changed", F.coalesce(changed, F.lit(False)))
 

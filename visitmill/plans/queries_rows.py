@@ -296,38 +296,50 @@ def arm_hybrid(spark: SparkSession, folder: str) -> DataFrame:
     return _arms(arms.resolve_arm(rows))
 
 
+def _site(subject: str) -> Column:
+    """Subjects of every third number have no site."""
+    return F.when(F.col(subject) % 3 != 0, "1")
+
+
 def armed_orders(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "orders").select(
         "o_orderkey",
         F.lit("S").alias("studyId"),
-        F.lit("1").alias("siteId"),
+        _site("o_custkey").alias("siteId"),
         F.col("o_custkey").cast("string").alias("subjectId"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("arm"),
     )
 
 
 def supplier_registry(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "supplier").select(
+    """Two active rows per registered subject; the older one counts."""
+    twice = F.explode(F.array(F.struct(F.lit("1-URGENT").alias("arm"), F.lit(2021).alias("year")), F.struct(F.lit("2-HIGH").alias("arm"), F.lit(2020).alias("year"))))
+    return table(spark, folder, "supplier").withColumn("row", twice).select(
         F.lit("S").alias("studyId"),
-        F.lit("1").alias("siteId"),
+        _site("s_suppkey").alias("siteId"),
         F.col("s_suppkey").cast("string").alias("subjectId"),
-        F.lit("2-HIGH").alias("assignedBudgetArm"),
+        F.col("row.arm").alias("assignedBudgetArm"),
+        F.make_timestamp(F.col("row.year"), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("createdAt"),
         (F.col("s_nationkey") % 3 != 0).alias("isActive"),
     )
 
 
 _KNOWN = """
-    rows AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS arm FROM orders),
-    first AS (SELECT o_custkey AS subject, arg_min(arm, o_orderkey) AS arm FROM rows WHERE arm IS NOT NULL GROUP BY 1),
-    known AS (SELECT coalesce(s_suppkey, subject) AS subject, coalesce(kept, arm) AS registered, kept IS NULL AS is_new
-              FROM first FULL OUTER JOIN (SELECT s_suppkey, '2-HIGH' AS kept FROM supplier WHERE s_nationkey % 3 <> 0)
-              ON subject = s_suppkey)"""
+    rows AS (SELECT o_orderkey, o_custkey AS subject, CASE WHEN o_custkey % 3 <> 0 THEN '1' END AS site,
+                    CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS arm FROM orders),
+    first AS (SELECT subject, site, arg_min(arm, o_orderkey) AS arm FROM rows WHERE arm IS NOT NULL GROUP BY ALL),
+    registry AS (SELECT s_suppkey AS subject, CASE WHEN s_suppkey % 3 <> 0 THEN '1' END AS site, arm, year
+                 FROM supplier, (VALUES ('1-URGENT', 2021), ('2-HIGH', 2020)) v(arm, year) WHERE s_nationkey % 3 <> 0),
+    kept AS (SELECT subject, site, arg_min(arm, year) AS kept FROM registry GROUP BY ALL),
+    known AS (SELECT coalesce(k.subject, f.subject) AS subject, coalesce(k.site, f.site) AS site,
+                     coalesce(kept, arm) AS registered, kept IS NULL AS is_new
+              FROM first f FULL OUTER JOIN kept k ON f.subject = k.subject AND f.site IS NOT DISTINCT FROM k.site)"""
 
 
 @query(f"""
     WITH {_KNOWN}
     SELECT o_orderkey, registered AS registered_arm, coalesce(arm <> registered, false) AS arm_changed
-    FROM rows LEFT JOIN known ON o_custkey = subject
+    FROM rows r LEFT JOIN known k ON r.subject = k.subject AND r.site IS NOT DISTINCT FROM k.site
 """)
 def registry_immutability(spark: SparkSession, folder: str) -> DataFrame:
     """The first arm of a subject stays; orders with another arm have changed it."""
@@ -339,7 +351,7 @@ def registry_immutability(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"""
     WITH {_KNOWN}
-    SELECT 'S' AS "studyId", '1' AS "siteId", cast(subject AS varchar) AS "subjectId",
+    SELECT 'S' AS "studyId", site AS "siteId", cast(subject AS varchar) AS "subjectId",
            registered AS "assignedBudgetArm", 'run' AS "firstSeenRunId" FROM known WHERE is_new
 """)
 def registry_new_subjects(spark: SparkSession, folder: str) -> DataFrame:

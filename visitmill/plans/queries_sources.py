@@ -160,15 +160,24 @@ _MORE = """CASE length(text) % 5 WHEN 0 THEN false WHEN 1 THEN true WHEN 2 THEN
            WHEN 3 THEN turn + 1 < 3 ELSE true END"""
 
 
+# Some pulls lack their second page, others never end.
+_LANDED = "NOT (conv_id % 7 = 3 AND turn = 1)"
+_PULLS = f"""
+    p AS (SELECT conv_id, turn + 1 AS page, role, text, {_MORE} AS more FROM conversations WHERE {_LANDED}),
+    ends AS (SELECT conv_id, min(CASE WHEN NOT more THEN page END) AS last_page, max(page) AS top FROM p GROUP BY 1),
+    seen AS (SELECT p.conv_id, count(DISTINCT page) AS n FROM p JOIN ends e ON p.conv_id = e.conv_id
+             WHERE page <= last_page GROUP BY 1)
+"""
+
+
 @query(f"""
-    WITH p AS (SELECT conv_id, turn + 1 AS page, role, text, {_MORE} AS more FROM conversations),
-    e AS (SELECT conv_id, coalesce(min(CASE WHEN NOT more THEN page END), max(page)) AS last_page FROM p
-          GROUP BY 1)
-    SELECT p.conv_id, p.page, role, text FROM p JOIN e ON p.conv_id = e.conv_id AND page <= last_page
+    WITH {_PULLS}
+    SELECT p.conv_id, p.page, role, text FROM p JOIN ends e ON p.conv_id = e.conv_id AND page <= last_page
+    JOIN seen s ON p.conv_id = s.conv_id AND s.n = last_page
 """)
 def page_cutoff(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows of the pages that belong to each pull."""
-    bodies = conversation_pages(spark, folder)
+    """Rows of the pages that belong to each pull; pulls with a gap or without end have none."""
+    bodies = conversation_pages(spark, folder).where(F.expr(_LANDED.replace("turn", "page - 1")))
     index = pages.index_pages(pages.parse_pages(bodies), ["conv_id"], page_size=1)
     extent = cut_lineage(pages.pull_extent(index, ["conv_id"]))
     rows = pages.explode_rows(pages.parse_pages(pages.pages_in_pull(bodies, extent, ["conv_id"])))
@@ -176,6 +185,38 @@ def page_cutoff(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("conv_id", "page", *values)
 
 
+@query(f"""
+    WITH {_PULLS}
+    SELECT e.conv_id, coalesce(last_page, top) AS last_page,
+           CASE WHEN last_page IS NULL THEN 'no last page' WHEN n < last_page THEN 'missing page' END AS problem
+    FROM ends e LEFT JOIN seen s ON e.conv_id = s.conv_id
+""")
+def pull_problems(spark: SparkSession, folder: str) -> DataFrame:
+    """Where each pull ends, and why it failed if it did."""
+    bodies = conversation_pages(spark, folder).where(F.expr(_LANDED.replace("turn", "page - 1")))
+    index = pages.index_pages(pages.parse_pages(bodies), ["conv_id"], page_size=1)
+    return pages.pull_extent(index, ["conv_id"]).select("conv_id", "last_page", "problem")
+
+
+@query("""
+    WITH n AS (SELECT max(event_id) AS top FROM events),
+    p AS (SELECT event_id % 3 AS pull, event_id // 3 + 1 AS page, event_id > top - 3 AND event_id % 3 < 2 AS ends,
+                 event_id FROM events, n)
+    SELECT pull, max(page) AS last_page, count(*) AS rows FROM p GROUP BY 1 HAVING bool_or(ends)
+""")
+def long_pulls(spark: SparkSession, folder: str) -> DataFrame:
+    """Three pulls over all events, thousands of pages each; the last one has no end and gives nothing."""
+    events = table(spark, folder, "events")
+    top = events.agg(F.max("event_id")).first()[0] or 0
+    pull, ends = F.col("event_id") % 3, (F.col("event_id") > top - 3) & (F.col("event_id") % 3 < 2)
+    body = F.concat(F.lit('{"data":['), "props", F.lit("]"), F.when(ends, ',"last":true}').otherwise("}"))
+    landed = events.select(pull.alias("pull"), (F.floor(F.col("event_id") / 3) + 1).alias("page"), body.alias("body"))
+    index = cut_lineage(pages.index_pages(pages.parse_pages(landed), ["pull"], page_size=1))
+    extent = pages.pull_extent(index, ["pull"])
+    known = cut_lineage(pages.pull_columns(index, extent, ["pull"]))
+    return known.select("pull", "last_page", F.col("row_count").alias("rows"))
+
+
 def event_records(spark: SparkSession, folder: str) -> DataFrame:
     """Events as JSON records under target names; each event type is one pull."""
     kind, value = F.col("event_type"), F.col("value")
@@ -211,12 +252,14 @@ def api_records(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""
     SELECT event_id AS id, cast(json_extract(props, '$.k') AS bigint) AS "p.k", event_type AS "p.q.kind",
+           user_id AS "VOIDED", CAST(NULL AS varchar) AS "AVOID", user_id AS "OBJECT<",
            '[' || user_id || ',' || event_id || ']' AS list FROM events
 """)
 def flatten_records(spark: SparkSession, folder: str) -> DataFrame:
     """Nested records as dotted columns, with the schema found from the data; lists stay whole."""
     body = F.concat(
-        F.lit('{"id":'), "event_id", F.lit(',"list":['), "user_id", F.lit(","), "event_id", F.lit('],"p":'),
+        F.lit('{"id":'), "event_id", F.lit(',"VOIDED":'), "user_id", F.lit(',"AVOID":null,"OBJECT<":'), "user_id",
+        F.lit(',"list":['), "user_id", F.lit(","), "event_id", F.lit('],"p":'),
         F.regexp_replace("props", r"\}\s*$", ""), F.lit(',"q":{"kind":"'), "event_type", F.lit('"}}}'),
     )
     records = table(spark, folder, "events").select(F.parse_json(body).alias("record"))

@@ -70,9 +70,8 @@ ARM_MODES = [
 ]
 PAY_MODES = ["PER_TIMEPOINT", "LUMP_SUM", "IGNORE"]
 
-# Label of the rows that came from the API, page cap, page size, sizes and limits.
+# Label of the rows that came from the API, page size, sizes and limits.
 API_LABEL = "subject_visits.csv"
-MAX_PAGES = 2000
 PAGE_SIZE = 500
 HEAD_BYTES = 16_384
 STEM_LIMIT = 200

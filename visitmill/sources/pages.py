@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -76,7 +77,7 @@ def index_pages(
     if columns:
         every = F.flatten(F.transform("rows", record_columns))
         found = F.array_intersect(every, F.array(*[F.lit(c) for c in columns]))
-    return parsed.where(F.col(page) <= S.MAX_PAGES).select(
+    return parsed.select(
         *pull,
         F.col(page).alias("page"),
         F.col("payload").isNull().alias("bad"),
@@ -87,17 +88,28 @@ def index_pages(
 
 
 def pull_extent(index: DataFrame, pull: Sequence[str]) -> DataFrame:
-    """Per pull: its last page, whether it failed, and its number of rows; one aggregate.
+    """Per pull: its last page, whether it failed, and its ``problem``, null if it did not fail.
 
-    A pull fails if a page up to its end cannot be parsed.
+    A pull ends with the first page that says so. It fails if a page up to there cannot be parsed
+    (``unreadable page``), if no page ends it (``no last page``), or if the pages from 1 to its end have
+    a gap (``missing page``): then the next request is not known to have succeeded.
     """
     ends = index.groupBy(*pull).agg(
         F.min(F.when(F.col("ends"), F.col("page"))).alias("_end"),
         F.min(F.when(F.col("bad"), F.col("page"))).alias("_bad"),
         F.max("page").alias("_top"),
     )
+    numbers = index.select(*pull, "page").where(F.col("page") >= 1)
+    placed = skew.lookup_join(numbers, ends.select(*pull, "_end"), pull, how="inner", row_id=[*pull, "page"])
+    seen = placed.where(F.col("page") <= F.col("_end")).groupBy(*pull, "page").agg(F.lit(1).alias("_one"))
+    counted = ends.join(seen.groupBy(*pull).agg(F.count("*").alias("_seen")), list(pull), "left")
     last = F.coalesce("_end", "_top")
-    return ends.select(*pull, last.alias("last_page"), F.coalesce(F.col("_bad") <= last, F.lit(False)).alias("failed"))
+    problem = (
+        F.when(F.col("_bad") <= last, "unreadable page")
+        .when(F.col("_end").isNull(), "no last page")
+        .when(F.coalesce("_seen", F.lit(0)) < F.col("_end"), "missing page")
+    )
+    return counted.select(*pull, last.alias("last_page"), problem.isNotNull().alias("failed"), problem.alias("problem"))
 
 
 def pull_columns(index: DataFrame, extent: DataFrame, pull: Sequence[str]) -> DataFrame:
@@ -110,12 +122,11 @@ def pull_columns(index: DataFrame, extent: DataFrame, pull: Sequence[str]) -> Da
 def pages_in_pull(pages: DataFrame, extent: DataFrame, pull: Sequence[str], *, page: str = "page") -> DataFrame:
     """Pages up to the end of each pull that did not fail, with what ``extent`` knows about the pull.
 
-    ``pages`` are best not parsed yet: then only those that stay are. A small ``extent`` is broadcast; a
-    pull has at most 2000 pages, so none is hot beyond that.
+    ``pages`` are best not parsed yet: then only those that stay are. A small ``extent`` is broadcast;
+    otherwise the pages of hot pulls are spread.
     """
-    ended = extent.where(~F.col("failed")).drop("failed") if "failed" in extent.columns else extent
-    wanted = pages.where(F.col(page) <= S.MAX_PAGES)
-    joined = skew.lookup_join(wanted, ended, pull, how="inner", row_id=[*pull, page], keys_from=wanted.select(*pull))
+    ended = extent.where(~F.col("failed")).drop("failed", "problem") if "failed" in extent.columns else extent
+    joined = skew.lookup_join(pages, ended, pull, how="inner", row_id=[*pull, page], keys_from=pages.select(*pull))
     return joined.where(F.col(page) <= F.col("last_page")).drop("last_page")
 
 
@@ -160,9 +171,19 @@ def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
     return df.select(*leaves(df.schema.fields, None, ""))
 
 
+# A field name with its colon, or a type that has another name in a schema. Names are looked at first,
+# so that they stay as they are.
+_SCHEMA_PART = re.compile(r"((?:`(?:[^`]|``)*`|\w+)\s*:)|\b(OBJECT(?=<)|VOID)\b")
+
+
+def struct_schema(variant_schema: str) -> str:
+    """The schema of a variant as DDL; a field that is null everywhere is text."""
+    types = {"OBJECT": "STRUCT", "VOID": "STRING"}
+    return _SCHEMA_PART.sub(lambda m: m[1] or types[m[2]], variant_schema)
+
+
 def typed_records(records: DataFrame, *, record: str = "record") -> DataFrame:
     """Records as flat typed columns. One pass finds the merged schema, one reads the values."""
     merged = records.agg(F.schema_of_variant_agg(F.col(record))).first()[0]
-    ddl = merged.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
-    typed = records.select(F.try_variant_get(record, "$", ddl).alias("r"))
+    typed = records.select(F.try_variant_get(record, "$", struct_schema(merged)).alias("r"))
     return flatten(typed.select("r.*"))
