@@ -287,10 +287,11 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     before = None
     for _ in range(rounds):
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # Written, so that both sides of the join are plain shuffles, which AQE splits at a hot vertex.
+        least = cut_lineage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         pairs = cut_lineage(large.where("u <> v").distinct())
-        least = pairs.groupBy("u").agg(F.min("v").alias("m"))
+        least = cut_lineage(pairs.groupBy("u").agg(F.min("v").alias("m")))
         small = pairs.join(least, "u")
         small = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             least.select("u", F.col("m").alias("v"))
