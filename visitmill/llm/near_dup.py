@@ -41,9 +41,9 @@ ROOTS = 4096
 # Texts and shingles of a part; a tile holds two parts.
 PART_TEXTS, PART_SHINGLES = 500, 1_500_000
 # Shared shingles per matrix product.
-COLUMNS = 16_384
+COLUMNS = 4_096
 WORD = re.compile(r"\w+")
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 200_000
 MIX = np.uint64(0x9E3779B97F4A7C15)  # 2^64 divided by the golden ratio, odd
 
 
@@ -117,7 +117,7 @@ def _marking(forest: Forest, words: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 4 * 1024 * 1024):
                 digests, sizes, keys, signatures = [], [], [], []
                 for text in part.column("text").to_pylist():
                     x = shingles(text, known, words)
