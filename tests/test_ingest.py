@@ -189,8 +189,8 @@ def test_api_failure_falls_back_to_all_files(spark, settings):
 
 
 def test_api_only(spark, settings):
-    with pytest.raises(I.PullError):
-        I.ingest(spark, ["T1"], settings, mode="API_ONLY")
+    [summary] = I.ingest(spark, ["T1"], settings, mode="API_ONLY")
+    assert summary["ingestionStatus"] == "FAILED" and "none landed" in summary["failureReason"]
     [summary] = I.ingest(spark, ["T1"], settings, pages=pages(spark, [[{"subjectId": "a"}], [{"subjectId": "b"}]]))
     assert summary["subjectVisitSourceMode"] == "API_ONLY" and summary["rowCount"] == 1
 
@@ -222,6 +222,51 @@ def test_many_studies_in_one_call(spark, settings, landing, mappings):
     assert {(r.studyId, r.sponsorId) for r in log.collect()} == {("T1", "demo"), ("T2", "other")}
 
 
+@pytest.mark.parametrize("mode", ["SFTP_ONLY", "API_FIRST", "API_ONLY"])
+def test_one_bad_study_among_three(spark, settings, landing, mappings, mode, monkeypatch):
+    for study in ("T2", "T3"):
+        (landing / study).mkdir()
+        (landing / study / "subjectgrp_x.csv").write_text("SUBJECT_ID\nz\n")
+    landed = [("T1", 1, "no json"), *[(s, 1, '[{"subjectId": "a"}]') for s in ("T2", "T3")]]
+    frame = spark.createDataFrame(landed, "study_id string, page int, body string")
+    index_files = L.index_files
+
+    def unreadable(spark, landing, studies, *more):
+        if "T1" in studies:
+            raise OSError("cannot read T1")
+        return index_files(spark, landing, studies, *more)
+
+    monkeypatch.setattr(L, "index_files", unreadable)
+    got = I.ingest(spark, ["T1", "T2", "T3"], settings, mappings=mappings, pages=frame, mode=mode)
+    assert [s["ingestionStatus"] for s in got] == ["FAILED", "INGESTED", "INGESTED"]
+    assert got[0]["failureReason"] and got[0]["rowCount"] == 0
+    log = spark.read.schema(S.RUN_LOG).parquet(f"{settings.output}/{I.RUN_TABLE}")
+    assert {(r.studyId, r.status) for r in log.collect()} == {("T1", "FAILED"), ("T2", "INGESTED"), ("T3", "INGESTED")}
+
+
+def test_one_failed_write_among_two(spark, settings, landing, mappings, monkeypatch):
+    (landing / "T2").mkdir()
+    (landing / "T2" / "subjectgrp_x.csv").write_text("SUBJECT_ID\nz\n")
+    write = I.write_normalized
+
+    def failing(rows, output):
+        if not rows.where("study_id = 'T1'").isEmpty():
+            raise OSError("no space for T1")
+        write(rows, output)
+
+    monkeypatch.setattr(I, "write_normalized", failing)
+    one, two = I.ingest(spark, ["T1", "T2"], settings, mappings=mappings, mode="SFTP_ONLY")
+    assert (one["ingestionStatus"], one["failureReason"]) == ("FAILED", "no space for T1")
+    assert (two["ingestionStatus"], two["rowCount"]) == ("INGESTED", 1)
+
+
+def test_rows_that_cannot_be_counted_are_still_written(spark, settings, mappings, monkeypatch):
+    monkeypatch.setattr(I, "_count_objects", lambda *_: 1 / 0)
+    [summary] = I.ingest(spark, ["T1"], settings, mappings=mappings, mode="SFTP_ONLY")
+    assert summary["ingestionStatus"] == "INGESTED" and "not counted" in summary["failureReason"]
+    assert tables.read_run(spark, settings.output, "T1", summary["runId"]).count() == 7
+
+
 def test_large_files_are_streamed_alike(spark, landing):
     columns = ["file_name", "content_hash", "header", "delimiter", "multi_line", "has_rows", "category"]
     whole = L.index_files(spark, str(landing), ["T1"]).select(columns).orderBy("file_name").collect()

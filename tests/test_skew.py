@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from visitmill.functions import skew
@@ -67,18 +68,34 @@ def test_fits_broadcast(spark):
 
 def test_ordinals_by_ranges(spark):
     rows = skewed(spark, 3000).withColumn("at", F.col("id") * 1_000_003 - 10**9)
-    got = skew.bucketed_ordinal(rows, ["k"], "at", "n", width=50 * 1_000_003).collect()
-    seen: dict[int, int] = {}
-    for row in sorted(got, key=lambda r: r["at"]):
-        assert row.n == seen.get(row.k, 0)
-        seen[row.k] = row.n + 1
-    assert len(got) == 3000
+    for cuts in (None, [], skew.range_cuts(rows, "at", per_range=50)):
+        got = skew.bucketed_ordinal(rows, ["k"], "at", "n", cuts).collect()
+        seen: dict[int, int] = {}
+        for row in sorted(got, key=lambda r: r["at"]):
+            assert row.n == seen.get(row.k, 0)
+            seen[row.k] = row.n + 1
+        assert len(got) == 3000
 
 
-def test_range_width():
-    assert skew.range_width(0, 999, 1000, per_range=100) == 100
-    assert skew.range_width(0, 10**12, 1000, per_range=100) == 10**11 + 1
-    assert skew.range_width(None, None, 0) == 1
+def test_ranges_stay_balanced_with_an_outlier(spark):
+    rows = spark.range(10_000).select(F.when(F.col("id") == 0, 10**18).otherwise(F.col("id")).alias("at"))
+    cuts = skew.range_cuts(rows, "at", per_range=1000)
+    sizes = rows.groupBy(skew.range_number(F.col("at"), cuts).alias("r")).count().collect()
+    assert len(sizes) == 10 and max(r["count"] for r in sizes) <= 1200
+    assert skew.range_cuts(rows, "at") == [] and skew.range_cuts(rows.limit(0), "at") == []
+
+
+@pytest.mark.parametrize("cuts", [[], [5], [0, 3, 3, 9], list(range(0, 70, 7))])
+def test_range_number(spark, cuts):
+    got = spark.range(-2, 80).select("id", skew.range_number(F.col("id"), cuts).alias("r")).collect()
+    assert all(r.r == sum(c <= r.id for c in cuts) for r in got)
+
+
+def test_null_groups_are_numbered(spark):
+    rows = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "g string, at long")
+    for cuts in ([], [2]):
+        got = skew.bucketed_ordinal(rows, ["g"], "at", "n", cuts).orderBy("at").collect()
+        assert [r.n for r in got] == [0, 1, 0]
 
 
 def brute_stems(labels: list[str]) -> list[str]:
@@ -95,9 +112,9 @@ def brute_stems(labels: list[str]) -> list[str]:
     return out
 
 
-def check_stems(spark, labels, width):
+def check_stems(spark, labels, per_range):
     df = spark.createDataFrame(list(enumerate(labels)), "i long, l string")
-    got = {r.i: r.stem for r in stems.unique_stems(df, F.col("l"), "i", width=width).collect()}
+    got = {r.i: r.stem for r in stems.unique_stems(df, F.col("l"), "i", per_range=per_range).collect()}
     assert [got[i] for i in range(len(labels))] == brute_stems(labels)
 
 
@@ -126,7 +143,17 @@ def test_unique_stems_cut_at_the_limit(spark):
 
 
 def test_unique_stems_within_a_scope(spark):
-    rows = [(s, i, "a") for s in ("one", "two") for i in range(3)]
+    rows = [(s, i, "a") for s in ("one", "two", None, "") for i in range(3)]
     df = spark.createDataFrame(rows, "s string, i long, l string")
     got = stems.unique_stems(df, F.col("l"), "i", scope=["s"]).orderBy("s", "i").collect()
-    assert [r.stem for r in got] == ["a", "a_1", "a_2"] * 2
+    assert [r.stem for r in got] == ["a", "a_1", "a_2"] * 4
+    longs = df.withColumn("l", F.repeat(F.lit("y"), 250))
+    assert stems.unique_stems(longs, F.col("l"), "i", scope=["s"]).count() == 12
+
+
+def test_cut_stems_take_few_rounds(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(stems, "cut_lineage", lambda df, own=stems.cut_lineage: (written.append(1), own(df))[1])
+    labels = ["y" * 220 + "ab"[i % 2] for i in range(300)]
+    check_stems(spark, labels, None)
+    assert len(written) <= 8

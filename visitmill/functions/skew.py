@@ -110,48 +110,69 @@ def salted_join(
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
-def range_width(first: int | None, last: int | None, rows: int, per_range: int = RANGE_ROWS) -> int:
-    """Width that cuts ``first`` to ``last`` into one range per ``per_range`` rows."""
-    if not rows or first is None or last is None:
-        return 1
-    return max(1, -(-(last - first + 1) // -(-rows // per_range)))
+def range_cuts(df: DataFrame, order: str, rows: int | None = None, per_range: int | None = None) -> list[int]:
+    """Values of an integer column that cut the rows into ranges of about ``per_range`` rows.
 
+    Quantiles from a sketch, so outliers do not move rows together; none if one range is enough.
+    """
+    rows = df.agg(F.count(order)).first()[0] if rows is None else rows
+    parts = -(-rows // (per_range or RANGE_ROWS))
+    if parts < 2:
+        return []
+    shares = [i / parts for i in range(1, parts)]
+    found = df.agg(F.percentile_approx(order, shares, max(10_000, 20 * parts))).first()[0] or []
+    return sorted(set(found))
+
+
+def range_number(order: Column, cuts: Sequence[int]) -> Column:
+    """How many of the sorted ``cuts`` are at most ``order``, by a search that halves the list."""
+    if not cuts:
+        return F.lit(0)
+    listed = F.array(*[F.lit(c).cast("long") for c in cuts])
+    steps = [1 << i for i in range(len(cuts).bit_length() - 1, -1, -1)]
+
+    def further(found: Column, step: Column) -> Column:
+        return F.when(F.get(listed, found + step - 1) <= order, found + step).otherwise(found)
 
-def order_width(df: DataFrame, order: str) -> int:
-    """Width of the ranges of an integer column, from its bounds and the number of rows."""
-    found = df.agg(F.min(order), F.max(order), F.count(order)).first()
-    return range_width(*found)
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), further)
 
 
 def bucketed_sum_before(
-    df: DataFrame, group: Sequence[str], order: str, flag: Column, name: str, width: int | None = None
+    df: DataFrame, group: Sequence[str], order: str, flag: Column, name: str, cuts: Sequence[int] | None = None
 ) -> DataFrame:
     """Add how many flagged rows of the group come before each row, by a non-null integer ``order``.
 
     A plain window would sort a hot group in one task. Here each group is cut into ranges of ``order``;
     windows run within a range, and the totals of earlier ranges are added. There is one range per
-    million rows, so both the windows and the list of ranges stay small; one shuffle moves the rows.
+    million rows, so both the windows and the list of ranges stay small; one shuffle moves the rows. A
+    null in ``group`` is a group of its own.
     """
     group = list(group)
-    width = width or order_width(df, order)
-    cut = df.withColumn("_range", F.expr(f"`{order}` div {width}")).withColumn("_flag", flag.cast("long"))
+    cuts = range_cuts(df, order) if cuts is None else cuts
+    cut = df.withColumn("_range", range_number(F.col(order), cuts)).withColumn("_flag", flag.cast("long"))
     within = Window.partitionBy(*group, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    local = cut.withColumn("_local", F.coalesce(F.sum("_flag").over(within), F.lit(0)))
+    if not cuts:
+        return local.withColumn(name, F.col("_local")).drop("_range", "_flag", "_local")
     ranges = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(ranges), F.lit(0))
     offsets = (
         cut.groupBy(*group, "_range")
         .agg(F.sum("_flag").alias("_n"))
-        .select(*group, "_range", F.coalesce(F.sum("_n").over(ranges), F.lit(0)).alias("_offset"))
+        .select(*[F.col(g).alias(f"_group_{i}") for i, g in enumerate(group)], F.col("_range").alias("_at"), before.alias("_offset"))
     )
+    same = F.col("_range") == F.col("_at")
+    for i, g in enumerate(group):
+        same &= F.col(g).eqNullSafe(F.col(f"_group_{i}"))
     return (
-        cut.withColumn("_local", F.coalesce(F.sum("_flag").over(within), F.lit(0)))
-        .join(offsets, [*group, "_range"])
+        local.join(offsets, same)
         .withColumn(name, F.col("_local") + F.col("_offset"))
-        .drop("_range", "_flag", "_local", "_offset")
+        .drop("_range", "_flag", "_local", "_offset", "_at", *[f"_group_{i}" for i in range(len(group))])
     )
 
 
 def bucketed_ordinal(
-    df: DataFrame, group: Sequence[str], order: str, name: str, width: int | None = None
+    df: DataFrame, group: Sequence[str], order: str, name: str, cuts: Sequence[int] | None = None
 ) -> DataFrame:
     """Number the rows of each group from 0 by a unique integer ``order``."""
-    return bucketed_sum_before(df, group, order, F.lit(1), name, width)
+    return bucketed_sum_before(df, group, order, F.lit(1), name, cuts)

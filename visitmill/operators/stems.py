@@ -9,6 +9,7 @@ so a base that holds most of the rows is no single task's work. Only bases whose
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,12 +53,12 @@ def _settle(pairs: DataFrame, scope: list[str]) -> DataFrame:
     """
     state = pairs.select(*scope, "parent", "child", "number", "earlier")
     state = cut_lineage(state.withColumn("holds", F.lit(True)))
-    key, width = [*scope, "parent"], skew.order_width(state, "number")
+    key, cuts = [*scope, "parent"], skew.range_cuts(state, "number")
     while True:
         lost_own = state.where(~F.col("holds")).select(
             *scope, F.col("child").alias("parent"), F.lit(1).alias("own")
         )
-        counted = skew.bucketed_sum_before(state, key, "number", F.col("holds"), "smaller", width)
+        counted = skew.bucketed_sum_before(state, key, "number", F.col("holds"), "smaller", cuts)
         lost = F.col("smaller") + F.coalesce("own", F.lit(0))
         judged = skew.lookup_join(counted, lost_own, key, row_id=[*scope, "child"])
         judged = judged.withColumn("now", F.col("earlier") <= F.col("number") - lost)
@@ -73,7 +74,7 @@ def _settle(pairs: DataFrame, scope: list[str]) -> DataFrame:
 
 
 def _taken_numbers(
-    items: DataFrame, pairs: DataFrame, scope: list[str], order: str, width: int
+    items: DataFrame, pairs: DataFrame, scope: list[str], order: str, cuts: Sequence[int]
 ) -> DataFrame:
     # Occurrences of the parent that came before the child's first: markers counted among the rows.
     pairs = cut_lineage(pairs)
@@ -84,12 +85,12 @@ def _taken_numbers(
     markers = pairs.select(*scope, F.col("parent").alias("base"), F.col("child_first").alias("at"), "child")
     marked = rows.withColumn("child", F.lit(None).cast("string")).unionByName(markers)
     is_row = F.col("child").isNull()
-    counted = skew.bucketed_sum_before(marked, key, "at", is_row, "earlier", width)
+    counted = skew.bucketed_sum_before(marked, key, "at", is_row, "earlier", cuts)
     earlier = counted.where(F.col("child").isNotNull()).select(*scope, "child", "earlier")
     return _settle(pairs.join(earlier, [*scope, "child"]), scope)
 
 
-def _skip_taken(numbered: DataFrame, taken: DataFrame, scope: list[str]) -> DataFrame:
+def _skip_taken(numbered: DataFrame, taken: DataFrame, scope: list[str], total: int) -> DataFrame:
     """Add ``number``: the ordinal plus the taken numbers that come before the free one it reaches.
 
     The i-th taken number ``t`` is skipped from ordinal ``t - i`` on, so that counting such marks
@@ -101,7 +102,7 @@ def _skip_taken(numbered: DataFrame, taken: DataFrame, scope: list[str]) -> Data
     )
     rows = numbered.withColumn("place", 2 * F.col("ordinal") + 1).withColumn("mark", F.lit(False))
     both = rows.unionByName(marks, allowMissingColumns=True)
-    counted = skew.bucketed_sum_before(both, key, "place", F.col("mark"), "skips", skew.RANGE_ROWS)
+    counted = skew.bucketed_sum_before(both, key, "place", F.col("mark"), "skips", skew.range_cuts(both, "place", total))
     return (
         counted.where(~F.col("mark"))
         .withColumn("number", F.col("ordinal") + F.col("skips"))
@@ -109,12 +110,34 @@ def _skip_taken(numbered: DataFrame, taken: DataFrame, scope: list[str]) -> Data
     )
 
 
-def _settle_cut(items: DataFrame, scope: list[str], order: str) -> DataFrame:
+def _allot(items: DataFrame, scope: list[str], order: str, total: int) -> DataFrame:
+    """Add ``number``: what each row would take if no natural name were in the way.
+
+    Numbers of the same length leave a base the same first characters, so bases that share these draw from
+    one pool, in the order of the rows. The first row of a base takes the plain name; each round gives
+    out the pools of one length, so there are as many rounds as the count has digits.
+    """
+    done = [items.where("ordinal = 0").withColumn("number", F.lit(0).cast("long"))]
+    rest, digits, room = items.where("ordinal > 0"), 1, 0
+    while room < total:
+        pool = 9 * 10 ** (digits - 1)
+        cut = F.substring("base", 1, S.STEM_LIMIT - 1 - digits)
+        placed = skew.bucketed_ordinal(rest.withColumn("_cut", cut), [*scope, "_cut"], order, "_place")
+        placed = cut_lineage(placed)
+        taken = placed.where(F.col("_place") < pool).withColumn("number", F.col("_place") + 10 ** (digits - 1))
+        done.append(taken.drop("_cut", "_place"))
+        rest = placed.where(F.col("_place") >= pool).drop("_cut", "_place")
+        room, digits = room + pool, digits + 1
+    return reduce(DataFrame.unionByName, done)
+
+
+def _settle_cut(items: DataFrame, scope: list[str], order: str, total: int) -> DataFrame:
     """Names for bases that are cut at the limit: propose, keep the earliest, let the rest go on.
 
-    Rows that lose a name to an earlier one try their next number, until no row loses.
+    The proposals are right unless a natural name equals a numbered one. Rows that lose a name to an
+    earlier one try their next number, until no row loses.
     """
-    current = items.withColumn("number", F.col("ordinal"))
+    current = _allot(items, scope, order, total)
     name = [*scope, "stem"]
     while True:
         named = cut_lineage(current.withColumn("stem", text.numbered_stem(F.col("base"), F.col("number"))))
@@ -134,27 +157,28 @@ def unique_stems(
     order: str,
     *,
     scope: Sequence[str] = (),
-    width: int | None = None,
+    per_range: int | None = None,
     name: str = "stem",
 ) -> DataFrame:
     """Add a stem for each row, unique within ``scope``, in the order of a unique integer column.
 
-    ``width`` is the width of the ranges in which a base is numbered; by default it follows the data.
+    ``per_range`` is about how many rows are numbered together; a null scope is one of its own.
     """
-    scope = list(scope)
+    # Stand-ins of the scope that are never null, so that rows of a null scope meet in the joins below.
+    told = {f"_scope_{i}": F.coalesce(F.col(c).cast("string"), F.lit("")) for i, c in enumerate(scope)}
+    told |= {f"_no_scope_{i}": F.col(c).isNull() for i, c in enumerate(scope)}
+    scope = list(told)
     key = [*scope, "base"]
-    items = df.withColumn("base", text.safe_stem(label))
-    totals = items.groupBy(*key).agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("n"))
+    items = df.withColumn("base", text.safe_stem(label)).withColumns(told)
+    totals = items.groupBy(*key).agg(F.min(order).alias("first"), F.count("*").alias("n"))
     bases = cut_lineage(totals)
     is_cut = (F.col("n") > 1) & (F.length("base") > S.STEM_LIMIT - SUFFIX_CHARS)
     found = bases.agg(
-        F.min("first").alias("first"),
-        F.max("last").alias("last"),
         F.sum("n").alias("n"),
         F.bool_or(is_cut).alias("cut"),
         F.bool_or(F.col("base").rlike(_NUMBERED)).alias("numbered"),
     ).first()
-    at = width or skew.range_width(found.first, found.last, found.n)
+    at = skew.range_cuts(items, order, found.n or 0, per_range)
     numbered = skew.bucketed_ordinal(items, key, order, "ordinal", at)
     family = F.substring("base", 1, FAMILY_CHARS)
     plain, rest = numbered, None
@@ -165,13 +189,13 @@ def unique_stems(
             numbered.withColumn("family", family), families, [*scope, "family"], row_id=[*scope, order]
         )
         plain = marked.where(F.col("is_cut").isNull()).drop("family", "is_cut")
-        rest = _settle_cut(marked.where("is_cut").drop("family", "is_cut"), scope, order)
+        rest = _settle_cut(marked.where("is_cut").drop("family", "is_cut"), scope, order, found.n)
     pairs = _meeting_bases(bases, scope)
     if not found.numbered or pairs.isEmpty():
         plain = plain.withColumn("number", F.col("ordinal"))
     else:
-        plain = _skip_taken(plain, _taken_numbers(items, pairs, scope, order, at), scope)
+        plain = _skip_taken(plain, _taken_numbers(items, pairs, scope, order, at), scope, found.n)
     named = plain.withColumn("stem", text.numbered_stem(F.col("base"), F.col("number")))
     if rest is not None:
         named = named.unionByName(rest)
-    return named.withColumnRenamed("stem", name).drop("base", "ordinal", "number")
+    return named.withColumnRenamed("stem", name).drop("base", "ordinal", "number", *scope)

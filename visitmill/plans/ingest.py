@@ -13,6 +13,7 @@ from datetime import UTC, datetime
 from functools import reduce
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,10 +32,6 @@ RUN_TABLE = "file_ingestion_log"
 FILE_TABLE = "sftp_file_read_log"
 
 
-class PullError(RuntimeError):
-    """The API did not answer and the mode allows no files instead."""
-
-
 @dataclass(frozen=True)
 class Settings:
     """Where things are. ``landing`` holds one folder per study; ``output`` gets all tables.
@@ -76,6 +73,13 @@ class Run:
     def rows(self) -> int:
         return sum(self.objects.values())
 
+    @property
+    def failed(self) -> bool:
+        return self.status == "FAILED"
+
+    def fail(self, reason: object) -> None:
+        self.status, self.reason, self.objects = "FAILED", str(reason)[:2048], {}
+
     def keys(self) -> list[str]:
         place = f"normalized/{tables.run_folder(self.study_id, self.run_id)}"
         return [f"{place}/source_stem={stem}" for stem in self.objects]
@@ -114,12 +118,14 @@ def start_runs(
 def _pull(pages: DataFrame | None, runs: list[Run], settings: Settings) -> DataFrame | None:
     """Pages that belong to the pulls of the studies that ask the API; marks the runs whose pull failed.
 
+    A study that takes nothing but API rows fails without a usable pull; the others are not touched.
+
     Bodies are parsed once for the page index, which is written, and once more for the rows.
     """
     asking = [r for r in runs if r.mode != "SFTP_ONLY"]
     if not asking:
         return None
-    failed: dict[str, bool] = {}
+    problems: dict[str, str | None] = {}
     filled: set[str] = set()
     wanted = known = None
     pull = ["study_id"]
@@ -131,30 +137,38 @@ def _pull(pages: DataFrame | None, runs: list[Run], settings: Settings) -> DataF
         )
         extent = cut_lineage(P.pull_extent(index, pull))
         known = cut_lineage(P.pull_columns(index, extent, pull))
-        failed = {r.study_id: r.failed for r in extent.collect()}
+        problems = {r.study_id: r.problem for r in extent.collect()}
         filled = {r.study_id for r in known.where("row_count > 0").select("study_id").collect()}
     for run in asking:
-        run.api_failed = failed.get(run.study_id, True)
+        run.api_failed = run.study_id not in problems or problems[run.study_id] is not None
         run.api_rows = run.study_id in filled
-    lost = [r.study_id for r in asking if r.api_failed and r.mode == "API_ONLY"]
-    if lost:
-        raise PullError(f"No usable API pages for: {', '.join(lost)}")
+        if run.api_failed and run.mode == "API_ONLY":
+            run.fail(f"No usable API pages: {problems.get(run.study_id, 'none landed')}")
     return None if wanted is None else P.pages_in_pull(wanted, known, pull)
 
 
 def _index(spark: SparkSession, runs: list[Run], settings: Settings) -> DataFrame:
-    """Index of the files the runs take; written once, as it reads every byte."""
+    """Index of the files the runs take; written once, as it reads every byte.
+
+    If it fails, each study is indexed on its own, so that only those with unreadable files are affected:
+    files only add to a pull that worked, but without it they are all there is, and the run fails.
+    """
     taking = [r for r in runs if r.mode != "API_ONLY"]
+
+    def indexed(studies: list[str]) -> DataFrame:
+        return cut_lineage(L.index_files(spark, settings.landing, studies, settings.whole_file_bytes))
+
     try:
-        index = L.index_files(
-            spark, settings.landing, [r.study_id for r in taking], settings.whole_file_bytes
-        )
-        index = cut_lineage(index)
-    except Exception:
-        # Files only add to a pull that worked; without it they are all there is.
-        if any(r.mode == "SFTP_ONLY" or r.api_failed for r in taking):
-            raise
-        return L.index_files(spark, settings.landing, [])
+        index = indexed([r.study_id for r in taking])
+    except Exception:  # which study it was shows below
+        parts = [L.index_files(spark, settings.landing, [])]
+        for run in taking:
+            try:
+                parts.append(indexed([run.study_id]))
+            except Exception as error:
+                if run.mode == "SFTP_ONLY" or run.api_failed:
+                    run.fail(error)
+        index = reduce(DataFrame.unionByName, parts)
     with_api = [r.study_id for r in taking if r.mode == "API_FIRST" and not r.api_failed]
     from_api = F.col("study_id").isin(with_api) & (F.col("category") == S.SUBJECT_VISIT)
     return index.where(~from_api)
@@ -225,14 +239,48 @@ def normalized_rows(
 def _count_objects(spark: SparkSession, runs: list[Run], settings: Settings) -> None:
     """Rows per written object, from the Parquet footers."""
     ids = {r.run_id: r for r in runs}
-    rows = tables.read_some_runs(spark, settings.output, [(r.study_id, r.run_id) for r in runs])
-    totals = rows.groupBy("run_id", "source_stem").agg(F.count("*").alias("n"))
-    for total in totals.orderBy("run_id", "source_stem").collect():
+    try:
+        rows = tables.read_some_runs(spark, settings.output, [(r.study_id, r.run_id) for r in runs])
+        totals = rows.groupBy("run_id", "source_stem").agg(F.count("*").alias("n"))
+        found = totals.orderBy("run_id", "source_stem").collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = []  # no run wrote anything
+    for total in found:
         ids[total.run_id].objects[total.source_stem] = total.n
     for run in runs:
         run.status = "INGESTED" if run.objects else "COMPLETED"
 
 
+def _write(
+    spark: SparkSession,
+    runs: list[Run],
+    settings: Settings,
+    index: DataFrame,
+    pulled: DataFrame | None,
+    rules: Mapping[str, Mapping[str, str]],
+    strict: bool,
+) -> None:
+    """Write the rows of the runs by one plan; if that fails, study by study, marking those that fail."""
+
+    def attempt(some: list[Run]) -> None:
+        mine = F.col("study_id").isin([r.study_id for r in some])
+        own, pages = index.where(mine), None if pulled is None else pulled.where(mine)
+        rows = normalized_rows(spark, own, pages, _places(spark, own, some), rules, strict=strict)
+        if rows is not None:
+            write_normalized(rows, settings.output)
+
+    try:
+        attempt(runs)
+    except Exception as error:  # the audit must show any failure
+        if len(runs) == 1:
+            runs[0].fail(error)
+            return
+        for run in runs:
+            _write(spark, [run], settings, index, pulled, rules, strict)
+
+
 def ingest(
     spark: SparkSession,
     study_ids: Sequence[str],
@@ -248,22 +296,24 @@ def ingest(
     """Ingest the studies and return one summary per study.
 
     ``pages`` has ``study_id, page, body``: the landed answers of the API, from page 1. A study without pages is one
-    whose API did not answer. A failed write gives the status ``FAILED`` and a reason, not an exception.
+    whose API did not answer. What fails for one study gives that study the status ``FAILED`` and a
+    reason, not an exception, and leaves the others alone.
     """
     runs = start_runs(spark, study_ids, settings, configs=configs, sponsors=sponsors, mode=mode)
     rules = mapping.collect_rules(mappings) if mappings is not None else {}
     pulled = _pull(pages, runs, settings)
-    index = _index(spark, runs, settings)
-    places = _places(spark, index, runs)
+    index = _index(spark, [r for r in runs if not r.failed], settings)
     now = datetime.now(UTC)
+    going = [r for r in runs if not r.failed]
+    if going:
+        _write(spark, going, settings, index, pulled, rules, strict)
+    written = [r for r in runs if not r.failed]
     try:
-        rows = normalized_rows(spark, index, pulled, places, rules, strict=strict)
-        if rows is not None:
-            write_normalized(rows, settings.output)
-            _count_objects(spark, runs, settings)
-    except Exception as error:  # the audit must show any failure
-        for run in runs:
-            run.status, run.reason, run.objects = "FAILED", str(error)[:2048], {}
+        if written:
+            _count_objects(spark, written, settings)
+    except Exception as error:  # what was written is there, counted or not
+        for run in written:
+            run.status, run.reason = "INGESTED", f"Written, but not counted: {error}"[:2048]
     _write_audits(spark, index, runs, settings, now)
     return [summarize(run, settings) for run in runs]
 

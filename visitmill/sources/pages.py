@@ -160,7 +160,7 @@ def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
     def leaves(fields: list[T.StructField], column: Column | None, prefix: str) -> list[Column]:
         out: list[Column] = []
         for field in fields:
-            here = F.col(f"`{field.name}`") if column is None else column.getField(field.name)
+            here = F.col("`" + field.name.replace("`", "``") + "`") if column is None else column.getField(field.name)
             name = f"{prefix}{sep}{field.name}" if prefix else field.name
             if isinstance(field.dataType, T.StructType):
                 out += leaves(field.dataType.fields, here, name)
