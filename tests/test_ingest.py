@@ -304,6 +304,44 @@ def test_line_ends_and_blank_lines(spark, tmp_path, end, whole):
     assert [r.c0 for r in L.read_group(spark, group).orderBy("source_block", "source_row").collect()] == ["1|x", "2|"]
 
 
+WIDE = ",".join(f"column_{i:06d}" for i in range(2_000)) + "|" * 3_000
+
+
+@pytest.mark.parametrize("whole", [0, 1 << 30])
+@pytest.mark.parametrize(
+    ("content", "delimiter", "header", "has_rows"),
+    [
+        ("\x0b\nSUBJECT_ID,COHORT\n1,x\n", ",", "SUBJECT_ID,COHORT", True),
+        ("SUBJECT_ID\n\x0b \x1f\n", ",", "SUBJECT_ID", False),
+        (f"{WIDE}\n1\n", "|", WIDE, True),
+        (" \n\t\n", ",", "", False),
+        ("A|B", "|", "A|B", False),
+    ],
+)
+def test_one_probe_for_all_sizes(spark, tmp_path, monkeypatch, whole, content, delimiter, header, has_rows):
+    monkeypatch.setattr(L, "PIECE_BYTES", 100)
+    (tmp_path / "in" / "T9").mkdir(parents=True)
+    (tmp_path / "in" / "T9" / "a.csv").write_bytes(content.encode())
+    row = L.index_files(spark, str(tmp_path / "in"), ["T9"], whole_file_bytes=whole).first()
+    assert (row.delimiter, row.header, row.has_rows) == (delimiter, header, has_rows)
+
+
+def test_surplus_cells_and_hidden_names_are_told(spark, settings, landing):
+    (landing / "T2").mkdir()
+    (landing / "T2" / "a.csv").write_text("SUBJECT_ID,COHORT\n1,x,EXTRA\n2,y\n3\n4,z,\n")
+    (landing / "T2" / "q.csv").write_text('SUBJECT_ID,COHORT\n1,"x\nx",EXTRA\n \n2,y\n')
+    (landing / "T2" / "_b.csv").write_text("SUBJECT_ID\n9\n")
+    (landing / "T2" / ".c.csv").write_text("SUBJECT_ID\n9\n")
+    [summary] = I.ingest(spark, ["T2"], settings, mode="SFTP_ONLY")
+    assert (summary["ingestionStatus"], summary["rowCount"]) == ("INGESTED", 6)
+    told = summary["failureReason"]
+    assert "1 rows of a have more cells" in told and "1 rows of q have" in told and "_b.csv" in told and ".c.csv" in told
+    rows = tables.read_run(spark, settings.output, "T2", summary["runId"])
+    assert [(r.subjectId, r._surplus) for r in rows.where("_surplus IS NOT NULL").collect()] == [("1", "EXTRA")] * 2
+    [summary] = I.ingest(spark, ["T2"], settings, mode="SFTP_ONLY", strict=True)
+    assert summary["ingestionStatus"] == "FAILED" and "More cells than the header has" in summary["failureReason"]
+
+
 def test_listing(spark, landing):
     got = L.list_files(spark, str(landing), ["T1", "missing"]).orderBy("file_name").collect()
     assert [r.file_name for r in got] == sorted(p.name for p in (landing / "T1").glob("*.csv"))

@@ -63,6 +63,7 @@ class Run:
     status: str = "COMPLETED"
     reason: str | None = None
     objects: dict[str, int] = field(default_factory=dict)
+    notes: list[str] = field(default_factory=list)
 
     @property
     def data_source(self) -> str:
@@ -200,7 +201,11 @@ def _file_rows(
         mapped = mapping.normalized_columns(
             cells, group.columns, rules.get(group.category, {}), group.category, strict=strict
         )
-        frames.append(rows.select("source_path", "source_block", "source_row", *mapped))
+        surplus = F.col("surplus")
+        if strict:
+            told = F.concat(F.lit("More cells than the header has: "), "source_path")
+            surplus = F.when(surplus.isNotNull(), F.raise_error(told)).otherwise(surplus)
+        frames.append(rows.select("source_path", "source_block", "source_row", surplus.alias(tables.SURPLUS), *mapped))
     return reduce(DataFrame.unionByName, frames) if frames else None
 
 
@@ -227,10 +232,13 @@ def normalized_rows(
         by_study = places.where(F.col("source_path").isNull()).drop("source_path")
         records = P.explode_rows(P.parse_pages(pulled))
         flat = mapping.normalize_records(records, keep=["study_id", "page", "position"])
+        placed = skew.lookup_join(
+            flat, by_study, ["study_id"], how="inner", row_id=["page", "position"], keys_from=pulled.select("study_id")
+        )
         frames.append(
-            flat.join(by_study, "study_id")
-            .withColumn("_source_block", F.col("page").cast("long"))
+            placed.withColumn("_source_block", F.col("page").cast("long"))
             .withColumn("_source_row", F.col("position").cast("long"))
+            .withColumn(tables.SURPLUS, F.lit(None).cast("string"))
         )
     columns = tables.WRITTEN.names
     return reduce(DataFrame.unionByName, [f.select(*columns) for f in frames]) if frames else None
@@ -241,7 +249,8 @@ def _count_objects(spark: SparkSession, runs: list[Run], settings: Settings) ->
     ids = {r.run_id: r for r in runs}
     try:
         rows = tables.read_some_runs(spark, settings.output, [(r.study_id, r.run_id) for r in runs])
-        totals = rows.groupBy("run_id", "source_stem").agg(F.count("*").alias("n"))
+        more = F.count_if(F.col(tables.SURPLUS).isNotNull())
+        totals = rows.groupBy("run_id", "source_stem").agg(F.count("*").alias("n"), more.alias("more"))
         found = totals.orderBy("run_id", "source_stem").collect()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
@@ -249,6 +258,8 @@ def _count_objects(spark: SparkSession, runs: list[Run], settings: Settings) ->
         found = []  # no run wrote anything
     for total in found:
         ids[total.run_id].objects[total.source_stem] = total.n
+        if total.more:
+            ids[total.run_id].notes.append(f"{total.more} rows of {total.source_stem} have more cells than the header")
     for run in runs:
         run.status = "INGESTED" if run.objects else "COMPLETED"
 
@@ -297,7 +308,8 @@ def ingest(
 
     ``pages`` has ``study_id, page, body``: the landed answers of the API, from page 1. A study without pages is one
     whose API did not answer. What fails for one study gives that study the status ``FAILED`` and a
-    reason, not an exception, and leaves the others alone.
+    reason, not an exception, and leaves the others alone. Rows with more cells than their header keep the first of these in
+    ``_surplus``; ``strict`` makes them fail the study. They, and files whose names Spark hides, are told in the reason.
     """
     runs = start_runs(spark, study_ids, settings, configs=configs, sponsors=sponsors, mode=mode)
     rules = mapping.collect_rules(mappings) if mappings is not None else {}
@@ -314,6 +326,11 @@ def ingest(
     except Exception as error:  # what was written is there, counted or not
         for run in written:
             run.status, run.reason = "INGESTED", f"Written, but not counted: {error}"[:2048]
+    for study, name in L.hidden_files(spark, settings.landing, [r.study_id for r in runs if r.mode != "API_ONLY"]):
+        next(r for r in runs if r.study_id == study).notes.append(f"{name} was not read, as Spark hides such names")
+    for run in runs:
+        if run.notes:
+            run.reason = "; ".join([*([run.reason] if run.reason else []), *run.notes])[:2048]
     _write_audits(spark, index, runs, settings, now)
     return [summarize(run, settings) for run in runs]
 

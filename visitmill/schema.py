@@ -73,7 +73,6 @@ PAY_MODES = ["PER_TIMEPOINT", "LUMP_SUM", "IGNORE"]
 # Label of the rows that came from the API, page size, sizes and limits.
 API_LABEL = "subject_visits.csv"
 PAGE_SIZE = 500
-HEAD_BYTES = 16_384
 STEM_LIMIT = 200
 PREVIEW_MAX = 100
 PREVIEW_DEFAULT = 10

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from visitmill.sources.tables import ORDER, PLACE, normalized_root
+from visitmill.sources.tables import ORDER, PLACE, SURPLUS, normalized_root
 from visitmill import schema as S
 
 
@@ -13,7 +13,7 @@ def write_normalized(rows: DataFrame, output: str) -> None:
 
     Spark commits the files of a job together, so a failed write leaves no object.
     """
-    placed = rows.select(*S.TARGETS, *ORDER, *PLACE)
+    placed = rows.select(*S.TARGETS, *ORDER, SURPLUS, *PLACE)
     placed.write.mode("append").partitionBy(*PLACE).parquet(normalized_root(output))
 
 

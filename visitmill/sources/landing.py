@@ -15,14 +15,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from visitmill import schema as S
 from visitmill.functions import text
 
 # Files up to this size are read as one value; larger ones are read in pieces.
 WHOLE_FILE_BYTES = 64 * 1024 * 1024
 PIECE_BYTES = 8 * 1024 * 1024
-# A first line longer than this is not a header.
-HEADER_BYTES = 1024 * 1024
+# Characters up to the blank; a line of nothing else is no line, as in Spark's own reader.
+BLANKS = bytes(range(33))
+# Fixed value: how names begin that Spark's file sources leave out.
+HIDDEN = ("_", ".")
 
 LISTING = T.StructType(
     [
@@ -92,25 +93,29 @@ def _odd_quotes(line: Column) -> Column:
     return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
 
 
+# A line of characters up to the blank, with the line ends after it.
+_BLANK_LINES = r"\A(?:[\x00-\x09\x0B\x0C\x0E-\x20]*[\r\n]+)*+"
+
+
 def probe_content(content: Column) -> list[Column]:
-    """Hash, head, header line and quoting of a file held in one value."""
+    """Hash, first line, header line and quoting of a file held in one value."""
     body = F.make_valid_utf8(content.cast("string"))
     any_odd = F.exists(F.split(body, "[\r\n]"), _odd_quotes)
     return [
         text.sha256(content).alias("content_hash"),
-        F.make_valid_utf8(F.substring(content, 1, S.HEAD_BYTES).cast("string")).alias("head"),
+        F.regexp_extract(body, r"\A[^\r\n]*", 0).alias("head"),
         # The header is the first line that is not blank.
-        F.regexp_extract(body, r"\A(?:[ \t]*[\r\n]+)*+([^\r\n]*)", 1).alias("header"),
+        F.regexp_extract(body, _BLANK_LINES + r"([^\r\n]*)", 1).alias("header"),
         F.when(body.contains('"'), any_odd).otherwise(False).alias("multi_line"),
-        body.rlike(r"\A(?:[ \t]*[\r\n]+)*+[^\r\n]*[\r\n]\s*+\S").alias("has_rows"),
+        body.rlike(_BLANK_LINES + r"[^\r\n]*[\r\n][\x00-\x20]*+[^\x00-\x20]").alias("has_rows"),
     ]
 
 
-def _stream_probe(names: list[str], head_bytes: int, header_bytes: int, piece_bytes: int) -> Callable:
+def _stream_probe(names: list[str], blanks: bytes, piece_bytes: int) -> Callable:
     """Task function that adds what :func:`probe_content` finds, reading files in pieces.
 
-    Memory does not grow with a file. All it needs is inside, so that executors need no copy of this
-    package.
+    Memory does not grow with a file, but for its longest line up to the header. All it needs is inside,
+    so that executors need no copy of this package.
     """
 
     def open_stream(path: str):
@@ -126,32 +131,30 @@ def _stream_probe(names: list[str], head_bytes: int, header_bytes: int, piece_by
 
     def probe_file(path: str) -> tuple:
         digest = hashlib.sha256()
-        first = b""
+        first = header = None
+        pending = b""
         in_quotes = multi_line = has_rows = False
-        place = "before header"
         with open_stream(path) as stream:
             while piece := stream.read(piece_bytes):
                 digest.update(piece)
                 piece = piece.replace(b"\r", b"\n")
-                first += piece[: max(0, header_bytes - len(first))]
                 if not multi_line and (in_quotes or b'"' in piece):
                     for number, line in enumerate(piece.split(b"\n")):
                         if number:
                             multi_line |= in_quotes
                             in_quotes = False
                         in_quotes ^= line.count(b'"') % 2 == 1
-                if not has_rows:
-                    rest = piece
-                    if place == "before header" and (rest := rest.lstrip()):
-                        place = "in header"
-                    if place == "in header":
-                        _, ended, rest = rest.partition(b"\n")
-                        place = "after header" if ended else place
-                    has_rows = place == "after header" and bool(rest.strip())
-        head = first[:head_bytes].decode("utf-8", errors="replace")
-        header = next((line for line in first.split(b"\n") if line.strip()), b"")
-        header = header.decode("utf-8", errors="replace")
-        return digest.hexdigest(), head, header, multi_line or in_quotes, has_rows
+                if header is None:
+                    *lines, pending = (pending + piece).split(b"\n")
+                    first = lines[0] if first is None and lines else first
+                    at = next((i for i, line in enumerate(lines) if line.strip(blanks)), None)
+                    if at is not None:
+                        header, piece = lines[at], b"\n".join([*lines[at + 1 :], pending])
+                if header is not None and not has_rows:
+                    has_rows = bool(piece.strip(blanks))
+        first, header = (pending if line is None else line for line in (first, header))
+        told = [line.decode("utf-8", errors="replace") for line in (first, header)]
+        return digest.hexdigest(), *told, multi_line or in_quotes, has_rows
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -161,6 +164,17 @@ def _stream_probe(names: list[str], head_bytes: int, header_bytes: int, piece_by
     return probe
 
 
+def hidden_files(spark: SparkSession, landing: str, study_ids: Sequence[str]) -> list[tuple[str, str]]:
+    """(study, name) of ``*.csv`` files that Spark's file sources do not show, from the file system itself."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    found = []
+    for study in study_ids:
+        path = jvm.org.apache.hadoop.fs.Path(f"{_literal(landing.rstrip('/'))}/{_literal(study)}/{{{','.join(HIDDEN)}}}*.csv")
+        statuses = path.getFileSystem(conf).globStatus(path) or []
+        found += [(study, status.getPath().getName()) for status in statuses if status.isFile()]
+    return sorted(found)
+
+
 def index_files(
     spark: SparkSession, landing: str, study_ids: Sequence[str], whole_file_bytes: int = WHOLE_FILE_BYTES
 ) -> DataFrame:
@@ -180,7 +194,7 @@ def index_files(
     if large.isEmpty():
         return _with_delimiter(small)
     # One file per task: large files are few and slow.
-    probe = _stream_probe(PROBE.names, S.HEAD_BYTES, HEADER_BYTES, PIECE_BYTES)
+    probe = _stream_probe(PROBE.names, BLANKS, PIECE_BYTES)
     streamed = large.repartition("path").mapInPandas(probe, T.StructType([*LISTING.fields, *PROBE.fields]))
     return _with_delimiter(small.unionByName(streamed))
 
@@ -227,7 +241,7 @@ def file_groups(index: DataFrame) -> list[FileGroup]:
     Only paths and headers reach the driver, as any Spark file scan lists its files there.
     """
     grouped = (
-        index.where(text.blank_to_null(F.col("header")).isNotNull())
+        index.where(F.col("header").rlike(r"[^\x00-\x20]"))
         .groupBy("category", "delimiter", "header", "multi_line")
         .agg(F.sort_array(F.collect_list("path")).alias("paths"))
     )
@@ -238,10 +252,11 @@ def file_groups(index: DataFrame) -> list[FileGroup]:
 def read_group(spark: SparkSession, group: FileGroup) -> DataFrame:
     """Rows of a group: cells as text columns ``c0``, ``c1``, …, and where each row came from.
 
-    Within a file, ``(source_block, source_row)`` ascends in file order.
+    Within a file, ``(source_block, source_row)`` ascends in file order. ``surplus`` is the first cell
+    beyond the header's, null if the row has no more cells or that one is empty.
     """
     cells = [f"c{i}" for i in range(len(group.columns))]
-    fields = [T.StructField(c, T.StringType()) for c in cells]
+    fields = [T.StructField(c, T.StringType()) for c in [*cells, "_more"]]
     reader = spark.read.options(sep=group.delimiter, header=True, escape='"', mode="PERMISSIVE")
     if group.multi_line:
         # A line of blanks is no row. Without multiLine, Spark leaves such lines out itself.
@@ -255,11 +270,13 @@ def read_group(spark: SparkSession, group: FileGroup) -> DataFrame:
         F.monotonically_increasing_id().alias("source_row"),
     )
     if group.multi_line:
+        # Every row is short of the cell beyond the header, so the raw record is there to be looked at.
         blank = (text.strip(F.col("_bad")) == "") & (text.strip(F.col("c0")) == "")
         located = located.where(~F.coalesce(blank, F.lit(False))).drop("_bad")
     return located.select(
-        *[text.na_to_null(F.col(c)).alias(c) for c in cells], "source_path", "source_block", "source_row"
-    )
+        *[text.na_to_null(F.col(c)).alias(c) for c in cells], F.col("_more").alias("surplus"),
+        "source_path", "source_block", "source_row",
+    )
 
 
 def read_files(spark: SparkSession, groups: Iterable[FileGroup]) -> DataFrame:

@@ -16,10 +16,13 @@ _ESCAPED = "\"#%'*/:=?\\{[]^\x7f"
 
 PLACE = ["study_id", "run_id", "source_stem"]
 ORDER = ["_source_block", "_source_row"]
+# First cell of a file row beyond those of its header.
+SURPLUS = "_surplus"
 WRITTEN = T.StructType(
     [
         *S.NORMALIZED.fields,
         *[T.StructField(c, T.LongType()) for c in ORDER],
+        T.StructField(SURPLUS, T.StringType()),
         *[T.StructField(c, T.StringType()) for c in PLACE],
     ]
 )
