@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitmill.functions import skew
-from visitmill.llm.common import BLANKS, query, table
+from visitmill.llm.common import query, table
 from visitmill.session import cut_lineage
 
 MARGINS = ("source", "lang", "topic")
@@ -25,28 +25,30 @@ SWEEPS, SEED = 6, 17
 DIGITS, REACH = 12, float(1 << 48)
 
 
-def tokens(text: Column) -> Column:
-    """Number of runs of characters that are no blanks."""
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+# Forms that the counts look for.
+BLANK, WORD = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]+"
+DIGIT, SIGN, CAPITAL = "[0-9]", r"[#$%&*+/<=>@\[\]^_{|}~!?]", "[A-Z]"
 
 
-def topic(text: Column) -> Column:
-    """A coarse topic by the kinds of characters: numbers, symbols, capitals or prose.
+def counted(docs: DataFrame, text: Column) -> DataFrame:
+    """``docs`` with ``n`` (runs of characters that are no blanks) and ``topic``, each count made once.
 
-    Shares are of all characters but blanks; the first that holds counts. Text without any is ``none``.
+    The topic is a coarse one by the kinds of characters: numbers, signs, capitals or prose; shares are of
+    all characters but blanks, and the first that holds counts. Text without any is ``none``.
     """
-    bare = F.translate(F.coalesce(text, F.lit("")), BLANKS, "")
-    digits = F.length(bare) - F.length(F.translate(bare, "0123456789", ""))
-    signs = F.length(bare) - F.length(F.translate(bare, "#$%&*+/<=>@[]^_{|}~!?", ""))
-    capitals = F.length(bare) - F.length(F.translate(bare, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))
-    size = F.length(bare)
-    return (
+    whole = F.coalesce(text, F.lit(""))
+    counts = {"_blank": BLANK, "n": WORD, "_digits": DIGIT, "_signs": SIGN, "_capitals": CAPITAL}
+    found = docs.select("*", F.length(whole).alias("_chars"), *[F.regexp_count(whole, F.lit(f)).alias(c) for c, f in counts.items()])
+    size = F.col("_chars") - F.col("_blank")
+    topic = (
         F.when(size == 0, "none")
-        .when(digits * 20 >= size, "numbers")
-        .when(signs * 20 >= size, "symbols")
-        .when(capitals * 4 >= size, "capitals")
+        .when(F.col("_digits") * 20 >= size, "numbers")
+        .when(F.col("_signs") * 20 >= size, "symbols")
+        .when(F.col("_capitals") * 4 >= size, "capitals")
         .otherwise("prose")
     )
+    own = found.withColumns({"topic": topic, "n": F.col("n").cast("long")})
+    return own.drop("_chars", "_blank", "_digits", "_signs", "_capitals")
 
 
 def tempered(cells: DataFrame, margin: str, temperature: float) -> DataFrame:
@@ -113,7 +115,7 @@ def mix(
 
     ``targets`` maps ``source``, ``lang`` or ``topic`` to shares by value; a margin without any gets its
     token shares to the power of ``temperature``. Without ``topic_column`` the topic is
-    :func:`topic`. A null margin value counts as the empty string. The probability of a document is the
+    :func:`counted`'s topic. A null margin value counts as the empty string. The probability of a document is the
     product of the factors of its three values, divided by the largest such product of all cells: the
     cell with the greatest need is kept whole, and the kept tokens have the target shares in
     expectation. Documents without tokens weigh nothing in the margins and get their cell's probability,
@@ -124,16 +126,20 @@ def mix(
     added = {"mix_tokens", "mix_topic", "mix_probability", "mix_kept"}
     kept = [c for c in docs.columns if c not in added]
     text = F.col(f"`{text_column}`")
-    own = {
-        "source": F.coalesce(F.col(f"`{source_column}`").cast("string"), F.lit("")),
-        "lang": F.coalesce(F.col(f"`{language_column}`").cast("string"), F.lit("")),
-        "topic": topic(text) if topic_column is None else F.coalesce(F.col(f"`{topic_column}`").cast("string"), F.lit("")),
-    }
-    inner = docs.select(
+    told = F.concat_ws(":", F.lit(str(seed)), F.col(f"`{id_column}`").cast("string"), text)
+    drawn = F.conv(F.substring(F.md5(told.cast("binary")), 1, DIGITS), 16, 10).cast("double") / REACH
+    row = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"),
-        *[c.alias(m) for m, c in own.items()],
-        tokens(text).alias("n"),
-    )
+        F.coalesce(F.col(f"`{source_column}`").cast("string"), F.lit("")).alias("source"),
+        F.coalesce(F.col(f"`{language_column}`").cast("string"), F.lit("")).alias("lang"),
+        text.alias("text"), drawn.alias("drawn"),
+        *([] if topic_column is None else [F.coalesce(F.col(f"`{topic_column}`").cast("string"), F.lit("")).alias("given")]),
+    )
+    marked = counted(row, F.col("text")).drop("text")
+    if topic_column is not None:
+        marked = marked.withColumn("topic", F.col("given")).drop("given")
+    # Texts are read and counted once; what follows reads the few columns it needs.
+    inner = cut_lineage(marked)
     cells = cut_lineage(inner.groupBy(*MARGINS).agg(F.sum("n").alias("n")).where("n > 0"))
     wanted = targets or {}
     shares = {
@@ -146,10 +152,8 @@ def mix(
     chances = cut_lineage(chances.select(*MARGINS, chance_column(MARGINS).alias("chance")))
     most = chances.agg(F.max("chance")).first()[0]
     named = chances.select(*MARGINS, F.coalesce(F.try_divide("chance", F.lit(most)), F.lit(0.0)).alias("chance"))
-    told = F.concat_ws(":", F.lit(str(seed)), F.col(f"row.`{id_column}`").cast("string"), F.col(f"row.`{text_column}`"))
-    drawn = F.conv(F.substring(F.md5(told.cast("binary")), 1, DIGITS), 16, 10)
     joined = skew.lookup_join(
-        inner, named, list(MARGINS), keys_from=inner.select(*MARGINS), row_id=["n", "row"]
+        inner, named, list(MARGINS), keys_from=inner.select(*MARGINS), row_id=["drawn", "n"]
     )
     chance = F.coalesce("chance", F.lit(0.0))
     return joined.select(
@@ -157,7 +161,7 @@ def mix(
         F.col("n").alias("mix_tokens"),
         F.col("topic").alias("mix_topic"),
         chance.alias("mix_probability"),
-        (drawn.cast("double") / REACH < chance).alias("mix_kept"),
+        (F.col("drawn") < chance).alias("mix_kept"),
     )
 
 
