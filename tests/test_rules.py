@@ -58,16 +58,37 @@ def test_bad_rules(spark):
         Rule("A", "v", "LIKE", None, "r")
 
 
-def test_rules_from_the_table(spark):
-    table = spark.createDataFrame(
-        [("B", None, "v", "EQUALS", "1", "r", None, True), ("A", "S", "v", "IS_NULL", None, "q", "BLOCKING", True),
-         ("C", None, "v", "IS_NULL", None, "q", "BLOCKING", False)],
+def rule_table(spark, *rules):
+    return spark.createDataFrame(
+        rules,
         "ruleId string, studyId string, columnName string, operator string, expectedValue string, "
         "rejectionReason string, ruleKind string, isActive boolean",
+    )
+
+
+def test_rules_as_data_agree_with_expressions(spark):
+    made = [Rule(f"R{i:02}", "v", o, e, f"r{i}", [None, "S1", "S2"][i % 3], ["BLOCKING", "NON_BLOCKING"][i % 2]) for i, (o, e, _) in enumerate(CASES)]
+    table = rule_table(spark, *[(r.rule_id, r.study_id, r.column, r.operator, r.expected, r.reason, r.kind, True) for r in made], ("X", None, "v", "IS_NULL", None, "off", None, False))
+    df = rows(spark).unionByName(rows(spark).withColumn("studyId", F.lit("S2"))).unionByName(rows(spark).withColumn("studyId", F.lit(None).cast("string")))
+    columns = ["i", "v", "studyId", "reasons", "blocking"]
+    want = sorted(str(r) for r in E.evaluate(df, made).select(columns).collect())
+    assert sorted(str(r) for r in E.evaluate_table(df, table).select(columns).collect()) == want
+    assert E.evaluate_table(df, table.limit(0)).where("size(reasons) > 0 OR blocking").isEmpty()
+    for bad in [("A", None, "w", "IS_NULL", None, "r", None, True), ("A", None, "v", "LIKE", None, "r", None, True)]:
+        with pytest.raises(ValueError):
+            E.evaluate_table(df, rule_table(spark, bad))
+
+
+def test_the_plan_does_not_grow_with_the_rules(spark):
+    many = spark.range(20_000).select(
+        F.concat(F.lit("R"), "id").alias("ruleId"), F.concat(F.lit("S"), F.col("id") % 50).alias("studyId"),
+        F.lit("v").alias("columnName"), F.lit("EQUALS").alias("operator"), F.col("id").cast("string").alias("expectedValue"),
+        F.col("ruleId").alias("rejectionReason"), F.lit(None).cast("string").alias("ruleKind"), F.lit(True).alias("isActive"),
     )
-    assert E.collect_rules(table) == [
-        Rule("A", "v", "IS_NULL", None, "q", "S", "BLOCKING"), Rule("B", "v", "EQUALS", "1", "r"),
-    ]
+    few, all_ = (E.evaluate_table(rows(spark), t)._jdf.queryExecution().analyzed().toString() for t in (many.limit(10), many))
+    assert len(all_) < 1.5 * len(few)
+    # 400 rules of the study, each of which wants a number that no row has.
+    assert {r.i: len(r.reasons) for r in E.evaluate_table(rows(spark), many).collect()} == dict.fromkeys(range(7), 400)
 
 
 def test_status_lists(spark):

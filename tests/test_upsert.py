@@ -36,13 +36,13 @@ def test_rules_are_updated_but_keep_who_made_them(spark):
 
 def test_last_source_of_a_target_stays(spark):
     rows = [dict(SITES[0], createdBy="a"), *SITES[1:]]
-    got = upsert.seed_mappings(empty(spark, S.COLUMN_MAPPING), rows, S.SUBJECT_GROUP, at(1)).collect()
+    got = upsert.seed_mappings(empty(spark, S.COLUMN_MAPPING), [(S.SUBJECT_GROUP, rows)], at(1)).collect()
     assert [(r.id, r.type, r.sourceColumn, r.createdBy) for r in got] == [(1, "subject_group", "SBJ_SITE_NUM", "a")]
 
 
 def test_categories_do_not_meet(spark):
-    base = upsert.seed_mappings(empty(spark, S.COLUMN_MAPPING), SITES[:1], S.SUBJECT_GROUP, at(1))
-    got = upsert.seed_mappings(base, SITES[1:2], S.MISC, at(1)).collect()
+    base = upsert.seed_mappings(empty(spark, S.COLUMN_MAPPING), [(S.SUBJECT_GROUP, SITES[:1])], at(1))
+    got = upsert.seed_mappings(base, [(S.MISC, SITES[1:2])], at(1)).collect()
     assert {(r.id, r.type, r.sourceColumn) for r in got} == {(1, "subject_group", "SITE_ID"), (2, "misc", "STUDY_SITE_ID")}
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitmill import schema as S
-from visitmill.functions import text
+from visitmill.functions import skew, text
 
 
 @dataclass(frozen=True)
@@ -38,20 +38,6 @@ class Rule:
             raise ValueError(f"{self.rule_id}: unknown kind {self.kind}")
 
 
-def collect_rules(table: DataFrame, limit: int = 5_000) -> list[Rule]:
-    """Active rules by id. Each becomes one column expression, so there must not be too many."""
-    rows = table.where("isActive").orderBy("ruleId").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"More than {limit} active eligibility rules.")
-    return [
-        Rule(
-            r.ruleId, r.columnName, r.operator, r.expectedValue, r.rejectionReason, r.studyId,
-            r.ruleKind or "NON_BLOCKING",
-        )
-        for r in rows
-    ]
-
-
 def _listed(texts: str | None) -> list[str]:
     return [t.strip() for t in (texts or "").split(",") if t.strip()]
 
@@ -106,6 +92,78 @@ def evaluate(df: DataFrame, rules: Sequence[Rule], *, study: str = "studyId") ->
     return df.withColumn("reasons", _reasons(ordered, study)).withColumn("blocking", blocking)
 
 
+RULES = "array<struct<id:string,name:string,operator:string,expected:string,reason:string,blocking:boolean,listed:array<string>>>"
+
+
+def rule_sets(table: DataFrame, study: str = "studyId") -> tuple[DataFrame, Column, list[str]]:
+    """Active rules as one sorted array per study, those of all studies among them; the array of the
+    latter alone; and the columns that rules name.
+
+    What reaches the driver are column names and the rules of all studies, which every row is held
+    against anyway.
+    """
+    active = table.where("isActive")
+    kind = F.coalesce("ruleKind", F.lit("NON_BLOCKING"))
+    wrong = active.where(~F.coalesce(F.col("operator").isin(S.RULE_OPERATORS), F.lit(False)) | ~kind.isin(S.RULE_KINDS))
+    if bad := wrong.select("ruleId", "operator", kind.alias("kind")).take(1):
+        raise ValueError(f"{bad[0].ruleId}: unknown operator {bad[0].operator} or kind {bad[0].kind}")
+    one = F.struct(
+        F.col("ruleId").alias("id"), F.col("columnName").alias("name"), "operator", F.col("expectedValue").alias("expected"),
+        F.col("rejectionReason").alias("reason"), (kind == "BLOCKING").alias("blocking"),
+        F.coalesce(listed(F.col("expectedValue")), F.array().cast("array<string>")).alias("listed"),
+    )
+    rules = active.select(F.col("studyId").alias(study), one.alias("rule"))
+    columns = sorted(r.name for r in rules.select("rule.name").distinct().collect())
+    general = rules.where(F.col(study).isNull()).agg(F.to_json(F.sort_array(F.collect_list("rule")))).first()[0]
+    shared = F.from_json(F.lit(general), RULES)
+    own = rules.where(F.col(study).isNotNull()).groupBy(study).agg(F.collect_list("rule").alias("_rules"))
+    return own.withColumn("_rules", F.sort_array(F.concat("_rules", shared))), shared, columns
+
+
+def _rule_passes(rule: Column, texts: Column, numbers: Column) -> Column:
+    """:func:`passes` for a rule that is data; the values of a row are maps by column name."""
+    value, number = F.try_element_at(texts, rule["name"]), F.try_element_at(numbers, rule["name"])
+    expected, bound = rule["expected"], rule["expected"].try_cast("double")
+    null, differs = text.is_blank(value), F.coalesce(value != expected, F.lit(True))
+    within = F.coalesce(F.array_contains(rule["listed"], value), F.lit(False))
+    operator = rule["operator"]
+    test = (
+        F.when(operator == "EQUALS", value == expected)
+        .when(operator == "NOT_EQUALS", differs | (text.is_blank(expected) & null))
+        .when(operator == "IN", within)
+        .when(operator == "NOT_IN", ~within)
+        .when(operator == "GREATER_THAN", number > bound)
+        .when(operator == "LESS_THAN", number < bound)
+        .when(operator == "IS_NOT_NULL", ~null)
+        .when(operator == "IS_NULL", null)
+    )
+    return F.coalesce(test, F.lit(False))
+
+
+def evaluate_table(
+    df: DataFrame, table: DataFrame, *, study: str = "studyId", row_id: Sequence[str] | None = None
+) -> DataFrame:
+    """:func:`evaluate` with the rules of a table, however many: each study's rules join its rows.
+
+    The plan has the same size for any number of rules; a row is held against its own study's only.
+    """
+    sets, shared, columns = rule_sets(table, study)
+    unknown = sorted(set(columns) - set(df.columns))
+    if unknown:
+        raise ValueError(f"Rules on unknown columns: {', '.join(unknown)}")
+    pairs = [(F.lit(c), F.col(c)) for c in columns]
+    none = F.create_map().cast("map<string,string>")
+    texts = F.create_map(*[x for n, c in pairs for x in (n, c.cast("string"))]) if pairs else none
+    numbers = F.create_map(*[x for n, c in pairs for x in (n, c.try_cast("double"))]) if pairs else none.cast("map<string,double>")
+    joined = skew.lookup_join(df, sets, [study], row_id=row_id, keys_from=df.select(study))
+    held = joined.withColumns({"_rules": F.coalesce("_rules", shared), "_texts": texts, "_numbers": numbers})
+    failed = F.filter("_rules", lambda r: ~_rule_passes(r, F.col("_texts"), F.col("_numbers")))
+    found = held.withColumn("_failed", failed).drop("_rules", "_texts", "_numbers")
+    reasons = F.transform("_failed", lambda r: r["reason"])
+    blocking = F.exists("_failed", lambda r: r["blocking"])
+    return found.withColumns({"reasons": reasons, "blocking": blocking}).drop("_failed")
+
+
 def listed(col: Column) -> Column:
     """Comma-separated text as trimmed, non-blank items; null stays null."""
     return F.filter(F.transform(F.split(col, ","), text.strip), lambda t: t != "")

@@ -39,13 +39,10 @@ def rule_counts(mappings: DataFrame) -> DataFrame:
     return active_rules(mappings).groupBy("category").agg(F.count("*").alias("rules"))
 
 
-def collect_rules(mappings: DataFrame, limit: int = 100_000) -> dict[str, dict[str, str]]:
-    """Usable rules as ``{category: {source: target}}``; they name columns, so they are few."""
-    rows = active_rules(mappings).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"More than {limit} mapping rules.")
+def collect_rules(mappings: DataFrame) -> dict[str, dict[str, str]]:
+    """Usable rules as ``{category: {source: target}}``; they name columns of plans, as headers do."""
     rules: dict[str, dict[str, str]] = {c: {} for c in S.CATEGORIES}
-    for row in rows:
+    for row in active_rules(mappings).collect():
         rules.setdefault(row.category, {})[row.source] = row.target
     return rules
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,8 +103,10 @@ def _update_and_insert(
 
 def read_seed(spark: SparkSession, path: str) -> dict[str, list[dict]]:
     """Sections of a seed file (JSON, a few kilobytes). Each section must be a list."""
-    body = spark.read.text(path, wholetext=True).first()
-    payload = json.loads(body.value) if body else None
+    bodies = spark.read.text(path, wholetext=True).take(2)
+    if len(bodies) > 1:
+        raise ValueError("A seed is one file; the path holds several.")
+    payload = json.loads(bodies[0].value) if bodies else None
     if not isinstance(payload, dict):
         raise ValueError("A seed file must hold sections by name.")
     sections = {name: payload.get(name, []) for name in SEED_SECTIONS}
@@ -139,7 +142,13 @@ def seed_rules(base: DataFrame, rows: list[dict], now: Column) -> DataFrame:
     return upsert(base, seed, ["ruleId"], row_id="id")
 
 
-def seed_mappings(base: DataFrame, rows: list[dict], category: str, now: Column) -> DataFrame:
-    """Column mappings after the seed, by category and target; the source is no part of the key."""
-    seed = seed_frame(base.sparkSession, rows, S.COLUMN_MAPPING, category, now)
-    return upsert(base, seed, ["type", "targetColumn"], row_id="id")
+def seed_mappings(base: DataFrame, sections: list[tuple[str, list[dict]]], now: Column) -> DataFrame:
+    """Column mappings after the seed, by category and target; the source is no part of the key.
+
+    ``sections`` are (category, rows). As the category is in the key, all are upserted at once.
+    """
+    spark = base.sparkSession
+    frames = [seed_frame(spark, rows, S.COLUMN_MAPPING, category, now) for category, rows in sections]
+    before = [sum(len(rows) for _, rows in sections[:i]) for i in range(len(sections))]
+    moved = [f.withColumn("ordinal", F.col("ordinal") + n) for f, n in zip(frames, before)]
+    return upsert(base, reduce(DataFrame.unionByName, moved), ["type", "targetColumn"], row_id="id")

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from visitmill import schema as S
 from visitmill.functions import text
 from visitmill.operators import upsert
-from visitmill.session import cut_lineage
 from visitmill.sinks import versions
 
 
@@ -23,12 +22,8 @@ def seed_tenant(spark: SparkSession, tenant: str, path: str, tables: str) -> Non
         place = f"{root}/eligibility_rule"
         rules = versions.read_current(spark, place, S.ELIGIBILITY_RULE)
         versions.write_next(upsert.seed_rules(rules, sections["eligibility_rule"], now), place)
-    place = f"{root}/data_column_mapping"
-    mappings = versions.read_current(spark, place, S.COLUMN_MAPPING)
-    changed = False
-    for section, category in upsert.SEED_SECTIONS.items():
-        if category and sections[section]:
-            mappings = cut_lineage(upsert.seed_mappings(mappings, sections[section], category, now))
-            changed = True
-    if changed:
-        versions.write_next(mappings, place)
+    seeded = [(c, sections[s]) for s, c in upsert.SEED_SECTIONS.items() if c and sections[s]]
+    if seeded:
+        place = f"{root}/data_column_mapping"
+        mappings = versions.read_current(spark, place, S.COLUMN_MAPPING)
+        versions.write_next(upsert.seed_mappings(mappings, seeded, now), place)

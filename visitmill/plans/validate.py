@@ -38,7 +38,7 @@ class Validated:
 def validate(
     visits: DataFrame,
     configs: DataFrame,
-    rules: Sequence[eligibility.Rule],
+    rules: Sequence[eligibility.Rule] | DataFrame,
     registry: DataFrame,
     *,
     order: str,
@@ -48,7 +48,10 @@ def validate(
     group_order: str = "ordinal",
     flat_arm: str = "FLAT",
 ) -> Validated:
-    """Add ``status``, ``reasons``, ``blocking``, ``arm`` and ``registered_arm`` to each visit."""
+    """Add ``status``, ``reasons``, ``blocking``, ``arm`` and ``registered_arm`` to each visit.
+
+    ``rules`` is the rule table, or a short list of rules, which become expressions.
+    """
     rows = attach_config(visits, configs, row_id=row_id)
     shared = {"order": group_order, "row_id": row_id, "keys_from": visits}
     moved = False
@@ -58,7 +61,10 @@ def validate(
     if manual is not None:
         small = skew.fits_broadcast(manual)
         rows, moved = arms.attach_manual(rows, manual, small=small, **shared), moved or not small
-    rows = eligibility.evaluate(rows, rules)
+    if isinstance(rules, DataFrame):
+        rows = eligibility.evaluate_table(rows, rules, row_id=row_id)
+    else:
+        rows = eligibility.evaluate(rows, rules)
     if "hasVisitContactMode" in rows.columns:
         contact = arms.contact_reason(F.col("hasVisitContactMode"), F.col("visitContactMode"))
         rows = rows.withColumn("reasons", F.concat("reasons", eligibility.listed_if(contact.isNotNull(), contact)))
