@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from visitmill import schema as S
+from visitmill import session
 from visitmill.operators import mapping
 from visitmill.plans import ingest as I
 from visitmill.plans import preview
@@ -106,6 +108,19 @@ def test_files_only(spark, settings, mappings):
     assert got["visitschedule_T1"][0]["formName"] == "F"
 
 
+def test_a_job_leaves_no_folder_behind(spark, settings, mappings):
+    shared = Path(session.shared_folder(spark))
+    before = set(shared.iterdir())
+    [summary] = I.ingest(spark, ["T1"], settings, mappings=mappings, mode="SFTP_ONLY")
+    preview.preview_run(spark, settings.output, "T1", summary["runId"])
+    assert set(shared.iterdir()) == before
+    with pytest.raises(RuntimeError), session.job_folder(spark) as folder:
+        session.cut_lineage(spark.range(3))
+        assert list(Path(folder).iterdir())
+        raise RuntimeError
+    assert set(shared.iterdir()) == before
+
+
 def test_audits(spark, settings, mappings, landing):
     [summary] = I.ingest(spark, ["T1"], settings, mappings=mappings, mode="SFTP_ONLY")
     log = spark.read.schema(S.RUN_LOG).parquet(f"{settings.output}/{I.RUN_TABLE}").collect()

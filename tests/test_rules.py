@@ -149,3 +149,23 @@ def test_all_stages(spark):
     ]
     assert got[5].reasons == ["visitContactMode is blank."]
     assert [r.registered_arm for r in got][:2] == ["x", "x"] and got[6].registered_arm == "other"
+
+
+def test_validation_writes_split_registry_and_counts(spark, tmp_path):
+    visits = spark.createDataFrame(
+        [(1, "S", "10", "a", "1", "F", "P", None), (2, "S", "10", "a", "1", "F", "P", "30 min"), (3, "S", None, "b", "2", "F", "P", None)],
+        "n int, studyId string, studySiteNumber string, subjectId string, subjectVisitNumber string, formName string, "
+        "procedureName string, timePostDose string",
+    ).withColumns({"subjectStatus": F.lit("ENROLLED"), "visitNumber": F.col("subjectVisitNumber")})
+    configs = spark.createDataFrame([("S", "FLAT_RATE", "IGNORE", None, None)], "studyId string, armResolutionMode string, pkPayMode string, payableSubjectStatuses string, nonPayableSubjectStatuses string")
+    schedule = spark.createDataFrame([("S", "1", "F", "P", 1)], "studyId string, visitNumber string, formName string, procedureName string, optionalVisitFlag int")
+    for run in ("one", "two"):
+        validate.validate_run(spark, visits, configs, [], str(tmp_path), run, order="n", row_id=["n"], schedule=schedule)
+    got = spark.read.parquet(f"{tmp_path}/{validate.ROWS}").where("run_id = 'one'").orderBy("n").collect()
+    assert [(r.n, r.status, r.in_schedule, r.optionalVisitFlag) for r in got] == [
+        (1, "VALID", True, 1), (2, "SKIPPED", True, 1), (3, "VALID", False, None),
+    ]
+    registry = spark.read.schema(S.SUBJECT_REGISTRY).parquet(f"{tmp_path}/{validate.REGISTRY}").collect()
+    assert sorted((r.subjectId, r.siteId or "", r.firstSeenRunId) for r in registry) == [("a", "10", "one"), ("b", "", "one")]
+    log = spark.read.schema(validate.LOG).parquet(f"{tmp_path}/{validate.LOG_TABLE}").collect()
+    assert sorted((r.runId, r.totalRows, r.validRows, r.skippedRows, r.blocked) for r in log) == [("one", 3, 2, 1, False), ("two", 3, 2, 1, False)]

@@ -21,7 +21,7 @@ from visitmill import schema as S
 from visitmill.functions import skew, text
 from visitmill.operators import mapping
 from visitmill.operators.stems import unique_stems
-from visitmill.session import cut_lineage
+from visitmill.session import cut_lineage, job_folder
 from visitmill.sinks import audit
 from visitmill.sinks.normalized import write_normalized
 from visitmill.sources import landing as L
@@ -311,6 +311,21 @@ def ingest(
     reason, not an exception, and leaves the others alone. Rows with more cells than their header keep the first of these in
     ``_surplus``; ``strict`` makes them fail the study. They, and files whose names Spark hides, are told in the reason.
     """
+    with job_folder(spark):
+        return _ingest(spark, study_ids, settings, mappings, configs, sponsors, pages, mode, strict)
+
+
+def _ingest(
+    spark: SparkSession,
+    study_ids: Sequence[str],
+    settings: Settings,
+    mappings: DataFrame | None,
+    configs: DataFrame | None,
+    sponsors: DataFrame | None,
+    pages: DataFrame | None,
+    mode: str | None,
+    strict: bool,
+) -> list[dict[str, Any]]:
     runs = start_runs(spark, study_ids, settings, configs=configs, sponsors=sponsors, mode=mode)
     rules = mapping.collect_rules(mappings) if mappings is not None else {}
     pulled = _pull(pages, runs, settings)

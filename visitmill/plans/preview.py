@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from visitmill import schema as S
 from visitmill.functions import text
 from visitmill.operators.mapping import first_rows
-from visitmill.session import cut_lineage
+from visitmill.session import cut_lineage, job_folder
 from visitmill.sources import tables
 
 
@@ -69,7 +69,8 @@ def preview_run(
             raise
         found = []
     else:
-        found = preview_objects(rows, limit).orderBy("source_stem").collect()
+        with job_folder(spark):
+            found = preview_objects(rows, limit).orderBy("source_stem").collect()
     objects = [
         {
             "key": f"{prefix}source_stem={r.source_stem}",

@@ -10,7 +10,7 @@ from visitmill.functions import dates, skew
 from visitmill.operators import arms, eligibility, upsert
 from visitmill.operators.eligibility import Rule
 from visitmill.plans import ingest, validate
-from visitmill.plans.registry import query, table
+from visitmill.plans.registry import ORACLES, query, table
 from visitmill.session import cut_lineage, new_folder
 from visitmill.sources import landing, tables
 
@@ -476,6 +476,51 @@ ORDER_CHECKS = [
 """)
 def row_status(spark: SparkSession, folder: str) -> DataFrame:
     """All stages for orders as visits of three studies with different settings."""
+    visits, configs, groups = visits_to_check(spark, folder)
+    registry = spark.createDataFrame([], S.SUBJECT_REGISTRY)
+    checked = validate.validate(
+        visits, configs, ORDER_CHECKS, registry, order="o_orderkey", row_id=_VISIT, groups=groups
+    )
+    reasons = F.array_join("reasons", "; ").alias("reasons")
+    return checked.rows.select("o_orderkey", "arm", reasons, "status")
+
+
+@query(f"""
+    WITH v AS ({ORACLES["row_status"]})
+    SELECT status, status = 'VALID' AS is_valid, arm, count(*) AS rows, sum(o_orderkey)::BIGINT AS ids FROM v GROUP BY ALL
+""")
+def validation_job(spark: SparkSession, folder: str) -> DataFrame:
+    """The written split of a validation that ran twice: the registry of the first run changes nothing."""
+    visits, configs, groups = visits_to_check(spark, folder)
+    output = new_folder(spark, "validation")
+    for run in ("first", "second"):
+        validate.validate_run(
+            spark, visits, configs, ORDER_CHECKS, output, run, order="o_orderkey", row_id=_VISIT, groups=groups
+        )
+    rows = spark.read.parquet(f"{output}/{validate.ROWS}").where("run_id = 'second'")
+    is_valid = F.col("is_valid").cast("boolean").alias("is_valid")
+    return rows.groupBy("status", is_valid, "arm").agg(F.count("*").alias("rows"), F.sum("o_orderkey").alias("ids"))
+
+
+@query(f"""
+    WITH v AS ({ORACLES["row_status"]}),
+    s AS (SELECT o_orderkey, 'S' || (c_nationkey % 3) AS study FROM orders JOIN customer ON o_custkey = c_custkey)
+    SELECT study AS "studyId", count(*) AS "totalRows", count(*) FILTER (status = 'VALID') AS "validRows",
+           count(*) FILTER (status = 'SKIPPED') AS "skippedRows" FROM v JOIN s USING (o_orderkey) GROUP BY 1
+""")
+def validation_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The counts that a validation writes per study."""
+    visits, configs, groups = visits_to_check(spark, folder)
+    output = new_folder(spark, "validation")
+    validate.validate_run(
+        spark, visits, configs, ORDER_CHECKS, output, "run", order="o_orderkey", row_id=_VISIT, groups=groups
+    )
+    log = spark.read.schema(validate.LOG).parquet(f"{output}/{validate.LOG_TABLE}")
+    return log.select("studyId", "totalRows", "validRows", "skippedRows")
+
+
+def visits_to_check(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Orders as visits, the configs of their three studies, and the groups of their subjects."""
     customers = table(spark, folder, "customer").select(
         F.col("c_custkey").alias("o_custkey"), F.concat(F.lit("S"), F.col("c_nationkey") % 3).alias("studyId")
     )
@@ -503,12 +548,7 @@ def row_status(spark: SparkSession, folder: str) -> DataFrame:
     groups = customer_groups(spark, folder).drop("studyId").join(
         customers.select(F.col("o_custkey").cast("string").alias("subjectId"), "studyId"), "subjectId"
     )
-    registry = spark.createDataFrame([], S.SUBJECT_REGISTRY)
-    checked = validate.validate(
-        visits, configs, ORDER_CHECKS, registry, order="o_orderkey", row_id=_VISIT, groups=groups
-    )
-    reasons = F.array_join("reasons", "; ").alias("reasons")
-    return checked.rows.select("o_orderkey", "arm", reasons, "status")
+    return visits, configs, groups
 
 
 @query("""
@@ -556,8 +596,8 @@ def landed_by_folder(spark: SparkSession, folder: str) -> DataFrame:
     place = new_folder(spark, "landing")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
     orders.write.partitionBy("o_orderstatus").csv(place, header=True)
-    studies = [f"o_orderstatus={s}" for s in ("F", "O", "P")]
-    index = cut_lineage(landing.index_files(spark, place, [*studies, "missing"]))
+    landed = orders.select(F.concat(F.lit("o_orderstatus="), "o_orderstatus").alias("name")).distinct().collect()
+    index = cut_lineage(landing.index_files(spark, place, [*sorted(r.name for r in landed), "missing"]))
     rows = landing.read_files(spark, landing.file_groups(index.where("has_rows")))
     files = index.select("source_path", F.substring_index("study_id", "=", -1).alias("status"))
     row_id = ["source_path", "source_block", "source_row"]

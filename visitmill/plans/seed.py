@@ -10,11 +10,17 @@ from pyspark.sql import functions as F
 from visitmill import schema as S
 from visitmill.functions import text
 from visitmill.operators import upsert
+from visitmill.session import job_folder
 from visitmill.sinks import versions
 
 
 def seed_tenant(spark: SparkSession, tenant: str, path: str, tables: str) -> None:
     """Upsert the eligibility rules and the three mapping sections; each table is written once."""
+    with job_folder(spark):
+        _seed(spark, tenant, path, tables)
+
+
+def _seed(spark: SparkSession, tenant: str, path: str, tables: str) -> None:
     root = f"{tables.rstrip('/')}/{text.check_tenant(tenant)}"
     sections = upsert.read_seed(spark, path)
     now = F.lit(datetime.now(UTC)).cast("timestamp")

@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,9 +56,31 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+_JOB: ContextVar[str | None] = ContextVar("job_folder", default=None)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
+    """A fresh path below the folder of the job that runs, else below the shared folder."""
+    return os.path.join(_JOB.get() or shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+@contextmanager
+def job_folder(spark: SparkSession) -> Iterator[str]:
+    """One folder for what a job writes on its way; it goes when the job ends, however it ends.
+
+    Only for jobs that leave nothing behind that still reads from there. A job within a job shares its folder.
+    """
+    if _JOB.get():
+        yield _JOB.get()
+        return
+    folder = new_folder(spark, "job")
+    token = _JOB.set(folder)
+    try:
+        yield folder
+    finally:
+        _JOB.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
