@@ -113,8 +113,7 @@ def fill_targets(df: DataFrame, *, keep: Sequence[str] = ()) -> DataFrame:
 
 def present_targets(records: DataFrame, pull: Sequence[str]) -> DataFrame:
     """Per pull, the targets that any of its records has, as ``present``; at most 23 names per pull."""
-    targets = F.array(*[F.lit(t) for t in S.TARGETS])
-    names = F.explode(F.array_intersect(P.record_columns(F.col("record")), targets)).alias("name")
+    names = F.explode(P.record_columns(F.col("record"), S.TARGETS)).alias("name")
     return records.select(*pull, names).groupBy(*pull).agg(F.collect_set("name").alias("present"))
 
 
@@ -122,14 +121,14 @@ def normalize_records(records: DataFrame, *, keep: Sequence[str] = ()) -> DataFr
     """Map JSON records (``record``, and ``present`` of their pull) to the 23 targets.
 
     A target that no record of the pull has is ``""``; one that only some records lack is null there.
+    The targets' texts are taken out of a record once, as a map.
     """
+    named = records.select(*keep, "present", P.record_texts(F.col("record"), S.TARGETS).alias("_texts"))
     columns = [
-        F.when(F.array_contains("present", t), P.record_value(F.col("record"), t))
-        .otherwise(F.lit(""))
-        .alias(t)
+        F.when(F.array_contains("present", t), F.try_element_at("_texts", F.lit(t))).otherwise(F.lit("")).alias(t)
         for t in S.TARGETS
     ]
-    return records.select(*keep, *columns)
+    return named.select(*keep, *columns)
 
 
 def resolve_headers(headers: DataFrame, rules: DataFrame) -> DataFrame:

@@ -75,8 +75,7 @@ def index_pages(
     more = has_more(F.col("payload"), F.col(page), F.size("rows"), F.lit(page_size))
     found = F.array().cast("array<string>")
     if columns:
-        every = F.flatten(F.transform("rows", record_columns))
-        found = F.array_intersect(every, F.array(*[F.lit(c) for c in columns]))
+        found = F.array_distinct(F.flatten(F.transform("rows", lambda record: record_columns(record, columns))))
     return parsed.select(
         *pull,
         F.col(page).alias("page"),
@@ -147,9 +146,21 @@ def record_value(record: Column, name: str) -> Column:
     return F.when(~_kind(record, path).startswith("OBJECT"), value)
 
 
-def record_columns(record: Column) -> Column:
-    """Top-level columns that the record has after flattening; an explicit null counts."""
+def record_texts(record: Column, names: Sequence[str]) -> Column:
+    """Values of the top-level columns ``names`` as :func:`record_value` gives them, by name."""
     fields = F.try_variant_get(record, "$", "map<string,variant>")
+    wanted = F.map_filter(fields, lambda name, _: name.isin(list(names)))
+    text = lambda value: F.try_variant_get(value, "$", "string")
+    return F.transform_values(
+        wanted, lambda _, value: F.when(~F.schema_of_variant(value).startswith("OBJECT"), text(value))
+    )
+
+
+def record_columns(record: Column, names: Sequence[str] | None = None) -> Column:
+    """Top-level columns that the record has after flattening, of ``names`` if given; an explicit null counts."""
+    fields = F.try_variant_get(record, "$", "map<string,variant>")
+    if names is not None:
+        fields = F.map_filter(fields, lambda name, _: name.isin(list(names)))
     flat = F.map_filter(fields, lambda _, value: ~F.schema_of_variant(value).startswith("OBJECT"))
     return F.coalesce(F.map_keys(flat), F.array().cast("array<string>"))
 
