@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from visitmill import schema as S
 
 
-def file_totals(rows: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Rows per file; counted per task before the shuffle."""
-    return rows.groupBy(*by).agg(F.count("*").alias("rows"))
+def file_totals(rows: DataFrame, by: Sequence[str], *more: Column) -> DataFrame:
+    """Rows per file, and ``more`` aggregates; reduced per task before the shuffle."""
+    return rows.groupBy(*by).agg(F.count("*").alias("rows"), *more)
 
 
 def run_status(objects: Column) -> Column:

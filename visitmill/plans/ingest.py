@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from visitmill import schema as S
 from visitmill.functions import skew, text
-from visitmill.operators import mapping
+from visitmill.operators import mapping, summary
 from visitmill.operators.stems import unique_stems
 from visitmill.session import cut_lineage, job_folder
 from visitmill.sinks import audit
@@ -249,15 +249,15 @@ def _count_objects(spark: SparkSession, runs: list[Run], settings: Settings) ->
     ids = {r.run_id: r for r in runs}
     try:
         rows = tables.read_some_runs(spark, settings.output, [(r.study_id, r.run_id) for r in runs])
-        more = F.count_if(F.col(tables.SURPLUS).isNotNull())
-        totals = rows.groupBy("run_id", "source_stem").agg(F.count("*").alias("n"), more.alias("more"))
+        more = F.count_if(F.col(tables.SURPLUS).isNotNull()).alias("more")
+        totals = summary.file_totals(rows, ["run_id", "source_stem"], more)
         found = totals.orderBy("run_id", "source_stem").collect()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         found = []  # no run wrote anything
     for total in found:
-        ids[total.run_id].objects[total.source_stem] = total.n
+        ids[total.run_id].objects[total.source_stem] = total.rows
         if total.more:
             ids[total.run_id].notes.append(f"{total.more} rows of {total.source_stem} have more cells than the header")
     for run in runs:
@@ -356,7 +356,9 @@ def _write_audits(
     ids = [(r.study_id, r.run_id, r.sponsor_id) for r in runs]
     named = spark.createDataFrame(ids, "study_id string, run_id string, sponsor_id string")
     audit.append(audit.file_log(index, named, now), settings.output, FILE_TABLE)
-    audit.append(audit.run_log(spark, [_audit_row(r, settings) for r in runs], now), settings.output, RUN_TABLE)
+    log = audit.run_log(spark, [_audit_row(r, settings) for r in runs], now)
+    source = text.endpoint(F.col("dataSource"), settings.file_host, settings.api_base_url)
+    audit.append(log.withColumn("sourceEndpointUrl", source), settings.output, RUN_TABLE)
 
 
 def _uri(settings: Settings, key: str) -> str:
@@ -365,7 +367,6 @@ def _uri(settings: Settings, key: str) -> str:
 
 def _audit_row(run: Run, settings: Settings) -> dict[str, Any]:
     first = next(iter(run.keys()), None)
-    hosts = {"SFTP": settings.file_host, "API": settings.api_base_url}
     return {
         "runId": run.run_id,
         "studyId": run.study_id,
@@ -375,7 +376,6 @@ def _audit_row(run: Run, settings: Settings) -> dict[str, Any]:
         "s3RawBucket": settings.bucket,
         "s3PipelineStagingPrefix": settings.staging_prefix,
         "stagingS3Uri": _uri(settings, first) if first else None,
-        "sourceEndpointUrl": hosts[run.data_source] or None,
         "status": run.status,
         "totalRows": run.rows,
         "failureReason": run.reason,
