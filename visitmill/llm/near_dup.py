@@ -39,7 +39,7 @@ SETTLED, NEAR, NEAR_ROOTS = 0.85, 0.45, 0.3
 NODE = 256
 ROOTS = 4096
 # Texts and shingles of a part; a tile holds two parts.
-PART_TEXTS, PART_SHINGLES = 500, 1_500_000
+PART_TEXTS, PART_SHINGLES = 200, 1_500_000
 # Shared shingles per matrix product.
 COLUMNS = 4_096
 WORD = re.compile(r"\w+")
