@@ -153,6 +153,23 @@ def unique_stem(spark: SparkSession, folder: str) -> DataFrame:
     return unique_stems(labels, F.col("url"), "page_id").select("page_id", "stem")
 
 
+@query("""
+    SELECT c_custkey, i, CASE c_custkey % 4 WHEN 0 THEN ['a', 'a_1', 'a_1_1'][i] WHEN 1 THEN ['a_1', 'a', 'a_2'][i]
+           WHEN 2 THEN ['a', 'a_2', 'a_1'][i] ELSE ['b_2', 'b', 'b_1'][i] END AS stem
+    FROM customer, (VALUES (1), (2), (3)) v(i)
+""")
+def unique_stem_collisions(spark: SparkSession, folder: str) -> DataFrame:
+    """Natural names that equal numbered ones, in different orders; each customer is a scope, every fifth with a null part."""
+    kinds = [["a", "a", "a_1"], ["a_1", "a", "a"], ["a", "a_2", "a"], ["b_2", "b", "b"]]
+    listed = F.get(F.array(*[F.array(*[F.lit(x) for x in k]) for k in kinds]), (F.col("c_custkey") % 4).cast("int"))
+    labels = table(spark, folder, "customer").select("c_custkey", F.posexplode(listed).alias("at", "label"))
+    ordered = labels.withColumns(
+        {"arrival": F.col("c_custkey") * 3 + F.col("at"), "part": F.when(F.col("c_custkey") % 5 != 0, "p")}
+    )
+    named = unique_stems(ordered, F.col("label"), "arrival", scope=["c_custkey", "part"])
+    return named.select("c_custkey", (F.col("at") + 1).alias("i"), "stem")
+
+
 @query(f"""
     SELECT page_id, 'landing/in/S' || (page_id % 7) || '/normalized/run/' || {_STEM} || '.parquet' AS key
     FROM pages
