@@ -300,6 +300,27 @@ def test_read_files_stacks_by_name(spark, landing):
     assert L.read_group(spark, group).count() == len(L.read_group(spark, group).collect()) == 2
 
 
+def test_many_headers_share_a_scan(spark, settings, landing, mappings, monkeypatch):
+    (landing / "T1" / "more.csv").write_text("SUBJECT_ID,COHORT\n1,x,EXTRA\n2\nNA,y\n")
+    got = []
+    for scans in (24, 0):
+        monkeypatch.setattr(I, "SCANS", scans)
+        [summary] = I.ingest(spark, ["T1"], settings, mappings=mappings, mode="SFTP_ONLY")
+        rows = tables.read_run(spark, settings.output, "T1", summary["runId"])
+        got.append((summary["rowCount"], summary["failureReason"], sorted(map(str, rows.drop("run_id", "_source_row").collect()))))
+    assert got[0] == got[1] and got[0][0] == 10
+
+
+def test_the_plan_does_not_grow_with_the_headers(spark, landing, tmp_path):
+    def plan(n):
+        groups = [L.FileGroup("misc", ",", f"SUBJECT_ID,X{i}", False, (str(landing / "T1" / "header_only.csv"),)) for i in range(n)]
+        rows = [("p", "misc", ",", g.header, False, True) for g in groups]
+        index = spark.createDataFrame(rows, "source_path string, category string, delimiter string, header string, multi_line boolean, has_rows boolean")
+        return I._rows_of_many_headers(spark, index, groups, {}, False)._jdf.queryExecution().analyzed().toString()
+
+    assert len(plan(2_000)) < 1.2 * len(plan(2))
+
+
 def test_strict_mode_names_the_target(spark, settings, mappings):
     with pytest.raises(mapping.DuplicateTargetError, match="studySiteNumber"):
         df = spark.createDataFrame([("1", "2")], "STUDY_SITE string, SITE string")

@@ -67,6 +67,16 @@ def target_sources(names: Sequence[str], rules: Mapping[str, str], category: str
     return {target: [p for _, p in sorted(found)] for target, found in hits.items()}
 
 
+def checked_sources(
+    names: Sequence[str], rules: Mapping[str, str], category: str, *, strict: bool
+) -> dict[str, list[int]]:
+    """:func:`target_sources`; with ``strict``, two sources of one target are an error."""
+    sources = target_sources(names, rules, category)
+    if strict and (twice := [t for t, p in sources.items() if len(p) > 1]):
+        raise DuplicateTargetError(f"More than one source column for: {', '.join(twice)}")
+    return sources
+
+
 def normalized_columns(
     columns: Sequence[Column],
     names: Sequence[str],
@@ -76,9 +86,7 @@ def normalized_columns(
     strict: bool = False,
 ) -> list[Column]:
     """The 23 targets as one select list; a target without source is ``""``."""
-    sources = target_sources(names, rules, category)
-    if strict and (twice := [t for t, p in sources.items() if len(p) > 1]):
-        raise DuplicateTargetError(f"More than one source column for: {', '.join(twice)}")
+    sources = checked_sources(names, rules, category, strict=strict)
     out = []
     for target in S.TARGETS:
         found = [columns[p].cast("string") for p in sources.get(target, [])]

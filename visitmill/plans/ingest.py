@@ -14,7 +14,7 @@ from functools import reduce
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from visitmill import schema as S
@@ -30,6 +30,8 @@ from visitmill.sources import tables
 
 RUN_TABLE = "file_ingestion_log"
 FILE_TABLE = "sftp_file_read_log"
+# Headers up to this many get a scan of their own, which stays in generated code; the result is the same.
+SCANS = 24
 
 
 @dataclass(frozen=True)
@@ -191,24 +193,67 @@ def _places(spark: SparkSession, index: DataFrame, runs: list[Run]) -> DataFrame
     return cut_lineage(named.join(ids, "study_id").drop("arrival", "label"))
 
 
+def _surplus(cell: Column, strict: bool) -> Column:
+    if strict:
+        told = F.concat(F.lit("More cells than the header has: "), "source_path")
+        cell = F.when(cell.isNotNull(), F.raise_error(told)).otherwise(cell)
+    return cell.alias(tables.SURPLUS)
+
+
 def _file_rows(
     spark: SparkSession, index: DataFrame, rules: Mapping[str, Mapping[str, str]], strict: bool
 ) -> DataFrame | None:
+    """Rows of all files under the targets: a scan per header if there are few, else one per kind of file."""
+    groups = L.file_groups(index.where("has_rows"))
+    if len(groups) > SCANS:
+        return _rows_of_many_headers(spark, index, groups, rules, strict)
     frames = []
-    for group in L.file_groups(index.where("has_rows")):
+    for group in groups:
         rows = L.read_group(spark, group)
         cells = [F.col(f"c{i}") for i in range(len(group.columns))]
         mapped = mapping.normalized_columns(
             cells, group.columns, rules.get(group.category, {}), group.category, strict=strict
         )
-        surplus = F.col("surplus")
-        if strict:
-            told = F.concat(F.lit("More cells than the header has: "), "source_path")
-            surplus = F.when(surplus.isNotNull(), F.raise_error(told)).otherwise(surplus)
-        frames.append(rows.select("source_path", "source_block", "source_row", surplus.alias(tables.SURPLUS), *mapped))
+        frames.append(rows.select("source_path", "source_block", "source_row", _surplus(F.col("surplus"), strict), *mapped))
     return reduce(DataFrame.unionByName, frames) if frames else None
 
 
+def _rows_of_many_headers(
+    spark: SparkSession, index: DataFrame, groups: list[L.FileGroup], rules: Mapping[str, Mapping[str, str]], strict: bool
+) -> DataFrame:
+    """One scan per delimiter and quoting; where a target stands in a file is data that joins its rows.
+
+    The plan has the same size for any number of headers.
+    """
+    shapes, kinds = [], {}
+    for g in groups:
+        sources = mapping.checked_sources(g.columns, rules.get(g.category, {}), g.category, strict=strict)
+        places = [sources.get(t, []) for t in S.TARGETS]
+        shapes.append((g.category, g.delimiter, g.header, g.multi_line, len(g.columns), places))
+        width, paths = kinds.get((g.delimiter, g.multi_line), (0, []))
+        kinds[g.delimiter, g.multi_line] = (max(width, len(g.columns)), [*paths, *g.paths])
+    told = ["category", "delimiter", "header", "multi_line"]
+    known = spark.createDataFrame(
+        shapes, "category string, delimiter string, header string, multi_line boolean, width int, places array<array<int>>"
+    )
+    files = index.where("has_rows").select("source_path", *told)
+    placed = cut_lineage(skew.lookup_join(files, known, told, how="inner", row_id=["source_path"]).drop(*told))
+    frames = []
+    for (delimiter, multi_line), (width, paths) in kinds.items():
+        rows = L.read_cells(spark, delimiter, multi_line, paths, width)
+        row_id = ["source_path", "source_block", "source_row"]
+        joined = skew.lookup_join(rows, placed, ["source_path"], how="inner", row_id=row_id)
+        targets = []
+        for i, target in enumerate(S.TARGETS):
+            at = F.get("places", F.lit(i))
+            cells = F.transform(at, lambda p: text.na_to_null(F.get("cells", p)))
+            first = F.get(F.filter(cells, lambda c: c.isNotNull()), F.lit(0))
+            targets.append(F.when(F.size(at) == 0, F.lit("")).otherwise(first).alias(target))
+        surplus = _surplus(F.get("cells", F.col("width")), strict)
+        frames.append(joined.select(*row_id, surplus, *targets))
+    return reduce(DataFrame.unionByName, frames)
+
+
 def normalized_rows(
     spark: SparkSession,
     index: DataFrame,

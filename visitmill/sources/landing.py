@@ -249,36 +249,53 @@ def file_groups(index: DataFrame) -> list[FileGroup]:
     return [FileGroup(r.category, r.delimiter, r.header, r.multi_line, tuple(r.paths)) for r in rows]
 
 
-def read_group(spark: SparkSession, group: FileGroup) -> DataFrame:
-    """Rows of a group: cells as text columns ``c0``, ``c1``, …, and where each row came from.
-
-    Within a file, ``(source_block, source_row)`` ascends in file order. ``surplus`` is the first cell
-    beyond the header's, null if the row has no more cells or that one is empty.
-    """
-    cells = [f"c{i}" for i in range(len(group.columns))]
-    fields = [T.StructField(c, T.StringType()) for c in [*cells, "_more"]]
-    reader = spark.read.options(sep=group.delimiter, header=True, escape='"', mode="PERMISSIVE")
-    if group.multi_line:
+def _read(
+    spark: SparkSession, delimiter: str, multi_line: bool, paths: Sequence[str], cells: list[str]
+) -> DataFrame:
+    """Rows of files by one scan, with cells named ``cells`` from the left, and where each row came from."""
+    fields = [T.StructField(c, T.StringType()) for c in cells]
+    reader = spark.read.options(sep=delimiter, header=True, escape='"', mode="PERMISSIVE")
+    if multi_line:
         # A line of blanks is no row. Without multiLine, Spark leaves such lines out itself.
         fields.append(T.StructField("_bad", T.StringType()))
         reader = reader.options(multiLine=True, columnNameOfCorruptRecord="_bad")
-    rows = reader.schema(T.StructType(fields)).csv([_literal(p) for p in group.paths])
+    rows = reader.schema(T.StructType(fields)).csv([_literal(p) for p in paths])
     located = rows.select(
         "*",
         F.col("_metadata.file_path").alias("source_path"),
         F.col("_metadata.file_block_start").alias("source_block"),
         F.monotonically_increasing_id().alias("source_row"),
     )
-    if group.multi_line:
-        # Every row is short of the cell beyond the header, so the raw record is there to be looked at.
-        blank = (text.strip(F.col("_bad")) == "") & (text.strip(F.col("c0")) == "")
+    if multi_line:
+        # The last cell is one beyond any header, so every row is short and its raw record is there to be looked at.
+        blank = (text.strip(F.col("_bad")) == "") & (text.strip(F.col(cells[0])) == "")
         located = located.where(~F.coalesce(blank, F.lit(False))).drop("_bad")
-    return located.select(
+    return located
+
+
+def read_group(spark: SparkSession, group: FileGroup) -> DataFrame:
+    """Rows of a group: cells as text columns ``c0``, ``c1``, …, and where each row came from.
+
+    Within a file, ``(source_block, source_row)`` ascends in file order. ``surplus`` is the first cell
+    beyond the header's, null if the row has no more cells or that one is empty.
+    """
+    cells = [f"c{i}" for i in range(len(group.columns))]
+    rows = _read(spark, group.delimiter, group.multi_line, group.paths, [*cells, "_more"])
+    return rows.select(
         *[text.na_to_null(F.col(c)).alias(c) for c in cells], F.col("_more").alias("surplus"),
         "source_path", "source_block", "source_row",
     )
 
 
+def read_cells(
+    spark: SparkSession, delimiter: str, multi_line: bool, paths: Sequence[str], width: int
+) -> DataFrame:
+    """Rows of files of any headers of up to ``width`` columns, as an array ``cells`` of ``width`` + 1 raw texts."""
+    names = [f"c{i}" for i in range(width + 1)]
+    rows = _read(spark, delimiter, multi_line, paths, names)
+    return rows.select(F.array(*names).alias("cells"), "source_path", "source_block", "source_row")
+
+
 def read_files(spark: SparkSession, groups: Iterable[FileGroup]) -> DataFrame:
     """All groups stacked under their own column names; a name a file lacks is null there."""
     frames = []
