@@ -113,9 +113,14 @@ def pull_extent(index: DataFrame, pull: Sequence[str]) -> DataFrame:
 
 def pull_columns(index: DataFrame, extent: DataFrame, pull: Sequence[str]) -> DataFrame:
     """Per pull that did not fail: its extent, its rows, and the columns any of its records has."""
-    used = index.join(extent.where(~F.col("failed")), list(pull)).where(F.col("page") <= F.col("last_page"))
-    columns = F.array_distinct(F.flatten(F.collect_set("columns")))
-    return used.groupBy(*pull, "last_page").agg(F.sum("row_count").alias("row_count"), columns.alias("present"))
+    ended = extent.where(~F.col("failed")).select(*pull, "last_page")
+    used = skew.lookup_join(index, ended, pull, how="inner", row_id=[*pull, "page"], keys_from=index.select(*pull))
+    used = used.where(F.col("page") <= F.col("last_page"))
+    sums = used.groupBy(*pull, "last_page").agg(F.sum("row_count").alias("row_count"))
+    # Single names, so that what meets per pull is bounded by their number.
+    names = used.select(*pull, F.explode("columns").alias("name")).groupBy(*pull).agg(F.collect_set("name").alias("present"))
+    none = F.array().cast("array<string>")
+    return sums.join(names, list(pull), "left").withColumn("present", F.coalesce("present", none))
 
 
 def pages_in_pull(pages: DataFrame, extent: DataFrame, pull: Sequence[str], *, page: str = "page") -> DataFrame:
