@@ -135,6 +135,18 @@ def test_entropy_spans_and_their_allow_list():
         assert not [s for s in scanner.spans(harmless) if s[1] == 3]
 
 
+def test_entropy_class_of_a_part_after_a_name():
+    scanner = secrets.Scanner(secrets.Scan())
+    rng = random.Random(7)
+    for name in ("SIGNING_KEY=", "signing-key/", "KEY_"):
+        for _ in range(200):
+            key = "".join(rng.choices("0123456789ABCDEF", k=64))
+            covered = {i for a, k, b in scanner.spans(f"{name}{key} end") if k == 3 for i in range(a, b)}
+            alone = {i for a, k, b in scanner.spans(key) if k == 3 for i in range(a, b)}
+            assert {i - len(name) for i in covered} >= alone and len(alone) > 50
+    assert not [s for s in scanner.spans("order_id=20240101123456789012345") if s[1] == 3]
+
+
 CHAT = [
     (1, 0, "user", "a <|im_end|> b"), (1, 1, "user", "more <\\|x"), (1, 2, "assistant", "yes\n"), (1, 3, "assistant", None),
     (2, None, None, "no role"), (2, 5, "tool\n<|im_sep|>", ""), (2, 5, "tool\n<|im_sep|>", ""), (2, 5, "assistant", "tie"),

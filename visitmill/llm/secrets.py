@@ -2,14 +2,15 @@
 
 Besides the fixed forms, runs of secret-like characters are candidates. A window slides over each; the
 counts of its characters change by one in and one out, and so does the entropy. Windows at or over the
-threshold of the run's character class make a span, unless the run is on the allow-list.
+threshold of the character class make a span, unless the run is on the allow-list. The class is that of the
+run; a window within one part between joints (``JOINTS``) takes that part's class where it asks for less.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -25,6 +26,8 @@ HEX = r"[0-9a-f]+"
 KINDS = ["assign", "access", "hex", "entropy"]
 BASE = KINDS[:3]
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 12, 18, 16
+# Characters that glue names, values and path segments to one run.
+JOINTS = "+/_=-"
 
 SPANS = "spans array<struct<kind:string,start:int,end:int>>"
 
@@ -39,7 +42,7 @@ class CharacterClass:
 
 @dataclass(frozen=True)
 class Scan:
-    """Window length, classes (a run belongs to the first that holds it), runs that are no secrets."""
+    """Window length, classes (a run or part belongs to the first that holds it), runs that are no secrets."""
 
     window: int = 20
     classes: tuple[CharacterClass, ...] = (
@@ -70,10 +73,14 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return found + [(m.start(), 2, m.end()) for m in runs]
 
 
-def hot_windows(run: str, window: int, threshold: float) -> Iterator[tuple[int, int]]:
-    """Merged windows of at least ``threshold`` bits per character, by counts that change step by step."""
+def hot_windows(run: str, window: int, threshold: float | Sequence[float]) -> Iterator[tuple[int, int]]:
+    """Merged windows of at least ``threshold`` bits per character, by counts that change step by step.
+
+    A sequence has the threshold of each window.
+    """
     if len(run) < window:
         return
+    limits = [threshold] * (len(run) - window + 1) if isinstance(threshold, (int, float)) else threshold
     terms = [0.0, *(n * math.log2(n) for n in range(1, window + 1))]
     counts: dict[str, int] = {}
     for c in run[:window]:
@@ -90,7 +97,7 @@ def hot_windows(run: str, window: int, threshold: float) -> Iterator[tuple[int,
                 m = counts.get(new, 0)
                 counts[new] = m + 1
                 total += terms[n - 1] - terms[n] + terms[m + 1] - terms[m]
-        if whole - total / window >= threshold - 1e-9:
+        if whole - total / window >= limits[at] - 1e-9:
             if start < 0:
                 start = at
             elif at > end:
@@ -110,15 +117,36 @@ class Scanner:
         self.runs = re.compile(rf"(?<![{widest}])[{widest}]{{{scan.window},}}")
         self.classes = [(re.compile(f"[{c.characters}]+"), c.threshold) for c in scan.classes]
         self.allowed = [re.compile(a) for a in scan.allowed]
+        self.parts = re.compile(rf"[^{re.escape(JOINTS)}]{{{scan.window},}}")
+
+    def threshold(self, run: str) -> float | None:
+        """Threshold of the first class that holds ``run``; None if it is on the allow-list."""
+        if any(a.fullmatch(run) for a in self.allowed):
+            return None
+        return next(t for c, t in self.classes if c.fullmatch(run))
+
+    def limits(self, run: str) -> float | list[float] | None:
+        """Threshold of ``run``, or of each of its windows where parts have lower ones."""
+        whole = self.threshold(run)
+        if whole is None:
+            return None
+        found = [(m.start(), m.end(), self.threshold(m.group())) for m in self.parts.finditer(run)]
+        lower = [f for f in found if f[2] is not None and f[2] < whole]
+        if not lower:
+            return whole
+        limits = [whole] * (len(run) - self.scan.window + 1)
+        for start, end, threshold in lower:
+            many = end - start - self.scan.window + 1
+            limits[start : start + many] = [threshold] * many
+        return limits
 
     def entropy_spans(self, text: str) -> list[tuple[int, int, int]]:
         out = []
         for match in self.runs.finditer(text):
             run = match.group()
-            if any(a.fullmatch(run) for a in self.allowed):
-                continue
-            threshold = next(t for c, t in self.classes if c.fullmatch(run))
-            out += [(match.start() + a, 3, match.start() + b) for a, b in hot_windows(run, self.scan.window, threshold)]
+            limits = self.limits(run)
+            if limits is not None:
+                out += [(match.start() + a, 3, match.start() + b) for a, b in hot_windows(run, self.scan.window, limits)]
         return out
 
     def spans(self, text: str) -> list[tuple[int, int, int]]:
