@@ -147,6 +147,17 @@ def test_entropy_class_of_a_part_after_a_name():
     assert not [s for s in scanner.spans("order_id=20240101123456789012345") if s[1] == 3]
 
 
+def test_stand_in_words_hide_their_own_part_only():
+    scanner = secrets.Scanner(secrets.Scan())
+    key = "Zq8R3vT1mK9sLw2PzX7dHb4Yc6NfGa5J"
+    for before, after in (("/api/example/callback/key=", ""), ("", "/EXAMPLE"), ("placeholder=", "-changeme"), ("example" + "a" * 60, "")):
+        text = f"{before}{key}{after}"
+        covered = {i for a, k, b in scanner.spans(text) if k == 3 for i in range(a, b)}
+        assert covered >= set(range(len(before), len(before) + len(key)))
+    for harmless in ("path/qT7xR2mK9vEXAMPLEzL3pY6cHd/of", "exampleexample-placeholder-qT7xR2mK9vchangemeL3pY6cHd", "xxxxxxxxxxxxxxxxxxxxxxxxxxxxx"):
+        assert scanner.spans(harmless) == []
+
+
 CHAT = [
     (1, 0, "user", "a <|im_end|> b"), (1, 1, "user", "more <\\|x"), (1, 2, "assistant", "yes\n"), (1, 3, "assistant", None),
     (2, None, None, "no role"), (2, 5, "tool\n<|im_sep|>", ""), (2, 5, "tool\n<|im_sep|>", ""), (2, 5, "assistant", "tie"),

@@ -4,6 +4,7 @@ Besides the fixed forms, runs of secret-like characters are candidates. A window
 counts of its characters change by one in and one out, and so does the entropy. Windows at or over the
 threshold of the character class make a span, unless the run is on the allow-list. The class is that of the
 run; a window within one part between joints (``JOINTS``) takes that part's class where it asks for less.
+A part that holds a word of a stand-in is left out; what stands before and after it are runs of their own.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ BASE = KINDS[:3]
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 12, 18, 16
 # Characters that glue names, values and path segments to one run.
 JOINTS = "+/_=-"
+# Characters of its part that a stand-in word takes with it, on each side.
+STAND_IN_REACH = 40
 
 SPANS = "spans array<struct<kind:string,start:int,end:int>>"
 
@@ -53,13 +56,14 @@ class Scan:
     )
     allowed: tuple[str, ...] = field(
         default=(
-            # words, also joined; paths and identifiers of words; lines of one sign; UUIDs; stand-ins
+            # words, also joined; paths and identifiers of words; lines of one sign; UUIDs
             r"[+/_=-]*[A-Za-z]?[a-z]*(?:[+/_=-]+[A-Za-z]?[a-z]*)*",
             r"[+/_=-]*[A-Z]*(?:[+/_=-]+[A-Z]*)*",
             r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",
-            r"(?i:.*(?:example|placeholder|changeme|xxxxxx).*)",
         )
     )
+    # Words, in any case, of values that stand in for a secret; only their part of a run is none.
+    stand_ins: tuple[str, ...] = ("example", "placeholder", "changeme", "xxxxxx")
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -118,6 +122,20 @@ class Scanner:
         self.classes = [(re.compile(f"[{c.characters}]+"), c.threshold) for c in scan.classes]
         self.allowed = [re.compile(a) for a in scan.allowed]
         self.parts = re.compile(rf"[^{re.escape(JOINTS)}]{{{scan.window},}}")
+        self.stand_in = re.compile("|".join(map(re.escape, scan.stand_ins)), re.IGNORECASE) if scan.stand_ins else None
+        self.before = re.compile(rf"[{re.escape(JOINTS)}]*[^{re.escape(JOINTS)}]*\Z")
+        self.after = re.compile(rf"[^{re.escape(JOINTS)}]*[{re.escape(JOINTS)}]*")
+
+    def pieces(self, run: str) -> Iterator[tuple[int, str]]:
+        """(start, piece): what is left of ``run`` without the parts that hold a stand-in word, and their joints."""
+        at = 0
+        for word in self.stand_in.finditer(run) if self.stand_in else ():
+            low, high = min(word.start(), max(at, word.start() - STAND_IN_REACH)), min(len(run), word.end() + STAND_IN_REACH)
+            if (start := self.before.search(run, low, word.start()).start()) > at:
+                yield at, run[at:start]
+            at = max(at, self.after.match(run, word.end(), high).end())
+        if at < len(run):
+            yield at, run[at:]
 
     def threshold(self, run: str) -> float | None:
         """Threshold of the first class that holds ``run``; None if it is on the allow-list."""
@@ -143,10 +161,11 @@ class Scanner:
     def entropy_spans(self, text: str) -> list[tuple[int, int, int]]:
         out = []
         for match in self.runs.finditer(text):
-            run = match.group()
-            limits = self.limits(run)
-            if limits is not None:
-                out += [(match.start() + a, 3, match.start() + b) for a, b in hot_windows(run, self.scan.window, limits)]
+            for at, piece in self.pieces(match.group()):
+                limits = self.limits(piece) if len(piece) >= self.scan.window else None
+                if limits is not None:
+                    at += match.start()
+                    out += [(at + a, 3, at + b) for a, b in hot_windows(piece, self.scan.window, limits)]
         return out
 
     def spans(self, text: str) -> list[tuple[int, int, int]]:
