@@ -52,11 +52,13 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates: the one with the smallest id.
 
-    Rows that repeat an id stay or go together; rows without id stay.
+    Rows that repeat an id and a text stay or go together; if their texts differ, each goes by its own. Rows
+    without id stay.
     """
-    found = near_dup.near_duplicates(docs.select("doc_id", "text"))
-    gone = cut_lineage(found.where(F.col("doc_id") > F.col("class_id")).select("doc_id").distinct())
-    marked = skew.lookup_join(docs.select(*COLUMNS), gone.withColumn("gone", F.lit(True)), ["doc_id"], row_id=["doc_id"])
+    found = near_dup.near_duplicates(docs.select("doc_id", "text"), told_column="told")
+    gone = cut_lineage(found.where(F.col("doc_id") > F.col("class_id")).select("doc_id", "told").distinct())
+    told = docs.select(*COLUMNS, near_dup.text_hash("text").alias("told"))
+    marked = skew.lookup_join(told, gone.withColumn("gone", F.lit(True)), ["doc_id", "told"], row_id=["doc_id"])
     return marked.where(F.col("gone").isNull()).select(*COLUMNS)
 
 

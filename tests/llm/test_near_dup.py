@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from visitmill.llm import near_dup as N
 
 from .conftest import near, plain
@@ -89,6 +90,21 @@ def test_edge_rows(docs, crowded, nothing):
     assert N.near_duplicates(nothing).count() == 0
 
 
+def test_an_id_with_different_texts(spark):
+    """Each text of an id is searched and verified, and goes or stays by itself."""
+
+    def copy(word, change=None):
+        return " ".join("other" if i == change else f"{word}{i}" for i in range(120))
+
+    rows = [(1, copy("a")), (5, copy("a", 7)), (5, copy("b")), (5, copy("c")), (6, copy("b", 9)), (7, copy("c", 3)), (8, copy("d"))]
+    want = sorted([(1, 1, 1, 1), (5, 1, 1, 1), (5, 5, 1, 1), (5, 5, 1, 1), (6, 5, 1, 1), (7, 5, 1, 1), (8, 8, 0, 0)], key=repr)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert plain(N.near_duplicates(df), "doc_id", "class_id", "n_links", "n_text_links") == want
+    wide = df.selectExpr("*", "'en' AS lang", "'s' AS source", "0L AS n_chars")
+    left = corpus_pipeline.drop_near_duplicates(spark, wide, "")
+    assert plain(left, "doc_id", "text") == sorted([rows[0], rows[2], rows[3], rows[6]], key=repr)
+
+
 def test_large_family_in_split_nodes_and_tiles(spark, monkeypatch):
     rows = family(220)
     monkeypatch.setattr(N, "NODE", 24)

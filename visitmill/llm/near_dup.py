@@ -23,7 +23,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitmill.functions import skew
@@ -394,6 +394,11 @@ def _shingling(words: int) -> Callable:
     return run
 
 
+def text_hash(text_column: str) -> Column:
+    """Hash that tells the texts of rows with one id apart."""
+    return F.xxhash64(text_column)
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -402,8 +407,9 @@ def near_duplicates(
     threshold: float = THRESHOLD,
     words: int = WORDS,
     recall: float = RECALL,
+    told_column: str | None = None,
 ) -> DataFrame:
-    """``id_column, class_id, n_links, n_text_links``: a row per document.
+    """``id_column, class_id, n_links, n_text_links``: a row per document; and ``told_column``, the text's hash, if named.
 
     Words are runs of letters, digits and underscores in lower case; a shingle is ``words`` of them in a
     row, and all of them where a text has fewer. Two documents are linked if their shingle sets have a
@@ -413,11 +419,12 @@ def near_duplicates(
     the forest with probability ``recall``; what is linked is verified exactly.
 
     A text that is null or without words is linked with nothing. Rows that repeat an id are documents
-    of their own; if their texts differ, they still fall into one class. Rows without id take part under
-    a number made from their text, larger than other ids. Other columns are not read; an empty table gives no rows.
+    of their own; if their texts differ and are not linked, each has the links and class of its text, where two
+    classes may have the same smallest id. Rows without id take part under a number made from their text, larger
+    than other ids. The hash of a text is :func:`text_hash`. Other columns are not read; an empty table gives no rows.
     """
     forest = Forest(TREES, DEPTH, prefix_length(threshold, recall))
-    named = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), F.xxhash64(text_column).alias("told"))
+    named = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), text_hash(text_column).alias("told"))
     marks = cut_lineage(
         named.mapInArrow(
             _marking(forest, words),
@@ -425,11 +432,12 @@ def near_duplicates(
         )
     )
     number = F.coalesce("doc_id", F.shiftright("d1", 2) + F.lit(1 << 62))
-    own = marks.withColumn("id", number)
-    first = F.min(F.struct("id", "told", "doc_id"))
+    own = marks.withColumn("number", number)
+    first = F.min(F.struct("number", "told", "doc_id"))
+    # Texts go by the digest of their set from here on, as an id may stand at several texts.
     classes = cut_lineage(
         own.where("size > 0").groupBy("d1", "d2", "size").agg(first.alias("f"), F.count("*").alias("copies"))
-        .select("d1", "d2", "size", "copies", "f.*")
+        .select(F.col("d1").alias("id"), "d1", "d2", "size", "copies", "f.*")
     )
     chosen = marks.select("doc_id", "told", "d1", "keys", "signature")
     by_row = [chosen.doc_id.eqNullSafe(classes.doc_id), chosen.told == classes.told, chosen.d1 == classes.d1]
@@ -462,24 +470,28 @@ def near_duplicates(
     split = links.where("tiles > 1").select(F.col("id").alias("u"), F.col("root").alias("v"))
     settled = single if split.isEmpty() else single.unionByName(_with_roots(components(split)))
     sums = links.groupBy("id").agg(F.sum("text_links").alias("n_text_links"), F.sum("links").alias("other_links"))
+    rooted = cut_lineage(settled.groupBy("id").agg(F.min("root").alias("root")).join(classes.select("id", "number"), "id"))
+    least = cut_lineage(rooted.groupBy("root").agg(F.min("number").alias("least")))
+    named_classes = skew.lookup_join(rooted.select("id", "root"), least, ["root"], row_id=["id"], how="inner")
     found = (
-        classes.select("d1", "d2", "id", "copies")
-        .join(settled.groupBy("id").agg(F.min("root").alias("root")), "id", "left")
+        classes.select("d1", "d2", "id", "number", "copies")
+        .join(named_classes.select("id", "least"), "id", "left")
         .join(sums, "id", "left")
         .select(
-            "d1", "d2", F.coalesce("root", "id").alias("class_id"),
+            "d1", "d2", F.coalesce("least", "number").alias("class_id"),
             (F.col("copies") - 1 + F.coalesce("other_links", F.lit(0))).alias("n_links"),
             F.coalesce("n_text_links", F.lit(0)).cast("long").alias("n_text_links"),
         )
     )
-    light = own.select("doc_id", "id", "size", "d1", "d2")
-    joined = skew.lookup_join(light, cut_lineage(found), ["d1", "d2"], row_id=["id"])
+    light = own.select("doc_id", "number", "told", "size", "d1", "d2")
+    joined = skew.lookup_join(light, cut_lineage(found), ["d1", "d2"], row_id=["number"])
     none = F.col("size") == 0
     return joined.select(
         F.col("doc_id").alias(id_column),
-        F.when(none, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(none, F.col("number")).otherwise(F.col("class_id")).alias("class_id"),
         F.when(none, 0).otherwise(F.col("n_links")).cast("long").alias("n_links"),
         F.when(none, 0).otherwise(F.col("n_text_links")).cast("long").alias("n_text_links"),
+        *([] if told_column is None else [F.col("told").alias(told_column)]),
     )
 
 
