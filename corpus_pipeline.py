@@ -19,6 +19,8 @@ from visitmill.session import cut_lineage
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # A document whose best language has a lower probability than this is in none of the learned languages.
 MIN_LANGUAGE_SCORE = 0.3
+# Share of the tokens that the mixture keeps.
+KEPT_SHARE = 0.95
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,8 +65,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents sampled by the probabilities of the raked mixture."""
-    return mixing.mix(docs.select(*COLUMNS)).where("mix_kept").select(*COLUMNS)
+    """Documents sampled by the probabilities of the raked mixture, ``KEPT_SHARE`` of the tokens in expectation."""
+    return mixing.mix(docs.select(*COLUMNS), kept_share=KEPT_SHARE).where("mix_kept").select(*COLUMNS)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from visitmill.llm import bpe, chat, exact_dedup, language, line_dedup, mixing, quality, secrets, top_k
 
 from .conftest import LINE, LONG, plain
@@ -237,6 +238,23 @@ def test_mixing_reaches_its_targets(spark):
     assert mixed.agg(F.max("mix_probability")).first()[0] == pytest.approx(1.0)
 
 
+def test_mixing_to_a_budget(spark, nothing):
+    """One small document of a new source and language is kept whole and costs the others nothing."""
+    rng = random.Random(4)
+    rows = [(i, "w " * 30 + "x", rng.choice(["en", "en", "de"]), rng.choice("aaabbc"), 0) for i in range(3000)]
+    df = spark.createDataFrame([*rows, (9999, "FIVE WORDS OF ANOTHER KIND", "xx", "stray", 0)], "doc_id long, text string, lang string, source string, n_chars long")
+    mixed = mixing.mix(df, kept_share=0.95).cache()
+    weight = F.col("mix_tokens") * F.col("mix_probability")
+    kept = mixed.agg(F.sum(weight) / F.sum("mix_tokens"), F.max("mix_probability"), F.min("mix_probability")).first()
+    assert kept[0] == pytest.approx(0.95, abs=1e-3) and kept[1] <= 1 and kept[2] > 0.8
+    assert mixed.where("source = 'stray'").first().mix_probability == 1
+    wide = mixing.mix(df, targets=TARGETS, kept_share=0.3).groupBy("source").agg(F.sum(weight).alias("w")).collect()
+    got = {r.source: r.w / sum(x.w for x in wide) for r in wide}
+    assert [got[v] for v in "abc"] == pytest.approx([0.5, 0.2, 0.3], abs=1e-3) and not got["stray"]
+    assert mixing.mix(nothing, kept_share=0.5).count() == 0
+    assert corpus_pipeline.mix_sources(spark, df, "").count() > 0.9 * len(rows)
+
+
 def test_mixing_edge_rows(docs, crowded, nothing, monkeypatch):
     added = ["doc_id", "text", "mix_tokens", "mix_topic", "mix_probability", "mix_kept"]
     plainly = plain(mixing.mix(docs, sweeps=2), *added)

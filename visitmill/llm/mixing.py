@@ -98,6 +98,47 @@ def chance_column(margins: Sequence[str]) -> Column:
     return reduce(lambda a, b: a * b, [F.col(f"f_{m}") for m in margins])
 
 
+def _chances(cells: DataFrame, margins: Sequence[str], factors: Mapping[str, DataFrame]) -> DataFrame:
+    """``cells`` with ``chance``, the product of the factors of their values."""
+    joined = cells
+    for m in margins:
+        joined = skew.lookup_join(joined, factors[m], [m], row_id=list(margins), how="inner")
+    return cut_lineage(joined.select(*margins, "n", chance_column(margins).alias("chance")))
+
+
+def budgeted(
+    cells: DataFrame, margins: Sequence[str], targets: Mapping[str, DataFrame], kept_share: float, *, sweeps: int = SWEEPS
+) -> DataFrame:
+    """(margins, chance) with which ``kept_share`` of the tokens is kept in expectation.
+
+    The raked weights are scaled to the budget. Cells at or over 1 are kept whole, what is left of the
+    budget and of the targets goes to the others, and those are raked again until none is over 1. What a
+    value lacks when all its cells are whole is shared by the other values.
+    """
+    open_cells, wanted, done = cells, dict(targets), []
+    size = cells.agg(F.sum("n").cast("double")).first()[0] or 0.0
+    budget = left = kept_share * size
+    while True:
+        factors = rake(open_cells, margins, wanted, sweeps=sweeps)
+        scale = left / size if size else 0.0
+        scaled = _chances(open_cells, margins, factors).withColumn("chance", F.col("chance") * F.lit(scale))
+        full = F.col("chance") >= 1 - 1e-9
+        many, taken, rest = scaled.agg(F.count_if(full), F.sum(F.when(full, F.col("n"))), F.sum(F.when(~full, F.col("n")))).first()
+        done.append(scaled.where(full).select(*margins, "n", F.lit(1.0).alias("chance")))
+        open_cells = scaled.where(~full).select(*margins, "n")
+        if not many or not rest:
+            return reduce(DataFrame.unionByName, [*done, scaled.where(~full)]).select(*margins, "chance")
+        left, size = max(0.0, left - taken), float(rest)
+        whole = reduce(DataFrame.unionByName, done)
+        for m in margins:
+            sums = whole.groupBy(m).agg(F.sum("n").alias("has"))
+            lacks = F.greatest(F.col("target") * F.lit(budget) - F.coalesce("has", F.lit(0)), F.lit(0.0))
+            values = targets[m].join(open_cells.select(m).distinct(), m).join(sums, m, "left")
+            lacking = cut_lineage(values.select(m, lacks.alias("lacks")))
+            total = lacking.agg(F.sum("lacks")).first()[0]
+            wanted[m] = cut_lineage(lacking.select(m, F.coalesce(F.try_divide("lacks", F.lit(total)), F.lit(0.0)).alias("target")))
+
+
 def mix(
     docs: DataFrame,
     *,
@@ -110,6 +151,7 @@ def mix(
     temperature: float = TEMPERATURE,
     sweeps: int = SWEEPS,
     seed: int = SEED,
+    kept_share: float | None = None,
 ) -> DataFrame:
     """``docs`` with ``mix_tokens``, ``mix_topic``, ``mix_probability`` and ``mix_kept``.
 
@@ -118,7 +160,8 @@ def mix(
     :func:`counted`'s topic. A null margin value counts as the empty string. The probability of a document is the
     product of the factors of its three values, divided by the largest such product of all cells: the
     cell with the greatest need is kept whole, and the kept tokens have the target shares in
-    expectation. Documents without tokens weigh nothing in the margins and get their cell's probability,
+    expectation. With ``kept_share`` (up to 1) the products are scaled so that this share of the tokens is
+    kept instead, and cells that need more than they have are kept whole (:func:`budgeted`). Documents without tokens weigh nothing in the margins and get their cell's probability,
     or 0 where the cell has no tokens at all. The draw is a digest of seed, id and text, so it is the
     same in every run, and the same for rows repeated whole. Other columns stay; columns called like
     those added are replaced. An empty table gives no rows.
@@ -145,13 +188,12 @@ def mix(
     shares = {
         m: cut_lineage(_given(cells, m, wanted[m]) if m in wanted else tempered(cells, m, temperature)) for m in MARGINS
     }
-    factors = rake(cells, MARGINS, shares, sweeps=sweeps)
-    chances = cells
-    for m in MARGINS:
-        chances = skew.lookup_join(chances, factors[m], [m], row_id=list(MARGINS), how="inner")
-    chances = cut_lineage(chances.select(*MARGINS, chance_column(MARGINS).alias("chance")))
-    most = chances.agg(F.max("chance")).first()[0]
-    named = chances.select(*MARGINS, F.coalesce(F.try_divide("chance", F.lit(most)), F.lit(0.0)).alias("chance"))
+    if kept_share is None:
+        chances = _chances(cells, MARGINS, rake(cells, MARGINS, shares, sweeps=sweeps))
+        most = chances.agg(F.max("chance")).first()[0]
+        named = chances.select(*MARGINS, F.coalesce(F.try_divide("chance", F.lit(most)), F.lit(0.0)).alias("chance"))
+    else:
+        named = budgeted(cells, MARGINS, shares, kept_share, sweeps=sweeps)
     joined = skew.lookup_join(
         inner, named, list(MARGINS), keys_from=inner.select(*MARGINS), row_id=["drawn", "n"]
     )
