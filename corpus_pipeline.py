@@ -44,7 +44,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
     A document that loses all its lines goes, as all it said is in others; one that was empty stays.
     """
-    cleaned = line_dedup.line_dedup(docs.select(*COLUMNS))
+    cleaned = line_dedup.line_dedup(docs.select(*COLUMNS), by_id=True)
     shorter = F.col("n_dropped") > 0
     left = cleaned.where(~(shorter & (F.length(F.coalesce("text", F.lit(""))) == 0)))
     chars = F.when(shorter, F.length("text").cast("long")).otherwise(F.col("n_chars"))

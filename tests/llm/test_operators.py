@@ -68,6 +68,16 @@ def test_line_dedup(docs, crowded, nothing):
     assert line_dedup.line_dedup(nothing).count() == 0
 
 
+def test_line_dedup_counts_an_id_once(spark):
+    rows = [(5, f"{LINE}\na"), (5, f"{LINE}\nb"), (7, LINE)]
+    few = spark.createDataFrame(rows, "doc_id long, text string")
+    assert plain(line_dedup.line_dedup(few, by_id=True), "doc_id", "text") == sorted(rows, key=repr)
+    wide = few.selectExpr("*", "'en' AS lang", "'s' AS source", "0L AS n_chars")
+    assert plain(corpus_pipeline.drop_repeated_lines(spark, wide, ""), "doc_id", "text") == sorted(rows, key=repr)
+    more = spark.createDataFrame([*rows, (9, LINE)], "doc_id long, text string")
+    assert plain(line_dedup.line_dedup(more, by_id=True), "doc_id", "text") == [(5, "a"), (5, "b"), (7, ""), (9, LINE)]
+
+
 VOCABULARY = {bytes([b]): b for b in range(256)} | {b"th": 256, b"the": 257, b" the": 258, b"\xc3\xbc": 300, b"xyz": 301}
 
 

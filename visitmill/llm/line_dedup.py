@@ -92,13 +92,14 @@ def line_dedup(
     text_column: str = "text",
     min_chars: int = MIN_CHARS,
     min_documents: int = MIN_DOCUMENTS,
+    by_id: bool = False,
 ) -> DataFrame:
     """``docs`` with shortened texts, and ``n_lines`` (before) and ``n_dropped``.
 
     A line's key is the line without blanks at both ends and with A-Z in lower case. Lines whose key has
     at least ``min_chars`` code points and is in at least ``min_documents`` documents go, but for all
-    those in the largest id that holds it. Each row is a document, also one that repeats an id; rows
-    that share the largest id all keep the line, and a null id counts as the smallest. A null or empty text is one empty line, and stays as it is. A
+    those in the largest id that holds it. Each row is a document, also one that repeats an id; with ``by_id``
+    the rows of an id count as one, and each row without id as one of its own. Rows that share the largest id all keep the line, and a null id counts as the smallest. A null or empty text is one empty line, and stays as it is. A
     document whose lines all go is left with an empty text. Columns called ``n_lines`` or ``n_dropped``
     are replaced; all others stay as they are.
     """
@@ -113,10 +114,14 @@ def line_dedup(
     id_inner = inner[id_column]
     named = keyed.select("r1", "r2", F.coalesce(F.col(id_inner).cast("long"), F.lit(-(1 << 63))).alias("doc_id"), "text")
     lines = cut_lineage(named.mapInArrow(hashed_lines(min_chars), f"{LINES}, first boolean"))
+    held = lines.where("first").select("h1", "h2", "doc_id", F.lit(1).alias("n"))
+    if by_id:
+        # Reduced in each task before the shuffle, so a line of many documents is spread by their ids.
+        many = F.when(F.col("doc_id") == -(1 << 63), F.count("*")).otherwise(1)
+        held = held.groupBy("h1", "h2", "doc_id").agg(many.alias("n"))
     common = cut_lineage(
-        lines.where("first")
-        .groupBy("h1", "h2")
-        .agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
+        held.groupBy("h1", "h2")
+        .agg(F.sum("n").alias("n"), F.max("doc_id").alias("keeper"))
         .where(F.col("n") >= min_documents)
         .select("h1", "h2", "keeper")
     )
@@ -158,6 +163,6 @@ def line_dedup(
 )
 def op9_line_dedup(spark, folder):
     """Every document with its lines counted and the digest of what stays."""
-    cleaned = line_dedup(table(spark, folder, "documents").select("doc_id", "text"))
+    cleaned = line_dedup(table(spark, folder, "documents").select("doc_id", "text"), by_id=True)
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
     return cleaned.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
