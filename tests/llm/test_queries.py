@@ -35,7 +35,7 @@ def db(small):
 
 def test_all_are_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 14))
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
 

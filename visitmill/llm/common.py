@@ -62,6 +62,13 @@ def uniform(seed: int, *columns: str) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(1 << 52)).cast("double") / float(1 << 52)
 
 
+def sample_window(text: str, chars: int, seed: int) -> Column:
+    """The text, or of a longer one a window of ``chars`` code points at a place that its content decides."""
+    length = F.length(text)
+    start = F.pmod(F.xxhash64(F.lit(seed), text), F.greatest(length - chars + 1, F.lit(1)).cast("long")).cast("int") + 1
+    return F.when(length <= chars, F.col(text)).otherwise(F.substring(F.col(text), start, F.lit(chars)))
+
+
 def extended(schema: T.StructType, ddl: str) -> T.StructType:
     """The schema with the columns of ``ddl`` after it."""
     return T.StructType([*schema.fields, *T.StructType.fromDDL(ddl).fields])
