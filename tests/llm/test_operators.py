@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import math
 import random
+import re
+import string
+import time
 from collections import Counter
 
 import numpy as np
@@ -169,6 +172,90 @@ def test_stand_in_words_hide_their_own_part_only():
         assert scanner.spans(harmless) == []
 
 
+@pytest.mark.parametrize("joint", ["-", "/", "=", "_", "+-", "-a", "A/", "-aB_"])
+def test_long_runs_of_joints_end(joint):
+    scanner = secrets.Scanner(secrets.Scan())
+    for text in (joint * (1_000_000 // len(joint)) + "7" * 27, "7q" + joint * (1_000_000 // len(joint)), "-" * 29 + "9" * 27):
+        start = time.perf_counter()
+        scanner.threshold(text)
+        assert time.perf_counter() - start < 1
+    start = time.perf_counter()
+    for boundary in ("-" * 1_000_000 + "20240101123456789012345", "-" * 29 + "293582696224464812345678901"):
+        assert not [x for x in scanner.spans(boundary) if x[1] == 3]
+    assert time.perf_counter() - start < 10
+
+
+def naive_entropy_spans(text, window=20):
+    """Entropy spans by plain loops: runs, parts with a stand-in word cut out, each window judged anew."""
+    joints, widest = set("+/_=-"), set(string.ascii_letters + string.digits + "+/_=-")
+    classes = [(set(string.digits), 9.9), (set(string.hexdigits), 2.9), (set(string.ascii_uppercase + "234567"), 3.7), (widest, 3.8)]
+
+    def parts(run):
+        out, at = [], 0
+        for i, c in enumerate([*run, "-"]):
+            if c in joints:
+                out.append((at, run[at:i]))
+                at = i + 1
+        return out
+
+    def threshold(run):
+        words = [p for _, p in parts(run)]
+        if all(p[1:] == "" or (p[0].isalpha() and all(c in string.ascii_lowercase for c in p[1:])) for p in words) and not any(p[:1].isdigit() for p in words):
+            return None
+        if all(c in string.ascii_uppercase for p in words for c in p):
+            return None
+        if re.fullmatch("-".join(f"[0-9a-fA-F]{{{n}}}" for n in (8, 4, 4, 4, 12)), run):
+            return None
+        return next(t for members, t in classes if set(run) <= members)
+
+    covered = set()
+    for run in re.finditer(r"[A-Za-z0-9+/_=-]+", text):
+        hidden = [False] * len(run.group())
+        for at, part in parts(run.group()):
+            if re.search("example|placeholder|changeme|xxxxxx", part, re.I):
+                assert len(part) <= 40, "longer parts keep what is far from the word"
+                hidden[at : at + len(part)] = [True] * len(part)
+                for step, i in ((-1, at - 1), (1, at + len(part))):
+                    while 0 <= i < len(hidden) and run.group()[i] in joints:
+                        hidden[i] = True
+                        i += step
+        for piece in re.finditer("o+", "".join("x" if h else "o" for h in hidden)):
+            whole = run.group()[piece.start() : piece.end()]
+            limit = threshold(whole)
+            if limit is None:
+                continue
+            for at in range(len(whole) - window + 1):
+                part = whole[at : at + window]
+                least = limit
+                for start, name in parts(whole):
+                    if start <= at and at + window <= start + len(name) and (own := threshold(name)) is not None:
+                        least = min(least, own)
+                if -sum(n / window * math.log2(n / window) for n in Counter(part).values()) >= least - 1e-9:
+                    first = run.start() + piece.start() + at
+                    covered |= set((first + i, first + i + 1) for i in range(window))
+    out = []
+    for a, b in sorted(covered):
+        if out and out[-1][1] == a:
+            out[-1][1] = b
+        else:
+            out.append([a, b])
+    return [tuple(x) for x in out]
+
+
+def test_entropy_spans_equal_a_naive_scan():
+    rng = random.Random(8)
+    scanner = secrets.Scanner(secrets.Scan())
+    alphabets = ["0123456789", "0123456789abcdef", "0123456789ABCDEF", string.ascii_uppercase + "234567", string.ascii_letters + string.digits, string.ascii_lowercase]
+    for _ in range(600):
+        pieces = []
+        for _ in range(rng.randint(1, 5)):
+            pieces.append("".join(rng.choices(rng.choice(alphabets), k=rng.choice([3, 19, 20, 21, 34]))) if rng.random() < 0.8 else rng.choice(["example", "Placeholder9", "word", "Word"]))
+            pieces.append(rng.choice(["-", "/", "=", "_", "--", " ", "é"]))
+        text = "".join(pieces)
+        assert [(a, b) for a, k, b in scanner.spans(text) if k == 3] == naive_entropy_spans(text), text
+
+
+
 CHAT = [
     (1, 0, "user", "a <|im_end|> b"), (1, 1, "user", "more <\\|x"), (1, 2, "assistant", "yes\n"), (1, 3, "assistant", None),
     (2, None, None, "no role"), (2, 5, "tool\n<|im_sep|>", ""), (2, 5, "tool\n<|im_sep|>", ""), (2, 5, "assistant", "tie"),

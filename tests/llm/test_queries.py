@@ -16,6 +16,7 @@ from check import digest
 from visitmill.llm import queries
 
 from .conftest import plain
+from .test_operators import naive_entropy_spans
 
 SQL = sorted(queries.ORACLES)
 
@@ -78,6 +79,8 @@ def test_secrets(spark, small, texts):
         assert r.base_sha256 == sha(",".join(want))
         assert [r.n_assign, r.n_access, r.n_hex] == [sum(w.startswith(k) for w in want) for k in ("assign", "access", "hex")]
         assert [s for s in r.spans.split(",") if s and not s.startswith("entropy")] == want
+        entropy = [f"entropy:{a}:{b}" for a, b in naive_entropy_spans(texts[r.doc_id])]
+        assert [s for s in r.spans.split(",") if s.startswith("entropy")] == entropy
 
 
 def test_byte_bpe(spark, small, texts):

@@ -56,9 +56,10 @@ class Scan:
     )
     allowed: tuple[str, ...] = field(
         default=(
-            # words, also joined; paths and identifiers of words; lines of one sign; UUIDs
-            r"[+/_=-]*[A-Za-z]?[a-z]*(?:[+/_=-]+[A-Za-z]?[a-z]*)*",
-            r"[+/_=-]*[A-Z]*(?:[+/_=-]+[A-Z]*)*",
+            # words, also joined; paths and identifiers of words; lines of one sign; UUIDs. Each step takes all it can and
+            # gives nothing back, so a match is one walk over the run, however many joints it has.
+            r"[+/_=-]*+[A-Za-z]?+[a-z]*+(?:[+/_=-]++[A-Za-z]?+[a-z]*+)*+",
+            r"[+/_=-]*+[A-Z]*+(?:[+/_=-]++[A-Z]*+)*+",
             r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",
         )
     )
@@ -177,8 +178,9 @@ def find_secrets(
 ) -> DataFrame:
     """``id_column`` and ``spans``: kind, start and end (code points, end exclusive) by start and kind.
 
-    One row per row of ``docs``, in one pass without shuffle; whole texts are read. A null text is empty
-    and has no spans. Other columns are not read.
+    One row per row of ``docs``, in one pass without shuffle; whole texts are read, in time that grows with their
+    length. A null text is empty and has no spans; rows that repeat an id or a text get a row each; an empty
+    table gives no rows. Spans that start together stand by kind. Other columns are not read.
     """
     chosen = scan or Scan()
     named = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
