@@ -115,6 +115,42 @@ def test_large_family_in_split_nodes_and_tiles(spark, monkeypatch):
     assert found(N.near_duplicates(df)) == brute_force(rows)
 
 
+def template(size: int, shared: int = 300, own: int = 80):
+    """Texts of one template, similar by 0.64 and linked with none, but for two near copies of the first."""
+    rows = [(i, " ".join([*(f"s{j}" for j in range(shared)), *(f"t{i}o{j}" for j in range(own))])) for i in range(size)]
+    return [*rows, (size, rows[0][1] + " end"), (size + 1, "start " + rows[0][1])]
+
+
+def test_a_template_is_not_compared(spark, monkeypatch):
+    """A loose cluster falls apart into the texts that share a rare shingle, and no link is lost."""
+    rows, seen = template(300), []
+    monkeypatch.setattr(N, "PART_TEXTS", 50)
+    split = N.split_clusters
+
+    def watched(sets, threshold):
+        out = split(sets, threshold).cache()
+        seen.append((sets.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(N, "split_clusters", watched)
+    got = found(N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert got == brute_force(rows) and got[300] == (0, 2, 2)
+    assert seen == [(302, 3)]
+
+
+def test_prefix_keys_meet_where_sets_are_similar():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        size, share = int(rng.integers(1, 400)), rng.uniform(0.75, 1)
+        x = np.unique(rng.integers(0, 1 << 62, size, dtype=np.uint64))
+        y = np.unique(np.concatenate([x[: max(1, int(share * len(x)))], rng.integers(0, 1 << 62, int(rng.integers(0, 40)), dtype=np.uint64)]))
+        common = np.unique(rng.choice(x, min(len(x), 30)))
+        counts = rng.integers(1, 9, len(common))
+        same = len(np.intersect1d(x, y))
+        if same >= 0.8 * (len(x) + len(y) - same):
+            assert len(np.intersect1d(*[N.prefix_keys(z, common, counts, 0.8) for z in (x, y)]))
+
+
 def test_prefix_is_the_longest_that_reaches_the_recall():
     k = N.prefix_length(0.8, N.RECALL)
     assert 1 - (1 - 0.8**k) ** N.TREES >= N.RECALL > 1 - (1 - 0.8 ** (k + 1)) ** N.TREES

@@ -9,9 +9,11 @@
 3. A match makes two texts candidates of one cluster if their signatures agree well below the threshold.
    A text that nearly equals another one need not be compared further: by the triangle inequality, what
    is similar to it is not far from the other one.
-4. Within each cluster all pairs are verified exactly, by matrix products over shared shingles, in tiles
+4. Clusters of more than one part are split first, without losing a link: linked texts have one of their rarest
+   shingles in common and sizes that the threshold allows. Only what such shingles connect stays together.
+5. Within what is left all pairs are verified exactly, by matrix products over shared shingles, in tiles
    of bounded size. Only sums per text and a spanning forest leave a tile, never the pairs of a group.
-5. Classes are the connected components of the verified links.
+6. Classes are the connected components of the verified links.
 """
 
 from __future__ import annotations
@@ -35,11 +37,14 @@ WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9999
 TREES, DEPTH = 20, 6
 # Agreement of signatures from which a text counts as settled, and from which two texts share a cluster.
 SETTLED, NEAR, NEAR_ROOTS = 0.85, 0.45, 0.3
-# Members of a trie node that one task takes together; larger nodes are split, and their roots merged.
+# Members of a trie node that one task takes together; larger nodes are split. Up to ``ROOTS`` of their roots are merged
+# by comparison, more are taken as one.
 NODE = 256
-ROOTS = 4096
+ROOTS = 256
 # Texts and shingles of a part; a tile holds two parts.
-PART_TEXTS, PART_SHINGLES = 200, 1_500_000
+PART_TEXTS, PART_SHINGLES = 200, 800_000
+# Texts and shingles of a cluster that tell which shingles are common there.
+SAMPLE_TEXTS, SAMPLE_SHINGLES = 128, 200_000
 # Shared shingles per matrix product.
 COLUMNS = 4_096
 WORD = re.compile(r"\w+")
@@ -111,6 +116,10 @@ class Forest:
         return h.view(np.int64)
 
 
+def _halves(digest: int) -> tuple[int, int]:
+    return (digest >> 64) - (1 << 63), (digest & ((1 << 64) - 1)) - (1 << 63)
+
+
 def _marking(forest: Forest, words: int) -> Callable:
     """Task function: digest of the set, its size, keys and signature of each text."""
 
@@ -122,7 +131,7 @@ def _marking(forest: Forest, words: int) -> Callable:
                 for text in part.column("text").to_pylist():
                     x = shingles(text, known, words)
                     d = xxhash.xxh3_128_intdigest(x.tobytes())
-                    digests.append(((d >> 64) - (1 << 63), (d & ((1 << 64) - 1)) - (1 << 63)))
+                    digests.append(_halves(d))
                     sizes.append(len(x))
                     if len(x):
                         s = forest.signature(x)
@@ -251,9 +260,9 @@ def _clustering(forest: Forest, near: float) -> Callable:
 def candidate_edges(texts: DataFrame, forest: Forest) -> DataFrame:
     """(u, v): texts of one candidate cluster. ``texts`` has ``id, keys, signature``."""
     keyed = cut_lineage(texts.select("id", F.posexplode("keys").alias("tree", "key")))
-    nodes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    nodes = cut_lineage(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     parts = F.ceil(F.col("n") / NODE).cast("int")
-    members = keyed.join(nodes, "key").withColumn("part", F.pmod(F.xxhash64(F.lit(3), "id"), parts).cast("int"))
+    members = skew.salted_join(keyed, nodes, ["key"], how="inner", row_id=["id", "tree"]).withColumn("part", F.pmod(F.xxhash64(F.lit(3), "id"), parts).cast("int"))
     signed = members.join(texts.select("id", "signature"), "id")
     columns = "key long, id long, root long, signature binary"
     ordered = signed.select("key", "part", "id", "tree", "signature", (F.col("n") > NODE).alias("large"))
@@ -276,7 +285,7 @@ def candidate_edges(texts: DataFrame, forest: Forest) -> DataFrame:
     return edges.unionByName(merged).unionByName(many).distinct()
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(id, root): smallest id of the connected component of each vertex of ``edges`` (u, v).
 
     Large-star and small-star steps in turn; each keeps the components and at most the number of edges, and the
@@ -285,7 +294,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     pairs = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     pairs = cut_lineage(pairs)
     before = None
-    for _ in range(rounds):
+    while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # Written, so that both sides of the join are plain shuffles, which AQE splits at a hot vertex.
         least = cut_lineage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
@@ -301,8 +310,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if tuple(state) == before:
             break
         before = tuple(state)
-    else:
-        raise RuntimeError("Components did not settle.")
     return pairs.select(F.col("u").alias("id"), F.col("v").alias("root"))
 
 
@@ -383,17 +390,99 @@ def _shingling(words: int) -> Callable:
         for batch in batches:
             for part in slices(batch, "text", 2 * 1024 * 1024):
                 sets, keep = [], []
-                for text, d1 in zip(part.column("text").to_pylist(), part.column("d1").to_pylist()):
+                for text, d1, d2 in zip(*[part.column(c).to_pylist() for c in ("text", "d1", "d2")]):
                     raw = shingles(text, known, words).tobytes()
-                    keep.append((xxhash.xxh3_128_intdigest(raw) >> 64) - (1 << 63) == d1)
+                    keep.append(_halves(xxhash.xxh3_128_intdigest(raw)) == (d1, d2))
                     sets.append(raw)
-                kept = part.drop_columns(["text", "d1"])
+                kept = part.drop_columns(["text", "d1", "d2"])
                 made = pa.RecordBatch.from_arrays([*kept.columns, pa.array(sets, pa.binary())], names=[*kept.schema.names, "shingles"])
                 yield made.filter(pa.array(keep))
 
     return run
 
 
+def in_parts(members: DataFrame) -> DataFrame:
+    """``members`` (``id, cluster, size``) with the number of ``parts`` of their cluster, and their ``part``."""
+    sizes = members.groupBy("cluster").agg(F.count("*").alias("n"), F.sum("size").alias("total"))
+    parts = F.greatest(F.ceil(F.col("n") / PART_TEXTS), F.ceil(F.col("total") / PART_SHINGLES)).cast("int")
+    placed = skew.salted_join(members, sizes.select("cluster", parts.alias("parts")), ["cluster"], how="inner", row_id=["id"])
+    return placed.withColumn("part", F.pmod(F.xxhash64(F.lit(4), "id"), F.col("parts")).cast("int"))
+
+
+def prefix_keys(x: np.ndarray, common: np.ndarray, counts: np.ndarray, threshold: float) -> np.ndarray:
+    """Keys of which two sets have one in common if their similarity reaches the threshold.
+
+    A set that is linked with ``x`` holds ``threshold`` of it, so it holds one of any ``len(x) - that + 1`` shingles; taken
+    are the rarest, by the ``counts`` of the ``common`` ones (sorted) and then by value. Each stands twice,
+    with the step of the set's size and the next one, as sizes of linked sets differ by one step at most.
+    """
+    at = np.minimum(np.searchsorted(common, x), max(0, len(common) - 1))
+    often = np.where(common[at] == x, counts[at], 0) if len(common) else np.zeros(len(x), np.int64)
+    many = len(x) - int(np.ceil(threshold * len(x) - 1e-6)) + 1
+    rare = x[np.lexsort((x, often))[:many]]
+    step = int(np.log(len(x)) / np.log(1.0001 / threshold))
+    steps = np.array([step, step + 1], np.uint64)
+    keys = (rare[:, None] ^ (steps * MIX)[None, :]).ravel() * MIX
+    keys ^= keys >> np.uint64(31)
+    return keys.view(np.int64)
+
+
+def _prefixes(threshold: float) -> Callable:
+    """Task function over a part and its cluster's common shingles: the keys of each text."""
+
+    def run(key: tuple, part: pa.Table, listed: pa.Table) -> pa.Table:
+        common = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        if listed.num_rows:
+            tokens = listed.column("tokens")[0].as_py()
+            found = np.array([t["token"] for t in tokens], np.int64).view(np.uint64)
+            order = np.argsort(found)
+            common = found[order], np.array([t["n"] for t in tokens], np.int64)[order]
+        ids, keys = [], []
+        for text, raw in zip(part.column("id").to_pylist(), part.column("shingles").to_pylist()):
+            made = prefix_keys(np.frombuffer(raw, np.uint64), *common, threshold)
+            ids.append(np.full(len(made), text, np.int64))
+            keys.append(made)
+        empty = [np.zeros(0, np.int64)]
+        columns = [pa.array(np.concatenate(c or empty), pa.int64()) for c in (ids, keys)]
+        cluster = pa.array(np.full(len(columns[0]), key[0].as_py()), pa.int64())
+        return pa.table([cluster, *columns], names=["cluster", "id", "key"])
+
+    return run
+
+
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task function: (cluster, token) for each shingle of each text."""
+    for batch in batches:
+        for cluster, raw in zip(batch.column("cluster").to_pylist(), batch.column("shingles").to_pylist()):
+            tokens = np.frombuffer(raw, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(tokens), cluster), pa.int64()), pa.array(tokens)], names=["cluster", "token"])
+
+
+def split_clusters(sets: DataFrame, threshold: float) -> DataFrame:
+    """(id, cluster) of the texts that share a rare shingle with another one of their cluster; others are linked with none.
+
+    ``sets`` has ``id, cluster, part, parts, size, shingles``. Which shingles are rare is told by a sample of each
+    cluster; any order of them gives the same links, and a better one smaller clusters.
+    """
+    sizes = cut_lineage(sets.groupBy("cluster").agg(F.count("*").alias("n"), F.sum("size").alias("total"), F.first("parts").alias("parts")))
+    chance = F.least(F.lit(SAMPLE_TEXTS) / F.col("n"), F.lit(SAMPLE_SHINGLES) / F.col("total"))
+    drawn = skew.salted_join(sets, sizes.select("cluster", chance.alias("chance")), ["cluster"], how="inner", row_id=["id"])
+    drawn = drawn.where(F.pmod(F.xxhash64(F.lit(6), "id"), F.lit(1 << 30)) < F.col("chance") * (1 << 30))
+    counted = drawn.select("cluster", "shingles").mapInArrow(_exploded, "cluster long, token long")
+    common = counted.groupBy("cluster", "token").agg(F.count("*").alias("n")).where("n > 1")
+    # About SAMPLE_SHINGLES / 2 tokens of a cluster at most, as each stands twice in the sample.
+    lists = common.groupBy("cluster").agg(F.collect_list(F.struct("token", "n")).alias("tokens"))
+    every = lists.join(sizes, "cluster").select("cluster", "tokens", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    keyed = cut_lineage(
+        sets.select("cluster", "part", "id", "shingles").groupBy("cluster", "part")
+        .cogroup(every.groupBy("cluster", "part")).applyInArrow(_prefixes(threshold), "cluster long, id long, key long")
+    )
+    least = keyed.groupBy("cluster", "key").agg(F.min("id").alias("least"), F.count("*").alias("n")).where("n > 1")
+    met = skew.salted_join(keyed, least.drop("n"), ["cluster", "key"], how="inner", row_id=["id"])
+    edges = met.where(F.col("id") != F.col("least")).select(F.col("id").alias("u"), F.col("least").alias("v"))
+    return _with_roots(components(edges.distinct())).distinct().withColumnRenamed("root", "cluster")
+
+
 def text_hash(text_column: str) -> Column:
     """Hash that tells the texts of rows with one id apart."""
     return F.xxhash64(text_column)
@@ -434,30 +523,33 @@ def near_duplicates(
     number = F.coalesce("doc_id", F.shiftright("d1", 2) + F.lit(1 << 62))
     own = marks.withColumn("number", number)
     first = F.min(F.struct("number", "told", "doc_id"))
-    # Texts go by the digest of their set from here on, as an id may stand at several texts.
+    # Texts get a number of their own, as an id may stand at several texts; a written one, so it stays the same.
     classes = cut_lineage(
         own.where("size > 0").groupBy("d1", "d2", "size").agg(first.alias("f"), F.count("*").alias("copies"))
-        .select(F.col("d1").alias("id"), "d1", "d2", "size", "copies", "f.*")
+        .select("d1", "d2", "size", "copies", "f.*").withColumn("id", F.monotonically_increasing_id())
     )
-    chosen = marks.select("doc_id", "told", "d1", "keys", "signature")
-    by_row = [chosen.doc_id.eqNullSafe(classes.doc_id), chosen.told == classes.told, chosen.d1 == classes.d1]
+    chosen = marks.select("doc_id", "told", "d1", "d2", "keys", "signature")
+    by_row = [chosen.doc_id.eqNullSafe(classes.doc_id), *[chosen[c] == classes[c] for c in ("told", "d1", "d2")]]
     texts = cut_lineage(
         classes.join(chosen, reduce(lambda a, b: a & b, by_row)).select(classes.id, "keys", "signature").dropDuplicates(["id"])
     )
-    clusters = components(candidate_edges(texts, forest)).withColumnRenamed("root", "cluster")
-    roots = clusters.select(F.col("cluster").alias("id"), "cluster").distinct()
-    members = cut_lineage(clusters.unionByName(roots).distinct().join(classes, "id"))
-    sizes = members.groupBy("cluster").agg(F.count("*").alias("n"), F.sum("size").alias("total"))
-    parts = F.greatest(F.ceil(F.col("n") / PART_TEXTS), F.ceil(F.col("total") / PART_SHINGLES)).cast("int")
-    placed = skew.salted_join(members, sizes.select("cluster", parts.alias("parts")), ["cluster"], how="inner", row_id=["id"])
-    sought = placed.withColumn("part", F.pmod(F.xxhash64(F.lit(4), "id"), F.col("parts")).cast("int"))
-    right = sought.select("id", "cluster", "part", "parts", "copies", "d1", "told", F.col("doc_id").alias("of"))
-    met = named.join(right, named.doc_id.eqNullSafe(right.of) & (named.told == right.told))
-    sets = met.select("id", "cluster", "part", "parts", "copies", "d1", "text").mapInArrow(
-        _shingling(words), "id long, cluster long, part int, parts int, copies long, shingles binary"
+    clusters = _with_roots(components(candidate_edges(texts, forest))).distinct().withColumnRenamed("root", "cluster")
+    members = cut_lineage(clusters.join(classes, "id").select("id", "cluster", "size"))
+    sought = classes.join(members.select("id"), "id").select("id", "copies", "size", "d1", "d2", "told", F.col("doc_id").alias("of"))
+    met = named.join(sought, named.doc_id.eqNullSafe(sought.of) & (named.told == sought.told))
+    sets = cut_lineage(
+        met.select("id", "copies", "size", "d1", "d2", "text")
+        .mapInArrow(_shingling(words), "id long, copies long, size int, shingles binary")
+        .dropDuplicates(["id"])
     )
+    placed = in_parts(members)
+    wide = placed.where("parts > 1")
+    if not wide.isEmpty():
+        split = split_clusters(cut_lineage(wide.join(sets, ["id", "size"])), threshold)
+        narrow = placed.where("parts = 1").select("id", "cluster", "size")
+        placed = in_parts(cut_lineage(narrow.unionByName(members.select("id", "size").join(split, "id"))))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    tiles = sets.select("*", other).select(
+    tiles = placed.drop("size").join(sets, "id").select("*", other).select(
         "id", "cluster", "part", "copies", "shingles", F.col("parts").alias("tiles"),
         F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"),
     )
