@@ -310,6 +310,23 @@ def test_top_k(spark, monkeypatch):
     assert top_k.top_k(df.limit(0), lambda i: i % 10 == 0).count() == 0
 
 
+def test_top_k_of_every_row(spark, monkeypatch):
+    """Rows that repeat an id are candidates of their own, but for the query's id; equal to all pairs in plain code."""
+    rng = random.Random(6)
+    rows = [(rng.choice([1, 10, 20, 7, *range(60)]), [rng.choice([-0.5, 0.0, 0.25, 0.9]) for _ in range(3)]) for _ in range(300)]
+    rows += [(1, [9.0, 0.0, 0.0]), (1, [2.0, 0.0, 0.0])] + [(10, [0.5, 0.5, 0.5])] * 60 + [(5, None), (None, [1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("row", F.lit("mine"))
+    usable = [(i, [math.floor(256 * x) for x in np.array(v, np.float32).astype(float)]) for i, v in rows if i is not None and v]
+    want = []
+    for q in sorted({i for i, _ in usable if i % 10 == 0}):
+        scores = sorted((-sum(a * b for a, b in zip(u, v)), c) for i, u in usable if i == q for c, v in usable if c != q)
+        want += [(q, rank, c, -s) for rank, (s, c) in enumerate(scores[:5], 1)]
+    monkeypatch.setattr(top_k, "FAN_IN", 2)
+    for shard, block in ((10_000, 10_000), (16, 4)):
+        got = top_k.top_k(df, lambda i: i % 10 == 0, shard=shard, block=block, every_row=True)
+        assert plain(got, "query_id", "rank", "vec_id", "score") == sorted(want, key=repr)
+
+
 def test_top_k_beyond_floating_point(spark):
     rows = [(0, [1.0e15, 3.0]), (1, [1.0e15, 1.0]), (2, [1.0e15, 2.0]), (3, [1.0e300, 0.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")

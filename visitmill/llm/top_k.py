@@ -65,12 +65,13 @@ def _matrix(raw: bytes, rows: int, width: int, most: int) -> np.ndarray:
 
 
 def best(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int, bound: int) -> Iterator[tuple]:
-    """(query id, vector id, score) of the ``k`` best of each query; ids of vectors ascend.
+    """(query id, vector id, score) of the ``k`` best of each query row; ids of vectors ascend.
 
-    ``bound`` is at least every absolute score.
+    ``bound`` is at least every absolute score. Vectors of the query's own id are no candidates.
     """
     n = len(ids)
-    keep = min(n, k + 1)
+    # As many more as an id has rows here, since a query leaves those of its own out.
+    keep = min(n, k + int(np.unique(ids, return_counts=True)[1].max()))
     exact = bound * n + n < EXACT
     right = vectors.astype(np.float64).T if exact else None
     step = max(1, CELLS // max(1, n))
@@ -145,18 +146,24 @@ def top_k(
     scale: int = 256,
     shard: int = SHARD,
     block: int = BLOCK,
+    every_row: bool = False,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` best others of each query row, ties to the smaller id.
 
     Components become floor(``scale`` * x); the score is the integer inner product. Rows whose id or
     vector is null, or whose vector holds a null or a number that is not finite, take no part. Of rows
-    that repeat an id, the least vector counts. Shorter vectors are filled up with zeros. Scores that no
+    that repeat an id, the least vector counts; with ``every_row`` each of them takes part, but for those of the
+    query's id, and the rows of a query's id share its ``k`` ranks. Shorter vectors are filled up with zeros. Scores that no
     long holds are held at its bounds. Fewer than ``k`` others: all of them; an empty table: no rows.
     ``is_query`` makes a condition of the id. Other columns are not read.
     """
     named = vectors.select(F.col(id_column).cast("long").alias("id"), integers(F.col(vector_column), scale).alias("vector"))
     usable = named.where(F.col("id").isNotNull() & F.col("vector").isNotNull())
-    rows = cut_lineage(usable.groupBy("id").agg(F.min("vector").alias("vector")))
+    if every_row:
+        # A written number deals the rows, so that those of a hot id are spread as well.
+        rows = cut_lineage(usable.withColumn("row", F.monotonically_increasing_id()))
+    else:
+        rows = cut_lineage(usable.groupBy("id").agg(F.min("vector").alias("vector")).withColumn("row", F.col("id")))
     flagged = rows.withColumn("is_query", F.coalesce(is_query(F.col("id")), F.lit(False)))
     n, queries, width = flagged.agg(F.count("*"), F.count_if("is_query"), F.max(F.size("vector"))).first()
     if not queries or n < 2:
@@ -165,13 +172,13 @@ def top_k(
     width = max(1, width)
     shards, blocks = -(-n // shard), -(-queries // block)
     packed = (
-        rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)))
+        rows.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
         .groupBy("shard")
         .applyInArrow(_pack(width, "shard"), "shard long, ids binary, matrix binary, most long")
     )
     asked = (
         flagged.where("is_query")
-        .withColumn("block", F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(blocks)))
+        .withColumn("block", F.pmod(F.xxhash64(F.lit(1), "row"), F.lit(blocks)))
         .groupBy("block")
         .applyInArrow(_pack(width, "block"), "block long, ids binary, matrix binary, most long")
         .select("block", F.col("ids").alias("query_ids"), F.col("matrix").alias("query_matrix"), F.col("most").alias("query_most"))
@@ -203,4 +210,4 @@ def top_k(
 )
 def op6_top_k(spark, folder):
     """The five best of every query vector among all others."""
-    return top_k(table(spark, folder, "embeddings"), lambda i: i % 50 == 0)
+    return top_k(table(spark, folder, "embeddings"), lambda i: i % 50 == 0, every_row=True)
