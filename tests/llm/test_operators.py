@@ -369,6 +369,35 @@ def test_mixing_to_a_budget(spark, nothing):
     assert corpus_pipeline.mix_sources(spark, df, "").count() > 0.9 * len(rows)
 
 
+@pytest.mark.parametrize("share", [None, 0.01])
+def test_mixing_of_near_diagonal_sources_is_within_tolerance(spark, share):
+    """Sources that are nearly all in one language need many sweeps; a fixed number of them would not do."""
+    rows, at = [], 0
+    for source in range(4):
+        for lang in range(4):
+            for _ in range(497 if source == lang else 1):
+                rows.append((at, "w " * 10, f"l{lang}", f"s{source}", 0))
+                at += 1
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    wanted = {"source": {f"s{i}": 0.25 for i in range(4)}, "lang": {f"l{i}": x for i, x in enumerate((0.31, 0.23, 0.23, 0.23))}}
+    tolerance = 1e-4 * (share or 1)
+    mixed = mixing.mix(df, targets=wanted, kept_share=share, tolerance=tolerance).cache()
+    weight = F.sum(F.col("mix_tokens") * F.col("mix_probability")).alias("w")
+    whole = mixed.agg(weight).first()[0]
+    for margin, shares in wanted.items():
+        got = {r[0]: r.w / whole for r in mixed.groupBy(margin).agg(weight).collect()}
+        assert all(abs(got[v] - x) < 4e-4 for v, x in shares.items())
+    if share:
+        assert whole / (10 * at) == pytest.approx(share, rel=1e-3)
+
+
+def test_mixing_tells_targets_that_exclude_each_other(spark):
+    rows = [(i, "one two", "en" if i % 2 else "de", "a" if i % 2 else "b", 0) for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    with pytest.warns(UserWarning, match="targets are met up to"):
+        mixing.mix(df, targets={"source": {"a": 0.9, "b": 0.1}, "lang": {"en": 0.1, "de": 0.9}}, sweeps=4)
+
+
 def test_mixing_edge_rows(docs, crowded, nothing, monkeypatch):
     added = ["doc_id", "text", "mix_tokens", "mix_topic", "mix_probability", "mix_kept"]
     plainly = plain(mixing.mix(docs, sweeps=2), *added)
