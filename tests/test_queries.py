@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
@@ -73,3 +75,10 @@ def test_preview_cuts_before_the_shuffle(spark, capsys):
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 1500
+
+
+def test_entry_without_an_optional_dependency():
+    """What only the optional operators need may be missing; the other queries are there."""
+    code = "import sys; sys.modules['xxhash'] = None; import __spark_entry__ as e; print(len([q for q in e.queries() if not q.startswith('op')]), any(q.startswith('op1_') for q in e.queries()))"
+    found = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=Path(entry.__file__).parent, check=True)
+    assert found.stdout.split()[-2:] == [str(len(QUERIES)), "False"]

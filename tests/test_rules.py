@@ -169,3 +169,59 @@ def test_validation_writes_split_registry_and_counts(spark, tmp_path):
     assert sorted((r.subjectId, r.siteId or "", r.firstSeenRunId) for r in registry) == [("a", "10", "one"), ("b", "", "one")]
     log = spark.read.schema(validate.LOG).parquet(f"{tmp_path}/{validate.LOG_TABLE}").collect()
     assert sorted((r.runId, r.totalRows, r.validRows, r.skippedRows, r.blocked) for r in log) == [("one", 3, 2, 1, False), ("two", 3, 2, 1, False)]
+
+
+def test_a_run_is_published_once(spark, tmp_path, monkeypatch):
+    """Repeated, interrupted or twice at once: one result, and nothing left of what does not count."""
+    visits = spark.createDataFrame([(1, "S", "a", "10"), (2, "S", "b", "10")], "n int, studyId string, subjectId string, studySiteNumber string").withColumns(
+        {"subjectStatus": F.lit("ENROLLED"), "cohort": F.lit("c")}
+    )
+    configs = spark.createDataFrame([("S", "FLAT_RATE", None, None)], "studyId string, armResolutionMode string, payableSubjectStatuses string, nonPayableSubjectStatuses string")
+    new_subjects = validate.arms.new_subjects
+
+    def run(run_id="r 1/ä"):
+        validate.validate_run(spark, visits, configs, [], str(tmp_path), run_id, order="n", row_id=["n"])
+
+    def broken(*_):
+        raise RuntimeError("gone")
+
+    def state():
+        rows = sorted((r.run_id, r.n) for r in spark.read.parquet(f"{tmp_path}/{validate.ROWS}").collect())
+        seen = sorted(r.subjectId for r in validate.published(spark, str(tmp_path), validate.REGISTRY).collect())
+        return rows, seen, [(r.runId, r.totalRows) for r in validate.published(spark, str(tmp_path), validate.LOG_TABLE).collect()]
+
+    monkeypatch.setattr(validate.arms, "new_subjects", broken)
+    with pytest.raises(RuntimeError):
+        run()
+    assert validate.published(spark, str(tmp_path), validate.REGISTRY).count() == 0
+    once = [("r 1/ä", 1), ("r 1/ä", 2)], ["a", "b"], [("r 1/ä", 2)]
+
+    def overtaken(*args):
+        monkeypatch.setattr(validate.arms, "new_subjects", new_subjects)
+        run()
+        return new_subjects(*args)
+
+    # Another attempt of the run is published while this one is at work.
+    monkeypatch.setattr(validate.arms, "new_subjects", overtaken)
+    run()
+    assert state() == once
+    run()
+    assert state() == once
+    run("two")
+    assert state()[1] == ["a", "b"] and len(state()[0]) == 4
+
+
+def test_what_a_crash_left_goes_with_the_next_attempt(spark, tmp_path):
+    from visitmill.sinks import publish
+
+    tables, out = ["t"], str(tmp_path)
+    left = publish.folder_of(spark, out, "t", "r", "crashed")
+    spark.range(3).write.parquet(left)
+    schema = spark.range(1).schema
+    assert publish.read(spark, out, "t", schema).count() == 0
+    with publish.attempt(spark, out, "r", tables) as own:
+        spark.range(2).write.parquet(publish.folder_of(spark, out, "t", "r", own))
+    assert publish.read(spark, out, "t", schema).count() == spark.read.parquet(f"{out}/t").count() == 2
+    with publish.attempt(spark, out, "r", tables) as again:
+        assert again is None
+    assert not publish.claim(spark, f"{out}/published/r", "other")

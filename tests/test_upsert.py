@@ -103,3 +103,28 @@ def test_seed_file(spark, tmp_path):
 def test_bad_seed_files(spark, tmp_path, payload):
     with pytest.raises(ValueError):
         upsert.read_seed(spark, write(tmp_path, payload))
+
+
+def test_two_seeds_at_once_both_count(spark, tmp_path):
+    """The second writer to claim a version makes its change on what the first one wrote."""
+    from pyspark.sql import functions as F
+
+    root, schema = str(tmp_path), spark.range(1).schema
+    assert versions.read_current(spark, root, schema).count() == 0
+    seen = []
+
+    def add(first, rival=None):
+        def change(base):
+            seen.append(sorted(r.id for r in base.collect()))
+            if rival is not None and len(seen) == 1:
+                versions.update(spark, root, schema, add(rival))
+            return base.unionByName(spark.range(first, first + 1))
+
+        return change
+
+    assert versions.update(spark, root, schema, add(1, rival=7)) == 2
+    assert sorted(r.id for r in versions.read_current(spark, root, schema).collect()) == [1, 7]
+    assert seen == [[], [], [7]] and versions.current_version(spark, root) == 2
+    with pytest.raises(Exception, match="broken"):
+        versions.update(spark, root, schema, lambda base: base.unionByName(spark.range(1)).select(F.raise_error(F.lit("broken")).alias("id")))
+    assert versions.current_version(spark, root) == 2

@@ -16,6 +16,7 @@ The modes and tables are given; how they act is defined here:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -221,6 +222,22 @@ def apply_pay_mode(
     return df.where(kept).unionByName(lump)
 
 
+def skip_unpaid(df: DataFrame, mode: Column, *, order: str, row_id: Sequence[str], key: Sequence[str] = tuple(VISIT_KEY), timepoint: str = "timePostDose") -> DataFrame:
+    """Valid rows that are not paid become ``SKIPPED``; ``mode`` is the pay mode of each row's study, null for per timepoint.
+
+    Only valid rows that are paid as a lump sum are sorted and joined.
+    """
+    valid = F.col("status") == "VALID"
+    timed = ~text.is_blank(F.col(timepoint).cast("string"))
+    lump = df.where(valid & (mode == "LUMP_SUM"))
+    paid = first_rows(lump, key, [order], 1).select(*[F.col(c).alias(f"_paid_{c}") for c in row_id])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_paid_{c}")) for c in row_id])
+    lost = lump.select(*row_id).join(paid, same, "left_anti").distinct().withColumn("_lost", F.lit(True))
+    marked = skew.lookup_join(df, lost, list(row_id), row_id=row_id)
+    unpaid = F.coalesce(F.col("_lost"), F.lit(False)) | F.coalesce((mode == "IGNORE") & timed, F.lit(False))
+    return marked.withColumn("status", F.when(valid & unpaid, "SKIPPED").otherwise(F.col("status"))).drop("_lost")
+
+
 def contact_reason(has_contact_mode: Column, contact: Column) -> Column:
     """Reason if the study records contact modes and the row has none."""
     return F.when(has_contact_mode & text.is_blank(contact), "visitContactMode is blank.")

@@ -25,11 +25,8 @@ def _seed(spark: SparkSession, tenant: str, path: str, tables: str) -> None:
     sections = upsert.read_seed(spark, path)
     now = F.lit(datetime.now(UTC)).cast("timestamp")
     if sections["eligibility_rule"]:
-        place = f"{root}/eligibility_rule"
-        rules = versions.read_current(spark, place, S.ELIGIBILITY_RULE)
-        versions.write_next(upsert.seed_rules(rules, sections["eligibility_rule"], now), place)
+        seeds = sections["eligibility_rule"]
+        versions.update(spark, f"{root}/eligibility_rule", S.ELIGIBILITY_RULE, lambda base: upsert.seed_rules(base, seeds, now))
     seeded = [(c, sections[s]) for s, c in upsert.SEED_SECTIONS.items() if c and sections[s]]
     if seeded:
-        place = f"{root}/data_column_mapping"
-        mappings = versions.read_current(spark, place, S.COLUMN_MAPPING)
-        versions.write_next(upsert.seed_mappings(mappings, seeded, now), place)
+        versions.update(spark, f"{root}/data_column_mapping", S.COLUMN_MAPPING, lambda base: upsert.seed_mappings(base, seeded, now))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +13,7 @@ from visitmill import schema as S
 from visitmill.functions import skew
 from visitmill.operators import arms, eligibility
 from visitmill.session import cut_lineage, job_folder
+from visitmill.sinks import publish
 from visitmill.sinks.normalized import write_split
 
 CONFIG = [
@@ -121,39 +121,40 @@ def validate_run(
     created_by: str = "validation-task",
     **more,
 ) -> None:
-    """Validate the visits of a run and write what comes of it below ``output``.
+    """Validate the visits of a run and publish what comes of it below ``output``.
 
-    ``validated/run_id=…/is_valid=…`` gets the rows with their status; with a ``schedule`` they carry its flag, and
+    ``validated/run_id=…`` gets the rows with their status, valid ones apart; with a ``schedule`` they carry its flag, and
     valid ones are cut down by the study's ``pkPayMode`` if the config has it: what is not paid is
     ``SKIPPED``. ``subject_registry`` gets the subjects seen for the first time, and is the registry of
     the next run. ``validation_log`` gets the counts per study.
+
+    A run is published once, all three tables together: a run id that is published already is left as it is, and what an
+    interrupted attempt wrote does not count. :func:`published` reads the tables.
     """
-    with job_folder(spark):
-        try:
-            registry = cut_lineage(spark.read.schema(S.SUBJECT_REGISTRY).parquet(f"{output}/{REGISTRY}"))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            registry = spark.createDataFrame([], S.SUBJECT_REGISTRY)
-        checked = validate(visits, configs, rules, registry, order=order, row_id=row_id, **more)
+    tables = [ROWS, REGISTRY, LOG_TABLE]
+    with job_folder(spark), publish.attempt(spark, output, run_id, tables) as attempt:
+        if attempt is None:
+            return
+        validated, registry, log = (publish.folder_of(spark, output, t, run_id, attempt) for t in tables)
+        checked = validate(visits, configs, rules, published(spark, output, REGISTRY), order=order, row_id=row_id, **more)
         rows = checked.rows
         if schedule is not None:
             rows = arms.join_schedule(rows, schedule, row_id=row_id)
         if "pkPayMode" in configs.columns:
             modes = configs.select("studyId", F.col("pkPayMode").alias("_mode"))
             rows = skew.lookup_join(rows, modes, ["studyId"], row_id=row_id, keys_from=visits)
-            rows = cut_lineage(rows)
-            valid = rows.where("status = 'VALID'")
-            paid = arms.apply_pay_mode(valid, F.coalesce("_mode", F.lit("PER_TIMEPOINT")), order=order)
-            lost = valid.select(*row_id).exceptAll(paid.select(*row_id)).distinct().withColumn("_lost", F.lit(True))
-            rows = skew.lookup_join(rows, lost, list(row_id), row_id=row_id)
-            status = F.when(F.col("_lost") & (F.col("status") == "VALID"), "SKIPPED").otherwise(F.col("status"))
-            rows = rows.withColumn("status", status).drop("_lost", "_mode")
+            rows = cut_lineage(arms.skip_unpaid(rows, F.col("_mode"), order=order, row_id=row_id).drop("_mode"))
         rows = cut_lineage(eligibility.split_valid(rows))
-        write_split(rows, f"{output}/{ROWS}/run_id={run_id}")
+        write_split(rows, validated)
         now = F.current_timestamp()
         new = arms.new_subjects(checked.arms, run_id, now, created_by)
         named = new.withColumns({c: F.lit(None).cast(S.SUBJECT_REGISTRY[c].dataType) for c in S.SUBJECT_REGISTRY.names if c not in new.columns})
-        named.select(*S.SUBJECT_REGISTRY.names).write.mode("append").parquet(f"{output}/{REGISTRY}")
+        named.select(*S.SUBJECT_REGISTRY.names).write.parquet(registry)
         counts = eligibility.status_counts(rows, ["studyId"])
-        counts.select(F.lit(run_id).alias("runId"), *LOG.names[1:-1], now.alias("createdAt")).write.mode("append").parquet(f"{output}/{LOG_TABLE}")
+        counts.select(F.lit(run_id).alias("runId"), *LOG.names[1:-1], now.alias("createdAt")).write.parquet(log)
+
+
+def published(spark: SparkSession, output: str, table: str) -> DataFrame:
+    """``subject_registry`` or ``validation_log`` of all published runs."""
+    schema = {REGISTRY: S.SUBJECT_REGISTRY, LOG_TABLE: LOG}[table]
+    return publish.read(spark, output, table, schema).select(*schema.names)
