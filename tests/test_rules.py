@@ -91,6 +91,41 @@ def test_the_plan_does_not_grow_with_the_rules(spark):
     assert {r.i: len(r.reasons) for r in E.evaluate_table(rows(spark), many).collect()} == dict.fromkeys(range(7), 400)
 
 
+def test_the_index_agrees_with_expressions(spark, monkeypatch):
+    """All operators, blocks of two rules, values shared by rules, rules of all studies, null and unlisted studies."""
+    import random
+
+    rng = random.Random(3)
+    monkeypatch.setattr(E, "FEW_RULES", 0)
+    monkeypatch.setattr(E.rule_index, "BLOCK", 2)
+    cases = [(o, e) for o, e, _ in CASES] * 2 + [(o, e) for o in ("GREATER_THAN", "LESS_THAN") for e in ("-1", "0", "4.5", "5", "7", "NaN", None, "10")]
+    cases += [("EQUALS", None), ("NOT_EQUALS", None), ("NOT_EQUALS", " "), ("EQUALS", " "), ("EQUALS", ""), ("IN", "5,5,10"), ("NOT_IN", None), ("NOT_IN", "5,5")]
+    made = [
+        Rule(f"R{i:02}", rng.choice("vw"), o, e, f"r{i}", rng.choice([None, "S1", "S2"]), rng.choice(["BLOCKING", "NON_BLOCKING"]))
+        for i, (o, e) in enumerate(cases * 2)
+    ]
+    table = rule_table(spark, *[(r.rule_id, r.study_id, r.column, r.operator, r.expected, r.reason, r.kind, True) for r in made])
+    df = rows(spark).unionByName(rows(spark).withColumn("studyId", F.lit("S2"))).unionByName(rows(spark).withColumn("studyId", F.lit(None).cast("string")))
+    df = df.unionByName(df).withColumn("w", F.when(F.col("i") != 3, F.col("i") - 1.0))
+    columns = ["i", "v", "studyId", "reasons", "blocking"]
+    want = sorted(str(r) for r in E.evaluate(df, made).select(columns).collect())
+    assert sorted(str(r) for r in E.evaluate_table(df, table).select(columns).collect()) == want
+    monkeypatch.setattr(E.skew, "fits_broadcast", lambda *_, **__: False)
+    assert sorted(str(r) for r in E.evaluate_table(df, table, row_id=["i"]).select(columns).collect()) == want
+
+
+@pytest.mark.parametrize("few", [0, 64])
+def test_a_bad_rule_fails_its_own_study(spark, monkeypatch, few):
+    monkeypatch.setattr(E, "FEW_RULES", few)
+    bad = [("B1", "S2", "w", "IS_NULL", None, "r", None, True), ("B2", "S3", "v", "LIKE", None, "r", None, True), ("B3", "S4", "v", "IN", "5", "r", "MILD", True)]
+    good = [("A", None, "v", "EQUALS", "5", "not five", None, True), ("C", "S2", "v", "EQUALS", "5", "not five either", None, True)]
+    every = rows(spark).drop("studyId").join(spark.createDataFrame([(f"S{i}",) for i in range(1, 5)], "studyId string")).where("i < 2")
+    got = {(r.studyId, r.i): (r.reasons, r.blocking) for r in E.evaluate_table(every, rule_table(spark, *bad, *good)).collect()}
+    assert got["S1", 0] == ([], False) and got["S1", 1] == (["not five"], False)
+    for study, what in (("S2", "Rule B1: unknown column w"), ("S3", "Rule B2: unknown operator LIKE"), ("S4", "Rule B3: unknown kind MILD")):
+        assert got[study, 0] == got[study, 1] == ([what], True)
+
+
 def test_status_lists(spark):
     cases = [
         ("A", "A, B", None, False), ("C", "A, B", None, True), (None, "A", None, True), (None, None, "A", False),

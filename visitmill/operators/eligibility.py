@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from visitmill import schema as S
 from visitmill.functions import skew, text
+from visitmill.operators import rule_index
+from visitmill.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -92,32 +94,34 @@ def evaluate(df: DataFrame, rules: Sequence[Rule], *, study: str = "studyId") ->
     return df.withColumn("reasons", _reasons(ordered, study)).withColumn("blocking", blocking)
 
 
+# Rules of a study, with those of all studies, up to which each row is held against all of them.
+FEW_RULES = 64
 RULES = "array<struct<id:string,name:string,operator:string,expected:string,reason:string,blocking:boolean,listed:array<string>>>"
 
 
-def rule_sets(table: DataFrame, study: str = "studyId") -> tuple[DataFrame, Column, list[str]]:
-    """Active rules as one sorted array per study, those of all studies among them; the array of the
-    latter alone; and the columns that rules name.
-
-    What reaches the driver are column names and the rules of all studies, which every row is held
-    against anyway.
-    """
-    active = table.where("isActive")
+def active_rules(table: DataFrame, known: Sequence[str], study: str = "studyId") -> DataFrame:
+    """Active rules as ``study, rule``, and ``wrong``: why a rule cannot be applied, null if it can."""
     kind = F.coalesce("ruleKind", F.lit("NON_BLOCKING"))
-    wrong = active.where(~F.coalesce(F.col("operator").isin(S.RULE_OPERATORS), F.lit(False)) | ~kind.isin(S.RULE_KINDS))
-    if bad := wrong.select("ruleId", "operator", kind.alias("kind")).take(1):
-        raise ValueError(f"{bad[0].ruleId}: unknown operator {bad[0].operator} or kind {bad[0].kind}")
+    told = lambda what, c: F.concat(F.lit("Rule "), F.coalesce("ruleId", F.lit("?")), F.lit(f": unknown {what} "), F.coalesce(c, F.lit("null")))
+    wrong = (
+        F.when(~F.coalesce(F.col("operator").isin(S.RULE_OPERATORS), F.lit(False)), told("operator", F.col("operator")))
+        .when(~kind.isin(S.RULE_KINDS), told("kind", kind))
+        .when(~F.coalesce(F.col("columnName").isin(list(known)), F.lit(False)), told("column", F.col("columnName")))
+    )
     one = F.struct(
         F.col("ruleId").alias("id"), F.col("columnName").alias("name"), "operator", F.col("expectedValue").alias("expected"),
         F.col("rejectionReason").alias("reason"), (kind == "BLOCKING").alias("blocking"),
         F.coalesce(listed(F.col("expectedValue")), F.array().cast("array<string>")).alias("listed"),
     )
-    rules = active.select(F.col("studyId").alias(study), one.alias("rule"))
-    columns = sorted(r.name for r in rules.select("rule.name").distinct().collect())
+    return table.where("isActive").select(F.col("studyId").alias(study), one.alias("rule"), wrong.alias("wrong"))
+
+
+def rule_sets(rules: DataFrame, study: str = "studyId") -> tuple[DataFrame, Column]:
+    """Rules as one sorted array per study, those of all studies among them; and the array of the latter alone."""
     general = rules.where(F.col(study).isNull()).agg(F.to_json(F.sort_array(F.collect_list("rule")))).first()[0]
     shared = F.from_json(F.lit(general), RULES)
     own = rules.where(F.col(study).isNotNull()).groupBy(study).agg(F.collect_list("rule").alias("_rules"))
-    return own.withColumn("_rules", F.sort_array(F.concat("_rules", shared))), shared, columns
+    return own.withColumn("_rules", F.sort_array(F.concat("_rules", shared))), shared
 
 
 def _rule_passes(rule: Column, texts: Column, numbers: Column) -> Column:
@@ -143,14 +147,46 @@ def _rule_passes(rule: Column, texts: Column, numbers: Column) -> Column:
 def evaluate_table(
     df: DataFrame, table: DataFrame, *, study: str = "studyId", row_id: Sequence[str] | None = None
 ) -> DataFrame:
-    """:func:`evaluate` with the rules of a table, however many: each study's rules join its rows.
+    """:func:`evaluate` with the rules of a table, however many.
 
-    The plan has the same size for any number of rules; a row is held against its own study's only.
+    The plan has the same size for any number of rules. Where no study has more than ``FEW_RULES``, each study's rules join its rows as
+    an array; beyond that rows look theirs up in an index (:mod:`visitmill.operators.rule_index`), with the same result. A rule that
+    cannot be applied, for its operator, kind or column, raises if it is one of all studies; one of a single study fails the rows of that study,
+    with what is wrong as their reason, and leaves the others alone.
     """
-    sets, shared, columns = rule_sets(table, study)
-    unknown = sorted(set(columns) - set(df.columns))
-    if unknown:
-        raise ValueError(f"Rules on unknown columns: {', '.join(unknown)}")
+    rules = active_rules(table, df.columns, study)
+    own = rules.where("wrong IS NULL").drop("wrong")
+    counts = rules.groupBy(study).agg(F.count("*").alias("n"), F.min("wrong").alias("wrong"))
+    most, general, wrong, bad = counts.agg(
+        F.max(F.when(F.col(study).isNotNull(), F.col("n"))), F.max(F.when(F.col(study).isNull(), F.col("n"))),
+        F.max(F.when(F.col(study).isNull(), F.col("wrong"))), F.count(F.when(F.col(study).isNotNull(), F.col("wrong"))),
+    ).first()
+    if wrong:
+        raise ValueError(wrong)
+    # What reaches the driver are the names of columns, and a short list of rules of all studies.
+    columns = sorted(r.name for r in own.select("rule.name").distinct().collect())
+    if (most or 0) + (general or 0) <= FEW_RULES:
+        found = _evaluate_arrays(df, own, columns, study, row_id)
+    else:
+        held = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
+        flat = own.select(F.coalesce(F.concat(F.lit("="), F.col(study)), F.lit("")).alias("scope"), "rule.*")
+        failed = cut_lineage(rule_index.failed_rules(held, flat, columns, study=study))
+        found = held.join(failed, "_row", "left").drop("_row")
+    # A row that fails nothing has no entry in the index.
+    reasons = F.coalesce(F.transform("_failed", lambda r: r["reason"]), F.array().cast("array<string>"))
+    blocking = F.coalesce(F.exists("_failed", lambda r: r["blocking"]), F.lit(False))
+    out = found.withColumns({"reasons": reasons, "blocking": blocking}).drop("_failed")
+    if not bad:
+        return out
+    broken = cut_lineage(counts.where(F.col(study).isNotNull() & F.col("wrong").isNotNull()).select(study, F.col("wrong").alias("_wrong")))
+    told = skew.lookup_join(out, broken, [study], row_id=row_id, keys_from=df.select(study))
+    instead = {"reasons": F.when(F.col("_wrong").isNotNull(), F.array("_wrong")).otherwise(F.col("reasons")), "blocking": F.col("blocking") | F.col("_wrong").isNotNull()}
+    return told.withColumns(instead).drop("_wrong")
+
+
+def _evaluate_arrays(df: DataFrame, rules: DataFrame, columns: Sequence[str], study: str, row_id: Sequence[str] | None) -> DataFrame:
+    """``df`` with ``_failed``; each row is held against the array of its study's rules."""
+    sets, shared = rule_sets(rules, study)
     pairs = [(F.lit(c), F.col(c)) for c in columns]
     none = F.create_map().cast("map<string,string>")
     texts = F.create_map(*[x for n, c in pairs for x in (n, c.cast("string"))]) if pairs else none
@@ -158,10 +194,7 @@ def evaluate_table(
     joined = skew.lookup_join(df, sets, [study], row_id=row_id, keys_from=df.select(study))
     held = joined.withColumns({"_rules": F.coalesce("_rules", shared), "_texts": texts, "_numbers": numbers})
     failed = F.filter("_rules", lambda r: ~_rule_passes(r, F.col("_texts"), F.col("_numbers")))
-    found = held.withColumn("_failed", failed).drop("_rules", "_texts", "_numbers")
-    reasons = F.transform("_failed", lambda r: r["reason"])
-    blocking = F.exists("_failed", lambda r: r["blocking"])
-    return found.withColumns({"reasons": reasons, "blocking": blocking}).drop("_failed")
+    return held.withColumn("_failed", failed).drop("_rules", "_texts", "_numbers")
 
 
 def listed(col: Column) -> Column:

@@ -200,3 +200,46 @@ def study_rules(spark: SparkSession, folder: str) -> DataFrame:
     items = table(spark, folder, "lineitem").select(*keys, F.concat(F.lit("S"), F.col("l_partkey") % 500).alias("studyId"))
     judged = eligibility.evaluate_table(items, rules, row_id=keys)
     return judged.select(*keys, F.size("reasons").alias("failed"), "blocking")
+
+
+@query("""
+    WITH items AS (SELECT *, l_partkey % 4 AS study FROM lineitem),
+    rules AS (SELECT p_partkey % 4 AS study, p_partkey // 4 % 4 AS kind, p_size FROM part WHERE p_partkey % 4 <> 3),
+    own AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity,
+                   count(*) AS failed, bool_or(kind = 0) AS blocking
+            FROM items i JOIN rules r ON i.study = r.study AND (
+                (kind = 0 AND l_quantity >= p_size + 40) OR (kind = 1 AND l_quantity <= p_size // 10)
+                OR (kind = 2 AND l_linenumber = p_size) OR (kind = 3 AND l_returnflag = 'R' AND p_size % 50 = 0))
+            GROUP BY ALL),
+    shared AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, count(*) AS failed FROM items JOIN supplier ON l_suppkey = s_suppkey AND s_suppkey % 7 = 0 GROUP BY ALL)
+    SELECT l_orderkey, l_linenumber, l_partkey, l_quantity,
+           CASE WHEN study = 3 THEN 1 ELSE coalesce(o.failed, 0) + coalesce(s.failed, 0) END::INTEGER AS failed,
+           study = 3 OR coalesce(o.blocking, false) AS blocking,
+           CASE WHEN study = 3 THEN 'Rule BAD: unknown operator LIKE' END AS wrong
+    FROM items LEFT JOIN own o USING (l_orderkey, l_linenumber, l_partkey, l_quantity) LEFT JOIN shared s USING (l_orderkey, l_linenumber, l_partkey, l_quantity)
+""")
+def rule_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Every part as a rule of one of three studies, suppliers as rules of all; a fourth study has a rule that cannot be applied."""
+    kind, size = F.expr("p_partkey div 4 % 4"), F.col("p_size")
+    study = F.concat(F.lit("S"), F.col("p_partkey") % 4)
+    expected = (
+        F.when(kind == 0, (size + 40).cast("string")).when(kind == 1, F.expr("p_size div 10").cast("string"))
+        .when(kind == 2, F.concat_ws(",", size, F.lit("99"))).otherwise(F.when(size % 50 == 0, "A,N").otherwise("A,N,R"))
+    )
+    named = F.when(kind < 2, "l_quantity").when(kind == 2, "l_linenumber").otherwise("l_returnflag")
+    operator = F.when(kind == 0, "LESS_THAN").when(kind == 1, "GREATER_THAN").when(kind == 2, "NOT_IN").otherwise("IN")
+    own = table(spark, folder, "part").where("p_partkey % 4 <> 3").select(
+        F.concat(F.lit("R"), "p_partkey").alias("ruleId"), study.alias("studyId"), named.alias("columnName"), operator.alias("operator"),
+        expected.alias("expectedValue"), F.col("p_name").alias("rejectionReason"), F.when(kind == 0, "BLOCKING").alias("ruleKind"), F.lit(True).alias("isActive"),
+    )
+    shared = table(spark, folder, "supplier").select(
+        F.concat(F.lit("S"), "s_suppkey").alias("ruleId"), F.lit(None).cast("string").alias("studyId"), F.lit("l_suppkey").alias("columnName"),
+        F.lit("NOT_EQUALS").alias("operator"), F.when(F.col("s_suppkey") % 7 == 0, F.col("s_suppkey").cast("string")).alias("expectedValue"),
+        F.col("s_name").alias("rejectionReason"), F.lit("NON_BLOCKING").alias("ruleKind"), F.lit(True).alias("isActive"),
+    )
+    bad = spark.createDataFrame([("BAD", "S3", "l_quantity", "LIKE", None, None, None, True)], own.schema)
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"]
+    items = table(spark, folder, "lineitem").select(*keys, "l_suppkey", "l_returnflag", F.concat(F.lit("S"), F.col("l_partkey") % 4).alias("studyId"))
+    judged = eligibility.evaluate_table(items, own.unionByName(shared).unionByName(bad), row_id=keys)
+    wrong = F.get(F.filter("reasons", lambda r: r.startswith("Rule BAD")), F.lit(0))
+    return judged.select(*keys, F.size("reasons").alias("failed"), "blocking", wrong.alias("wrong"))
