@@ -17,8 +17,9 @@ from visitmill.llm.common import held_out, table
 from visitmill.session import cut_lineage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-# A document whose best language has a lower probability than this is in none of the learned languages.
-MIN_LANGUAGE_SCORE = 0.3
+# How far the best language of a document must be above chance, of the way from there to 1; else it is in none of the
+# learned languages. With four languages that is a probability of 0.3.
+MIN_LANGUAGE_LEAD = 1 / 15
 # Share of the tokens that the mixture keeps.
 KEPT_SHARE = 0.95
 
@@ -35,7 +36,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     if net is None:
         return rows.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     found = language.identify(rows, net)
-    known = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
+    chance = 1 / len(net.languages)
+    least = chance + (1 - chance) * MIN_LANGUAGE_LEAD if chance < 1 else 0.0
+    known = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= least - 1e-9)
     return found.where(known).select(*COLUMNS)
 
 

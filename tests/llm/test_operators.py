@@ -486,3 +486,99 @@ def test_quality_of_a_text_does_not_depend_on_its_neighbours():
     assert quality.score_texts(slopes, 0.1, texts) == pytest.approx(alone, abs=1e-9)
     bags = [quality.bag(t, quality.BUCKETS) for t in texts]
     assert [1 / (1 + math.exp(-(float(slopes[i] @ s) + 0.1))) for i, s in bags] == pytest.approx(alone, abs=1e-4)
+
+
+def scalar_labels(net, text):
+    """Probabilities of every byte by scalar loops; each block starts anew, a little before its first byte."""
+    core, context, h, out = language.CORE, language.CONTEXT, net.out.shape[0] // 2, []
+    for start in range(0, len(text), core):
+        window = [text[i] if 0 <= i < len(text) else 0 for i in range(start - context, start + core + context)]
+        states = {}
+        for d in (0, 1):
+            state = [0.0] * h
+            for t in range(len(window)) if d == 0 else range(len(window) - 1, -1, -1):
+                z, n = (
+                    [max(-1.0, min(1.0, float(net.table[d, g, window[t], u]) + sum(state[v] * float(net.recur[d, g, v, u]) for v in range(h)))) for u in range(h)]
+                    for g in (0, 1)
+                )
+                state = [(s + b + a * (s - b)) / 2 for s, a, b in zip(state, z, n)]
+                states[d, t] = state
+        for t in range(context, context + min(core, len(text) - start)):
+            both = states[0, t] + states[1, t]
+            e = [math.exp(float(net.bias[c]) + sum(x * float(net.out[u, c]) for u, x in enumerate(both))) for c in range(len(net.languages))]
+            out.append([x / sum(e) for x in e])
+    return out
+
+
+def test_language_equals_a_scalar_loop():
+    rng = np.random.default_rng(7)
+    net = language.Network.fresh(["a", "b", "c"], 3, rng)
+    text = ("Ab é1 — “Größe” 日本 😀 ﬁn. " * 12).encode()
+    letters = [c.isalpha() for c in text.decode() for _ in c.encode()]
+    each = scalar_labels(net, text)
+    want = np.array([p for p, ok in zip(each, letters) if ok]).mean(axis=0)
+    p, votes = language.predict(net, [text])
+    assert p[0] == pytest.approx(want, abs=1e-4) and votes.sum() == sum(letters)
+    assert language.letter_bytes(text).tolist() == letters
+
+
+def test_language_of_a_text_of_several_pieces(monkeypatch):
+    """Borders of pieces see their neighbours, so a long text is labelled as if it were one piece."""
+    rng = np.random.default_rng(8)
+    net = language.Network.fresh(["a", "b"], 4, rng)
+    text = bytes(rng.integers(97, 122, 5 * language.CORE + 50, dtype=np.uint8))
+    whole = language.predict(net, [text])
+    monkeypatch.setattr(language, "TOGETHER", 1)
+    cut = language.predict(net, [text])
+    assert np.allclose(whole[0], cut[0], atol=1e-6) and (whole[1] == cut[1]).all()
+
+
+def test_language_sample_is_spread_over_many_languages(spark, monkeypatch):
+    rows = [(i, f"word number {i} of a text", f"l{i % 700}") for i in range(2100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    windows = language.sample_windows(df, F.lit(True), per_language=2)
+    assert len({lang for lang, _ in windows}) > 500
+    monkeypatch.setattr(language, "MOST_DOCUMENTS", 100)
+    assert 30 < len(language.sample_windows(df, F.lit(True))) / language.WINDOWS < 250
+    net = language.fit(df, F.lit(True), steps=1)
+    assert len(net.languages) > 30 and language.identify(df.limit(5), net).count() == 5
+
+
+def naive_features(text, buckets):
+    """Buckets of a text from its bytes, one n-gram, word and word pair at a time, in whole numbers."""
+    blank, wide, out = set(b" \t\n\x0b\x0c\r"), 1 << 64, Counter()
+    data, shift = b" " + text + b" ", 64 - (buckets - 1).bit_length()
+    multiplier = int(quality.MULTIPLIER)
+    for n in quality.NGRAMS:
+        for at in range(len(data) - n + 1):
+            if not any(b in blank for b in data[at + 1 : at + n - 1]):
+                h = n
+                for b in data[at : at + n]:
+                    h = (h * 259 + b + 1) % wide
+                out[(h * multiplier % wide) >> shift] += 1
+    words = data.split()
+    for word in words:
+        h = len(word)
+        for place, b in enumerate(word):
+            term = (b + 1) * (2 * place + 1) * multiplier % wide
+            term = (term ^ (term >> 29)) * 0xBF58476D1CE4E5B9 % wide
+            h += term
+        out[(h % wide * multiplier % wide) >> shift] += 1
+    out.update(0 if a == b else 1 for a, b in zip(words, words[1:]))
+    return out
+
+
+def test_quality_equals_a_dictionary_of_features():
+    rng = np.random.default_rng(4)
+    slopes = rng.normal(size=1 << 10).astype(np.float32)
+    for text in ("", " ", "a", "the the cat", "Größe — 日本 x", "word " * 30, "a\tb\nab ab\rab"):
+        found = naive_features(text.encode(), len(slopes))
+        logit = sum(float(slopes[b]) * n for b, n in found.items()) / max(1, sum(found.values())) + 0.2
+        assert quality.score_texts(slopes, 0.2, [text.encode()])[0] == pytest.approx(1 / (1 + math.exp(-logit)), abs=1e-6)
+
+
+def test_quality_sample_is_not_starved_by_a_long_text(spark):
+    rows = [(i, f"text number {i} " * 5, i % 2) for i in range(300)] + [(1000, "long " * 700_000, 1), (1001, "long " * 200_000, 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    found = quality.sample_labelled(df.select("doc_id", "text"), df.select("doc_id", "quality"), F.lit(True))
+    assert len(found) == 302 and max(len(t) for _, t in found) == quality.SAMPLE_CHARS

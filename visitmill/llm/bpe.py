@@ -164,7 +164,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str, pattern: str, *, text_column: s
     """``docs`` with ``ids`` instead of the text: little-endian unsigned 32-bit integers in one binary.
 
     ``vocabulary`` is the path of a rank file, ``pattern`` splits texts before the merges. Whole texts
-    are encoded; a null text is empty and has no ids. Other columns stay; one called ``ids`` is replaced.
+    are encoded; a null text is empty and has no ids; rows that repeat an id or a text get a row each, an empty table gives no rows. Other columns stay; one called ``ids`` is replaced.
     """
     ranks = read_ranks(vocabulary)
     model = model_bytes(ranks)

@@ -20,19 +20,40 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from visitmill.functions import skew
 from visitmill.llm.common import extended, held_out, query, slices, table, uniform
+from visitmill.session import cut_lineage
 
 # The sample that is learned from: documents per language, windows per document, characters per window.
 DOCUMENTS, WINDOWS, WINDOW_CHARS = 500, 3, 96
-# More languages than this are an error, as the sample grows with them.
-MAX_LANGUAGES = 512
+# Documents of all languages together; where there are many languages, each gives fewer.
+MOST_DOCUMENTS = 100_000
 HIDDEN, STEPS, BATCH, RATE, SEED = 8, 350, 256, 0.02, 7
 # Bytes of a block, context on each side, blocks that run together, bytes of text taken at a time.
 CORE, CONTEXT, TOGETHER, SLICE_BYTES = 224, 16, 2048, 4 * 1024 * 1024
 UNKNOWN = "und"
 
-LETTER = np.zeros(256, np.float32)
-LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+# Whether a code point below 2^16 is a letter.
+LETTERS = np.array([chr(c).isalpha() for c in range(1 << 16)])
+
+
+def letter_bytes(text: bytes) -> np.ndarray:
+    """1 for each byte of a letter, else 0; bytes that are no UTF-8, as at the ends of a cut, are none."""
+    data = np.frombuffer(text, np.uint8)
+    if text.isascii():
+        return LETTERS[data].astype(np.float32)
+    points = np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    lengths = 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)
+    if int(lengths.sum()) != len(data):
+        # Broken characters are told apart byte by byte.
+        broken = text.decode("utf-8", "surrogateescape")
+        points = np.array([ord(c) for c in broken], np.uint32)
+        escaped = (points >= 0xDC80) & (points <= 0xDCFF)
+        lengths = np.where(escaped, 1, 1 + (points > 0x7F).astype(int) + (points > 0x7FF) + (points > 0xFFFF))
+    known = np.where(points < 1 << 16, LETTERS[np.minimum(points, 0xFFFF)], False)
+    for at in np.flatnonzero(points >= 1 << 16):
+        known[at] = chr(points[at]).isalpha()
+    return np.repeat(known.astype(np.float32), lengths)
 
 
 @dataclass
@@ -143,11 +164,12 @@ def train(windows: list[tuple[str, bytes]], *, hidden: int = HIDDEN, steps: int
     net = Network.fresh(languages, hidden, rng)
     if len(languages) < 2:
         return net
-    width = WINDOW_CHARS
-    x = np.zeros((len(windows), width), np.uint8)
+    # Windows have one length in characters; in bytes they differ by script.
+    width = max(len(window) for _, window in windows)
+    x, letters = np.zeros((len(windows), width), np.uint8), np.zeros((len(windows), width), np.float32)
     for i, (_, window) in enumerate(windows):
-        cut = np.frombuffer(window[:width], np.uint8)
-        x[i, : len(cut)] = cut
+        x[i, : len(window)] = np.frombuffer(window, np.uint8)
+        letters[i, : len(window)] = letter_bytes(window)
     y = np.array([languages.index(lang) for lang, _ in windows])
     by_class = [np.flatnonzero(y == c) for c in range(len(languages))]
     moments = [(np.zeros_like(w), np.zeros_like(w)) for w in net.weights()]
@@ -155,7 +177,7 @@ def train(windows: list[tuple[str, bytes]], *, hidden: int = HIDDEN, steps: int
         classes = rng.integers(0, len(languages), BATCH)
         rows = np.array([by_class[c][rng.integers(len(by_class[c]))] for c in classes])
         batch = np.ascontiguousarray(x[rows].T)
-        weight = LETTER[batch]
+        weight = np.ascontiguousarray(letters[rows].T)
         weight /= max(1.0, weight.sum())
         _, grads = net.gradients(batch, y[rows], weight)
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads))
@@ -172,29 +194,35 @@ def sample_windows(docs: DataFrame, learn, *, per_language: int = DOCUMENTS) ->
     """At most about ``per_language`` documents of each language, cut to windows at hashed places.
 
     ``docs`` has ``doc_id, text, lang``. The rate of each language follows from its count, so that the
-    sample is spread over all rows; what reaches the driver is bounded by the parameters.
+    sample is spread over all rows. Where there are so many languages that this would be more than ``MOST_DOCUMENTS``, each gives
+    its share of those; what reaches the driver is bounded by the parameters.
     """
     usable = docs.where(learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = {r.lang: r.n for r in usable.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"More than {MAX_LANGUAGES} languages.")
-    if not counts:
+    counts = cut_lineage(usable.groupBy("lang").agg(F.count("*").alias("n")))
+    languages = counts.count()
+    if not languages:
         return []
-    chance = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, per_language / n))])
-    chosen = usable.where(uniform(SEED, "doc_id", "text") < chance[F.col("lang")])
+    each = min(per_language, MOST_DOCUMENTS / languages)
+    rated = skew.lookup_join(usable.select("doc_id", "text", "lang"), counts, ["lang"], row_id=["doc_id"], how="inner", keys_from=usable.select("lang"))
+    chosen = rated.where(uniform(SEED, "doc_id", "text") < F.lit(float(each)) / F.col("n"))
     room = F.greatest(F.length("text") - WINDOW_CHARS, F.lit(0)) + 1
     places = [F.floor(uniform(SEED + 1 + i, "doc_id", "text") * room).cast("int") + 1 for i in range(WINDOWS)]
     cut = F.array(*[F.substr(F.col("text"), p, F.lit(WINDOW_CHARS)) for p in places])
-    rows = chosen.select("lang", cut.alias("cut")).limit(2 * per_language * len(counts)).collect()
+    rows = chosen.select("lang", cut.alias("cut")).limit(2 * int(max(1, each) * languages) + 100).collect()
     return sorted((r.lang, w.encode()) for r in rows for w in r.cut)
 
 
-def _blocks(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All blocks of the texts as (T, B), the text of each block, and the weight of each byte."""
-    parts, owner = [], []
-    for i, text in enumerate(texts):
-        n = -(-len(text) // CORE)
-        parts.append(bytes(CONTEXT) + text + bytes(n * CORE - len(text) + CONTEXT))
+def _blocks(pieces: list[tuple[bytes, bytes, bytes, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All blocks of the pieces as (T, B), the piece of each block, and the weight of each byte.
+
+    A piece is what stands before it, its bytes, what stands after them, and their weights.
+    """
+    parts, weights, owner = [], [], []
+    for i, (before, piece, after, letters) in enumerate(pieces):
+        n = -(-len(piece) // CORE)
+        end = after[:CONTEXT] if n * CORE == len(piece) else b""
+        parts.append(before.rjust(CONTEXT, b"\0") + piece + bytes(n * CORE - len(piece)) + end.ljust(CONTEXT, b"\0"))
+        weights += [letters, np.zeros(n * CORE - len(piece), np.float32)]
         owner.append(np.full(n, i))
     buffer = np.frombuffer(b"".join(parts), np.uint8)
     first, at = [], CONTEXT
@@ -203,33 +231,38 @@ def _blocks(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         at += len(part)
     starts = np.concatenate(first) if first else np.zeros(0, int)
     x = buffer[(starts[None, :] - CONTEXT) + np.arange(CORE + 2 * CONTEXT)[:, None]]
-    return x, np.concatenate(owner) if owner else np.zeros(0, int), LETTER[x[CONTEXT : CONTEXT + CORE]]
+    flat = np.concatenate(weights) if weights else np.zeros(0, np.float32)
+    return x, np.concatenate(owner) if owner else np.zeros(0, int), flat.reshape(-1, CORE).T
 
 
 def predict(net: Network, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Probabilities of each text, and how many of its letter bytes got each label."""
     many = len(net.languages)
     sums, votes = np.zeros((len(texts), many)), np.zeros((len(texts), many), np.int64)
-    held: list[tuple[int, bytes]] = []
+    held: list[tuple] = []
+    # Probabilities are held for all languages, so many languages leave room for fewer blocks at a time.
+    together = max(16, TOGETHER * 16 // max(16, many))
 
     def run() -> None:
-        x, owner, weight = _blocks([t for _, t in held])
-        owner = np.array([i for i, _ in held])[owner]
-        for a in range(0, x.shape[1], TOGETHER):
-            p = net.labels(np.ascontiguousarray(x[:, a : a + TOGETHER]))[CONTEXT : CONTEXT + CORE]
-            w = weight[:, a : a + TOGETHER]
+        x, owner, weight = _blocks([piece for _, *piece in held])
+        owner = np.array([i for i, *_ in held])[owner]
+        for a in range(0, x.shape[1], together):
+            p = net.labels(np.ascontiguousarray(x[:, a : a + together]))[CONTEXT : CONTEXT + CORE]
+            w = weight[:, a : a + together]
             best = p.argmax(axis=2)
             for c in range(many):
-                np.add.at(sums[:, c], owner[a : a + TOGETHER], (p[:, :, c] * w).sum(axis=0, dtype=np.float64))
-                np.add.at(votes[:, c], owner[a : a + TOGETHER], ((best == c) * w).sum(axis=0).astype(np.int64))
+                np.add.at(sums[:, c], owner[a : a + together], (p[:, :, c] * w).sum(axis=0, dtype=np.float64))
+                np.add.at(votes[:, c], owner[a : a + together], ((best == c) * w).sum(axis=0).astype(np.int64))
         held.clear()
 
     size = 0
     step = CORE * TOGETHER
     for i, text in enumerate(texts):
+        letters = letter_bytes(text)
         for at in range(0, len(text), step):
-            # A very long text goes on with the context it left off with; the places of its blocks stay.
-            held.append((i, text[at : at + step]))
+            # A piece of a very long text sees its neighbours at both ends, as any block does.
+            end = at + step
+            held.append((i, text[max(0, at - CONTEXT) : at], text[at:end], text[end : end + CONTEXT], letters[at:end]))
             size += min(step, len(text) - at)
             if size >= step:
                 run()
@@ -272,7 +305,8 @@ def identify(docs: DataFrame, net: Network | None, *, text_column: str = "text")
     """``docs`` with ``lang_pred``, ``score`` (its probability) and ``letters`` (letter bytes per label).
 
     One pass, no shuffle, whole texts. A text that is null or without letter is ``und`` with score 0, and
-    so is any text where there was nothing to learn from. Columns of these three names are replaced; all
+    so is any text where there was nothing to learn from. Rows that repeat an id or a text get a row each, equal texts the same result; an empty
+    table gives no rows. Columns of these three names are replaced; all
     others stay, clashing ones included.
     """
     added = ("lang_pred", "score", "letters")

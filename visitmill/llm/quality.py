@@ -16,11 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitmill.llm.common import extended, held_out, query, slices, table, uniform
+from visitmill.llm.common import extended, held_out, query, sample_window, slices, table, uniform
 
-# The sample that is learned from: documents per class, and bytes of text in all. The bound is on whole
-# documents: a document is taken whole or not at all.
-DOCUMENTS, SAMPLE_BYTES = 1500, 16 * 1024 * 1024
+# The sample that is learned from: documents per class, and code points of each. A longer text counts with a window of that
+# length, so that no text takes the room of others.
+DOCUMENTS, SAMPLE_CHARS = 1500, 16 * 1024
 BUCKETS, DIMENSIONS, NGRAMS, EPOCHS, BATCH, RATE, SEED = 1 << 17, 8, (3, 4), 6, 32, 0.5, 11
 THRESHOLD = 0.7
 SLICE_BYTES = 2 * 1024 * 1024
@@ -201,7 +201,7 @@ def _scoring(slopes: np.ndarray, offset: float, threshold: float) -> Callable:
 
 
 def sample_labelled(docs: DataFrame, labels: DataFrame, learn, *, per_class: int = DOCUMENTS) -> list[tuple[int, bytes]]:
-    """A bounded sample of labelled whole documents, as many of class 0 as of class 1.
+    """A bounded sample of labelled documents, as many of class 0 as of class 1; of very long ones a window.
 
     ``labels`` has ``doc_id, quality``; other values than 0 and 1 are left out, and an id with several
     labels counts with the lowest. Rates follow from the classes' counts.
@@ -217,9 +217,9 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, learn, *, per_class: int
     bounded = chosen.limit(4 * per_class)
     texts = docs.select("doc_id", "text").where(F.length("text") > 0).join(F.broadcast(bounded), "doc_id")
     rows = texts.withColumn("place", uniform(SEED + 1, "doc_id", "text"))
-    sized = rows.agg(F.sum(F.octet_length("text")), F.count("*")).first()
-    share = min(1.0, SAMPLE_BYTES / max(1, sized[0] or 0), 4 * per_class / max(1, sized[1]))
-    found = rows.where(F.col("place") < share).select("quality", "text", "doc_id").collect()
+    share = 4 * per_class / max(1, rows.count())
+    cut = sample_window("text", SAMPLE_CHARS, SEED).alias("text")
+    found = rows.where(F.col("place") < share).select("quality", cut, "doc_id").collect()
     return [(r.quality, r.text.encode()) for r in sorted(found, key=lambda r: (r.doc_id, r.text))]
 
 
@@ -233,7 +233,7 @@ def score_quality(docs: DataFrame, model: Classifier | None, *, text_column: str
     """``docs`` without its text, with ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on).
 
     One pass over whole texts, no shuffle. A null text is empty; an empty text gets the score of the
-    bias alone. Without a model every score is 0.5. Columns called ``score`` or ``predicted`` are
+    bias alone. Equal texts get equal scores, in every row that holds them; an empty table gives no rows. Without a model every score is 0.5. Columns called ``score`` or ``predicted`` are
     replaced, all others stay.
     """
     others = [c for c in docs.columns if c not in (text_column, "score", "predicted")]
