@@ -282,7 +282,7 @@ def candidate_edges(texts: DataFrame, forest: Forest) -> DataFrame:
     few = joined.where(F.col("n") <= ROOTS).select("key", F.lit(0).alias("part"), "id", "tree", "signature")
     merged = clustered(few, NEAR_ROOTS).where("id <> root").select(F.col("id").alias("u"), F.col("root").alias("v"))
     many = joined.where((F.col("n") > ROOTS) & (F.col("id") != F.col("least"))).select(F.col("id").alias("u"), F.col("least").alias("v"))
-    return edges.unionByName(merged).unionByName(many).distinct()
+    return edges.unionByName(merged).unionByName(many)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -293,7 +293,6 @@ def components(edges: DataFrame) -> DataFrame:
     """
     pairs = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     pairs = cut_lineage(pairs)
-    before = None
     while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # Written, so that both sides of the join are plain shuffles, which AQE splits at a hot vertex.
@@ -306,10 +305,12 @@ def components(edges: DataFrame) -> DataFrame:
             least.select("u", F.col("m").alias("v"))
         )
         pairs = cut_lineage(small.distinct())
-        state = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if tuple(state) == before:
+        # Done when all that is left are stars: every vertex has one neighbour, and none of those has one itself.
+        ends = pairs.select(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into"))
+        ends = ends.unionByName(pairs.select(F.col("v").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+        odd = ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("into").alias("into")).where((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("into") > 0)))
+        if odd.isEmpty():
             break
-        before = tuple(state)
     return pairs.select(F.col("u").alias("id"), F.col("v").alias("root"))
 
 
@@ -480,7 +481,7 @@ def split_clusters(sets: DataFrame, threshold: float) -> DataFrame:
     least = keyed.groupBy("cluster", "key").agg(F.min("id").alias("least"), F.count("*").alias("n")).where("n > 1")
     met = skew.salted_join(keyed, least.drop("n"), ["cluster", "key"], how="inner", row_id=["id"])
     edges = met.where(F.col("id") != F.col("least")).select(F.col("id").alias("u"), F.col("least").alias("v"))
-    return _with_roots(components(edges.distinct())).distinct().withColumnRenamed("root", "cluster")
+    return _with_roots(components(edges)).distinct().withColumnRenamed("root", "cluster")
 
 
 def text_hash(text_column: str) -> Column:
@@ -542,7 +543,7 @@ def near_duplicates(
         .mapInArrow(_shingling(words), "id long, copies long, size int, shingles binary")
         .dropDuplicates(["id"])
     )
-    placed = in_parts(members)
+    placed = cut_lineage(in_parts(members))
     wide = placed.where("parts > 1")
     if not wide.isEmpty():
         split = split_clusters(cut_lineage(wide.join(sets, ["id", "size"])), threshold)
