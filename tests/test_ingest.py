@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
@@ -378,9 +379,38 @@ def test_surplus_cells_and_hidden_names_are_told(spark, settings, landing):
     assert summary["ingestionStatus"] == "FAILED" and "More cells than the header has" in summary["failureReason"]
 
 
+def test_hidden_names_are_read_if_asked(spark, settings, landing):
+    (landing / "T2").mkdir()
+    (landing / "T2" / "a.csv").write_text("SUBJECT_ID,COHORT\n1,x\n")
+    (landing / "T2" / "_b.csv").write_text("SUBJECT_ID\n9\n")
+    (landing / "T2" / ".c.csv").write_text("SUBJECT_ID\n8\n7\n")
+    (landing / "T2" / "_none.csv").write_text("SUBJECT_ID\n")
+    [summary] = I.ingest(spark, ["T2"], replace(settings, read_hidden=True), mode="SFTP_ONLY")
+    assert (summary["ingestionStatus"], summary["rowCount"]) == ("INGESTED", 4) and "failureReason" not in summary
+    rows = tables.read_run(spark, settings.output, "T2", summary["runId"])
+    assert sorted(r.subjectId for r in rows.collect()) == ["1", "7", "8", "9"]
+    log = spark.read.schema(S.FILE_LOG).parquet(f"{settings.output}/{I.FILE_TABLE}").collect()
+    assert sorted(r.fileName for r in log) == [".c.csv", "_b.csv", "_none.csv", "a.csv"]
+    assert {r.remotePath.rsplit("/", 2)[-2:][0] for r in log} == {"T2"} and all(r.remotePath.endswith(f"/{r.fileName}") for r in log)
+    run = spark.read.schema(S.RUN_LOG_COUNTS).parquet(f"{settings.output}/{I.RUN_TABLE}").first()
+    assert (run.rowsFetched, run.filesAdded, run.visitFilesSkipped) == (0, 4, 0)
+
+
 def test_listing(spark, landing):
     got = L.list_files(spark, str(landing), ["T1", "missing"]).orderBy("file_name").collect()
     assert [r.file_name for r in got] == sorted(p.name for p in (landing / "T1").glob("*.csv"))
     assert {r.study_id for r in got} == {"T1"} and all(r.length > 0 and r.modified for r in got)
     assert L.list_files(spark, str(landing), ["missing"]).isEmpty()
     assert L.list_files(spark, str(landing), []).isEmpty()
+
+
+def test_one_bad_study_is_found_by_halving(spark, settings, landing, monkeypatch):
+    studies = [f"H{i}" for i in range(8)]
+    for study in studies:
+        (landing / study).mkdir()
+        (landing / study / "a.csv").write_text("SUBJECT_ID\n1\n" if study != "H5" else "SUBJECT_ID\n1,2\n")
+    tries, write = [], I.normalized_rows
+    monkeypatch.setattr(I, "normalized_rows", lambda *a, **k: tries.append(1) or write(*a, **k))
+    found = {s["studyId"]: (s["ingestionStatus"], s["rowCount"]) for s in I.ingest(spark, studies, settings, mode="SFTP_ONLY", strict=True)}
+    assert found == {s: ("FAILED", 0) if s == "H5" else ("INGESTED", 1) for s in studies}
+    assert len(tries) == 7

@@ -21,7 +21,7 @@ from visitmill import schema as S
 from visitmill.functions import skew, text
 from visitmill.operators import mapping, summary
 from visitmill.operators.stems import unique_stems
-from visitmill.session import cut_lineage, job_folder
+from visitmill.session import cut_lineage, job_folder, new_folder
 from visitmill.sinks import audit
 from visitmill.sinks.normalized import write_normalized
 from visitmill.sources import landing as L
@@ -39,7 +39,8 @@ class Settings:
     """Where things are. ``landing`` holds one folder per study; ``output`` gets all tables.
 
     Files above ``whole_file_bytes`` are hashed by streaming them, which needs a store that pyarrow can
-    open (local, s3, gs, hdfs); up to 2 GB they may be read as one value instead.
+    open (local, s3, gs, hdfs); up to 2 GB they may be read as one value instead. Files whose names begin with ``_`` or ``.`` are hidden from
+    Spark's file sources: with ``read_hidden`` copies of them under other names are read, which needs such a store too; else they are told in the run's reason.
     """
 
     landing: str
@@ -52,6 +53,7 @@ class Settings:
     bucket: str | None = None
     staging_prefix: str | None = None
     whole_file_bytes: int = L.WHOLE_FILE_BYTES
+    read_hidden: bool = False
 
 
 @dataclass
@@ -65,6 +67,9 @@ class Run:
     status: str = "COMPLETED"
     reason: str | None = None
     objects: dict[str, int] = field(default_factory=dict)
+    rows_fetched: int = 0
+    files_added: int = 0
+    visit_files_skipped: int = 0
     notes: list[str] = field(default_factory=list)
 
     @property
@@ -129,7 +134,7 @@ def _pull(pages: DataFrame | None, runs: list[Run], settings: Settings) -> DataF
     if not asking:
         return None
     problems: dict[str, str | None] = {}
-    filled: set[str] = set()
+    fetched: dict[str, int] = {}
     wanted = known = None
     pull = ["study_id"]
     if pages is not None:
@@ -141,10 +146,11 @@ def _pull(pages: DataFrame | None, runs: list[Run], settings: Settings) -> DataF
         extent = cut_lineage(P.pull_extent(index, pull))
         known = cut_lineage(P.pull_columns(index, extent, pull))
         problems = {r.study_id: r.problem for r in extent.collect()}
-        filled = {r.study_id for r in known.where("row_count > 0").select("study_id").collect()}
+        fetched = {r.study_id: r.row_count or 0 for r in known.select("study_id", "row_count").collect()}
     for run in asking:
         run.api_failed = run.study_id not in problems or problems[run.study_id] is not None
-        run.api_rows = run.study_id in filled
+        run.rows_fetched = fetched.get(run.study_id, 0)
+        run.api_rows = run.rows_fetched > 0
         if run.api_failed and run.mode == "API_ONLY":
             run.fail(f"No usable API pages: {problems.get(run.study_id, 'none landed')}")
     return None if wanted is None else P.pages_in_pull(wanted, known, pull)
@@ -153,28 +159,38 @@ def _pull(pages: DataFrame | None, runs: list[Run], settings: Settings) -> DataF
 def _index(spark: SparkSession, runs: list[Run], settings: Settings) -> DataFrame:
     """Index of the files the runs take; written once, as it reads every byte.
 
-    If it fails, each study is indexed on its own, so that only those with unreadable files are affected:
-    files only add to a pull that worked, but without it they are all there is, and the run fails.
+    If it fails, halves of the studies are indexed by themselves, down to those with unreadable files: files only add
+    to a pull that worked, but without it they are all there is, and the run fails.
     """
     taking = [r for r in runs if r.mode != "API_ONLY"]
 
     def indexed(studies: list[str]) -> DataFrame:
-        return cut_lineage(L.index_files(spark, settings.landing, studies, settings.whole_file_bytes))
-
-    try:
-        index = indexed([r.study_id for r in taking])
-    except Exception:  # which study it was shows below
-        parts = [L.index_files(spark, settings.landing, [])]
-        for run in taking:
-            try:
-                parts.append(indexed([run.study_id]))
-            except Exception as error:
-                if run.mode == "SFTP_ONLY" or run.api_failed:
-                    run.fail(error)
-        index = reduce(DataFrame.unionByName, parts)
+        index = L.index_files(spark, settings.landing, studies, settings.whole_file_bytes)
+        if settings.read_hidden:
+            place = new_folder(spark, "hidden")
+            if L.stage_hidden(spark, settings.landing, studies, place):
+                index = index.unionByName(L.index_staged(spark, settings.landing, studies, place, settings.whole_file_bytes))
+        return cut_lineage(index)
+
+    def search(some: list[Run]) -> list[DataFrame]:
+        try:
+            return [indexed([r.study_id for r in some])]
+        except Exception as error:  # which study it was shows below
+            if len(some) > 1:
+                return [part for half in _halves(some) for part in search(half)]
+            if some and (some[0].mode == "SFTP_ONLY" or some[0].api_failed):
+                some[0].fail(error)
+            return []
+
+    index = reduce(DataFrame.unionByName, search(taking) or [L.index_files(spark, settings.landing, [])])
     with_api = [r.study_id for r in taking if r.mode == "API_FIRST" and not r.api_failed]
-    from_api = F.col("study_id").isin(with_api) & (F.col("category") == S.SUBJECT_VISIT)
-    return index.where(~from_api)
+    from_api = F.col("study_id").isin(with_api)
+    files = index.select("study_id", "category", F.col("has_rows").cast("long").alias("rows"))
+    by_study = {r.study_id: r for r in summary.run_totals(files, ["study_id"], api_visits=from_api).collect()}
+    for run in taking:
+        if (found := by_study.get(run.study_id)) is not None:
+            run.files_added, run.visit_files_skipped = found.filesAdded, found.visitFilesSkipped
+    return index.where(~(from_api & (F.col("category") == S.SUBJECT_VISIT)))
 
 
 def _places(spark: SparkSession, index: DataFrame, runs: list[Run]) -> DataFrame:
@@ -309,6 +325,10 @@ def _count_objects(spark: SparkSession, runs: list[Run], settings: Settings) ->
         run.status = "INGESTED" if run.objects else "COMPLETED"
 
 
+def _halves(runs: list[Run]) -> tuple[list[Run], list[Run]]:
+    return runs[: len(runs) // 2], runs[len(runs) // 2 :]
+
+
 def _write(
     spark: SparkSession,
     runs: list[Run],
@@ -318,7 +338,10 @@ def _write(
     rules: Mapping[str, Mapping[str, str]],
     strict: bool,
 ) -> None:
-    """Write the rows of the runs by one plan; if that fails, study by study, marking those that fail."""
+    """Write the rows of the runs by one plan; if that fails, half by half, down to the studies that fail.
+
+    One bad study among many costs two attempts per halving, most of which write what is good.
+    """
 
     def attempt(some: list[Run]) -> None:
         mine = F.col("study_id").isin([r.study_id for r in some])
@@ -333,8 +356,8 @@ def _write(
         if len(runs) == 1:
             runs[0].fail(error)
             return
-        for run in runs:
-            _write(spark, [run], settings, index, pulled, rules, strict)
+        for half in _halves(runs):
+            _write(spark, half, settings, index, pulled, rules, strict)
 
 
 def ingest(
@@ -386,7 +409,8 @@ def _ingest(
     except Exception as error:  # what was written is there, counted or not
         for run in written:
             run.status, run.reason = "INGESTED", f"Written, but not counted: {error}"[:2048]
-    for study, name in L.hidden_files(spark, settings.landing, [r.study_id for r in runs if r.mode != "API_ONLY"]):
+    untold = [] if settings.read_hidden else [r.study_id for r in runs if r.mode != "API_ONLY"]
+    for study, name in L.hidden_files(spark, settings.landing, untold):
         next(r for r in runs if r.study_id == study).notes.append(f"{name} was not read, as Spark hides such names")
     for run in runs:
         if run.notes:
@@ -424,6 +448,9 @@ def _audit_row(run: Run, settings: Settings) -> dict[str, Any]:
         "status": run.status,
         "totalRows": run.rows,
         "failureReason": run.reason,
+        "rowsFetched": run.rows_fetched,
+        "filesAdded": run.files_added,
+        "visitFilesSkipped": run.visit_files_skipped,
     }
 
 

@@ -59,8 +59,8 @@ def event_pages(spark: SparkSession, folder: str) -> DataFrame:
     return paged.select("page", "rows", studies).select("study_id", F.col("page").cast("int").alias("page"), body.alias("body"))
 
 
-def run_job(spark: SparkSession, folder: str, mode: str, place: str) -> ingest.Settings:
-    settings = ingest.Settings(landing=place, output=new_folder(spark, "out"), tenant="demo", page_size=1, file_host="files")
+def run_job(spark: SparkSession, folder: str, mode: str, place: str, **more) -> ingest.Settings:
+    settings = ingest.Settings(landing=place, output=new_folder(spark, "out"), tenant="demo", page_size=1, file_host="files", **more)
     pages = cut_lineage(event_pages(spark, folder))
     ingest.ingest(spark, STUDIES, settings, pages=pages, mode=mode)
     return settings
@@ -160,6 +160,33 @@ def run_preview(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(f"""
+    WITH studies(study) AS (VALUES ('full'), ('unended'), ('none')), modes(mode) AS (VALUES ('SFTP_ONLY'), ('API_FIRST'), ('API_ONLY')),
+    pulled AS (SELECT mode, study, mode <> 'SFTP_ONLY' AND study = 'full' AS api, study <> 'none' AND mode <> 'API_ONLY' AS files FROM studies, modes)
+    SELECT mode, study, CASE WHEN api THEN (SELECT count(*) FROM events) ELSE 0 END AS fetched,
+           CASE WHEN NOT files THEN 0 WHEN api THEN {FILES + 2} ELSE {2 * FILES + 2} END::BIGINT AS added,
+           CASE WHEN files AND api THEN {FILES} ELSE 0 END::BIGINT AS skipped,
+           CASE WHEN files THEN (SELECT count(*) FROM supplier) ELSE 0 END AS hidden
+    FROM pulled
+""")
+def run_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """What runs in all modes fetched, added and skipped, and the rows of a file whose name Spark hides."""
+    place, parts = landing(spark, folder), []
+    hidden = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("SUBJECT_ID"), F.lit("x").alias("COHORT"))
+    for study in STUDIES[:2]:
+        land(hidden, f"{place}/{study}", "_more", 1)
+    for mode in MODES:
+        output = run_job(spark, folder, mode, place, read_hidden=True).output
+        log = spark.read.schema(S.RUN_LOG_COUNTS).parquet(f"{output}/{ingest.RUN_TABLE}")
+        rows = tables.read_runs(spark, output).where(F.col("source_stem").contains("more"))
+        found = rows.groupBy(F.col("run_id").alias("runId")).agg(F.count("*").alias("hidden"))
+        parts.append(log.join(found, "runId", "left").withColumn("mode", F.lit(mode)))
+    return reduce(DataFrame.unionByName, parts).select(
+        "mode", F.col("studyId").alias("study"), F.col("rowsFetched").alias("fetched"), F.col("filesAdded").alias("added"),
+        F.col("visitFilesSkipped").alias("skipped"), F.coalesce("hidden", F.lit(0)).alias("hidden"),
+    )
+
+
 @query("""
     SELECT 'R' || n_nationkey AS "ruleId", cast(n_regionkey + 1 AS varchar) AS "expectedValue", 'EQUALS' AS operator,
            true AS "isActive" FROM nation

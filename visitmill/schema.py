@@ -119,6 +119,8 @@ RUN_LOG = _table(
 # Row totals are 64-bit: one study may hold more rows than an int counts.
 for _name in ("totalRows", "validRows", "skippedRows"):
     RUN_LOG[_name].dataType = T.LongType()
+# The run log as it is written: with what a run found before it wrote.
+RUN_LOG_COUNTS = T.StructType([*RUN_LOG.fields, *[T.StructField(c, T.LongType()) for c in ("rowsFetched", "filesAdded", "visitFilesSkipped")]])
 FILE_LOG = _table(
     "id:i", "runId:s", "studyId:s", "sponsorId:s", "remotePath:s", "fileName:s", "mappingCategory:s",
     "fileNameHash:s", "fileContentHash:s", "sourceCreatedAt:t", "sourceUpdatedAt:t",

@@ -25,7 +25,7 @@ def file_log(index: DataFrame, runs: DataFrame, now: datetime) -> DataFrame:
         F.col("run_id").alias("runId"),
         F.col("study_id").alias("studyId"),
         F.col("sponsor_id").alias("sponsorId"),
-        F.col("path").alias("remotePath"),
+        F.col("remote_path").alias("remotePath"),
         F.col("file_name").alias("fileName"),
         text.category(F.col("file_name")).alias("mappingCategory"),
         text.sha256(F.col("file_name")).alias("fileNameHash"),
@@ -38,10 +38,10 @@ def file_log(index: DataFrame, runs: DataFrame, now: datetime) -> DataFrame:
 
 
 def run_log(spark: SparkSession, runs: list[dict], now: datetime) -> DataFrame:
-    """One row per run; the validation columns stay null until rows are validated."""
+    """One row per run, with its counts; the validation columns stay null until rows are validated."""
     fixed = {"createdAt": now, "updatedAt": now, "createdBy": "ingestion-task", "isActive": True}
-    rows = [[{**fixed, **run}.get(name) for name in S.RUN_LOG.names] for run in runs]
-    return spark.createDataFrame(rows, S.RUN_LOG)
+    rows = [[{**fixed, **run}.get(name) for name in S.RUN_LOG_COUNTS.names] for run in runs]
+    return spark.createDataFrame(rows, S.RUN_LOG_COUNTS)
 
 
 def append(df: DataFrame, output: str, table: str) -> None:

@@ -25,10 +25,14 @@ BLANKS = bytes(range(33))
 # Fixed value: how names begin that Spark's file sources leave out.
 HIDDEN = ("_", ".")
 
+# What stands before the name of a staged copy, so that Spark shows it.
+VISIBLE = "visible"
+
 LISTING = T.StructType(
     [
         T.StructField("study_id", T.StringType()),
         T.StructField("path", T.StringType()),
+        T.StructField("remote_path", T.StringType()),
         T.StructField("source_path", T.StringType()),
         T.StructField("file_name", T.StringType()),
         T.StructField("length", T.LongType()),
@@ -73,6 +77,7 @@ def _listing_columns() -> list[Column]:
     return [
         F.col("study_id"),
         F.col("path"),
+        F.col("path").alias("remote_path"),
         # As scans report it, with special characters escaped.
         F.col("source_path"),
         F.substring_index("path", "/", -1).alias("file_name"),
@@ -111,14 +116,10 @@ def probe_content(content: Column) -> list[Column]:
     ]
 
 
-def _stream_probe(names: list[str], blanks: bytes, piece_bytes: int) -> Callable:
-    """Task function that adds what :func:`probe_content` finds, reading files in pieces.
-
-    Memory does not grow with a file, but for its longest line up to the header. All it needs is inside,
-    so that executors need no copy of this package.
-    """
+def _file_system() -> Callable:
+    """Function that finds pyarrow's file system of a path as Spark names it, and the path there."""
 
-    def open_stream(path: str):
+    def system_of(path: str) -> tuple:
         from pyarrow import fs
 
         scheme, _, rest = path.partition(":")
@@ -126,7 +127,67 @@ def _stream_probe(names: list[str], blanks: bytes, piece_bytes: int) -> Callable
             path = f"s3:{rest}"
         if scheme == "file":
             path = "/" + rest.lstrip("/")
-        system, inner = fs.FileSystem.from_uri(path)
+        return fs.FileSystem.from_uri(path)
+
+    return system_of
+
+
+def _copier(piece_bytes: int) -> Callable:
+    """Task function that copies ``source`` to ``target`` in pieces; a repeated task leaves one whole copy."""
+    system_of = _file_system()
+
+    def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import uuid
+
+        for batch in batches:
+            for source, target in zip(batch["source"], batch["target"]):
+                (there, inner), (here, outer) = system_of(source), system_of(target)
+                folder, _, name = outer.rpartition("/")
+                here.create_dir(folder, recursive=True)
+                draft = f"{folder}/.{uuid.uuid4().hex}"
+                with there.open_input_stream(inner) as stream, here.open_output_stream(draft) as sink:
+                    while piece := stream.read(piece_bytes):
+                        sink.write(piece)
+                here.move(draft, f"{folder}/{name}")
+            yield batch
+
+    return copy
+
+
+def stage_hidden(spark: SparkSession, landing: str, study_ids: Sequence[str], place: str) -> list[tuple[str, str]]:
+    """Copy ``*.csv`` files whose names Spark hides below ``place``, each by a task of its own, under names that it shows.
+
+    What is copied is returned. The store must be one that pyarrow can open.
+    """
+    found = hidden_files(spark, landing, study_ids)
+    if found:
+        pairs = [(f"{landing.rstrip('/')}/{study}/{name}", f"{place}/{study}/{VISIBLE}{name}") for study, name in found]
+        listed = spark.createDataFrame(pairs, "source string, target string").repartition(len(pairs), "source")
+        listed.mapInPandas(_copier(PIECE_BYTES), listed.schema).write.format("noop").mode("overwrite").save()
+    return found
+
+
+def index_staged(
+    spark: SparkSession, landing: str, study_ids: Sequence[str], place: str, whole_file_bytes: int = WHOLE_FILE_BYTES
+) -> DataFrame:
+    """:func:`index_files` of what :func:`stage_hidden` copied, under the names and paths that the files have where they landed."""
+    index = index_files(spark, place, study_ids, whole_file_bytes)
+    name = F.substr("file_name", F.lit(len(VISIBLE) + 1))
+    remote = F.concat(F.lit(f"{landing.rstrip('/')}/"), "study_id", F.lit("/"), "file_name")
+    named = index.withColumn("file_name", name)
+    return named.withColumns({"remote_path": remote, "category": text.category(F.col("file_name"))})
+
+
+def _stream_probe(names: list[str], blanks: bytes, piece_bytes: int) -> Callable:
+    """Task function that adds what :func:`probe_content` finds, reading files in pieces.
+
+    Memory does not grow with a file, but for its longest line up to the header. All it needs is inside,
+    so that executors need no copy of this package.
+    """
+    system_of = _file_system()
+
+    def open_stream(path: str):
+        system, inner = system_of(path)
         return system.open_input_stream(inner)
 
     def probe_file(path: str) -> tuple:
