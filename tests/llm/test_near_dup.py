@@ -111,6 +111,7 @@ def test_large_family_in_split_nodes_and_tiles(spark, monkeypatch):
     monkeypatch.setattr(N, "PART_TEXTS", 50)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert found(N.near_duplicates(df)) == brute_force(rows)
+    monkeypatch.setattr(N, "FEW_EDGES", 0)
     monkeypatch.setattr(N, "ROOTS", 2)
     assert found(N.near_duplicates(df)) == brute_force(rows)
 
@@ -165,7 +166,9 @@ def test_signatures_estimate_similarity():
     assert abs(agree - 800 / 1200) < 0.15
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [0, 50_000])
+def test_components(spark, monkeypatch, few):
+    monkeypatch.setattr(N, "FEW_EDGES", few)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 200), (200, 150), (7, 7), (300, 301), (301, 300)]
     df = spark.createDataFrame(edges, "u long, v long")
     got = dict(plain(N.components(df), "id", "root"))
