@@ -11,7 +11,6 @@ All of it is learned in numpy from a bounded sample of labelled rows; every whol
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -80,19 +79,25 @@ class Presence:
 
     @classmethod
     def of(cls, texts: Sequence[str]) -> Presence:
-        sets = [terms_of(words_in(t)) for t in texts]
-        counts = Counter()
-        for s in sets:
-            counts.update(s)
-        terms = sorted(t for t, n in counts.items() if n >= MIN_TEXTS)
-        number = {t: i for i, t in enumerate(terms)}
-        rows, columns = [], []
-        for i, s in enumerate(sets):
-            found = [number[t] for t in s if t in number]
-            rows.append(np.full(len(found), i, np.int32))
-            columns.append(np.array(found, np.int32))
-        empty = [np.zeros(0, np.int32)]
-        return cls(terms, np.concatenate(rows or empty), np.concatenate(columns or empty), len(texts))
+        # What may be frequent is found by counts of hashes first, so that the many rare terms are never held.
+        mask = (1 << 22) - 1
+        buckets = np.zeros(mask + 1, np.int32)
+        for text in texts:
+            found = terms_of(words_in(text))
+            np.add.at(buckets, np.fromiter((hash(t) & mask for t in found), np.int64, len(found)), 1)
+        number: dict[str, int] = {}
+        rows, columns = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+        for i, text in enumerate(texts):
+            often = [number.setdefault(t, len(number)) for t in terms_of(words_in(text)) if buckets[hash(t) & mask] >= MIN_TEXTS]
+            rows.append(np.full(len(often), i, np.int32))
+            columns.append(np.array(often, np.int32))
+        at, held = np.concatenate(rows), np.concatenate(columns)
+        counts = np.bincount(held, minlength=len(number))
+        terms = sorted(t for t, n in number.items() if counts[n] >= MIN_TEXTS)
+        place = np.full(len(number), -1, np.int32)
+        place[[number[t] for t in terms]] = np.arange(len(terms), dtype=np.int32)
+        kept = place[held] >= 0
+        return cls(terms, at[kept], place[held[kept]], len(texts))
 
     def weigh(self, weight: np.ndarray) -> np.ndarray:
         """Per term the weight of the texts that hold it."""
@@ -151,7 +156,8 @@ def cast_votes(texts: Sequence[str], presence: Presence, suggested: Sequence[int
     """Votes (text × voter) and the voters' names."""
     columns, names = [], []
     lists = {name: set(words.split()) for name, words in LEXICONS.items()}
-    words = [words_in(t) for t in texts]
+    every = set().union(*lists.values())
+    words = [words_in(t) & every for t in texts]
     for name, listed in lists.items():
         columns.append([TOXIC if w & listed else ABSTAIN for w in words])
         names.append(f"list:{name}")
