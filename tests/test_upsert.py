@@ -128,3 +128,40 @@ def test_two_seeds_at_once_both_count(spark, tmp_path):
     with pytest.raises(Exception, match="broken"):
         versions.update(spark, root, schema, lambda base: base.unionByName(spark.range(1)).select(F.raise_error(F.lit("broken")).alias("id")))
     assert versions.current_version(spark, root) == 2
+
+
+def test_seed_of_many_lines_and_files(spark, tmp_path):
+    """Order is that of paths, lines and lists; blank lines count for nothing."""
+    folder = tmp_path / "seed"
+    folder.mkdir()
+    for name, numbers in (("b", range(300, 600)), ("a", range(300))):
+        docs = [json.dumps({"eligibility_rule": [dict(RULE, ruleId=f"R{n % 200}", expectedValue=str(n), createdBy=str(n))]}) for n in numbers]
+        (folder / f"{name}.json").write_text("\n\n".join([*docs, json.dumps({"other": 1})]))
+    seed.seed_tenant(spark, "demo", str(folder), str(tmp_path / "tables"), lines=True)
+    rules = versions.read_current(spark, f"{tmp_path}/tables/demo/eligibility_rule", S.ELIGIBILITY_RULE)
+    got = {(r.id, r.ruleId, r.expectedValue, r.createdBy) for r in rules.collect()}
+    assert got == {(n + 1, f"R{n}", str(n + 400), str(n)) for n in range(200)}
+
+
+def test_nulls_and_defaults_of_a_seed(spark):
+    rows = [RULE, dict(RULE, ruleId="R2", isActive=None, createdBy=None, ruleKind=None), dict(RULE, ruleId="R3", isActive=0, expectedValue=5)]
+    got = upsert.seed_rules(empty(spark, S.ELIGIBILITY_RULE), rows, at(1)).orderBy("id").collect()
+    assert [(r.isActive, r.createdBy, r.ruleKind, r.expectedValue) for r in got] == [
+        (True, "seed-sponsor", "NON_BLOCKING", "1"), (False, None, None, "1"), (False, "seed-sponsor", "NON_BLOCKING", "5"),
+    ]
+
+
+def test_bad_lines_and_rows_are_told(spark, tmp_path):
+    path = tmp_path / "seed.json"
+    good = json.dumps({"misc_column_mapping": SITES[:1]})
+    for bad in ('{"misc_column_mapping": [1]}', "{", '{"misc_column_mapping": null}', "7"):
+        path.write_text(f"{good}\n{bad}\n")
+        with pytest.raises(ValueError, match="seed.json"):
+            upsert.read_seed(spark, str(path), lines=True)
+    path.write_text(f'{good}\n{{"misc_column_mapping": [{{"sourceColumn": "x"}}]}}\n')
+    with pytest.raises(KeyError, match="targetColumn"):
+        seed.seed_tenant(spark, "demo", str(path), str(tmp_path / "tables"), lines=True)
+    path.write_text("")
+    for lines in (False, True):
+        with pytest.raises(ValueError):
+            upsert.read_seed(spark, str(path), lines=lines)

@@ -187,6 +187,13 @@ def run_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def seed_lines(rows: DataFrame, section: str, row: Column, key: str, place: str) -> None:
+    """Add rows as documents of one line each to a seed, in the order of ``key``."""
+    line = F.to_json(F.struct(F.array(row).alias(section)))
+    ordered = rows.select(line.alias("value"), key).repartitionByRange(FILES, key).sortWithinPartitions(key)
+    ordered.select("value").write.mode("append").text(place)
+
+
 @query("""
     SELECT 'R' || n_nationkey AS "ruleId", cast(n_regionkey + 1 AS varchar) AS "expectedValue", 'EQUALS' AS operator,
            true AS "isActive" FROM nation
@@ -199,13 +206,53 @@ def seeded_rules(spark: SparkSession, folder: str) -> DataFrame:
             F.concat(F.lit("R"), "n_nationkey").alias("ruleId"), F.lit("cohort").alias("columnName"), F.lit("EQUALS").alias("operator"),
             (F.col("n_regionkey") + step).cast("string").alias("expectedValue"), F.col("n_name").alias("rejectionReason"),
         )
-        body = F.to_json(F.struct(F.array_sort(F.collect_list(rule)).alias("eligibility_rule"))).alias("value")
-        table(spark, folder, "nation").agg(body).write.text(f"{place}/seed{step}")
-        seed.seed_tenant(spark, "demo", f"{place}/seed{step}", f"{place}/tables")
+        seed_lines(table(spark, folder, "nation"), "eligibility_rule", rule, "n_nationkey", f"{place}/seed{step}")
+        seed.seed_tenant(spark, "demo", f"{place}/seed{step}", f"{place}/tables", lines=True)
     rules = versions.read_current(spark, f"{place}/tables/demo/eligibility_rule", S.ELIGIBILITY_RULE)
     return rules.select("ruleId", "expectedValue", "operator", "isActive")
 
 
+@query("""
+    WITH rows AS (SELECT 'rule' AS kind, 0 AS step, 0 AS section, p_partkey AS k, 'R' || (p_partkey // 4) AS key, p_name AS value, p_brand AS maker FROM part WHERE p_partkey % 2 = 0
+                  UNION ALL SELECT 'rule', 1, 0, p_partkey, 'R' || (p_partkey // 4), p_type, p_mfgr FROM part WHERE p_partkey % 3 = 0
+                  UNION ALL SELECT 'subject_group', 0, 1, s_suppkey, 'T' || (s_suppkey // 5), s_name, 'S' || s_suppkey FROM supplier WHERE s_suppkey % 2 = 0
+                  UNION ALL SELECT 'misc', 0, 2, s_suppkey, 'T' || (s_suppkey // 3), s_name, 'S' || s_suppkey FROM supplier WHERE s_suppkey % 2 = 1
+                  UNION ALL SELECT 'misc', 1, 2, s_suppkey, 'T' || (s_suppkey // 3), s_name || '!', 'again' FROM supplier),
+    placed AS (SELECT *, row_number() OVER (ORDER BY step, section, k) AS n FROM rows),
+    settled AS (SELECT kind, key, max_by(value, n) AS value, min_by(maker, n) AS maker, min(n) AS n FROM placed GROUP BY kind, key)
+    SELECT kind, row_number() OVER (PARTITION BY kind = 'rule' ORDER BY n)::INTEGER AS id, key, value, maker FROM settled
+""")
+def seeded_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rules from every part and mappings from every supplier by two seeds of JSON lines, in which keys repeat."""
+    place = new_folder(spark, "seed")
+    parts, suppliers = table(spark, folder, "part"), table(spark, folder, "supplier")
+
+    def rule(value: str, maker: str) -> Column:
+        return F.struct(
+            F.concat(F.lit("R"), F.expr("p_partkey div 4")).alias("ruleId"), F.lit("cohort").alias("columnName"), F.lit("EQUALS").alias("operator"),
+            F.col(value).alias("rejectionReason"), F.col(maker).alias("createdBy"),
+        )
+
+    def mapping(per: int, source: Column, maker: Column) -> Column:
+        target = F.concat(F.lit("T"), F.expr(f"s_suppkey div {per}"))
+        return F.struct(source.alias("sourceColumn"), target.alias("targetColumn"), maker.alias("createdBy"))
+
+    name, maker = F.col("s_name"), F.concat(F.lit("S"), "s_suppkey")
+    first, second = f"{place}/seed0", f"{place}/seed1"
+    seed_lines(parts.where("p_partkey % 2 = 0"), "eligibility_rule", rule("p_name", "p_brand"), "p_partkey", first)
+    seed_lines(suppliers.where("s_suppkey % 2 = 0"), "subject_group_column_mapping", mapping(5, name, maker), "s_suppkey", first)
+    seed_lines(suppliers.where("s_suppkey % 2 = 1"), "misc_column_mapping", mapping(3, name, maker), "s_suppkey", first)
+    seed_lines(parts.where("p_partkey % 3 = 0"), "eligibility_rule", rule("p_type", "p_mfgr"), "p_partkey", second)
+    seed_lines(suppliers, "misc_column_mapping", mapping(3, F.concat(name, F.lit("!")), F.lit("again")), "s_suppkey", second)
+    for path in (first, second):
+        seed.seed_tenant(spark, "demo", path, f"{place}/tables", lines=True)
+    rules = versions.read_current(spark, f"{place}/tables/demo/eligibility_rule", S.ELIGIBILITY_RULE)
+    mappings = versions.read_current(spark, f"{place}/tables/demo/data_column_mapping", S.COLUMN_MAPPING)
+    ruled = rules.select(F.lit("rule").alias("kind"), "id", F.col("ruleId").alias("key"), F.col("rejectionReason").alias("value"), F.col("createdBy").alias("maker"))
+    mapped = mappings.select(F.col("type").alias("kind"), "id", F.col("targetColumn").alias("key"), F.col("sourceColumn").alias("value"), F.col("createdBy").alias("maker"))
+    return ruled.unionByName(mapped)
+
+
 @query("""
     WITH items AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_partkey % 500 AS study FROM lineitem),
     rules AS (SELECT p_partkey, p_partkey % 500 AS study, p_size FROM part),
