@@ -214,7 +214,7 @@ def seeded_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""
     WITH rows AS (SELECT 'rule' AS kind, 0 AS step, 0 AS section, p_partkey AS k, 'R' || (p_partkey // 4) AS key, p_name AS value, p_brand AS maker FROM part WHERE p_partkey % 2 = 0
-                  UNION ALL SELECT 'rule', 1, 0, p_partkey, 'R' || (p_partkey // 4), p_type, p_mfgr FROM part WHERE p_partkey % 3 = 0
+                  UNION ALL SELECT 'rule', 1, 0, p_partkey, 'R' || (p_partkey // 4), p_type, p_name FROM part WHERE p_partkey % 3 = 0
                   UNION ALL SELECT 'subject_group', 0, 1, s_suppkey, 'T' || (s_suppkey // 5), s_name, 'S' || s_suppkey FROM supplier WHERE s_suppkey % 2 = 0
                   UNION ALL SELECT 'misc', 0, 2, s_suppkey, 'T' || (s_suppkey // 3), s_name, 'S' || s_suppkey FROM supplier WHERE s_suppkey % 2 = 1
                   UNION ALL SELECT 'misc', 1, 2, s_suppkey, 'T' || (s_suppkey // 3), s_name || '!', 'again' FROM supplier),
@@ -242,7 +242,7 @@ def seeded_parts(spark: SparkSession, folder: str) -> DataFrame:
     seed_lines(parts.where("p_partkey % 2 = 0"), "eligibility_rule", rule("p_name", "p_brand"), "p_partkey", first)
     seed_lines(suppliers.where("s_suppkey % 2 = 0"), "subject_group_column_mapping", mapping(5, name, maker), "s_suppkey", first)
     seed_lines(suppliers.where("s_suppkey % 2 = 1"), "misc_column_mapping", mapping(3, name, maker), "s_suppkey", first)
-    seed_lines(parts.where("p_partkey % 3 = 0"), "eligibility_rule", rule("p_type", "p_mfgr"), "p_partkey", second)
+    seed_lines(parts.where("p_partkey % 3 = 0"), "eligibility_rule", rule("p_type", "p_name"), "p_partkey", second)
     seed_lines(suppliers, "misc_column_mapping", mapping(3, F.concat(name, F.lit("!")), F.lit("again")), "s_suppkey", second)
     for path in (first, second):
         seed.seed_tenant(spark, "demo", path, f"{place}/tables", lines=True)
