@@ -5,8 +5,10 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from visitmill.llm import common
 from visitmill.llm import near_dup as N
 
 from .conftest import near, plain
@@ -193,3 +195,23 @@ def test_groups_stay_whole_across_batches(sizes):
 def test_near_text_is_near():
     a, b = (set(N.shingles(near(i), N.Words()).tolist()) for i in (10, 150))
     assert 0.8 <= len(a & b) / len(a | b) < 1
+
+
+def test_batches_for_python_are_bounded(spark):
+    """The session's own bound stays; where there is none, a batch is at most one row over the bound."""
+
+    spark.conf.unset(common.BATCH_SETTING)
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("w"), "id", F.lit(" ")), 60_000).alias("text")).coalesce(1)
+    rows = {r.doc_id: r.n_links for r in N.near_duplicates(docs).collect()}
+    assert rows == dict.fromkeys(range(40), 0)
+
+    def sizes(batches):
+        for batch in batches:
+            yield batch.from_pydict({"n": [batch.nbytes], "rows": [batch.num_rows]})
+
+    for n, many in docs.mapInArrow(sizes, "n long, rows long").collect():
+        assert n <= common.BATCH_BYTES + 2 * n // many
+    spark.conf.set(common.BATCH_SETTING, "1m")
+    common.bounded_batches(spark)
+    assert spark.conf.get(common.BATCH_SETTING) == "1m"
+    spark.conf.unset(common.BATCH_SETTING)

@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Bytes of a batch that goes to Python; each task holds about two, in the JVM and in Python.
+BATCH_BYTES, BATCH_SETTING = 3 * 1024 * 1024, "spark.sql.execution.arrow.maxBytesPerBatch"
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -57,6 +60,16 @@ def slices(batch: pa.RecordBatch, text: str, most: int = 8 * 1024 * 1024) -> Ite
         yield batch.slice(start)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Let Spark cut batches for Python by ``BATCH_BYTES``, unless the session names a bound of its own.
+
+    Spark's default is 64 MB, which its buffers may hold twice as they grow. The bound is the session's, as
+    plans are run after the operator has returned.
+    """
+    if BATCH_SETTING not in spark.conf.getAll:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def uniform(seed: int, *columns: str) -> Column:
     """A number from 0 up to 1 that is a function of the columns' values."""
     return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(1 << 52)).cast("double") / float(1 << 52)

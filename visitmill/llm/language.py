@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitmill.functions import skew
-from visitmill.llm.common import extended, held_out, query, slices, table, uniform
+from visitmill.llm.common import bounded_batches, extended, held_out, query, slices, table, uniform
 from visitmill.session import cut_lineage
 
 # The sample that is learned from: documents per language, windows per document, characters per window.
@@ -315,6 +315,7 @@ def identify(docs: DataFrame, net: Network | None, *, text_column: str = "text")
         empty = F.lit(None).cast("map<string,bigint>")
         kept = docs.select(*[F.col(f"`{c}`") for c in others])
         return kept.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0), "letters": empty})
+    bounded_batches(docs.sparkSession)
     text = F.col(f"`{text_column}`")
     inner = docs.select(
         *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others) if c != text_column],

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitmill.functions import skew
-from visitmill.llm.common import query, slices, table
+from visitmill.llm.common import bounded_batches, query, slices, table
 from visitmill.session import cut_lineage
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9999
@@ -536,6 +536,7 @@ def near_duplicates(
     classes may have the same smallest id. Rows without id take part under a number made from their text, larger
     than other ids. The hash of a text is :func:`text_hash`. Other columns are not read; an empty table gives no rows.
     """
+    bounded_batches(docs.sparkSession)
     forest = Forest(TREES, DEPTH, prefix_length(threshold, recall))
     named = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), text_hash(text_column).alias("told"))
     marks = cut_lineage(
