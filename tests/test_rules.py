@@ -114,6 +114,30 @@ def test_the_index_agrees_with_expressions(spark, monkeypatch):
     assert sorted(str(r) for r in E.evaluate_table(df, table, row_id=["i"]).select(columns).collect()) == want
 
 
+def test_rows_of_one_value_share_what_it_fails(spark, monkeypatch):
+    """2000 rows of three values against 300 rules: what is written on the way has no list per row. Joined by broadcast and by shuffle."""
+    table = spark.range(300).select(
+        F.concat(F.lit("R"), F.lpad(F.col("id").cast("string"), 3, "0")).alias("ruleId"), F.when(F.col("id") % 3 > 0, "S1").alias("studyId"),
+        F.lit("v").alias("columnName"), F.when(F.col("id") < 200, "EQUALS").otherwise("LESS_THAN").alias("operator"),
+        F.when(F.col("id") < 200, F.col("id") % 2).otherwise(F.lit(2)).cast("string").alias("expectedValue"), F.col("id").cast("string").alias("rejectionReason"),
+        F.when(F.col("id") == 0, "BLOCKING").alias("ruleKind"), F.lit(True).alias("isActive"),
+    )
+    df = spark.range(2000).select("id", (F.col("id") % 3).cast("string").alias("v"), F.when(F.col("id") % 2 == 0, "S1").alias("studyId"))
+    written, kept = [], E.cut_lineage
+    for module in (E, E.rule_index):
+        monkeypatch.setattr(module, "cut_lineage", lambda frame: written.append(kept(frame)) or written[-1])
+    for rows_sent in (50_000, 0):
+        monkeypatch.setattr(E.skew, "BROADCAST_ROWS", rows_sent)
+        judged = E.evaluate_table(df, table, row_id=["id"]).cache()
+        assert judged.where("size(reasons) <> failedRules OR wrongRule IS NOT NULL").isEmpty() and judged.count() == 2000
+        own = {r.v: (r.n, r.first, r.blocking) for r in judged.where("studyId = 'S1'").select("v", F.col("failedRules").alias("n"), F.col("reasons")[0].alias("first"), "blocking").distinct().collect()}
+        assert own == {"0": (100, "1", False), "1": (100, "0", True), "2": (300, "0", True)}
+        shared = {r.v: r.n for r in judged.where("studyId IS NULL").select("v", F.col("failedRules").alias("n")).distinct().collect()}
+        assert shared == {"0": 33, "1": 34, "2": 100}
+    lists = [w for w in written if any(t.startswith("array") for _, t in w.dtypes)]
+    assert lists and max(w.count() for w in lists) <= 300
+
+
 @pytest.mark.parametrize("few", [0, 64])
 def test_a_bad_rule_fails_its_own_study(spark, monkeypatch, few):
     monkeypatch.setattr(E, "FEW_RULES", few)

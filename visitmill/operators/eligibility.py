@@ -147,12 +147,12 @@ def _rule_passes(rule: Column, texts: Column, numbers: Column) -> Column:
 def evaluate_table(
     df: DataFrame, table: DataFrame, *, study: str = "studyId", row_id: Sequence[str] | None = None
 ) -> DataFrame:
-    """:func:`evaluate` with the rules of a table, however many.
+    """:func:`evaluate` with the rules of a table, however many; adds ``failedRules`` (how many) and ``wrongRule`` as well.
 
     The plan has the same size for any number of rules. Where no study has more than ``FEW_RULES``, each study's rules join its rows as
-    an array; beyond that rows look theirs up in an index (:mod:`visitmill.operators.rule_index`), with the same result. A rule that
+    an array; beyond that the distinct values of the rows look theirs up in an index (:mod:`visitmill.operators.rule_index`), with the same result. A rule that
     cannot be applied, for its operator, kind or column, raises if it is one of all studies; one of a single study fails the rows of that study,
-    with what is wrong as their reason, and leaves the others alone.
+    with what is wrong as their reason and as ``wrongRule``, and leaves the others alone. Who only counts ``failedRules`` spares the index the lists of reasons.
     """
     rules = active_rules(table, df.columns, study)
     own = rules.where("wrong IS NULL").drop("wrong")
@@ -167,21 +167,25 @@ def evaluate_table(
     columns = sorted(r.name for r in own.select("rule.name").distinct().collect())
     if (most or 0) + (general or 0) <= FEW_RULES:
         found = _evaluate_arrays(df, own, columns, study, row_id)
+        found = found.withColumns({"_many": F.size("_failed"), "_blocking": F.exists("_failed", lambda r: r["blocking"])})
     else:
-        held = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
         flat = own.select(F.coalesce(F.concat(F.lit("="), F.col(study)), F.lit("")).alias("scope"), "rule.*")
-        failed = cut_lineage(rule_index.failed_rules(held, flat, columns, study=study))
-        found = held.join(failed, "_row", "left").drop("_row")
-    # A row that fails nothing has no entry in the index.
-    reasons = F.coalesce(F.transform("_failed", lambda r: r["reason"]), F.array().cast("array<string>"))
-    blocking = F.coalesce(F.exists("_failed", lambda r: r["blocking"]), F.lit(False))
-    out = found.withColumns({"reasons": reasons, "blocking": blocking}).drop("_failed")
+        found = rule_index.attach_failed(cut_lineage(df), flat, columns, study=study, row_id=row_id)
+    told = {
+        "reasons": F.transform("_failed", lambda r: r["reason"]), "blocking": F.coalesce("_blocking", F.lit(False)),
+        "failedRules": F.col("_many"), "wrongRule": F.lit(None).cast("string"),
+    }
+    out = found.withColumns(told).drop("_failed", "_many", "_blocking")
     if not bad:
         return out
     broken = cut_lineage(counts.where(F.col(study).isNotNull() & F.col("wrong").isNotNull()).select(study, F.col("wrong").alias("_wrong")))
-    told = skew.lookup_join(out, broken, [study], row_id=row_id, keys_from=df.select(study))
-    instead = {"reasons": F.when(F.col("_wrong").isNotNull(), F.array("_wrong")).otherwise(F.col("reasons")), "blocking": F.col("blocking") | F.col("_wrong").isNotNull()}
-    return told.withColumns(instead).drop("_wrong")
+    joined = skew.lookup_join(out.drop("wrongRule"), broken, [study], row_id=row_id, keys_from=df.select(study))
+    is_wrong = F.col("_wrong").isNotNull()
+    instead = {
+        "reasons": F.when(is_wrong, F.array("_wrong")).otherwise(F.col("reasons")), "blocking": F.col("blocking") | is_wrong,
+        "failedRules": F.when(is_wrong, 1).otherwise(F.col("failedRules")),
+    }
+    return joined.withColumns(instead).withColumnRenamed("_wrong", "wrongRule")
 
 
 def _evaluate_arrays(df: DataFrame, rules: DataFrame, columns: Sequence[str], study: str, row_id: Sequence[str] | None) -> DataFrame:

@@ -315,5 +315,4 @@ def rule_index(spark: SparkSession, folder: str) -> DataFrame:
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"]
     items = table(spark, folder, "lineitem").select(*keys, "l_suppkey", "l_returnflag", F.concat(F.lit("S"), F.col("l_partkey") % 4).alias("studyId"))
     judged = eligibility.evaluate_table(items, own.unionByName(shared).unionByName(bad), row_id=keys)
-    wrong = F.get(F.filter("reasons", lambda r: r.startswith("Rule BAD")), F.lit(0))
-    return judged.select(*keys, F.size("reasons").alias("failed"), "blocking", wrong.alias("wrong"))
+    return judged.select(*keys, F.col("failedRules").alias("failed"), "blocking", F.col("wrongRule").alias("wrong"))
