@@ -273,7 +273,7 @@ def study_rules(spark: SparkSession, folder: str) -> DataFrame:
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"]
     items = table(spark, folder, "lineitem").select(*keys, F.concat(F.lit("S"), F.col("l_partkey") % 500).alias("studyId"))
     judged = eligibility.evaluate_table(items, rules, row_id=keys)
-    return judged.select(*keys, F.size("reasons").alias("failed"), "blocking")
+    return judged.select(*keys, F.col("failedRules").alias("failed"), "blocking")
 
 
 @query("""
