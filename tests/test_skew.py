@@ -157,3 +157,29 @@ def test_cut_stems_take_few_rounds(spark, monkeypatch):
     labels = ["y" * 220 + "ab"[i % 2] for i in range(300)]
     check_stems(spark, labels, None)
     assert len(written) <= 8
+
+
+def test_many_small_groups_need_no_ranges(spark, monkeypatch):
+    """240 rows of 80 scopes, ranges of 50: no group is large, so none is cut into ranges and joined to their totals. Names are made once."""
+    monkeypatch.setattr(skew, "RANGE_ROWS", 50)
+    cuts, own = [], skew.bucketed_sum_before
+
+    def watched(df, group, order, flag, name, found=None):
+        cuts.append(found)
+        return own(df, group, order, flag, name, found)
+
+    monkeypatch.setattr(skew, "bucketed_sum_before", watched)
+    kinds = [["a", "a", "a_1"], ["a_1", "a", "a"], ["a", "a_2", "a"], ["b_2", "b", "b"]]
+    rows = [(s, 3 * s + at, label) for s in range(80) for at, label in enumerate(kinds[s % 4])]
+    made = spark.sparkContext.accumulator(0)
+
+    def count(label):
+        made.add(1)
+        return label
+
+    df = spark.createDataFrame(rows, "s long, i long, l string")
+    named = stems.unique_stems(df, F.udf(count)("l"), "i", scope=["s"])
+    got = {r.i: r.stem for r in named.collect()}
+    for s in range(80):
+        assert [got[3 * s + at] for at in range(3)] == brute_stems(kinds[s % 4])
+    assert len(cuts) >= 4 and all(found == [] for found in cuts) and made.value == len(rows)

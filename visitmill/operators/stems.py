@@ -43,7 +43,7 @@ def _meeting_bases(bases: DataFrame, scope: list[str]) -> DataFrame:
     return skew.lookup_join(child, known, [*scope, "parent"], how="inner", row_id=[*scope, "child"])
 
 
-def _settle(pairs: DataFrame, scope: list[str]) -> DataFrame:
+def _settle(pairs: DataFrame, scope: list[str], one_range: bool) -> DataFrame:
     """Numbers of each base that other bases hold, as rows ``(base, number)``.
 
     With ``lost`` smaller names taken by others, the occurrence of the parent to reach number ``n`` is
@@ -53,7 +53,7 @@ def _settle(pairs: DataFrame, scope: list[str]) -> DataFrame:
     """
     state = pairs.select(*scope, "parent", "child", "number", "earlier")
     state = cut_lineage(state.withColumn("holds", F.lit(True)))
-    key, cuts = [*scope, "parent"], skew.range_cuts(state, "number")
+    key, cuts = [*scope, "parent"], [] if one_range else skew.range_cuts(state, "number")
     while True:
         lost_own = state.where(~F.col("holds")).select(
             *scope, F.col("child").alias("parent"), F.lit(1).alias("own")
@@ -74,10 +74,9 @@ def _settle(pairs: DataFrame, scope: list[str]) -> DataFrame:
 
 
 def _taken_numbers(
-    items: DataFrame, pairs: DataFrame, scope: list[str], order: str, cuts: Sequence[int]
+    items: DataFrame, pairs: DataFrame, scope: list[str], order: str, cuts: Sequence[int], one_range: bool
 ) -> DataFrame:
     # Occurrences of the parent that came before the child's first: markers counted among the rows.
-    pairs = cut_lineage(pairs)
     key = [*scope, "base"]
     parents = pairs.select(*scope, F.col("parent").alias("base")).distinct()
     occurrences = items.select(*key, F.col(order).alias("at"))
@@ -87,22 +86,23 @@ def _taken_numbers(
     is_row = F.col("child").isNull()
     counted = skew.bucketed_sum_before(marked, key, "at", is_row, "earlier", cuts)
     earlier = counted.where(F.col("child").isNotNull()).select(*scope, "child", "earlier")
-    return _settle(pairs.join(earlier, [*scope, "child"]), scope)
+    return _settle(pairs.join(earlier, [*scope, "child"]), scope, one_range)
 
 
-def _skip_taken(numbered: DataFrame, taken: DataFrame, scope: list[str], total: int) -> DataFrame:
+def _skip_taken(numbered: DataFrame, taken: DataFrame, scope: list[str], total: int, one_range: bool) -> DataFrame:
     """Add ``number``: the ordinal plus the taken numbers that come before the free one it reaches.
 
     The i-th taken number ``t`` is skipped from ordinal ``t - i`` on, so that counting such marks
     among the ordinals gives the skips of every row.
     """
     key = [*scope, "base"]
-    marks = skew.bucketed_ordinal(taken, key, "number", "i").select(
+    marks = skew.bucketed_ordinal(taken, key, "number", "i", [] if one_range else None).select(
         *key, (2 * (F.col("number") - F.col("i"))).alias("place"), F.lit(True).alias("mark")
     )
     rows = numbered.withColumn("place", 2 * F.col("ordinal") + 1).withColumn("mark", F.lit(False))
     both = rows.unionByName(marks, allowMissingColumns=True)
-    counted = skew.bucketed_sum_before(both, key, "place", F.col("mark"), "skips", skew.range_cuts(both, "place", total))
+    places = [] if one_range else skew.range_cuts(both, "place", total)
+    counted = skew.bucketed_sum_before(both, key, "place", F.col("mark"), "skips", places)
     return (
         counted.where(~F.col("mark"))
         .withColumn("number", F.col("ordinal") + F.col("skips"))
@@ -169,16 +169,20 @@ def unique_stems(
     told |= {f"_no_scope_{i}": F.col(c).isNull() for i, c in enumerate(scope)}
     scope = list(told)
     key = [*scope, "base"]
-    items = df.withColumn("base", text.safe_stem(label)).withColumns(told)
+    # Read many times from here on, and names take long to make: made once, by as many tasks as there are parts.
+    items = cut_lineage(df.withColumn("base", text.safe_stem(label)).withColumns(told).repartition(order))
     totals = items.groupBy(*key).agg(F.min(order).alias("first"), F.count("*").alias("n"))
     bases = cut_lineage(totals)
     is_cut = (F.col("n") > 1) & (F.length("base") > S.STEM_LIMIT - SUFFIX_CHARS)
     found = bases.agg(
         F.sum("n").alias("n"),
+        F.max("n").alias("most"),
         F.bool_or(is_cut).alias("cut"),
         F.bool_or(F.col("base").rlike(_NUMBERED)).alias("numbered"),
     ).first()
-    at = skew.range_cuts(items, order, found.n or 0, per_range)
+    # Ranges are for groups that are too large for one task; without such a group, all rows of one are numbered together.
+    limit = per_range or skew.RANGE_ROWS
+    at = [] if (found.most or 0) <= limit else skew.range_cuts(items, order, found.n or 0, per_range)
     numbered = skew.bucketed_ordinal(items, key, order, "ordinal", at)
     family = F.substring("base", 1, FAMILY_CHARS)
     plain, rest = numbered, None
@@ -190,11 +194,16 @@ def unique_stems(
         )
         plain = marked.where(F.col("is_cut").isNull()).drop("family", "is_cut")
         rest = _settle_cut(marked.where("is_cut").drop("family", "is_cut"), scope, order, found.n)
-    pairs = _meeting_bases(bases, scope)
-    if not found.numbered or pairs.isEmpty():
+    pairs = cut_lineage(_meeting_bases(bases, scope)) if found.numbered else None
+    # Names that meet one base; a group below has at most these and its rows.
+    met = pairs.groupBy(*scope, "parent").count().agg(F.max("count")).first()[0] if found.numbered else None
+    if not met:
         plain = plain.withColumn("number", F.col("ordinal"))
     else:
-        plain = _skip_taken(plain, _taken_numbers(items, pairs, scope, order, at), scope, found.n)
+        one_range = found.most + met + 1 <= limit
+        marked_at = at if at or one_range else skew.range_cuts(items, order, found.n, per_range)
+        taken = _taken_numbers(items, pairs, scope, order, marked_at, one_range)
+        plain = _skip_taken(plain, taken, scope, found.n, one_range)
     named = plain.withColumn("stem", text.numbered_stem(F.col("base"), F.col("number")))
     if rest is not None:
         named = named.unionByName(rest)
