@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +21,7 @@ MODES = ["SFTP_ONLY", "API_FIRST", "API_ONLY"]
 STUDIES = ["full", "unended", "none"]
 # Files per landed table; events per page.
 FILES, PER_PAGE = 2, 100
+LANDED_AT_ONCE = 6
 
 
 def land(df: DataFrame, folder: str, name: str, files: int = FILES) -> None:
@@ -33,15 +36,20 @@ def land(df: DataFrame, folder: str, name: str, files: int = FILES) -> None:
         system.rename(path(part), path(f"{folder}/{name}_{i}.csv"))
 
 
+def land_all(tables_to_land: Iterable[tuple[DataFrame, str, str, int]]) -> None:
+    """:func:`land` several tables side by side, as few files give few tasks each."""
+    with ThreadPoolExecutor(LANDED_AT_ONCE) as pool:
+        list(pool.map(lambda one: land(*one), tables_to_land))
+
+
 def landing(spark: SparkSession, folder: str) -> str:
     """Two studies with visits and other files, one file of each with a header only; the third has none."""
     place = new_folder(spark, "landing")
     visits = table(spark, folder, "orders").select(F.col("o_orderkey").alias("SUBJECT_ID"), F.col("o_orderstatus").alias("SUBJECT_STATUS"))
     others = table(spark, folder, "customer").select(F.col("c_custkey").alias("SUBJECT_ID"), F.col("c_mktsegment").alias("COHORT"))
-    for study in STUDIES[:2]:
-        land(visits, f"{place}/{study}", "Subject-Visit")
-        land(others, f"{place}/{study}", "others")
-        land(others.limit(1).where("SUBJECT_ID IS NULL"), f"{place}/{study}", "header_only", 1)
+    empty = others.limit(1).where("SUBJECT_ID IS NULL")
+    kinds = [(visits, "Subject-Visit", FILES), (others, "others", FILES), (empty, "header_only", 1)]
+    land_all((df, f"{place}/{study}", name, files) for df, name, files in kinds for study in STUDIES[:2])
     return place
 
 
@@ -59,13 +67,17 @@ def event_pages(spark: SparkSession, folder: str) -> DataFrame:
     return paged.select("page", "rows", studies).select("study_id", F.col("page").cast("int").alias("page"), body.alias("body"))
 
 
-def run_job(spark: SparkSession, folder: str, mode: str, place: str, **more) -> ingest.Settings:
+def run_job(spark: SparkSession, pages: DataFrame, mode: str, place: str, **more) -> ingest.Settings:
     settings = ingest.Settings(landing=place, output=new_folder(spark, "out"), tenant="demo", page_size=1, file_host="files", **more)
-    pages = cut_lineage(event_pages(spark, folder))
     ingest.ingest(spark, STUDIES, settings, pages=pages, mode=mode)
     return settings
 
 
+def landed_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """:func:`event_pages`, written once for all jobs of a query."""
+    return cut_lineage(event_pages(spark, folder))
+
+
 def _label(stem: Column) -> Column:
     return F.regexp_replace(stem, r"_\d+$", "")
 
@@ -93,9 +105,9 @@ _TAKES = """
 """)
 def ingest_modes(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per study and kind of object after ingests in all three modes, with a failed pull among them."""
-    place, parts = landing(spark, folder), []
+    place, pages, parts = landing(spark, folder), landed_pages(spark, folder), []
     for mode in MODES:
-        rows = tables.read_runs(spark, run_job(spark, folder, mode, place).output)
+        rows = tables.read_runs(spark, run_job(spark, pages, mode, place).output)
         parts.append(rows.select(F.lit(mode).alias("mode"), F.col("study_id").alias("study"), _label(F.col("source_stem")).alias("label"), "subjectId"))
     every = reduce(DataFrame.unionByName, parts)
     return every.groupBy("mode", "study", "label").agg(F.count("*").alias("rows"), F.sum(F.col("subjectId").cast("long")).alias("ids"))
@@ -118,9 +130,9 @@ def ingest_modes(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def run_log(spark: SparkSession, folder: str) -> DataFrame:
     """The audit of runs in all modes: one row per run, failed ones with their reason."""
-    place, parts = landing(spark, folder), []
+    place, pages, parts = landing(spark, folder), landed_pages(spark, folder), []
     for mode in MODES:
-        output = run_job(spark, folder, mode, place).output
+        output = run_job(spark, pages, mode, place).output
         parts.append(spark.read.schema(S.RUN_LOG).parquet(f"{output}/{ingest.RUN_TABLE}").withColumn("mode", F.lit(mode)))
     return reduce(DataFrame.unionByName, parts).select(
         "mode", F.col("studyId").alias("study"), F.col("dataSource").alias("source"), "status",
@@ -136,7 +148,7 @@ def run_log(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def file_log(spark: SparkSession, folder: str) -> DataFrame:
     """The audit of files: every landed file with its category and hashes, the one without rows too."""
-    settings = run_job(spark, folder, "SFTP_ONLY", landing(spark, folder))
+    settings = run_job(spark, landed_pages(spark, folder), "SFTP_ONLY", landing(spark, folder))
     log = spark.read.schema(S.FILE_LOG).parquet(f"{settings.output}/{ingest.FILE_TABLE}")
     named = F.bool_and(F.col("fileNameHash") == F.sha2("fileName", 256))
     return log.groupBy(F.col("studyId").alias("study"), F.col("mappingCategory").alias("category")).agg(
@@ -151,7 +163,7 @@ def file_log(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def run_preview(spark: SparkSession, folder: str) -> DataFrame:
     """First rows of every object of a run."""
-    settings = run_job(spark, folder, "SFTP_ONLY", landing(spark, folder))
+    settings = run_job(spark, landed_pages(spark, folder), "SFTP_ONLY", landing(spark, folder))
     rows = tables.read_runs(spark, settings.output).where(F.col("study_id") == STUDIES[0])
     found = preview.preview_objects(rows, 10)
     whole = F.size(F.filter("rows", lambda r: F.get_json_object(r, "$.subjectId").isNotNull())) == F.col("previewRowCount")
@@ -171,12 +183,12 @@ def run_preview(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def run_counts(spark: SparkSession, folder: str) -> DataFrame:
     """What runs in all modes fetched, added and skipped, and the rows of a file whose name Spark hides."""
-    place, parts = landing(spark, folder), []
+    place, pages, parts = landing(spark, folder), landed_pages(spark, folder), []
     hidden = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("SUBJECT_ID"), F.lit("x").alias("COHORT"))
     for study in STUDIES[:2]:
         land(hidden, f"{place}/{study}", "_more", 1)
     for mode in MODES:
-        output = run_job(spark, folder, mode, place, read_hidden=True).output
+        output = run_job(spark, pages, mode, place, read_hidden=True).output
         log = spark.read.schema(S.RUN_LOG_COUNTS).parquet(f"{output}/{ingest.RUN_TABLE}")
         rows = tables.read_runs(spark, output).where(F.col("source_stem").contains("more"))
         found = rows.groupBy(F.col("run_id").alias("runId")).agg(F.count("*").alias("hidden"))
